@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..operators import market
+from ..operators import dedupe, market, resolve, upsert
 from ..sources import tpch
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,110 @@ def cleaned_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("A3_market_summary_v3")
 def a3(spark, sf_dir):
     return round_doubles(market.market_summary_v3(cleaned_listing(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- listings
+SPLIT_DATE = "1998-08-01"   # base snapshots before, nightly batch from
+
+
+def prepared_listing(spark, sf_dir):
+    return market.prepare_rebuild(tpch.listing(spark, sf_dir))
+
+
+@query("A1_market_summary_v1")
+def a1(spark, sf_dir):
+    norm = resolve.normalize_listing(tpch.listing(spark, sf_dir))
+    return round_doubles(market.market_summary_v1(market.drop_missing(norm, ["price"])))
+
+
+@query("A2_market_summary_v2")
+def a2(spark, sf_dir):
+    return round_doubles(market.market_summary_v2(tpch.listing(spark, sf_dir)))
+
+
+@query("A4_dashboard_summary_top500")
+def a4(spark, sf_dir):
+    return round_doubles(market.dashboard_summary(cleaned_listing(spark, sf_dir), 500))
+
+
+@query("A5_sanity_counters")
+def a5(spark, sf_dir):
+    return market.sanity_counters(prepared_listing(spark, sf_dir))
+
+
+@query("O1_latest_sample_top200")
+def o1(spark, sf_dir):
+    latest = market.latest_snapshot(cleaned_listing(spark, sf_dir))
+    s = latest.orderBy(F.col("snapshot_date").desc_nulls_last(), F.col("url").asc_nulls_last(),
+                       F.col("listing_id").asc()).limit(200)
+    return round_doubles(s.select("listing_id", "snapshot_date", "url", "price", "surface_m2",
+                                  "price_per_m2", "property_type"))
+
+
+@query("J3_latest_snapshot_rows")
+def j3(spark, sf_dir):
+    latest = market.latest_snapshot(cleaned_listing(spark, sf_dir))
+    return latest.select("listing_id", "snapshot_date", "url", "city")
+
+
+@query("F2_plausible_rows")
+def f2(spark, sf_dir):
+    return round_doubles(cleaned_listing(spark, sf_dir).select(
+        "listing_id", "snapshot_date", "url", "price", "surface_m2", "price_per_m2",
+        "property_type", "postal_code"))
+
+
+@query("F3_clip_plausible_ranges")
+def f3(spark, sf_dir):
+    d = market.clip_plausible(tpch.listing(spark, sf_dir))
+    return d.select("listing_id", "price", "surface_m2")
+
+
+@query("F5_training_range_filter")
+def f5(spark, sf_dir):
+    return market.training_range(tpch.listing(spark, sf_dir)).select("listing_id", "price",
+                                                                     "surface_m2")
+
+
+@query("W1_keep_latest_per_url")
+def w1(spark, sf_dir):
+    d = dedupe.keep_latest(tpch.listing(spark, sf_dir))
+    return d.select("listing_id", "url", "snapshot_date", "price")
+
+
+@query("W2_light_dedupe")
+def w2(spark, sf_dir):
+    d = dedupe.light_dedupe(prepared_listing(spark, sf_dir))
+    return d.select("listing_id", "url", "snapshot_date", "city", "postal_code", "property_type",
+                    "price", "surface_m2")
+
+
+@query("A9_first_occurrence_by_url")
+def a9(spark, sf_dir):
+    return dedupe.first_by_url(tpch.listing(spark, sf_dir), ["listing_id"]).select(
+        "url", "listing_id", "snapshot_date")
+
+
+@query("A10_distinct_rows")
+def a10(spark, sf_dir):
+    return dedupe.distinct_rows(tpch.listing(spark, sf_dir).select(
+        "url", "city", "postal_code", "property_type"))
+
+
+def _halves(spark, sf_dir):
+    lst = tpch.listing(spark, sf_dir)
+    return (lst.where(F.col("snapshot_date") < F.lit(SPLIT_DATE).cast("date")),
+            lst.where(F.col("snapshot_date") >= F.lit(SPLIT_DATE).cast("date")))
+
+
+@query("J1_delete_matching_urls")
+def j1(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    return upsert.delete_matching(base, batch).select("listing_id", "url")
+
+
+@query("J2_upsert_latest")
+def j2(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    latest = upsert.upsert_latest(dedupe.keep_latest(base), batch)
+    return latest.select("listing_id", "url", "snapshot_date", "price")

@@ -85,3 +85,122 @@ SELECT snapshot_date, city, property_type, count(url) AS n,
        {r4("median(price_per_m2)")} AS median_eur_m2
 FROM cleaned GROUP BY snapshot_date, city, property_type
 """))
+
+oracle("A1_market_summary_v1", with_ctes(LISTING_CTE + """,
+norm AS (
+  SELECT snapshot_date, city, postal_code, property_type,
+         CAST(trunc(abs(price)) AS DOUBLE) AS price, surface_m2
+  FROM listing
+),
+n2 AS (
+  SELECT *, CASE WHEN surface_m2 > 0 THEN price / surface_m2 END AS price_per_m2
+  FROM norm WHERE price IS NOT NULL
+)""", f"""
+SELECT snapshot_date, city, postal_code, property_type, count(*) AS n_listings,
+       {r4("avg(price)")} AS avg_price, {r4("median(price)")} AS med_price,
+       {r4("avg(price_per_m2)")} AS avg_ppm2
+FROM n2 GROUP BY snapshot_date, city, postal_code, property_type
+"""))
+
+oracle("A2_market_summary_v2", with_ctes(LISTING_CTE, f"""
+SELECT snapshot_date, city, property_type, count(*) AS n,
+       {r4("median(price_per_m2)")} AS median_price_per_m2
+FROM listing WHERE price_per_m2 IS NOT NULL
+GROUP BY snapshot_date, city, property_type
+"""))
+
+oracle("A4_dashboard_summary_top500", with_ctes(PREP_CTE, f"""
+SELECT snapshot_date, city, property_type, count(*) AS n,
+       {r4("median(price)")} AS median_price, {r4("median(price_per_m2)")} AS median_eur_m2
+FROM cleaned GROUP BY ALL
+ORDER BY snapshot_date DESC NULLS LAST, n DESC, city ASC NULLS LAST, property_type ASC NULLS LAST
+LIMIT 500
+"""))
+
+oracle("A5_sanity_counters", with_ctes(PREP_CTE, """
+SELECT count(*) AS total_rows,
+       count(*) FILTER (WHERE price IS NULL) AS missing_price,
+       count(*) FILTER (WHERE surface_m2 IS NULL) AS missing_m2,
+       count(*) FILTER (WHERE surface_m2 < 10 OR surface_m2 > 1000) AS bad_m2,
+       count(*) FILTER (WHERE price_per_m2 < 500 OR price_per_m2 > 50000) AS bad_eur_m2,
+       count(*) FILTER (WHERE price IS NOT NULL AND surface_m2 IS NOT NULL
+                          AND surface_m2 BETWEEN 10 AND 1000
+                          AND (price_per_m2 IS NULL OR price_per_m2 BETWEEN 500 AND 50000))
+         AS kept_after_sanity
+FROM prep
+"""))
+
+oracle("O1_latest_sample_top200", with_ctes(PREP_CTE, f"""
+SELECT listing_id, snapshot_date, url, {r4("price")} AS price, {r4("surface_m2")} AS surface_m2,
+       {r4("price_per_m2")} AS price_per_m2, property_type
+FROM cleaned WHERE snapshot_date = (SELECT max(snapshot_date) FROM cleaned)
+ORDER BY snapshot_date DESC, url ASC, listing_id ASC
+LIMIT 200
+"""))
+
+oracle("J3_latest_snapshot_rows", with_ctes(PREP_CTE, """
+SELECT listing_id, snapshot_date, url, city
+FROM cleaned WHERE snapshot_date = (SELECT max(snapshot_date) FROM cleaned)
+"""))
+
+oracle("F2_plausible_rows", with_ctes(PREP_CTE, f"""
+SELECT listing_id, snapshot_date, url, {r4("price")} AS price, {r4("surface_m2")} AS surface_m2,
+       {r4("price_per_m2")} AS price_per_m2, property_type, postal_code
+FROM cleaned
+"""))
+
+oracle("F3_clip_plausible_ranges", with_ctes(LISTING_CTE, """
+SELECT listing_id,
+       CASE WHEN price < 50000 THEN NULL ELSE price END AS price,
+       CASE WHEN surface_m2 < 10 OR surface_m2 > 1000 THEN NULL ELSE surface_m2 END AS surface_m2
+FROM listing
+"""))
+
+oracle("F5_training_range_filter", with_ctes(LISTING_CTE, """
+SELECT listing_id, price, surface_m2 FROM listing
+WHERE price IS NOT NULL AND surface_m2 IS NOT NULL AND surface_m2 BETWEEN 10 AND 1000
+"""))
+
+oracle("W1_keep_latest_per_url", with_ctes(LISTING_CTE, """
+SELECT listing_id, url, snapshot_date, price FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC NULLS LAST,
+                                                        listing_id DESC) AS rn
+  FROM listing WHERE url IS NOT NULL) WHERE rn = 1
+"""))
+
+oracle("W2_light_dedupe", with_ctes(PREP_CTE, """
+SELECT listing_id, url, snapshot_date, city, postal_code, property_type, price, surface_m2 FROM (
+  SELECT *, row_number() OVER (
+      PARTITION BY url, snapshot_date, city, postal_code, property_type
+      ORDER BY price DESC NULLS LAST, surface_m2 DESC NULLS LAST, listing_id DESC) AS rn
+  FROM prep) WHERE rn = 1
+"""))
+
+oracle("A9_first_occurrence_by_url", with_ctes(LISTING_CTE, """
+SELECT url, listing_id, snapshot_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY listing_id) AS rn
+  FROM listing WHERE url IS NOT NULL) WHERE rn = 1
+"""))
+
+oracle("A10_distinct_rows", with_ctes(LISTING_CTE, """
+SELECT DISTINCT url, city, postal_code, property_type FROM listing
+"""))
+
+oracle("J1_delete_matching_urls", with_ctes(LISTING_CTE, """
+SELECT b.listing_id, b.url FROM listing b
+WHERE b.snapshot_date < DATE '1998-08-01'
+  AND NOT EXISTS (SELECT 1 FROM listing n WHERE n.snapshot_date >= DATE '1998-08-01' AND n.url = b.url)
+"""))
+
+oracle("J2_upsert_latest", with_ctes(LISTING_CTE + """,
+base AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC, listing_id DESC) rn
+                 FROM listing WHERE snapshot_date < DATE '1998-08-01') WHERE rn = 1),
+batch AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC, listing_id DESC) rn
+                 FROM listing WHERE snapshot_date >= DATE '1998-08-01') WHERE rn = 1)""", """
+SELECT listing_id, url, snapshot_date, price FROM base
+WHERE NOT EXISTS (SELECT 1 FROM batch WHERE batch.url = base.url)
+UNION ALL
+SELECT listing_id, url, snapshot_date, price FROM batch
+"""))
