@@ -147,7 +147,9 @@ def range_to_float(x) -> Column:
 # Price with an explicit currency cue before or after the number, else a
 # number with a 'k' suffix (thousands).
 _CUR = r"(?:€|eur|euro|euros)"
-_VAL = r"([0-9.\s]+(?:[,.\s][0-9]{1,3})?)"
+# The value must start with a digit, so a lone space before the currency word
+# is never taken as the number ("Prijs € 250.000" parses to 250 000).
+_VAL = r"([0-9][0-9.\s]*(?:[,.\s][0-9]{1,3})?)"
 CURRENCY_RE = rf"(?i){_CUR}\s*{_VAL}|{_VAL}\s*{_CUR}"
 K_SUFFIX_RE = r"(?i)(?<![\p{L}\p{N}_])([0-9]{1,3}(?:[.,][0-9]{1,3})?)\s?k(?![\p{L}\p{N}_])"
 

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import dedupe, market, resolve, upsert
+from ..functions import flags, parse
 from ..sources import tpch
+from . import render
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -158,3 +160,99 @@ def j2(spark, sf_dir):
     base, batch = _halves(spark, sf_dir)
     latest = upsert.upsert_latest(dedupe.keep_latest(base), batch)
     return latest.select("listing_id", "url", "snapshot_date", "price")
+
+
+# ---------------------------------------------------------------- parsers
+def rendered(spark, sf_dir):
+    return render.base(tpch.table(spark, sf_dir, "orders"))
+
+
+@query("X2_price_text_to_euros")
+def x2(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = render.price_text(b)
+    return b.select("k", t.alias("text"), parse.price_to_int_eur(t).alias("value"))
+
+
+@query("X4_price_from_free_text")
+def x4(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = F.concat(F.lit("Vraagprijs "), render.price_text(b), F.lit(" (kosten koper)"))
+    return b.select("k", t.alias("text"), parse.price_from_text(t).alias("value"))
+
+
+@query("X15_price_with_currency_cue")
+def x15(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = F.concat(F.lit("Vraagprijs "), render.cued_price_text(b), F.lit(" (kosten koper)"))
+    return round_doubles(b.select("k", t.alias("text"), parse.price_from_cued_text(t).alias("value")))
+
+
+@query("X22_detail_page_price")
+def x22(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = render.portal_price_text(b)
+    return b.select("k", t.alias("text"), parse.parse_price(t).alias("value"))
+
+
+@query("X3_surface_text_to_m2")
+def x3(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = render.surface_text(b)
+    return b.select("k", t.alias("text"), parse.surface_to_float_m2(t).alias("value"))
+
+
+@query("X5_surface_from_free_text")
+def x5(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = F.concat(F.lit("Living area "), render.surface_text(b), F.lit(" with garden"))
+    return b.select("k", t.alias("text"), parse.surface_from_text(t).alias("value"))
+
+
+@query("X21_surface_with_ranges")
+def x21(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = render.range_surface_text(b)
+    return b.select("k", t.alias("text"), parse.surface_value(t, "mid").alias("value_mid"),
+                    parse.surface_value(t, "max").alias("value_max"))
+
+
+@query("X13_number_or_range")
+def x13(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    S, D, k = F.col("S"), F.col("D"), F.col("k")
+    t = render.pick(k, 4, [render.s(S), F.concat(render.s(S), F.lit("–"), render.s(S + 5)),
+                           F.concat(render.s(S), F.lit(","), render.s(D)),
+                           render.thousands(S, " ")])
+    return b.select("k", t.alias("text"), parse.range_to_float(t).alias("value"))
+
+
+@query("X6_rebuild_price_parser")
+def x6(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    P, C, k = F.col("P"), F.col("C"), F.col("k")
+    t = render.pick(k, 4, [render.thousands(P, "."),
+                           F.concat(F.lit("€ "), render.thousands(P, "."), F.lit(","),
+                                    F.lpad(render.s(C), 2, "0")),
+                           render.s(P), F.lit("n/a")])
+    return b.select("k", t.alias("text"), parse.clean_price(t).alias("value"))
+
+
+@query("X7_rebuild_surface_parser")
+def x7(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    S, D, k = F.col("S"), F.col("D"), F.col("k")
+    t = render.pick(k, 4, [F.concat(render.s(S), F.lit(" m²")),
+                           F.concat(render.s(S), F.lit(","), render.s(D), F.lit("m2")),
+                           F.concat(render.s(S), F.lit(" - "), render.s(S + 10)),
+                           F.lit("unknown")])
+    return b.select("k", t.alias("text"), parse.clean_surface(t).alias("value"))
+
+
+@query("X20_extract_all_numbers")
+def x20(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = F.concat(F.lit("Prijs € "), render.thousands(F.col("P"), "."), F.lit(", "),
+                 render.s(F.col("B")), F.lit(" slaapkamers, "), render.s(F.col("S")), F.lit(","),
+                 render.s(F.col("D")), F.lit(" m², bouwjaar "), render.s(F.col("Y")))
+    return b.select("k", t.alias("text"), parse.extract_numbers(t).alias("numbers"))

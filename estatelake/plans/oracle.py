@@ -204,3 +204,131 @@ WHERE NOT EXISTS (SELECT 1 FROM batch WHERE batch.url = base.url)
 UNION ALL
 SELECT listing_id, url, snapshot_date, price FROM batch
 """))
+
+
+# ---------------------------------------------------------------- parsers
+RB_CTE = """
+rb AS (
+  SELECT o_orderkey AS k, CAST(floor(o_totalprice) AS BIGINT) AS P, o_orderkey % 100 AS C,
+         5 + (o_orderkey * 37) % 1100 AS S, o_orderkey % 10 AS D, o_orderkey % 6 AS B,
+         1900 + o_orderkey % 125 AS Y
+  FROM orders
+)"""
+
+
+def th(n: str, sep: str) -> str:
+    sep_sql = "chr(160)" if sep == "nbsp" else f"'{sep}'"
+    return (f"(CASE WHEN {n} >= 1000 THEN CAST({n} // 1000 AS VARCHAR) || {sep_sql} || "
+            f"lpad(CAST({n} % 1000 AS VARCHAR), 3, '0') ELSE CAST({n} AS VARCHAR) END)")
+
+
+def pick(n: int, variants: list[str]) -> str:
+    whens = " ".join(f"WHEN k % {n} = {i} THEN {v}" for i, v in enumerate(variants))
+    return f"(CASE {whens} END)"
+
+
+PRICE_TEXT = pick(6, [
+    f"'€ ' || {th('P', '.')}",
+    "'EUR ' || CAST(P AS VARCHAR)",
+    f"{th('P', ' ')} || ' €'",
+    f"'EUR ' || {th('P', ',')}",
+    f"'€' || {th('P', '.')} || ',' || lpad(CAST(C AS VARCHAR), 2, '0')",
+    f"{th('P', 'nbsp')} || ' EUR'",
+])
+SURFACE_TEXT = pick(5, [
+    "CAST(S AS VARCHAR) || ' m²'",
+    "CAST(S AS VARCHAR) || ',' || CAST(D AS VARCHAR) || ' m²'",
+    "CAST(S AS VARCHAR) || '.' || CAST(D AS VARCHAR) || ' m2'",
+    "CAST(S AS VARCHAR) || ' sqm'",
+    f"{th('S', '.')} || ',' || CAST(D AS VARCHAR) || ' m²'",
+])
+SD = "((S * 10 + D) / 10.0)"
+
+
+def rb_query(name: str, body: str) -> None:
+    oracle(name, with_ctes(RB_CTE, body))
+
+
+rb_query("X2_price_text_to_euros", f"SELECT k, {PRICE_TEXT} AS text, P AS value FROM rb")
+
+rb_query("X4_price_from_free_text", f"""
+SELECT k, 'Vraagprijs ' || {PRICE_TEXT} || ' (kosten koper)' AS text,
+       CASE WHEN k % 6 IN (2, 5) THEN NULL ELSE P END AS value
+FROM rb""")
+
+_CUED_TEXT = (f"(CASE WHEN k % 8 < 6 THEN {PRICE_TEXT} WHEN k % 8 = 6 "
+              f"THEN '€' || CAST(P // 1000 AS VARCHAR) || 'k' "
+              f"ELSE 'about ' || CAST(P // 1000 AS VARCHAR) || ' k' END)")
+_CUED_TRUTH = ("(CASE WHEN k % 8 >= 6 THEN CAST((P // 1000) * 1000 AS DOUBLE) "
+               "WHEN k % 6 = 3 AND P >= 1000 THEN P / 1000.0 "
+               "WHEN k % 6 = 4 THEN (P * 100 + C) / 100.0 ELSE CAST(P AS DOUBLE) END)")
+rb_query("X15_price_with_currency_cue", f"""
+SELECT k, 'Vraagprijs ' || {_CUED_TEXT} || ' (kosten koper)' AS text, {r4(_CUED_TRUTH)} AS value
+FROM rb""")
+
+_PORTAL_TEXT = pick(6, [
+    f"'€ ' || {th('P', '.')}",
+    f"'EUR ' || {th('P', ',')}",
+    f"{th('P', ' ')} || ' €'",
+    "CAST(P // 1000 AS VARCHAR) || 'k'",
+    "'€ ' || CAST(P // 100000 AS VARCHAR) || '.' || CAST((P // 10000) % 10 AS VARCHAR) || 'M'",
+    f"'Prijs: ' || {th('P', '.')} || ' euro, ' || CAST(k % 5 + 1 AS VARCHAR) || ' slaapkamers'",
+])
+rb_query("X22_detail_page_price", f"""
+SELECT k, {_PORTAL_TEXT} AS text,
+       CASE WHEN k % 6 = 3 THEN (P // 1000) * 1000.0
+            WHEN k % 6 = 4 THEN ((P // 100000) * 10 + (P // 10000) % 10) / 10.0 * 1000000.0
+            ELSE CAST(P AS DOUBLE) END AS value
+FROM rb""")
+
+rb_query("X3_surface_text_to_m2", f"""
+SELECT k, {SURFACE_TEXT} AS text,
+       CASE WHEN k % 5 IN (1, 2, 4) THEN {SD} ELSE CAST(S AS DOUBLE) END AS value
+FROM rb""")
+
+rb_query("X5_surface_from_free_text", f"""
+SELECT k, 'Living area ' || {SURFACE_TEXT} || ' with garden' AS text,
+       CASE WHEN k % 5 = 3 THEN NULL
+            WHEN k % 5 = 4 AND S >= 1000 THEN ((S % 1000) * 10 + D) / 10.0
+            WHEN k % 5 IN (1, 2, 4) THEN {SD} ELSE CAST(S AS DOUBLE) END AS value
+FROM rb""")
+
+rb_query("X21_surface_with_ranges", f"""
+SELECT k, {pick(5, [
+    "CAST(S AS VARCHAR) || ' m²'",
+    "CAST(S AS VARCHAR) || ',' || CAST(D AS VARCHAR) || ' m²'",
+    f"{th('S', '.')} || ' m²'",
+    "CAST(S AS VARCHAR) || '–' || CAST(S + 5 AS VARCHAR) || ' m²'",
+    "CAST(S AS VARCHAR) || ' to ' || CAST(S + 10 AS VARCHAR) || ' m2'"])} AS text,
+       CASE k % 5 WHEN 1 THEN {SD} WHEN 3 THEN (2 * S + 5) / 2.0 WHEN 4 THEN CAST(S + 5 AS DOUBLE)
+            ELSE CAST(S AS DOUBLE) END AS value_mid,
+       CASE k % 5 WHEN 1 THEN {SD} WHEN 3 THEN CAST(S + 5 AS DOUBLE) WHEN 4 THEN CAST(S + 10 AS DOUBLE)
+            ELSE CAST(S AS DOUBLE) END AS value_max
+FROM rb""")
+
+rb_query("X13_number_or_range", f"""
+SELECT k, {pick(4, ["CAST(S AS VARCHAR)", "CAST(S AS VARCHAR) || '–' || CAST(S + 5 AS VARCHAR)",
+                    "CAST(S AS VARCHAR) || ',' || CAST(D AS VARCHAR)", th('S', ' ')])} AS text,
+       CASE k % 4 WHEN 1 THEN (2 * S + 5) / 2.0 WHEN 2 THEN {SD} ELSE CAST(S AS DOUBLE) END AS value
+FROM rb""")
+
+rb_query("X6_rebuild_price_parser", f"""
+SELECT k, {pick(4, [th('P', '.'),
+                    f"'€ ' || {th('P', '.')} || ',' || lpad(CAST(C AS VARCHAR), 2, '0')",
+                    "CAST(P AS VARCHAR)", "'n/a'"])} AS text,
+       CASE k % 4 WHEN 1 THEN (P * 100 + C) / 100.0 WHEN 3 THEN NULL
+            ELSE CAST(P AS DOUBLE) END AS value
+FROM rb""")
+
+rb_query("X7_rebuild_surface_parser", f"""
+SELECT k, {pick(4, ["CAST(S AS VARCHAR) || ' m²'",
+                    "CAST(S AS VARCHAR) || ',' || CAST(D AS VARCHAR) || 'm2'",
+                    "CAST(S AS VARCHAR) || ' - ' || CAST(S + 10 AS VARCHAR)", "'unknown'"])} AS text,
+       CASE k % 4 WHEN 1 THEN {SD} WHEN 3 THEN NULL ELSE CAST(S AS DOUBLE) END AS value
+FROM rb""")
+
+rb_query("X20_extract_all_numbers", f"""
+SELECT k, 'Prijs € ' || {th('P', '.')} || ', ' || CAST(B AS VARCHAR) || ' slaapkamers, '
+          || CAST(S AS VARCHAR) || ',' || CAST(D AS VARCHAR) || ' m², bouwjaar ' || CAST(Y AS VARCHAR) AS text,
+       [CAST(P AS DOUBLE), CAST(B AS DOUBLE), {SD}, CAST(Y AS DOUBLE)] AS numbers
+FROM rb""")
