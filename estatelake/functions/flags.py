@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .parse import as_text, extract_numbers, first_number, safe_double
+from .parse import as_text, first_number, normalize_spaces, safe_double
 
 
 def _c(x) -> Column:
@@ -146,4 +146,18 @@ def label_lookup_number(pairs, labels: list[str]) -> Column:
     return F.get(F.filter(vals, lambda v: v.isNotNull()), 0)
 
 
-__all__ = [n for n in dir() if not n.startswith("_")] + ["extract_numbers"]
+# Basic named character references decoded by the label normaliser (labels
+# coming through the page parser are already decoded; this covers raw text).
+_ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
+             ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+
+
+def normalize_label(x) -> Column:
+    """Strip, lower, decode basic entities, collapse whitespace (NBSP
+    included), drop one trailing colon, 'opp.' -> 'opp', 'm²' -> 'm2'."""
+    s = F.lower(F.trim(F.coalesce(as_text(x), F.lit(""))))
+    for ent, ch in _ENTITIES:
+        s = F.replace(s, F.lit(ent), F.lit(ch))
+    s = F.regexp_replace(normalize_spaces(s), r"\s+", " ")
+    s = F.regexp_replace(s, r":$", "")
+    return F.replace(F.replace(s, F.lit("opp."), F.lit("opp")), F.lit("m²"), F.lit("m2"))

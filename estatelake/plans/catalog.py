@@ -256,3 +256,144 @@ def x20(spark, sf_dir):
                  render.s(F.col("B")), F.lit(" slaapkamers, "), render.s(F.col("S")), F.lit(","),
                  render.s(F.col("D")), F.lit(" m², bouwjaar "), render.s(F.col("Y")))
     return b.select("k", t.alias("text"), parse.extract_numbers(t).alias("numbers"))
+
+
+# ---------------------------------------------------------------- flags / urls
+def _lst(spark, sf_dir):
+    lst = tpch.listing(spark, sf_dir)
+    k, url = F.col("listing_id"), F.col("url")
+    url2 = (F.when(k % 9 == 0, F.replace(url, F.lit("/detail/"), F.lit("/info/")))
+             .when(k % 7 == 0, F.replace(url, F.lit("/for-"), F.lit("/")))
+             .otherwise(url))
+    return lst.withColumn("url2", url2)
+
+
+@query("X8_infer_property_type")
+def x8(spark, sf_dir):
+    d = _lst(spark, sf_dir)
+    return d.select("listing_id",
+                    flags.fill_property_type("property_type", "url2", "title").alias("filled_type"),
+                    flags.infer_property_type(F.lit(None), "title").alias("title_type"))
+
+
+@query("X9_rent_flag_from_url")
+def x9(spark, sf_dir):
+    d = _lst(spark, sf_dir)
+    return d.select("listing_id", "url2", flags.is_rent_from_url("url2").alias("is_rent"))
+
+
+BLOB_PHRASES = ["Te huur: ", "À vendre - ", "Zum Verkauf ", "for rent ", "", "Te koop ",
+                "Zu vermieten "]
+
+
+@query("X10_rent_sale_flags")
+def x10(spark, sf_dir):
+    d = _lst(spark, sf_dir)
+    blob = F.concat(render.pick(F.col("listing_id"), 7, [F.lit(p) for p in BLOB_PHRASES]),
+                    F.coalesce("title", F.lit("")))
+    rent, sale = flags.rent_sale_flags("url2", blob, F.col("price"))
+    return d.select("listing_id", rent.alias("is_rent"), sale.alias("is_sale"))
+
+
+@query("X11_postal_digits")
+def x11(spark, sf_dir):
+    d = tpch.listing(spark, sf_dir)
+    t = F.when(F.col("listing_id") % 5 == 0, F.lit("Brussel")).otherwise(
+        F.concat(F.lit("B-"), F.col("postal_code"), F.lit(" "), F.col("city")))
+    return d.select("listing_id", t.alias("text"), flags.postal_digits(t).alias("postal_code"))
+
+
+@query("X12_day_from_text")
+def x12(spark, sf_dir):
+    o = tpch.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    t = render.pick(k, 3, [F.col("o_orderdate").cast("string"),
+                           F.to_date("o_orderdate").cast("string"), F.lit("not a date")])
+    return o.select(k.alias("k"), t.alias("text"), flags.to_day(t).alias("day"))
+
+
+@query("X16_postal_code_as_price")
+def x16(spark, sf_dir):
+    d = tpch.listing(spark, sf_dir)
+    k, pc = F.col("listing_id"), F.col("postal_code")
+    price = render.pick(k, 7, [pc.cast("double"), pc.cast("double") + 0.3, pc.cast("double") + 0.7,
+                               F.col("price"), F.col("price"), F.col("price"), F.col("price")])
+    ptxt = render.pick(k, 3, [pc, F.concat(pc, F.lit(".0")), F.concat(pc, F.lit(",0"))])
+    return round_doubles(d.select("listing_id", price.alias("price"), ptxt.alias("postal_text"),
+                                  flags.postal_as_price(price, ptxt).alias("is_postal")))
+
+
+LABEL_TEXTS = [" Bewoonbare Opp.: ", "Living  Area:", "SURFACE &amp; m²", "Bouwjaar",
+               "Energy label:"]
+
+
+@query("X19_normalize_label")
+def x19(spark, sf_dir):
+    o = tpch.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    t = render.pick(k, 5, [F.lit(x) for x in LABEL_TEXTS])
+    return o.select(k.alias("k"), flags.normalize_label(t).alias("label"))
+
+
+@query("X23_url_path_fields")
+def x23(spark, sf_dir):
+    d = _lst(spark, sf_dir)
+    p = flags.url_parts("url2")
+    return d.select("listing_id", p["property_type"].alias("property_type"),
+                    p["is_sale"].alias("is_sale"), p["postal_code"].alias("postal_code"),
+                    p["city"].alias("city"))
+
+
+@query("X24_year_in_range")
+def x24(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    k = F.col("k")
+    y = render.pick(k, 4, [F.lit(1750) + k % 100, F.lit(2020) + k % 10, F.col("Y"), F.col("Y")])
+    return b.select("k", y.alias("raw"), flags.year_in_range(y, F.lit(2025)).alias("year_built"))
+
+
+ENERGY_TEXTS = ["A+", "Klasse B", "a", "A+ (zeer zuinig)", "XYZ", "label C-"]
+
+
+@query("X25_energy_class")
+def x25(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = render.pick(F.col("k"), 6, [F.lit(x) for x in ENERGY_TEXTS])
+    return b.select("k", flags.energy_class(t).alias("energy_label"))
+
+
+@query("X26_pad_postal_code")
+def x26(spark, sf_dir):
+    o = tpch.table(spark, sf_dir, "orders")
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    t = render.pick(k, 3, [F.concat(F.lit("Postcode: "), render.s(ck % 9999 + 1)), F.lit(""),
+                           F.concat(F.lit("B-"), render.s(k % 100))])
+    return o.select(k.alias("k"), flags.pad_postal(t).alias("postal_code"))
+
+
+@query("X28_address_split")
+def x28(spark, sf_dir):
+    d = tpch.listing(spark, sf_dir)
+    k, pc, city = F.col("listing_id"), F.col("postal_code"), F.col("city")
+    a = render.pick(k, 4, [
+        F.concat(F.lit("Straat "), render.s(k % 200), F.lit(", "), pc, F.lit(" "), city),
+        F.concat(pc, F.lit(" "), city), city,
+        F.concat(F.lit("Rue "), render.s(k % 50), F.lit(" "), city)])
+    p = flags.address_split(a)
+    return d.select("listing_id", p["postal_code"].alias("postal_code"), p["city"].alias("city"))
+
+
+@query("X29_flag_to_yes_no")
+def x29(spark, sf_dir):
+    d = tpch.listing(spark, sf_dir)
+    f = F.when(F.col("listing_id") % 7 != 0, F.col("is_rent"))
+    return d.select("listing_id", flags.yes_no(f).alias("is_rent"),
+                    F.col("property_type").cast("string").alias("property_type"))
+
+
+@query("X30_log_target_round_trip")
+def x30(spark, sf_dir):
+    d = tpch.listing(spark, sf_dir)
+    lg = F.log1p("price")
+    return round_doubles(d.select("listing_id", lg.alias("log_price"),
+                                  F.expm1(lg).alias("price_back")))

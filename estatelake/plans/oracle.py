@@ -332,3 +332,126 @@ SELECT k, 'Prijs € ' || {th('P', '.')} || ', ' || CAST(B AS VARCHAR) || ' slaa
           || CAST(S AS VARCHAR) || ',' || CAST(D AS VARCHAR) || ' m², bouwjaar ' || CAST(Y AS VARCHAR) AS text,
        [CAST(P AS DOUBLE), CAST(B AS DOUBLE), {SD}, CAST(Y AS DOUBLE)] AS numbers
 FROM rb""")
+
+
+# ---------------------------------------------------------------- flags / urls
+LST2_CTE = LISTING_CTE + """,
+lst AS (
+  SELECT *, CASE WHEN listing_id % 9 = 0 THEN replace(url, '/detail/', '/info/')
+                 WHEN listing_id % 7 = 0 THEN replace(url, '/for-', '/')
+                 ELSE url END AS url2
+  FROM listing
+)"""
+
+
+def _type_of(text: str) -> str:
+    return (f"(CASE WHEN {text} LIKE '%apartment%' THEN 'Apartment' "
+            f"WHEN {text} LIKE '%residence%' THEN 'Residence' "
+            f"WHEN {text} LIKE '%house%' THEN 'House' "
+            f"WHEN {text} LIKE '%villa%' THEN 'Villa' ELSE 'Other' END)")
+
+
+oracle("X8_infer_property_type", with_ctes(LST2_CTE, f"""
+SELECT listing_id,
+       COALESCE(NULLIF(property_type, ''),
+                {_type_of("lower(COALESCE(url2, '') || ' ' || COALESCE(title, ''))")}) AS filled_type,
+       {_type_of("lower(' ' || COALESCE(title, ''))")} AS title_type
+FROM lst"""))
+
+oracle("X9_rent_flag_from_url", with_ctes(LST2_CTE, """
+SELECT listing_id, url2,
+       CASE WHEN lower(url2) LIKE '%/for-rent/%' THEN true
+            WHEN lower(url2) LIKE '%/for-sale/%' THEN false END AS is_rent
+FROM lst"""))
+
+_RENT = "/for-rent/|for rent|te huur|à louer|zur miete|zu vermieten"
+_SALE = "/for-sale/|for sale|te koop|à vendre|zum verkauf|verkauf"
+_BLOB = pick(7, ["'Te huur: '", "'À vendre - '", "'Zum Verkauf '", "'for rent '", "''",
+                 "'Te koop '", "'Zu vermieten '"]).replace("k %", "listing_id %")
+oracle("X10_rent_sale_flags", with_ctes(LST2_CTE + f""",
+fl AS (
+  SELECT listing_id, price,
+         regexp_matches(lower(COALESCE(url2, '')), '{_RENT}')
+           OR regexp_matches(lower({_BLOB} || COALESCE(title, '')), '{_RENT}') AS r,
+         regexp_matches(lower(COALESCE(url2, '')), '{_SALE}')
+           OR regexp_matches(lower({_BLOB} || COALESCE(title, '')), '{_SALE}') AS s
+  FROM lst
+)""", """
+SELECT listing_id, r AS is_rent, s OR (NOT r AND NOT s AND COALESCE(price >= 50000, false)) AS is_sale
+FROM fl"""))
+
+oracle("X11_postal_digits", with_ctes(LISTING_CTE, """
+SELECT listing_id,
+       CASE WHEN listing_id % 5 = 0 THEN 'Brussel' ELSE 'B-' || postal_code || ' ' || city END AS text,
+       NULLIF(regexp_extract(CASE WHEN listing_id % 5 = 0 THEN 'Brussel'
+                                  ELSE 'B-' || postal_code || ' ' || city END, '\\d+'), '') AS postal_code
+FROM listing"""))
+
+oracle("X12_day_from_text", """
+SELECT o_orderkey AS k,
+       CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderdate AS VARCHAR)
+                           WHEN 1 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+                           ELSE 'not a date' END AS text,
+       CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day
+FROM orders""")
+
+_PC = "CAST(postal_code AS DOUBLE)"
+_X16_PRICE = pick(7, [_PC, f"{_PC} + 0.3", f"{_PC} + 0.7", "price", "price", "price", "price"]
+                  ).replace("k %", "listing_id %")
+oracle("X16_postal_code_as_price", with_ctes(LISTING_CTE, f"""
+SELECT listing_id, {r4(_X16_PRICE)} AS price,
+       CASE listing_id % 3 WHEN 0 THEN postal_code WHEN 1 THEN postal_code || '.0'
+            ELSE postal_code || ',0' END AS postal_text,
+       COALESCE({_X16_PRICE} BETWEEN 1000 AND 9999 AND abs({_PC} - ({_X16_PRICE})) < 0.5, false) AS is_postal
+FROM listing"""))
+
+oracle("X19_normalize_label", """
+SELECT o_orderkey AS k,
+       CASE o_orderkey % 5 WHEN 0 THEN 'bewoonbare opp' WHEN 1 THEN 'living area'
+            WHEN 2 THEN 'surface & m2' WHEN 3 THEN 'bouwjaar' ELSE 'energy label' END AS label
+FROM orders""")
+
+oracle("X23_url_path_fields", with_ctes(LST2_CTE + """,
+pp AS (
+  SELECT listing_id, list_filter(string_split(url2, '/'), lambda x: x <> '') AS parts FROM lst
+),
+pi AS (SELECT listing_id, parts, COALESCE(list_position(parts, 'detail'), 0) AS i FROM pp)""", """
+SELECT listing_id,
+       CASE WHEN i > 0 THEN parts[i + 1] END AS property_type,
+       CASE WHEN i > 0 THEN COALESCE(parts[i + 2], '') LIKE '%sale%' END AS is_sale,
+       CASE WHEN i > 0 THEN parts[i + 3] END AS postal_code,
+       CASE WHEN i > 0 THEN parts[i + 4] END AS city
+FROM pi"""))
+
+oracle("X24_year_in_range", with_ctes(RB_CTE + """,
+yy AS (SELECT k, CASE k % 4 WHEN 0 THEN 1750 + k % 100 WHEN 1 THEN 2020 + k % 10 ELSE Y END AS raw
+       FROM rb)""", """
+SELECT k, raw, CASE WHEN raw BETWEEN 1800 AND 2026 THEN CAST(raw AS INTEGER) END AS year_built FROM yy"""))
+
+oracle("X25_energy_class", """
+SELECT o_orderkey AS k,
+       CASE o_orderkey % 6 WHEN 0 THEN 'A+' WHEN 1 THEN 'B' WHEN 2 THEN 'A' WHEN 3 THEN 'A+'
+            WHEN 4 THEN NULL ELSE 'C' END AS energy_label
+FROM orders""")
+
+oracle("X26_pad_postal_code", """
+SELECT o_orderkey AS k,
+       CASE o_orderkey % 3 WHEN 0 THEN lpad(CAST(o_custkey % 9999 + 1 AS VARCHAR), 4, '0')
+            WHEN 1 THEN NULL ELSE lpad(CAST(o_orderkey % 100 AS VARCHAR), 4, '0') END AS postal_code
+FROM orders""")
+
+oracle("X28_address_split", with_ctes(LISTING_CTE, """
+SELECT listing_id,
+       CASE listing_id % 4 WHEN 0 THEN postal_code WHEN 1 THEN postal_code WHEN 2 THEN NULL
+            ELSE CAST(listing_id % 50 AS VARCHAR) END AS postal_code,
+       CASE WHEN listing_id % 4 = 2 THEN NULL ELSE city END AS city
+FROM listing"""))
+
+oracle("X29_flag_to_yes_no", with_ctes(LISTING_CTE, """
+SELECT listing_id, CASE WHEN listing_id % 7 <> 0 AND is_rent THEN 'Yes' ELSE 'No' END AS is_rent,
+       property_type
+FROM listing"""))
+
+oracle("X30_log_target_round_trip", with_ctes(LISTING_CTE, f"""
+SELECT listing_id, {r4("ln(1 + price)")} AS log_price, {r4("exp(ln(1 + price)) - 1")} AS price_back
+FROM listing"""))
