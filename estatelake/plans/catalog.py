@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..operators import dedupe, market, resolve, upsert
+from ..operators import dedupe, guards, market, repair, resolve, training, upsert
 from ..functions import flags, parse
 from ..sources import tpch
 from . import render
@@ -397,3 +397,105 @@ def x30(spark, sf_dir):
     lg = F.log1p("price")
     return round_doubles(d.select("listing_id", lg.alias("log_price"),
                                   F.expm1(lg).alias("price_back")))
+
+
+# ---------------------------------------------------------------- guards, trims
+def _kprice(spark, sf_dir):
+    """Listing with prices in k€ (price / 1000), which trips the unit guards."""
+    lst = tpch.listing(spark, sf_dir)
+    return lst.withColumn("price_k", F.col("price") / 1000.0)
+
+
+@query("A6_unit_guard_v1")
+def a6(spark, sf_dir):
+    d = _kprice(spark, sf_dir)
+    g = guards.unit_guard_v1(guards.unit_guard_v1(d, "price_k"), "price")
+    return round_doubles(g.select("listing_id", "price_k", "price"))
+
+
+@query("A7_unit_guard_v2")
+def a7(spark, sf_dir):
+    d = _kprice(spark, sf_dir)
+    g = guards.unit_guard_v2(guards.unit_guard_v2(d, "price_k"), "price")
+    return round_doubles(g.select("listing_id", "price_k", "price"))
+
+
+@query("A7_unit_guard_report")
+def a7r(spark, sf_dir):
+    return round_doubles(guards.unit_guard_report(_kprice(spark, sf_dir), "price_k"))
+
+
+@query("A8_exact_quantiles")
+def a8(spark, sf_dir):
+    o = tpch.table(spark, sf_dir, "orders")
+    return round_doubles(guards.exact_quantiles(o, "o_totalprice", [0.05, 0.25, 0.5, 0.75, 0.9, 0.95]))
+
+
+@query("F8_quantile_trim")
+def f8(spark, sf_dir):
+    d = guards.quantile_trim(tpch.listing(spark, sf_dir))
+    return round_doubles(d.select("listing_id", "price_per_m2"))
+
+
+@query("F6_fallback_cascade_counts")
+def f6c(spark, sf_dir):
+    n = resolve.normalize_listing(tpch.listing(spark, sf_dir))
+    base = n.where(F.col("is_sale") & F.col("price").isNotNull() & F.col("surface_m2").isNotNull())
+    return guards.cascade_counts(base)
+
+
+@query("M9_training_set_v1")
+def m9(spark, sf_dir):
+    return round_doubles(training.training_v1(tpch.listing(spark, sf_dir)))
+
+
+def _with_description(spark, sf_dir):
+    lst = tpch.listing(spark, sf_dir)
+    k = F.col("listing_id")
+    desc = F.when(k % 2 == 0, F.concat(F.lit("Nice flat of "), render.s(F.lit(30) + k % 90),
+                                       F.lit(" m² near the park")))
+    return lst.withColumn("description", desc)
+
+
+@query("M10_training_set_v2")
+def m10(spark, sf_dir):
+    d = training.training_v2(_with_description(spark, sf_dir))
+    return round_doubles(d.select("listing_id", "url", "snapshot_date", "price", "surface_m2",
+                                  "price_per_m2"))
+
+
+@query("M11_training_frame_v3")
+def m11(spark, sf_dir):
+    latest = dedupe.keep_latest(tpch.listing(spark, sf_dir))
+    return training.training_v3(latest)
+
+
+def _repair_input(spark, sf_dir):
+    lst = tpch.listing(spark, sf_dir)
+    k, pc = F.col("listing_id"), F.col("postal_code")
+    price = (F.when(k % 10 == 0, F.lit(None).cast("double"))
+              .when(k % 10 == 1, pc.cast("double")).otherwise(F.col("price") / 1000.0))
+    ptxt = F.when((k % 10 == 0) | (k % 10 == 1),
+                  F.concat(F.lit("€ "), render.s(F.floor(F.col("price") / 1000.0))))
+    return lst.select("listing_id", "url", "snapshot_date", "city", "postal_code", "property_type",
+                      "title", "surface_m2", price.alias("price"), ptxt.alias("price_text"))
+
+
+@query("X18_repair_listings")
+def x18(spark, sf_dir):
+    d = repair.repair(_repair_input(spark, sf_dir))
+    return round_doubles(d.select("listing_id", "url", "snapshot_date", "price", "surface_m2",
+                                  "price_per_m2"))
+
+
+@query("X17_repair_price")
+def x17(spark, sf_dir):
+    d = repair.repair_price(_repair_input(spark, sf_dir))
+    return round_doubles(d.select("listing_id", "price"))
+
+
+@query("F4_training_sanity")
+def f4(spark, sf_dir):
+    d = training.sanity_v2(tpch.listing(spark, sf_dir).withColumn(
+        "price", F.col("price") - 5000.0).withColumn("surface_m2", F.col("surface_m2") - 5.0))
+    return round_doubles(d.select("listing_id", "price", "surface_m2"))

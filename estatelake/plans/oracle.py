@@ -455,3 +455,129 @@ FROM listing"""))
 oracle("X30_log_target_round_trip", with_ctes(LISTING_CTE, f"""
 SELECT listing_id, {r4("ln(1 + price)")} AS log_price, {r4("exp(ln(1 + price)) - 1")} AS price_back
 FROM listing"""))
+
+
+# ---------------------------------------------------------------- guards, trims
+KP_CTE = LISTING_CTE + """,
+kp AS (SELECT *, price / 1000.0 AS price_k FROM listing),
+sk AS (SELECT median(price_k) AS med, quantile_cont(price_k, 0.9) AS q90, max(price_k) AS mx FROM kp),
+se AS (SELECT median(price) AS med, quantile_cont(price, 0.9) AS q90, max(price) AS mx FROM kp)"""
+
+oracle("A6_unit_guard_v1", with_ctes(KP_CTE, f"""
+SELECT listing_id,
+       {r4("CASE WHEN sk.med <= 2000 AND sk.q90 <= 9000 AND sk.mx <= 10000 THEN price_k * 1000.0 ELSE price_k END")} AS price_k,
+       {r4("CASE WHEN se.med <= 2000 AND se.q90 <= 9000 AND se.mx <= 10000 THEN price * 1000.0 ELSE price END")} AS price
+FROM kp, sk, se"""))
+
+oracle("A7_unit_guard_v2", with_ctes(KP_CTE, f"""
+SELECT listing_id,
+       {r4("CASE WHEN sk.q90 <> 0 AND sk.q90 < 10000 AND sk.mx < 100000 THEN round_even(price_k * 1000.0, 0) ELSE price_k END")} AS price_k,
+       {r4("CASE WHEN se.q90 <> 0 AND se.q90 < 10000 AND se.mx < 100000 THEN round_even(price * 1000.0, 0) ELSE price END")} AS price
+FROM kp, sk, se"""))
+
+oracle("A7_unit_guard_report", with_ctes(KP_CTE, f"""
+SELECT {r4("med")} AS median, {r4("q90")} AS q90, {r4("mx")} AS max,
+       COALESCE(q90 <> 0 AND q90 < 10000 AND mx < 100000, false) AS applied
+FROM sk"""))
+
+oracle("A8_exact_quantiles", f"""
+SELECT {r4("quantile_cont(o_totalprice, 0.05)")} AS q05, {r4("quantile_cont(o_totalprice, 0.25)")} AS q25,
+       {r4("quantile_cont(o_totalprice, 0.5)")} AS q50, {r4("quantile_cont(o_totalprice, 0.75)")} AS q75,
+       {r4("quantile_cont(o_totalprice, 0.9)")} AS q90, {r4("quantile_cont(o_totalprice, 0.95)")} AS q95,
+       {r4("max(o_totalprice)")} AS max
+FROM orders""")
+
+oracle("F8_quantile_trim", with_ctes(LISTING_CTE + """,
+b AS (SELECT quantile_cont(price_per_m2, 0.05) AS lo, quantile_cont(price_per_m2, 0.95) AS hi FROM listing)""", f"""
+SELECT listing_id, {r4("price_per_m2")} AS price_per_m2
+FROM listing, b WHERE price_per_m2 >= lo AND price_per_m2 <= hi"""))
+
+NORM_CTE = LISTING_CTE + """,
+norm AS (
+  SELECT CAST(trunc(abs(price)) AS DOUBLE) AS price, surface_m2, bedrooms, bathrooms, postal_code, city,
+         property_type, year_built, energy_label,
+         COALESCE(is_sale, regexp_matches(lower(url), '/for-sale/')) AS is_sale
+  FROM listing
+),
+base AS (SELECT * FROM norm WHERE is_sale AND price IS NOT NULL AND surface_m2 IS NOT NULL),
+cnt AS (SELECT count(*) FILTER (WHERE price > 10000 AND surface_m2 > 10) AS strict,
+               count(*) FILTER (WHERE price > 1000 AND surface_m2 > 10) AS relaxed,
+               count(*) AS minimal FROM base)"""
+
+oracle("F6_fallback_cascade_counts", with_ctes(NORM_CTE, "SELECT strict, relaxed, minimal FROM cnt"))
+
+oracle("M9_training_set_v1", with_ctes(NORM_CTE, f"""
+SELECT {r4("price")} AS price, {r4("surface_m2")} AS surface_m2,
+       COALESCE(bedrooms, 0) AS bedrooms, COALESCE(bathrooms, 0) AS bathrooms,
+       postal_code, city, property_type, year_built, energy_label
+FROM base, cnt
+WHERE CASE WHEN cnt.strict > 0 THEN price > 10000 AND surface_m2 > 10
+           WHEN cnt.relaxed > 0 THEN price > 1000 AND surface_m2 > 10 ELSE true END"""))
+
+_SCAN = r"(?i)([0-9]{1,3}(?:[.,][0-9]{1,2})?)\s*(?:[-–—]\s*([0-9]{1,3}(?:[.,][0-9]{1,2})?))?\s*(?:m2|m²|sqm|m)"
+oracle("M10_training_set_v2", with_ctes(LISTING_CTE + f""",
+d0 AS (SELECT *, CASE WHEN listing_id % 2 = 0 THEN 'Nice flat of ' || CAST(30 + listing_id % 90 AS VARCHAR)
+                      || ' m² near the park' END AS description FROM listing),
+g AS (SELECT quantile_cont(price, 0.9) AS q90, max(price) AS mx FROM d0),
+d1 AS (SELECT d0.* REPLACE (CASE WHEN g.q90 <> 0 AND g.q90 < 10000 AND g.mx < 100000
+                                 THEN round_even(price * 1000.0, 0) ELSE price END AS price) FROM d0, g),
+d2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC NULLS LAST,
+                                                   listing_id DESC) AS rn
+                      FROM d1 WHERE url IS NOT NULL) WHERE rn = 1),
+d3 AS (SELECT *, COALESCE(surface_m2,
+                          CASE WHEN TRY_CAST(replace(regexp_extract(description, '{_SCAN}', 1), ',', '.') AS DOUBLE) > 5
+                               THEN TRY_CAST(replace(regexp_extract(description, '{_SCAN}', 1), ',', '.') AS DOUBLE) END) AS sf2
+       FROM d2),
+d4 AS (SELECT listing_id, url, snapshot_date, price,
+              CASE WHEN sf2 <= 5 THEN NULL ELSE sf2 END AS surface_m2 FROM d3 WHERE price > 0),
+d5 AS (SELECT *, CASE WHEN surface_m2 > 0 THEN price / surface_m2 END AS price_per_m2 FROM d4),
+b AS (SELECT quantile_cont(price_per_m2, 0.05) AS lo, quantile_cont(price_per_m2, 0.95) AS hi FROM d5)""", f"""
+SELECT listing_id, url, snapshot_date, {r4("price")} AS price, {r4("surface_m2")} AS surface_m2,
+       {r4("price_per_m2")} AS price_per_m2
+FROM d5, b WHERE price_per_m2 >= lo AND price_per_m2 <= hi AND price_per_m2 IS NOT NULL"""))
+
+oracle("M11_training_frame_v3", with_ctes(LISTING_CTE + """,
+lt AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC NULLS LAST,
+                                                   listing_id DESC) AS rn
+                      FROM listing WHERE url IS NOT NULL) WHERE rn = 1)""", """
+SELECT city, postal_code, property_type, CASE WHEN is_rent THEN 'Yes' ELSE 'No' END AS is_rent,
+       CAST(bedrooms AS DOUBLE) AS bedrooms, CAST(bathrooms AS DOUBLE) AS bathrooms,
+       surface_m2, price
+FROM lt WHERE price IS NOT NULL AND surface_m2 IS NOT NULL AND surface_m2 BETWEEN 10 AND 1000"""))
+
+_X16 = ("({p} BETWEEN 1000 AND 9999 AND abs(TRY_CAST(replace(trim(postal_code), ',', '.') AS DOUBLE)"
+        " - {p}) < 0.5)")
+REPAIR_CTE = LISTING_CTE + f""",
+rin AS (
+  SELECT listing_id, url, snapshot_date, city, postal_code, property_type, surface_m2,
+         CASE WHEN listing_id % 10 = 0 THEN NULL WHEN listing_id % 10 = 1 THEN CAST(postal_code AS DOUBLE)
+              ELSE price / 1000.0 END AS p0,
+         CASE WHEN listing_id % 10 IN (0, 1) THEN floor(price / 1000.0) END AS text_price
+  FROM listing
+),
+r2 AS (SELECT *, COALESCE(CASE WHEN COALESCE({_X16.format(p="p0")}, false) THEN NULL ELSE p0 END,
+                          text_price) AS p2 FROM rin)"""
+
+oracle("X17_repair_price", with_ctes(REPAIR_CTE, f"SELECT listing_id, {r4('p2')} AS price FROM r2"))
+
+oracle("X18_repair_listings", with_ctes(REPAIR_CTE + f""",
+st AS (SELECT median(p2) AS med, quantile_cont(p2, 0.9) AS q90, max(p2) AS mx FROM r2),
+r3 AS (SELECT r2.*, CASE WHEN st.med <= 2000 AND st.q90 <= 9000 AND st.mx <= 10000 THEN p2 * 1000.0
+                         ELSE p2 END AS p3 FROM r2, st),
+r4 AS (SELECT *, CASE WHEN COALESCE({_X16.format(p="p3")}, false) THEN NULL ELSE p3 END AS p4 FROM r3),
+r5 AS (SELECT listing_id, url, snapshot_date, city, postal_code, property_type,
+              CASE WHEN p4 < 50000 THEN NULL ELSE p4 END AS price,
+              CASE WHEN surface_m2 < 10 OR surface_m2 > 1000 THEN NULL ELSE surface_m2 END AS surface_m2
+       FROM r4),
+r6 AS (SELECT *, price / CASE WHEN surface_m2 <> 0 THEN surface_m2 END AS price_per_m2 FROM r5)""", f"""
+SELECT listing_id, url, snapshot_date, {r4("price")} AS price, {r4("surface_m2")} AS surface_m2,
+       {r4("price_per_m2")} AS price_per_m2
+FROM (SELECT *, row_number() OVER (PARTITION BY url, snapshot_date, city, postal_code, property_type
+                                   ORDER BY price DESC NULLS LAST, surface_m2 DESC NULLS LAST,
+                                            listing_id DESC) AS rn FROM r6)
+WHERE rn = 1"""))
+
+oracle("F4_training_sanity", with_ctes(LISTING_CTE, f"""
+SELECT listing_id, {r4("price - 5000.0")} AS price,
+       {r4("CASE WHEN surface_m2 - 5.0 <= 5 THEN NULL ELSE surface_m2 - 5.0 END")} AS surface_m2
+FROM listing WHERE price - 5000.0 > 0"""))
