@@ -16,8 +16,9 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import dedupe, guards, market, repair, resolve, training, upsert
 from ..functions import flags, parse
-from ..sources import tpch
-from . import render
+from ..session import shared_path
+from ..sources import files, pages, tpch
+from . import render, staging
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -499,3 +500,130 @@ def f4(spark, sf_dir):
     d = training.sanity_v2(tpch.listing(spark, sf_dir).withColumn(
         "price", F.col("price") - 5000.0).withColumn("surface_m2", F.col("surface_m2") - 5.0))
     return round_doubles(d.select("listing_id", "price", "surface_m2"))
+
+
+# ---------------------------------------------------------------- pages
+def _pages(spark, sf_dir):
+    return tpch.table(spark, sf_dir, "pages")
+
+
+@query("H1_listing_links")
+def h1(spark, sf_dir):
+    return pages.outlinks(_pages(spark, sf_dir))
+
+
+@query("H1_page_outlinks")
+def h1all(spark, sf_dir):
+    return pages.outlinks(_pages(spark, sf_dir), include=None)
+
+
+@query("H3_page_title")
+def h3(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return p.select("page_id", pages.page_title(p).alias("title"))
+
+
+@query("H2_label_value_pairs")
+def h2(spark, sf_dir):
+    return pages.label_pairs(_pages(spark, sf_dir))
+
+
+@query("H4_page_listing_records")
+def h4(spark, sf_dir):
+    return pages.listing_records(_pages(spark, sf_dir), run_date="2025-01-01")
+
+
+@query("H5_legacy_page_records")
+def h5(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return pages.legacy_records(p, page=F.col("page_id").cast("string"))
+
+
+# ---------------------------------------------------------------- file zone
+@query("S1_towns_seed")
+def s1(spark, sf_dir):
+    root = shared_path(spark, "towns")
+    # a seed whose header is not 'town' (and carries stray spaces)
+    (tpch.table(spark, sf_dir, "nation").select(F.lower("n_name").alias(" Gemeente "),
+                                                F.col("n_regionkey").alias("region"))
+         .write.option("header", "true").csv(root))
+    return files.towns_seed(spark, root).select("town")
+
+
+@query("S2_crawl_frontier")
+def s2(spark, sf_dir):
+    towns = tpch.table(spark, sf_dir, "nation").select(F.lower("n_name").alias("town"))
+    a = files.crawl_frontier(towns, "https://www.example.be/en/for-sale/apartment?search={town}", 3)
+    h = files.crawl_frontier(towns, "https://www.example.be/en/for-sale/house/{town}", 0)
+    return a.unionByName(h)
+
+
+@query("S3_consolidate_urls")
+def s3(spark, sf_dir):
+    root = staging.stage_url_drops(spark, sf_dir)
+    return files.consolidate_urls(spark, root, "apartments").select("url")
+
+
+@query("A12_urls_per_town")
+def a12(spark, sf_dir):
+    root = staging.stage_url_drops(spark, sf_dir)
+    df = files.read_csv_any_header(spark, sorted(
+        r["path"] for r in files.list_files(spark, f"{root}/apartments").collect()))
+    url = F.coalesce(*[F.col(c) for c in files.url_column_of(df)])
+    town = F.regexp_extract("__source_file", r"/town=([^/]+)/", 1)
+    return (df.select(url.alias("url"), town.alias("town")).where(F.col("url").isNotNull())
+              .groupBy("town").agg(F.count_distinct("url").alias("total_urls")))
+
+
+@query("S4_compact_details")
+def s4(spark, sf_dir):
+    root = staging.stage_detail_drops(spark, sf_dir)
+    return files.compact_details(spark, f"{root}/apartments")
+
+
+@query("S5_newest_partition")
+def s5(spark, sf_dir):
+    root = shared_path(spark, "dated")
+    (tpch.listing(spark, sf_dir)
+         .select("listing_id", F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month"))
+         .write.partitionBy("snapshot_month").parquet(root))
+    newest = files.newest_file(spark, root, "*.parquet", by="path")
+    return newest.select(F.regexp_extract("path", r"(snapshot_month=[0-9-]+)", 1).alias("partition"))
+
+
+def _events_pages(spark, sf_dir):
+    """Hourly "pages" of an events crawl: run = day, page = hour of day; the
+    page's URL set = its sorted distinct event types. Page numbers are
+    parsed back from rendered file names (W4)."""
+    ev = tpch.table(spark, sf_dir, "events")
+    name = F.concat(F.lit("partial_urls_page_"), F.hour("ts").cast("string"), F.lit("_town_"),
+                    F.date_format("ts", "yyyyMMdd"), F.lit(".csv"))
+    return (ev.select(F.to_date("ts").alias("run"), name.alias("file"), "event_type", "event_id")
+              .groupBy("run", "file")
+              .agg(F.sort_array(F.collect_set("event_type")).alias("urls"),
+                   F.count(F.lit(1)).alias("n_rows"))
+              .withColumn("page", files.page_number_from_name(F.col("file"))))
+
+
+@query("W4_page_number_from_file_name")
+def w4(spark, sf_dir):
+    return _events_pages(spark, sf_dir).select("run", "file", "page")
+
+
+@query("W3_duplicate_page_runs")
+def w3(spark, sf_dir):
+    d = files.duplicate_page_runs(_events_pages(spark, sf_dir), "run", "page", "urls")
+    return d.select("run", "page", "urls", "dup_run")
+
+
+@query("A11_merge_statistics")
+def a11(spark, sf_dir):
+    d = files.duplicate_page_runs(_events_pages(spark, sf_dir), "run", "page", "urls")
+    ev = tpch.table(spark, sf_dir, "events").select(F.to_date("ts").alias("run"), "event_type")
+    uniq = ev.groupBy("run").agg(F.count_distinct("event_type").alias("rows_after"))
+    stats = d.groupBy("run").agg(
+        F.count(F.lit(1)).alias("files_scanned"),
+        F.max_by("dup_run", "page").alias("duplicate_files"),
+        F.sum("n_rows").alias("rows_before"))
+    return (stats.join(uniq, "run")
+                 .withColumn("unique_files", F.col("files_scanned") - F.col("duplicate_files")))

@@ -581,3 +581,110 @@ oracle("F4_training_sanity", with_ctes(LISTING_CTE, f"""
 SELECT listing_id, {r4("price - 5000.0")} AS price,
        {r4("CASE WHEN surface_m2 - 5.0 <= 5 THEN NULL ELSE surface_m2 - 5.0 END")} AS surface_m2
 FROM listing WHERE price - 5000.0 > 0"""))
+
+
+# ---------------------------------------------------------------- pages
+def decode(x: str) -> str:
+    for ent, ch in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+                    ("&amp;", "&")]:
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return x
+
+
+_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)"""
+_BASE = "https://www.immovlan.be"
+
+
+def _links(include: list[str] | None) -> str:
+    inc = ""
+    if include is not None:
+        inc = " AND (" + " OR ".join(f"contains(href, '{s}')" for s in include) + ")"
+    exc = " AND ".join(f"NOT contains(url, '{s}')" for s in
+                       ["/search", "/map", "/news", "/about", "/contact"])
+    return f"""
+WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS href FROM pages),
+l2 AS (SELECT page_id, {decode("href")} AS href FROM l),
+l3 AS (
+  SELECT page_id, split_part(CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN href
+                                  WHEN starts_with(href, '//') THEN 'https:' || href
+                                  WHEN starts_with(href, '/') THEN '{_BASE}' || href
+                                  ELSE '{_BASE}/' || href END, '?', 1) AS url
+  FROM l2 WHERE href <> '' AND NOT starts_with(href, '#'){inc}
+)
+SELECT DISTINCT page_id, url FROM l3 WHERE {exc}"""
+
+
+oracle("H1_listing_links", _links(["/detail/", "/classified/", "/en/for-sale/", "/en/for-rent/"]))
+oracle("H1_page_outlinks", _links(None))
+
+
+def _element_text(inner: str) -> str:
+    t = decode(f"regexp_replace({inner}, '<[^>]*>', ' ', 'g')")
+    return f"trim(regexp_replace(translate({t}, chr(160) || chr(8239), '  '), '\\s+', ' ', 'g'))"
+
+
+_H1 = "(?is)<h1[^>]*>(.*?)</h1>"
+_OG = r"""(?is)<meta[^>]*property\s*=\s*["'']og:title["''][^>]*content\s*=\s*["'']([^"'']*)"""
+oracle("H3_page_title", f"""
+SELECT page_id,
+       CASE WHEN regexp_matches(html, '{_H1}') THEN {_element_text(f"regexp_extract(html, '{_H1}', 1)")}
+            WHEN regexp_extract(html, '{_OG}', 1) <> '' THEN {_element_text(f"regexp_extract(html, '{_OG}', 1)")}
+            ELSE '' END AS title
+FROM pages""")
+
+
+# ---------------------------------------------------------------- file zone
+oracle("S1_towns_seed", "SELECT lower(n_name) AS town FROM nation")
+
+oracle("S2_crawl_frontier", """
+SELECT lower(n_name) AS town, CAST(p AS INTEGER) AS page,
+       'https://www.example.be/en/for-sale/apartment?search=' || lower(n_name) || '&page=' || CAST(p AS VARCHAR) AS url
+FROM nation, range(1, 4) t(p)
+UNION ALL
+SELECT lower(n_name) AS town, 1 AS page,
+       'https://www.example.be/en/for-sale/house/' || lower(n_name) || '?page=1' AS url
+FROM nation""")
+
+oracle("S3_consolidate_urls", with_ctes(LISTING_CTE, """
+SELECT DISTINCT url FROM listing WHERE url LIKE '%/apartment/%'"""))
+
+oracle("A12_urls_per_town", with_ctes(LISTING_CTE, """
+SELECT city AS town, count(DISTINCT url) AS total_urls FROM listing
+WHERE url LIKE '%/apartment/%' AND listing_id % 5 <> 0 GROUP BY city"""))
+
+oracle("S4_compact_details", with_ctes(LISTING_CTE, """
+SELECT DISTINCT CAST(snapshot_date AS VARCHAR) AS snapshot_date, url, title, city, postal_code,
+       property_type, CAST(price AS VARCHAR) AS price, CAST(surface_m2 AS VARCHAR) AS surface_m2,
+       CAST(bedrooms AS VARCHAR) AS bedrooms, CAST(bathrooms AS VARCHAR) AS bathrooms,
+       CAST(year_built AS VARCHAR) AS year_built, energy_label
+FROM listing WHERE url LIKE '%/apartment/%'"""))
+
+oracle("S5_newest_partition", """
+SELECT 'snapshot_month=' || strftime(max(o_orderdate), '%Y-%m') AS partition FROM orders""")
+
+EV_PAGES = """
+ep AS (
+  SELECT CAST(ts AS DATE) AS run,
+         'partial_urls_page_' || CAST(hour(ts) AS VARCHAR) || '_town_' || strftime(ts, '%Y%m%d') || '.csv' AS file,
+         CAST(hour(ts) AS INTEGER) AS page,
+         list_sort(list(DISTINCT event_type)) AS urls, count(*) AS n_rows
+  FROM events GROUP BY 1, 2, 3
+),
+ec AS (
+  SELECT *, CASE WHEN lag(urls) OVER (PARTITION BY run ORDER BY page) IS NULL
+                   OR lag(urls) OVER (PARTITION BY run ORDER BY page) <> urls THEN 1 ELSE 0 END AS chg
+  FROM ep
+),
+ei AS (SELECT *, sum(chg) OVER (PARTITION BY run ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl
+       FROM ec),
+ed AS (SELECT *, CAST(row_number() OVER (PARTITION BY run, isl ORDER BY page) - 1 AS INTEGER) AS dup_run FROM ei)"""
+
+oracle("W4_page_number_from_file_name", with_ctes(EV_PAGES, "SELECT run, file, page FROM ep"))
+oracle("W3_duplicate_page_runs", with_ctes(EV_PAGES, "SELECT run, page, urls, dup_run FROM ed"))
+oracle("A11_merge_statistics", with_ctes(EV_PAGES + """,
+ua AS (SELECT CAST(ts AS DATE) AS run, count(DISTINCT event_type) AS rows_after FROM events GROUP BY 1),
+st AS (SELECT run, count(*) AS files_scanned, arg_max(dup_run, page) AS duplicate_files,
+              sum(n_rows) AS rows_before FROM ed GROUP BY run)""", """
+SELECT st.run, files_scanned, duplicate_files, CAST(rows_before AS BIGINT) AS rows_before, rows_after,
+       files_scanned - duplicate_files AS unique_files
+FROM st JOIN ua ON st.run = ua.run"""))
