@@ -688,3 +688,65 @@ st AS (SELECT run, count(*) AS files_scanned, arg_max(dup_run, page) AS duplicat
 SELECT st.run, files_scanned, duplicate_files, CAST(rows_before AS BIGINT) AS rows_before, rows_after,
        files_scanned - duplicate_files AS unique_files
 FROM st JOIN ua ON st.run = ua.run"""))
+
+
+# ---------------------------------------------------------------- models
+def rd(expr: str, d: int) -> str:
+    q = f"{10 ** d}.0"
+    return f"(floor(({expr}) * {q} + 0.5) / {q})"
+
+
+F5_CTE = LISTING_CTE + """,
+l5 AS (SELECT * FROM listing WHERE price IS NOT NULL AND surface_m2 IS NOT NULL
+                                AND surface_m2 BETWEEN 10 AND 1000)"""
+
+oracle("M1_feature_projection", with_ctes(LISTING_CTE, """
+SELECT listing_id, surface_m2, bedrooms, bathrooms, year_built, postal_code, city, property_type,
+       energy_label, region, price FROM listing"""))
+
+oracle("A15_feature_medians", with_ctes(LISTING_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {r4(f'median(CAST({c} AS DOUBLE))')} AS median FROM listing"
+    for c in ["surface_m2", "bedrooms", "bathrooms", "year_built", "price"])))
+
+oracle("A15_feature_modes", with_ctes(LISTING_CTE, "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS feature, (SELECT v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM listing
+         WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v ASC LIMIT 1)) AS mode"""
+    for c in ["postal_code", "city", "property_type", "energy_label", "region"])))
+
+_CV_METRICS = f"""
+SELECT fold, {rd("sqrt(avg((y - yhat) * (y - yhat)))", 2)} AS rmse, {rd("avg(abs(y - yhat))", 2)} AS mae,
+       {rd("avg(abs(y - yhat) / greatest(abs(y), 1e-9))", 6)} AS mape,
+       {rd("1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*))", 6)} AS r2,
+       count(*) AS n
+FROM p GROUP BY fold"""
+CV_CTE = F5_CTE + """,
+d AS (SELECT CAST(listing_id % 5 AS INTEGER) AS fold, surface_m2 AS x, price AS y, ln(1 + price) AS ly FROM l5),
+fs AS (SELECT DISTINCT fold AS f FROM d),
+coef AS (SELECT f, regr_slope(ly, x) AS b, regr_intercept(ly, x) AS a FROM fs JOIN d ON d.fold <> fs.f GROUP BY f),
+p AS (SELECT d.fold, y, exp(a + b * x) - 1 AS yhat FROM d JOIN coef ON d.fold = coef.f)"""
+
+oracle("M4_linear_cv_fold_metrics", with_ctes(CV_CTE, _CV_METRICS))
+
+oracle("A14_linear_cv_mean_metrics", with_ctes(CV_CTE + f""",
+pf AS (SELECT fold, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(abs(y - yhat)) AS mae,
+              avg(abs(y - yhat) / greatest(abs(y), 1e-9)) AS mape,
+              1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*)) AS r2, count(*) AS n
+       FROM p GROUP BY fold)""", f"""
+SELECT {rd("avg(rmse)", 2)} AS rmse, {rd("avg(mae)", 2)} AS mae, {rd("avg(mape)", 6)} AS mape,
+       {rd("avg(r2)", 6)} AS r2, CAST(sum(n) AS BIGINT) AS n FROM pf"""))
+
+oracle("M5_linear_holdout", with_ctes(F5_CTE + """,
+d AS (SELECT listing_id % 10 AS b, surface_m2 AS x, price AS y FROM l5),
+coef AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS a FROM d WHERE b >= 2),
+p AS (SELECT y, a + s * x AS yhat FROM d, coef WHERE b < 2)""", f"""
+SELECT {rd("1 - sum((y - yhat) * (y - yhat)) / (var_pop(y) * count(*))", 6)} AS r2,
+       {rd("avg(abs(y - yhat))", 2)} AS mae, count(*) AS n FROM p"""))
+
+oracle("P10_scoring_request_coercion", with_ctes(LISTING_CTE, """
+SELECT listing_id AS request_id,
+       CASE WHEN listing_id % 3 = 0 THEN NULL ELSE surface_m2 END AS surface_m2,
+       CAST(year_built AS INTEGER) AS year_built, CAST(bedrooms AS INTEGER) AS bedrooms,
+       CAST(NULL AS INTEGER) AS bathrooms, postal_code, city,
+       CAST(NULL AS VARCHAR) AS property_type, CAST(NULL AS VARCHAR) AS energy_label,
+       CAST(NULL AS VARCHAR) AS region
+FROM listing"""))
