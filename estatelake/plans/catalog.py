@@ -18,7 +18,10 @@ from ..operators import dedupe, guards, market, ml, repair, resolve, training, u
 from ..functions import flags, parse
 from ..session import shared_path
 from ..sources import files, pages, tpch
-from . import render, staging
+from .. import vocab
+from ..sources.tables import Lake, write_csv
+from ..streaming import ingest
+from . import nightly, render, staging
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -728,3 +731,77 @@ def p10(spark, sf_dir):
         F.col("bedrooms").cast("double").alias("bedrooms"),
         F.col("postal_code"), F.col("city"), F.lit("extra").alias("unused"))
     return resolve.scoring_rows(req)
+
+
+# ---------------------------------------------------------------- sinks, flows, streaming
+def _lake(spark):
+    return Lake(spark, shared_path(spark, "lake"))
+
+
+@query("J2_upsert_tables")
+def j2t(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    lake = _lake(spark)
+    nightly.upsert_nightly(lake, base, "snapshot_month")
+    nightly.upsert_nightly(lake, batch, "snapshot_month")
+    nightly.upsert_nightly(lake, batch, "snapshot_month")      # replay: idempotent
+    return lake.read("listings_latest").select("url", "snapshot_date", "price")
+
+
+@query("J2_stream_upsert")
+def j2s(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    drops = shared_path(spark, "drops")
+    cols = vocab.LISTING_TABLE_COLUMNS + ["listing_id"]
+    base.select(*cols).write.parquet(f"{drops}/night=1")
+    batch.select(*cols).write.parquet(f"{drops}/night=2")
+    lake = _lake(spark)
+    schema = base.select(*cols).schema
+    ingest.ingest_drops(spark, drops, schema, lake, history_partition="snapshot_month",
+                        max_files_per_trigger=4)
+    return lake.read("listings_latest").select("url", "snapshot_date", "price")
+
+
+@query("S10_history_partitions")
+def s10(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    lake = _lake(spark)
+    month = F.date_format("snapshot_date", "yyyy-MM").alias("snapshot_month")
+    lake.ensure("history", base.select("listing_id", "url", month).schema, ["snapshot_month"])
+    lake.append("history", base.select("listing_id", "url", month), ["snapshot_month"])
+    lake.append("history", batch.select("listing_id", "url", month), ["snapshot_month"])
+    # rerun of the second night: dynamic overwrite replaces only its partitions
+    lake.overwrite_partitions("history", batch.select("listing_id", "url", month), ["snapshot_month"])
+    return lake.read("history")
+
+
+@query("S12_replace_table_from_itself")
+def s12(spark, sf_dir):
+    lake = _lake(spark)
+    lake.replace("t", tpch.listing(spark, sf_dir).select("listing_id", "url", "price"))
+    t = lake.read("t")
+    return lake.replace("t", t.where(F.col("price") >= 100_000))
+
+
+@query("S17_table_counts")
+def s17(spark, sf_dir):
+    lake = _lake(spark)
+    lst = tpch.listing(spark, sf_dir)
+    lake.replace("listings_latest", dedupe.keep_latest(lst).select(*vocab.LISTING_TABLE_COLUMNS))
+    lake.replace("listings_history", lst.select(*vocab.LISTING_TABLE_COLUMNS))
+    return lake.counts(["listings_latest", "listings_history", "market_daily_summary"])
+
+
+@query("S16_rebuild_sanity_report")
+def s16(spark, sf_dir):
+    lake = _lake(spark)
+    nightly.rebuild_analytics(lake, tpch.listing(spark, sf_dir), history_partition="snapshot_month")
+    return lake.read_json("sanity_report").select(
+        "total_rows", "missing_price", "missing_m2", "bad_m2", "bad_eur_m2", "kept_after_sanity")
+
+
+@query("S11_csv_sink_roundtrip")
+def s11(spark, sf_dir):
+    root = shared_path(spark, "csv-sink")
+    write_csv(tpch.listing(spark, sf_dir).select("listing_id", "url", "city"), root)
+    return spark.read.option("header", "true").schema("listing_id long, url string, city string").csv(root)

@@ -27,14 +27,17 @@ from ..sources.tables import Lake
 
 
 def rebuild_analytics(lake: Lake, source: DataFrame, clean: bool = True,
-                      run_date: _dt.date | str | None = None) -> DataFrame:
+                      run_date: _dt.date | str | None = None,
+                      history_partition: str = "snapshot_date") -> DataFrame:
     """Rebuild: returns the one-row sanity report (also appended to the
-    ``sanity_report`` table)."""
+    ``sanity_report`` table). History is partitioned by
+    ``history_partition`` (a nightly date by default; a coarser derived
+    column such as a month for long back-fills)."""
     prepared = market.prepare_rebuild(source, run_date)
     counters = market.sanity_counters(prepared)
     kept = market.plausible(prepared) if clean else prepared
-    kept = cut_lineage(kept)
-    lake.replace("listings_history", kept, partition_by=["snapshot_date"])
+    kept = cut_lineage(_with_partition(kept, history_partition))
+    lake.replace("listings_history", kept, partition_by=[history_partition])
     history = lake.read("listings_history")
     lake.replace("listings_latest", market.latest_snapshot(history))
     lake.replace("market_daily_summary", market.market_summary_v3(history))
@@ -43,11 +46,26 @@ def rebuild_analytics(lake: Lake, source: DataFrame, clean: bool = True,
     return counters
 
 
-def upsert_nightly(lake: Lake, batch: DataFrame) -> None:
-    """J2 with sinks: upsert ``listings_latest`` by URL, append the batch to
-    ``listings_history`` and (re)write the batch's partitions of
-    ``market_summary_v2``."""
-    batch = resolve.select_fixed(batch, vocab.LISTING_TABLE_COLUMNS,
+def _with_partition(df: DataFrame, col: str) -> DataFrame:
+    if col in df.columns:
+        return df
+    if col == "snapshot_month":
+        return df.withColumn(col, F.date_format("snapshot_date", "yyyy-MM"))
+    raise ValueError(col)
+
+
+def upsert_nightly(lake: Lake, batch: DataFrame, history_partition: str = "snapshot_date") -> None:
+    """J2 with sinks: upsert ``listings_latest`` by URL, write the batch's
+    partitions of ``listings_history`` and of ``market_summary_v2``.
+
+    Every write is idempotent, so a replayed batch (a retried stream epoch,
+    a rerun night) leaves the tables unchanged: the upsert replaces by URL
+    and history / summary use dynamic partition overwrite of the batch's
+    own partitions (one night = one partition)."""
+    # the table's columns, plus the source row id when there is one (it
+    # breaks same-day ties between snapshots of one URL deterministically)
+    extra = ["listing_id"] if "listing_id" in batch.columns else []
+    batch = resolve.select_fixed(batch, vocab.LISTING_TABLE_COLUMNS + extra,
                                  {"snapshot_date": "date", "price": "double", "surface_m2": "double",
                                   "bedrooms": "int", "bathrooms": "int", "year_built": "int",
                                   "price_per_m2": "double"})
@@ -57,8 +75,16 @@ def upsert_nightly(lake: Lake, batch: DataFrame) -> None:
         lake.replace("listings_latest", upsert.upsert_latest(current, batch))
     else:
         lake.replace("listings_latest", upsert.upsert_latest(batch.limit(0), batch))
-    lake.append("listings_history", batch, partition_by=["snapshot_date"])
-    lake.overwrite_partitions("market_summary_v2", upsert.batch_summary(batch), ["snapshot_date"])
+    hist = _with_partition(batch, history_partition)
+    if lake.exists("listings_history"):
+        lake.overwrite_partitions("listings_history", hist, [history_partition])
+    else:
+        lake.append("listings_history", hist, partition_by=[history_partition])
+    summary = _with_partition(upsert.batch_summary(batch), history_partition)
+    if lake.exists("market_summary_v2"):
+        lake.overwrite_partitions("market_summary_v2", summary, [history_partition])
+    else:
+        lake.append("market_summary_v2", summary, partition_by=[history_partition])
 
 
 def analysis_tables(lake: Lake, details: DataFrame) -> None:

@@ -750,3 +750,37 @@ SELECT listing_id AS request_id,
        CAST(NULL AS VARCHAR) AS property_type, CAST(NULL AS VARCHAR) AS energy_label,
        CAST(NULL AS VARCHAR) AS region
 FROM listing"""))
+
+
+# ---------------------------------------------------------------- sinks, flows, streaming
+_LATEST_ALL = with_ctes(LISTING_CTE, """
+SELECT url, snapshot_date, price FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC, listing_id DESC) AS rn
+  FROM listing WHERE url IS NOT NULL) WHERE rn = 1""")
+oracle("J2_upsert_tables", _LATEST_ALL)
+oracle("J2_stream_upsert", _LATEST_ALL)
+
+oracle("S10_history_partitions", with_ctes(LISTING_CTE, """
+SELECT listing_id, url, strftime(snapshot_date, '%Y-%m') AS snapshot_month FROM listing"""))
+
+oracle("S12_replace_table_from_itself", with_ctes(LISTING_CTE, """
+SELECT listing_id, url, price FROM listing WHERE price >= 100000"""))
+
+oracle("S17_table_counts", with_ctes(LISTING_CTE, """
+SELECT 'listings_latest' AS "table", count(DISTINCT url) AS n FROM listing
+UNION ALL SELECT 'listings_history', count(*) FROM listing
+UNION ALL SELECT 'market_daily_summary', CAST(NULL AS BIGINT)"""))
+
+oracle("S16_rebuild_sanity_report", with_ctes(PREP_CTE, """
+SELECT count(*) AS total_rows,
+       count(*) FILTER (WHERE price IS NULL) AS missing_price,
+       count(*) FILTER (WHERE surface_m2 IS NULL) AS missing_m2,
+       count(*) FILTER (WHERE surface_m2 < 10 OR surface_m2 > 1000) AS bad_m2,
+       count(*) FILTER (WHERE price_per_m2 < 500 OR price_per_m2 > 50000) AS bad_eur_m2,
+       count(*) FILTER (WHERE price IS NOT NULL AND surface_m2 IS NOT NULL
+                          AND surface_m2 BETWEEN 10 AND 1000
+                          AND (price_per_m2 IS NULL OR price_per_m2 BETWEEN 500 AND 50000))
+         AS kept_after_sanity
+FROM prep"""))
+
+oracle("S11_csv_sink_roundtrip", with_ctes(LISTING_CTE, "SELECT listing_id, url, city FROM listing"))

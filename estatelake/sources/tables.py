@@ -23,6 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _norm_path(p: str) -> str:
+    """Comparable form of a path URI ('file:///a/b', 'file:/a/b' -> '/a/b')."""
+    for scheme in ("file:",):
+        if p.startswith(scheme):
+            p = p[len(scheme):]
+    while p.startswith("//"):
+        p = p[1:]
+    return p.rstrip("/")
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -51,7 +61,9 @@ class Lake:
         """``CREATE OR REPLACE TABLE name AS <df>``; staged when ``df`` reads
         the table it replaces."""
         target = self.path(name)
-        reads_self = any(target in f for f in df.inputFiles()) if self.exists(name) else False
+        t = _norm_path(target) + "/"
+        reads_self = (any(_norm_path(f).startswith(t) for f in df.inputFiles())
+                      if self.exists(name) else False)
         src = df
         if reads_self:
             stage = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
@@ -108,6 +120,9 @@ class Lake:
         the executors — nothing is collected)."""
         df.coalesce(1).write.mode("append").json(self.path(name))
 
+    def read_json(self, name: str) -> DataFrame:
+        return self.spark.read.json(self.path(name))
+
     # S17 ---------------------------------------------------------------------
     def counts(self, names: Sequence[str]) -> DataFrame:
         """Row counts of the named tables; absent tables report NULL."""
