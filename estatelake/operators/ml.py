@@ -121,8 +121,10 @@ def make_regressor(kind: str, label: str = "label", num_trees: int = 400, max_de
     """'linear' (ordinary least squares) or 'rf' (random forest; Spark caps
     depth at 30, the closest to unlimited)."""
     if kind == "linear":
+        # 'auto': exact normal equations up to 4096 features, L-BFGS beyond
+        # (one-hot postal codes alone can exceed that at scale)
         return LinearRegression(featuresCol="features", labelCol=label, predictionCol="__pred",
-                                regParam=0.0, elasticNetParam=0.0, solver="normal")
+                                regParam=0.0, elasticNetParam=0.0, solver="auto")
     if kind == "rf":
         # Deep trees: a large node-group budget means far fewer passes over
         # the data per tree level; node ids are cached between levels.
