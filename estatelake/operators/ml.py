@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import vocab
+from ..session import cut_lineage
 from .stats import grouped_quantiles
 
 LEAKAGE = {"price": ["price_per_m2"], "price_per_m2": ["price"]}
@@ -87,9 +88,13 @@ def _sql_str(v: str) -> str:
 
 
 # M2 -------------------------------------------------------------------------
-def preprocessing_stages(train: DataFrame, num: Sequence[str], cat: Sequence[str]) -> list:
+def preprocessing_stages(train: DataFrame, num: Sequence[str], cat: Sequence[str],
+                         one_hot: bool = True) -> list:
     """Median-impute + standardise numerics; mode-impute + one-hot
-    categoricals; assemble into ``features``."""
+    categoricals; assemble into ``features``. With ``one_hot=False`` the
+    indexed categoricals go in as nominal features (tree splits on category
+    sets; needs ``maxBins`` ≥ categories, which Spark also caps at the
+    number of training rows)."""
     med, mode = fitted_medians(train, num), fitted_modes(train, cat)
     fills = []
     for c in num:
@@ -108,16 +113,21 @@ def preprocessing_stages(train: DataFrame, num: Sequence[str], cat: Sequence[str
     if cat:
         stages += [StringIndexer(inputCols=[f"{c}__f" for c in cat], outputCols=[f"{c}__i" for c in cat],
                                  handleInvalid="keep", stringOrderType="frequencyDesc"),
-                   OneHotEncoder(inputCols=[f"{c}__i" for c in cat], outputCols=[f"{c}__o" for c in cat],
-                                 dropLast=True, handleInvalid="keep")]
-        parts += [f"{c}__o" for c in cat]
+                   ]
+        if one_hot:
+            stages.append(OneHotEncoder(inputCols=[f"{c}__i" for c in cat],
+                                        outputCols=[f"{c}__o" for c in cat],
+                                        dropLast=True, handleInvalid="keep"))
+            parts += [f"{c}__o" for c in cat]
+        else:
+            parts += [f"{c}__i" for c in cat]
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return stages
 
 
 # M3 -------------------------------------------------------------------------
 def make_regressor(kind: str, label: str = "label", num_trees: int = 400, max_depth: int = 30,
-                   seed: int = 42):
+                   seed: int = 42, max_bins: int = 32):
     """'linear' (ordinary least squares) or 'rf' (random forest; Spark caps
     depth at 30, the closest to unlimited)."""
     if kind == "linear":
@@ -130,7 +140,8 @@ def make_regressor(kind: str, label: str = "label", num_trees: int = 400, max_de
         # the data per tree level; node ids are cached between levels.
         return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="__pred",
                                      numTrees=num_trees, maxDepth=min(max_depth, 30), seed=seed,
-                                     maxMemoryInMB=4096, cacheNodeIds=True, checkpointInterval=10)
+                                     maxBins=max_bins, maxMemoryInMB=1024, cacheNodeIds=True,
+                                     checkpointInterval=10)
     raise ValueError(kind)
 
 
@@ -187,6 +198,7 @@ def cross_validate(df: DataFrame, target: str, kind: str, num: Sequence[str], ca
     one aggregation."""
     d = df.where(F.col(target).isNotNull())
     d = d.withColumn("fold", F.col(fold_col).cast("int") if fold_col else hash_fold(key, k, seed))
+    d = cut_lineage(d)      # k fits re-read it many times: materialise once, reliably
     preds = None
     for i in range(k):
         m = fit_model(d.where(F.col("fold") != i), target, kind, num, cat, log_target, **kw)
@@ -246,7 +258,7 @@ def train_and_select(df: DataFrame, target: str, registry: Registry | None = Non
     """CV every model kind, choose the lowest mean rmse (A17), fit it on all
     rows with the same log target, persist it. Returns the metrics table
     (one row per kind, ``chosen`` flag)."""
-    d = df.where(F.col(target).isNotNull())
+    d = cut_lineage(df.where(F.col(target).isNotNull()))
     num, cat = select_feature_columns(d, target)
     rows = None
     for kind in kinds:
