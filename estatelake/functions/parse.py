@@ -58,15 +58,14 @@ def price_to_int_eur(x) -> Column:
 
     The last separator followed by exactly one or two digits is a decimal
     point (the fraction is truncated); any other separator is a thousands
-    mark. Empty -> NULL.
+    mark. No digit -> NULL.
     """
     s = F.regexp_replace(strip_currency_and_space(x), r"[^0-9.,]", "")
-    dec_int = F.regexp_extract(s, r"^([0-9.,]*)[.,][0-9]{1,2}$", 1)
-    has_dec = s.rlike(r"^[0-9.,]*[.,][0-9]{1,2}$")
-    whole = F.when(has_dec, F.regexp_replace(dec_int, r"[.,]", "")).otherwise(
-        F.regexp_replace(s, r"[.,]", ""))
-    whole = F.when(has_dec & (whole == ""), F.lit("0")).otherwise(whole)
-    return F.when(whole.rlike(r"^[0-9]+$"), whole.try_cast("bigint"))
+    # integer part: the shortest prefix after which only an optional
+    # 1-2 digit decimal tail remains
+    whole = F.regexp_replace(F.regexp_extract(s, r"^(.*?)(?:[.,][0-9]{1,2})?$", 1), r"[.,]", "")
+    return F.when(s.rlike("[0-9]"), F.coalesce(F.nullif(whole, F.lit("")), F.lit("0"))
+                  .try_cast("bigint"))
 
 
 def surface_to_float_m2(x) -> Column:
@@ -78,11 +77,9 @@ def surface_to_float_m2(x) -> Column:
     """
     s = F.regexp_replace(F.lower(as_text(x)), r"m²|m2|sqm", "")
     s = F.regexp_replace(strip_currency_and_space(s), r"[^0-9.,]", "")
-    both = s.contains(",") & s.contains(".")
-    s2 = F.when(both, F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".")).otherwise(
-        F.regexp_replace(s, ",", "."))
-    digits = F.regexp_replace(s2, r"[^0-9]", "")
-    return F.coalesce(safe_double(s2), safe_double(digits))
+    dots_are_thousands = s.rlike(r",.*\.|\..*,")
+    s2 = F.translate(F.when(dots_are_thousands, F.regexp_replace(s, r"\.", "")).otherwise(s), ",", ".")
+    return F.coalesce(safe_double(s2), safe_double(F.regexp_replace(s2, r"[^0-9]", "")))
 
 
 def price_from_text(x) -> Column:

@@ -97,13 +97,8 @@ def normalize_listing(df: DataFrame, run_date: _dt.date | str | None = None) ->
     else the run date (a parameter)."""
     r = {f: resolve_field(df, f) for f in vocab.ALIASES}
     title, desc = _text(r["title"]), _text(r["description"])
-    price = F.coalesce(_int_euros(df, r["price"]), parse.price_from_text(title),
-                       parse.price_from_text(desc)).cast("double")
-    surface = F.coalesce(_surface(df, r["surface_m2"]), parse.surface_from_text(title),
-                         parse.surface_from_text(desc))
     url = _text(r["url"])
     in_sale = "is_sale" if "is_sale" in df.columns else None
-    rent, sale = flags.rent_sale_flags(url, string_blob(df), price, in_sale)
     if "snapshot_date" in df.columns:
         t = _dtype(df, "snapshot_date")
         snap = (F.col("snapshot_date") if isinstance(t, DateType)
@@ -111,24 +106,41 @@ def normalize_listing(df: DataFrame, run_date: _dt.date | str | None = None) ->
                 else flags.to_day("snapshot_date"))
     else:
         snap = F.lit(str(run_date or _dt.date.today())).cast("date")
-    out = df.select(
+    # Stage 1: resolve + parse. Later stages reference these columns, so each
+    # parser runs once per row (Catalyst does not re-inline a non-trivial
+    # expression that is referenced more than once).
+    s1 = df.select(
         url.alias("url"),
-        price.alias("price"),
+        _int_euros(df, r["price"]).alias("_p0"),
         _int_euros(df, r["bedrooms"]).cast("int").alias("bedrooms"),
         _int_euros(df, r["bathrooms"]).cast("int").alias("bathrooms"),
-        surface.alias("surface_m2"),
+        _surface(df, r["surface_m2"]).alias("_s0"),
         _int_euros(df, r["year_built"]).cast("int").alias("year_built"),
         title.alias("title"),
+        desc.alias("_desc"),
         _text(r["city"]).alias("city"),
         _text(r["postal_code"]).alias("postal_code"),
         _text(r["property_type"]).alias("property_type"),
         _text(r["energy_label"]).alias("energy_label"),
-        rent.alias("is_rent"),
-        sale.alias("is_sale"),
+        (F.col(in_sale).cast("boolean") if in_sale else F.lit(None).cast("boolean")).alias("_sale_in"),
+        string_blob(df).alias("_blob"),
         snap.alias("snapshot_date"),
     )
-    return out.withColumn("price_per_m2", F.when(F.col("surface_m2") > 0,
-                                                 F.col("price") / F.col("surface_m2")))
+    # Stage 2: text fallbacks for price and surface.
+    s2 = s1.withColumns({
+        "price": F.coalesce(F.col("_p0"), parse.price_from_text("title"),
+                            parse.price_from_text("_desc")).cast("double"),
+        "surface_m2": F.coalesce(F.col("_s0"), parse.surface_from_text("title"),
+                                 parse.surface_from_text("_desc")),
+    })
+    # Stage 3: flags and €/m² over the parsed columns.
+    rent, sale = flags.rent_sale_flags("url", F.col("_blob"), F.col("price"), "_sale_in")
+    s3 = s2.withColumns({"is_rent": rent, "is_sale": sale,
+                         "price_per_m2": F.when(F.col("surface_m2") > 0,
+                                                F.col("price") / F.col("surface_m2"))})
+    return s3.select("url", "price", "bedrooms", "bathrooms", "surface_m2", "year_built", "title",
+                     "city", "postal_code", "property_type", "energy_label", "is_rent", "is_sale",
+                     "snapshot_date", "price_per_m2")
 
 
 def rename_url_column(df: DataFrame) -> DataFrame | None:

@@ -2,8 +2,10 @@
 
 Exact interpolated quantiles (``percentile``, the same linear interpolation
 as pandas' ``quantile`` / DuckDB's ``quantile_cont``) keep a value->count map
-per group. To keep that map small and the work spread out, values are first
-pre-aggregated to ``(keys, value, weight)`` with a distributed ``groupBy``:
+per group. Grouped summaries use one aggregate (see ``summarize``). Global
+quantiles — whose final merge is a single task — and opt-in grouped ones
+first pre-aggregate values to ``(keys, value, weight)`` with a distributed
+``groupBy``:
 the shuffle is keyed by ``(keys, value)``, so even a group holding a third
 of all rows is split across every reducer, and each group's final merge sees
 each distinct value once instead of once per map task. The final state is
@@ -69,16 +71,23 @@ def _single_row_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def summarize(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-              medians: dict[str, object] | None = None) -> DataFrame:
+              medians: dict[str, object] | None = None, preaggregate: bool = False) -> DataFrame:
     """``groupBy(keys).agg(aggs)`` plus exact medians per group.
 
-    ``medians`` maps an output name to a value column. Plain aggregates run
-    in one hash aggregate (partial aggregation before the shuffle); each
-    median runs through ``grouped_quantiles`` and is joined back on the
-    group keys (group-level frames, small next to the input).
+    Default: ONE aggregate over the input — ``percentile`` combines
+    value->count maps per group map-side, before the shuffle, next to the
+    plain aggregates, so the input is scanned once. ``preaggregate=True``
+    instead runs each median through ``grouped_quantiles`` (a shuffle keyed
+    by (group, value) first) and joins it back on the keys: one more pass per
+    median, worth it only when a hot group's values repeat heavily.
     """
+    medians = medians or {}
+    if not preaggregate:
+        return df.groupBy(*keys).agg(
+            *aggs, *[F.percentile(_c(col).cast("double"), F.lit(0.5)).alias(name)
+                     for name, col in medians.items()])
     base = df.groupBy(*keys).agg(*aggs)
-    for name, col in (medians or {}).items():
+    for name, col in medians.items():
         q = grouped_quantiles(df, keys, col, {name: 0.5})
         base = join_on_keys(base, q, keys)
     return base
