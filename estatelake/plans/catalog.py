@@ -805,3 +805,60 @@ def s11(spark, sf_dir):
     root = shared_path(spark, "csv-sink")
     write_csv(tpch.listing(spark, sf_dir).select("listing_id", "url", "city"), root)
     return spark.read.option("header", "true").schema("listing_id long, url string, city string").csv(root)
+
+
+# ---------------------------------------------------------------- remaining inventory
+@query("S6_source_preference_chain")
+def s6(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    root = shared_path(spark, "drops")
+    base.select("listing_id", "url").write.parquet(f"{root}/1998-07-31")
+    batch.select("listing_id", "url").write.parquet(f"{root}/2001-08-01")
+    lake = _lake(spark)                                       # no history table yet
+    return files.source_chain(lake, "listings_history", root, base.select("listing_id", "url").schema)
+
+
+@query("P4_legacy_column_renames")
+def p4(spark, sf_dir):
+    lst = tpch.listing(spark, sf_dir)
+    legacy = (lst.withColumnRenamed("surface_m2", "surface")
+                 .withColumnRenamed("postal_code", "postal-code")
+                 .withColumn("snapshot_ts", F.col("snapshot_date").cast("timestamp"))
+                 .drop("snapshot_date"))
+    d = market.prepare_rebuild(legacy)
+    return round_doubles(d.select("listing_id", "surface_m2", "postal_code", "snapshot_date",
+                                  "price_per_m2"))
+
+
+@query("X1_strip_currency_and_space")
+def x1(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    t = render.price_text(b)
+    return b.select("k", parse.strip_currency_and_space(t).alias("stripped"))
+
+
+@query("F11_market_slice")
+def f11(spark, sf_dir):
+    d = market.market_slice(cleaned_listing(spark, sf_dir), city="nation_3", postal_contains="1")
+    return d.select("listing_id", "city", "postal_code", "property_type")
+
+
+@query("O2_input_cap_first_urls")
+def o2(spark, sf_dir):
+    urls = tpch.listing(spark, sf_dir).select("url").distinct()
+    return files.first_urls(urls, 100)
+
+
+@query("U1_schema_tolerant_union")
+def u1(spark, sf_dir):
+    base, batch = _halves(spark, sf_dir)
+    a = base.select("listing_id", "url", F.col("price").alias("price_a"))
+    b = batch.select("listing_id", F.col("surface_m2").alias("surface_b"), "url")
+    return files.union_tolerant([a, b])
+
+
+@query("A13_training_lineage")
+def a13(spark, sf_dir):
+    src = _with_description(spark, sf_dir)
+    out = training.training_v2(src)
+    return training.training_lineage(src, out)

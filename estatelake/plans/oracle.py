@@ -784,3 +784,50 @@ SELECT count(*) AS total_rows,
 FROM prep"""))
 
 oracle("S11_csv_sink_roundtrip", with_ctes(LISTING_CTE, "SELECT listing_id, url, city FROM listing"))
+
+
+# ---------------------------------------------------------------- remaining inventory
+oracle("S6_source_preference_chain", with_ctes(LISTING_CTE, """
+SELECT listing_id, url FROM listing WHERE snapshot_date >= DATE '1998-08-01'"""))
+
+oracle("P4_legacy_column_renames", with_ctes(LISTING_CTE, f"""
+SELECT listing_id, CASE WHEN surface_m2 > 0 THEN surface_m2 END AS surface_m2,
+       regexp_extract(postal_code, '\\d+') AS postal_code, snapshot_date,
+       {r4("CASE WHEN surface_m2 > 0 AND price > 0 THEN price / surface_m2 END")} AS price_per_m2
+FROM listing"""))
+
+oracle("X1_strip_currency_and_space", with_ctes(RB_CTE, f"""
+SELECT k, regexp_replace(regexp_replace(trim(translate({PRICE_TEXT}, chr(160) || chr(8239), '  ')),
+                                        '[^0-9.,\\- ]+', '', 'g'), '\\s+', ' ', 'g') AS stripped
+FROM rb"""))
+
+oracle("F11_market_slice", with_ctes(PREP_CTE, """
+SELECT listing_id, city, postal_code, property_type FROM cleaned
+WHERE city = 'nation_3' AND contains(postal_code, '1')"""))
+
+oracle("O2_input_cap_first_urls", with_ctes(LISTING_CTE, """
+SELECT url FROM (SELECT DISTINCT url FROM listing WHERE url IS NOT NULL) ORDER BY url LIMIT 100"""))
+
+oracle("U1_schema_tolerant_union", with_ctes(LISTING_CTE, """
+SELECT listing_id, url, price AS price_a, CAST(NULL AS DOUBLE) AS surface_b FROM listing
+WHERE snapshot_date < DATE '1998-08-01'
+UNION ALL
+SELECT listing_id, url, CAST(NULL AS DOUBLE), surface_m2 FROM listing WHERE snapshot_date >= DATE '1998-08-01'"""))
+
+oracle("A13_training_lineage", with_ctes(LISTING_CTE + f""",
+d0 AS (SELECT *, CASE WHEN listing_id % 2 = 0 THEN 'Nice flat of ' || CAST(30 + listing_id % 90 AS VARCHAR)
+                      || ' m² near the park' END AS description FROM listing),
+d2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC NULLS LAST,
+                                                   listing_id DESC) AS rn
+                      FROM d0 WHERE url IS NOT NULL) WHERE rn = 1),
+d3 AS (SELECT *, COALESCE(surface_m2,
+                          CASE WHEN TRY_CAST(replace(regexp_extract(description, '{_SCAN}', 1), ',', '.') AS DOUBLE) > 5
+                               THEN TRY_CAST(replace(regexp_extract(description, '{_SCAN}', 1), ',', '.') AS DOUBLE) END) AS sf2
+       FROM d2),
+d4 AS (SELECT listing_id, price, CASE WHEN sf2 <= 5 THEN NULL ELSE sf2 END AS surface_m2 FROM d3 WHERE price > 0),
+d5 AS (SELECT *, CASE WHEN surface_m2 > 0 THEN price / surface_m2 END AS price_per_m2 FROM d4),
+b AS (SELECT quantile_cont(price_per_m2, 0.05) AS lo, quantile_cont(price_per_m2, 0.95) AS hi FROM d5),
+o AS (SELECT d5.* FROM d5, b WHERE price_per_m2 >= lo AND price_per_m2 <= hi AND price_per_m2 IS NOT NULL)""", """
+SELECT (SELECT count(*) FROM listing) AS n_in, count(*) AS n_out, count(surface_m2) AS surface_filled,
+       'price_per_m2' AS trim_target_if_present
+FROM o"""))

@@ -225,3 +225,25 @@ def duplicate_page_runs(pages: DataFrame, run: str, page: str, urls: str) -> Dat
     d = d.withColumn("_island", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     wi = Window.partitionBy(run, "_island").orderBy(page)
     return d.withColumn("dup_run", F.row_number().over(wi) - 1).drop("_chg", "_island")
+
+
+def source_chain(lake, table: str, parquet_root: str, schema) -> DataFrame:
+    """The history table when it exists, else the newest Parquet drop
+    under ``parquet_root`` (by path), else an empty frame of ``schema``."""
+    if lake.exists(table):
+        return lake.read(table)
+    spark = lake.spark
+    try:
+        newest = newest_file(spark, parquet_root, "*.parquet", by="path").first()
+    except Exception:  # noqa: BLE001 - no drops at all
+        newest = None
+    if newest and newest["path"]:
+        drop_dir = newest["path"].rsplit("/", 1)[0]
+        return spark.read.parquet(drop_dir)
+    return spark.createDataFrame([], schema)
+
+
+def first_urls(df: DataFrame, n: int) -> DataFrame:
+    """O2: the input cap — the first ``n`` URLs in URL order (a top-n sort:
+    per-partition top-n, then one merge of n rows per partition)."""
+    return df.where(F.col("url").isNotNull()).orderBy("url").limit(n)
