@@ -53,9 +53,10 @@ def read_csv_any_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
            .withColumn("__source_file", F.col("_metadata.file_path"))
            .withColumn("__row", F.monotonically_increasing_id()))
     vals = F.array(*[F.col(f"_c{i}") for i in range(MAX_CSV_COLUMNS)])
+    # first row per file; trimming / lower-casing touch only that one row
     headers = (raw.groupBy("__source_file")
-               .agg(F.min_by(F.transform(vals, lambda v: F.trim(v)), "__row").alias("__header"),
-                    F.min("__row").alias("__hdr_row"))
+               .agg(F.min_by(vals, "__row").alias("__header"), F.min("__row").alias("__hdr_row"))
+               .withColumn("__header", F.transform("__header", lambda v: F.trim(v)))
                .withColumn("__lheader", F.transform("__header", lambda v: F.lower(v))))
     # Header names are metadata: one small list on the driver. Names equal
     # up to case are one column (Spark resolves names case-insensitively);
