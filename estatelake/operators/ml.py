@@ -189,22 +189,45 @@ def mean_metrics(per_fold: DataFrame) -> DataFrame:
                         F.avg("mape").alias("mape"), F.avg("r2").alias("r2"), F.sum("n").alias("n"))
 
 
+def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[str],
+              cat: Sequence[str], k: int = 5, fold_col: str | None = None, key: str = "url",
+              seed: int = 42, log_target: bool = True,
+              params: dict[str, dict] | None = None) -> DataFrame:
+    """M4 for several model kinds at once: per fold, the preprocessing is
+    fitted once on the training rows and shared by every regressor; the
+    transformed training fold is cached for the fits. Returns per-fold
+    metrics with a ``model`` column; metrics are on the original scale."""
+    params = params or {}
+    d = df.where(F.col(target).isNotNull())
+    d = d.withColumn("fold", F.col(fold_col).cast("int") if fold_col else hash_fold(key, k, seed))
+    d = cut_lineage(d)      # k folds re-read it many times: materialise once, reliably
+    label = F.log1p(target) if log_target else F.col(target).cast("double")
+    preds: dict[str, DataFrame] = {}
+    for i in range(k):
+        train = d.where(F.col("fold") != i).withColumn("label", label)
+        prep = Pipeline(stages=preprocessing_stages(train, num, cat)).fit(train)
+        tr = prep.transform(train).select("features", "label").cache()
+        te = prep.transform(d.where(F.col("fold") == i))
+        for kind in kinds:
+            model = make_regressor(kind, **params.get(kind, {})).fit(tr)
+            out = F.expm1("__pred") if log_target else F.col("__pred")
+            p = model.transform(te).select("fold", F.col(target), out.alias("prediction"))
+            preds[kind] = p if kind not in preds else preds[kind].unionByName(p)
+        tr.unpersist()
+    per = None
+    for kind in kinds:
+        m = fold_metrics(preds[kind], target).withColumn("model", F.lit(kind))
+        per = m if per is None else per.unionByName(m)
+    return per
+
+
 def cross_validate(df: DataFrame, target: str, kind: str, num: Sequence[str], cat: Sequence[str],
                    k: int = 5, fold_col: str | None = None, key: str = "url", seed: int = 42,
                    log_target: bool = True, **kw) -> DataFrame:
     """M4: k-fold CV with a log target; metrics on the original scale.
-    Returns per-fold metrics (``mean_metrics`` averages them). Each fold's
-    fit is a distributed Spark ML job; the k predictions are evaluated in
-    one aggregation."""
-    d = df.where(F.col(target).isNotNull())
-    d = d.withColumn("fold", F.col(fold_col).cast("int") if fold_col else hash_fold(key, k, seed))
-    d = cut_lineage(d)      # k fits re-read it many times: materialise once, reliably
-    preds = None
-    for i in range(k):
-        m = fit_model(d.where(F.col("fold") != i), target, kind, num, cat, log_target, **kw)
-        p = predict(m, d.where(F.col("fold") == i), log_target)
-        preds = p if preds is None else preds.unionByName(p)
-    return fold_metrics(preds, target)
+    Returns per-fold metrics (``mean_metrics`` averages them)."""
+    per = cv_models(df, target, [kind], num, cat, k, fold_col, key, seed, log_target, {kind: kw})
+    return per.drop("model")
 
 
 def holdout(df: DataFrame, target: str, kind: str, num: Sequence[str], cat: Sequence[str],
@@ -258,14 +281,12 @@ def train_and_select(df: DataFrame, target: str, registry: Registry | None = Non
     """CV every model kind, choose the lowest mean rmse (A17), fit it on all
     rows with the same log target, persist it. Returns the metrics table
     (one row per kind, ``chosen`` flag)."""
-    d = cut_lineage(df.where(F.col(target).isNotNull()))
+    d = df.where(F.col(target).isNotNull())
     num, cat = select_feature_columns(d, target)
-    rows = None
-    for kind in kinds:
-        kw_k = kw if kind == "rf" else {}
-        mm = mean_metrics(cross_validate(d, target, kind, num, cat, k=k, key=key, **kw_k))
-        mm = mm.withColumn("model", F.lit(kind))
-        rows = mm if rows is None else rows.unionByName(mm)
+    per = cv_models(d, target, kinds, num, cat, k=k, key=key, params={"rf": kw})
+    rows = per.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"),
+                                    F.avg("mape").alias("mape"), F.avg("r2").alias("r2"),
+                                    F.sum("n").alias("n"))
     rows = rows.cache()
     best = rows.agg(F.min_by("model", "rmse").alias("m")).first()["m"]
     if registry is not None:
