@@ -67,3 +67,12 @@ def test_market_summary_keeps_null_groups(spark):
                                "price double, price_per_m2 double")
     r = market.market_summary_v3(df).collect()
     assert len(r) == 1 and r[0]["n"] == 2 and r[0]["median_price"] == 200.0
+
+
+def test_date_filter_reaches_the_scan(spark):
+    from estatelake.plans.catalog import QUERIES
+    df = QUERIES["J1_delete_matching_urls"](spark, SF001)
+    df.collect()
+    plan = _plan(df)
+    assert "LessThan(o_orderdate" in plan and "GreaterThanOrEqual(o_orderdate" in plan
+    assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan

@@ -85,3 +85,31 @@ def test_towns_seed_and_frontier(spark):
     f = files.crawl_frontier(towns, "https://e.be/search?town={town}", -1)
     assert f.count() == 100
     assert f.where(F.col("page") == 2).orderBy("town").first()["url"] == "https://e.be/search?town=Gent&page=2"
+
+
+def test_load_input_urls_and_read_details(spark):
+    d = tempfile.mkdtemp(prefix="urls-")
+    _write(f"{d}/c.csv", "only_col\nhttps://x/1\n\nhttps://x/2\n")
+    got = sorted(r["url"] for r in files.load_input_urls(spark, f"{d}/c.csv", None).collect())
+    assert got == ["https://x/1", "https://x/2"]
+    p = f"{d}/details.parquet"
+    spark.createDataFrame([("https://x/1", 1.0)], "url string, price double").write.parquet(p)
+    df = files.read_details(spark, p, "apartments")
+    assert df.collect()[0]["kind"] == "apartments"
+
+
+def test_registry_routes_and_falls_back(spark):
+    from estatelake.operators import ml
+    from estatelake.session import shared_path
+    from estatelake.sources import tpch
+    from conftest import SF001
+    lst = tpch.listing(spark, SF001).where(F.col("surface_m2").isNotNull())
+    reg = ml.Registry(spark, shared_path(spark, "models-test"))
+    num, cat = ml.select_feature_columns(lst, "price")
+    reg.save(ml.fit_model(lst, "price", "linear", num, cat), "linear", "price", {}, True)
+    req = lst.select("surface_m2", "bedrooms", "bathrooms", "year_built", "postal_code", "city",
+                     "property_type", "energy_label", "region").limit(20)
+    req = req.withColumn("surface_m2", F.when(F.col("bedrooms") % 2 == 0, F.col("surface_m2")))
+    out = ml.auto_predict(req, reg).collect()
+    assert len(out) == 20 and all(r["target"] == "price" for r in out)   # only a price model exists
+    assert all(r["prediction"] > 0 for r in out)
