@@ -159,12 +159,13 @@ def market_summary_v2(df: DataFrame) -> DataFrame:
                      medians={"median_price_per_m2": "price_per_m2"})
 
 
-def market_summary_v3(df: DataFrame) -> DataFrame:
+def market_summary_v3(df: DataFrame, method: str = "percentile") -> DataFrame:
     """A3: by snapshot, city, type keeping NULL groups; n = non-null URLs,
-    median price, median €/m²."""
+    median price, median €/m². ``method="rank"``: skew-safe medians."""
     keys = ["snapshot_date", "city", "property_type"]
     return summarize(df, keys, [F.count("url").alias("n")],
-                     medians={"median_price": "price", "median_eur_m2": "price_per_m2"})
+                     medians={"median_price": "price", "median_eur_m2": "price_per_m2"},
+                     method=method)
 
 
 def dashboard_summary(history: DataFrame, limit: int = 500) -> DataFrame:

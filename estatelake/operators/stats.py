@@ -71,7 +71,8 @@ def _single_row_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def summarize(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-              medians: dict[str, object] | None = None, preaggregate: bool = False) -> DataFrame:
+              medians: dict[str, object] | None = None, preaggregate: bool = False,
+              method: str = "percentile") -> DataFrame:
     """``groupBy(keys).agg(aggs)`` plus exact medians per group.
 
     Default: ONE aggregate over the input — ``percentile`` combines
@@ -80,8 +81,15 @@ def summarize(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
     instead runs each median through ``grouped_quantiles`` (a shuffle keyed
     by (group, value) first) and joins it back on the keys: one more pass per
     median, worth it only when a hot group's values repeat heavily.
+    ``method="rank"`` selects each median by rank after a range sort
+    (``quantiles_by_rank``): no group is ever held by one task.
     """
     medians = medians or {}
+    if method == "rank":
+        base = df.groupBy(*keys).agg(*aggs)
+        for name, col in medians.items():
+            base = join_on_keys(base, quantiles_by_rank(df, keys, col, {name: 0.5}), keys)
+        return base
     if not preaggregate:
         return df.groupBy(*keys).agg(
             *aggs, *[F.percentile(_c(col).cast("double"), F.lit(0.5)).alias(name)
@@ -102,3 +110,63 @@ def scalar(df: DataFrame, expr: Column) -> Column:
     """A scalar-subquery column holding ``expr`` evaluated over ``df``'s single
     row (``df`` must be a global aggregate)."""
     return df.select(expr.alias("_s")).scalar()
+
+
+def quantiles_by_rank(df: DataFrame, keys: Sequence[str], value,
+                      quantiles: dict[str, float]) -> DataFrame:
+    """Exact interpolated quantiles per group without ever holding a group in
+    one task (the skew-safe path for a group with a third of all rows).
+
+    1. range-sort the non-NULL ``(keys, value)`` pairs: range partitioning
+       splits a hot group over many partitions;
+    2. count rows per (partition, group) — a table of at most partitions +
+       groups rows — and turn it into each partition's rank offset within
+       its group (running sum over partitions, per group);
+    3. a row's rank = its group offset + its position inside the partition;
+       keep only the rows at the ranks each quantile interpolates between
+       (two per group and quantile), then interpolate exactly as
+       ``percentile`` does.
+    """
+    v = df.select(*keys, _c(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    sizes = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    srt = (v.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
+             .withColumn("_pid", F.spark_partition_id())
+             .withColumn("_idx", F.monotonically_increasing_id()))
+    per_part = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"),
+                                              F.min("_idx").alias("_first"))
+    from pyspark.sql import Window
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
+    ranked = _join_null_safe(srt, offsets, ["_pid", *keys]).withColumn(
+        "_rank", F.col("_off") + F.col("_idx") - F.col("_first"))
+    out = None
+    for name, p in quantiles.items():
+        pos = (F.col("_n") - 1) * F.lit(p)
+        t = sizes.select(*keys, pos.alias("_pos"), F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"))
+        hit = _join_null_safe(ranked.select(*keys, "_rank", "_v"), t, keys).where(
+            (F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi")))
+        q = hit.groupBy(*keys).agg(
+            F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_lv"),
+            F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_hv"),
+            F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+        q = q.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lv")).otherwise(
+            (F.col("_hi") - F.col("_pos")) * F.col("_lv") + (F.col("_pos") - F.col("_lo")) * F.col("_hv"))
+            .alias(name))
+        out = q if out is None else _join_null_safe(out, q, keys, "full")
+    return out
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+                    ) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"_rk_{k}"))
+        cond = e if cond is None else cond & e
+    j = left.join(r, cond, how)
+    if how == "full":
+        j = j.select(*[F.coalesce(F.col(k), F.col(f"_rk_{k}")).alias(k) for k in keys],
+                     *[c for c in j.columns if c not in keys and not c.startswith("_rk_")])
+        return j
+    return j.drop(*[f"_rk_{k}" for k in keys])

@@ -862,3 +862,8 @@ def a13(spark, sf_dir):
     src = _with_description(spark, sf_dir)
     out = training.training_v2(src)
     return training.training_lineage(src, out)
+
+
+@query("A3_market_summary_v3_rank_select")
+def a3r(spark, sf_dir):
+    return round_doubles(market.market_summary_v3(cleaned_listing(spark, sf_dir), method="rank"))

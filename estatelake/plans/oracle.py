@@ -831,3 +831,5 @@ o AS (SELECT d5.* FROM d5, b WHERE price_per_m2 >= lo AND price_per_m2 <= hi AND
 SELECT (SELECT count(*) FROM listing) AS n_in, count(*) AS n_out, count(surface_m2) AS surface_filled,
        'price_per_m2' AS trim_target_if_present
 FROM o"""))
+
+ORACLES["A3_market_summary_v3_rank_select"] = ORACLES["A3_market_summary_v3"]

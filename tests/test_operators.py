@@ -76,3 +76,16 @@ def test_date_filter_reaches_the_scan(spark):
     plan = _plan(df)
     assert "LessThan(o_orderdate" in plan and "GreaterThanOrEqual(o_orderdate" in plan
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+
+
+def test_rank_select_median_equals_percentile_under_skew(spark):
+    from estatelake.operators.stats import quantiles_by_rank
+    # one hot group holds ~90% of the rows, spread over many partitions; plus a NULL group
+    df = spark.range(0, 20000, numPartitions=16).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("g"),
+        ((F.col("id") * 7919) % 10007 / 7.0).alias("v"))
+    ref = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).collect()}
+    got = {r["g"]: r["m"] for r in quantiles_by_rank(df, ["g"], F.col("v"), {"m": 0.5}).collect()}
+    assert got.keys() == ref.keys()
+    for k in ref:
+        assert abs(got[k] - ref[k]) < 1e-9, (k, got[k], ref[k])
