@@ -72,7 +72,7 @@ def _single_row_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def summarize(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
               medians: dict[str, object] | None = None, preaggregate: bool = False,
-              method: str = "percentile") -> DataFrame:
+              method: str = "percentile", hot_fraction: float = 0.05) -> DataFrame:
     """``groupBy(keys).agg(aggs)`` plus exact medians per group.
 
     Default: ONE aggregate over the input — ``percentile`` combines
@@ -83,8 +83,11 @@ def summarize(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
     median, worth it only when a hot group's values repeat heavily.
     ``method="rank"`` selects each median by rank after a range sort
     (``quantiles_by_rank``): no group is ever held by one task.
+    ``method="auto"`` splits hot groups off (see ``_summarize_split_hot``).
     """
     medians = medians or {}
+    if method == "auto":
+        return _summarize_split_hot(df, keys, aggs, medians, hot_fraction)
     if method == "rank":
         base = df.groupBy(*keys).agg(*aggs)
         for name, col in medians.items():
@@ -170,3 +173,26 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
                      *[c for c in j.columns if c not in keys and not c.startswith("_rk_")])
         return j
     return j.drop(*[f"_rk_{k}" for k in keys])
+
+
+def _summarize_split_hot(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
+                         medians: dict[str, object], hot_fraction: float) -> DataFrame:
+    """Hot groups — more than ``hot_fraction`` of all rows, hence at most
+    ``1 / hot_fraction`` of them, a size-bounded table that AQE broadcasts —
+    take the rank-selection path; every other group takes the single
+    aggregate. The two row sets are split with null-safe semi / anti joins
+    against the hot-key table, so the ``percentile`` aggregate never sees a
+    hot group."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gn"))
+    total = sizes.select(F.sum("_gn")).scalar()
+    hot = sizes.where(F.col("_gn") > total * F.lit(hot_fraction)).select(*keys)
+    r = hot.select(*[F.col(k).alias(f"_hk_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"_hk_{k}"))
+        cond = e if cond is None else cond & e
+    hot_rows = df.join(r, cond, "left_semi")
+    cold_rows = df.join(r, cond, "left_anti")
+    cold = summarize(cold_rows, keys, aggs, medians)
+    hot_res = summarize(hot_rows, keys, aggs, medians, method="rank")
+    return cold.unionByName(hot_res.select(*cold.columns))

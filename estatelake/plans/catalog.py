@@ -864,6 +864,11 @@ def a13(spark, sf_dir):
     return training.training_lineage(src, out)
 
 
+@query("A3_market_summary_v3_split_hot_groups")
+def a3h(spark, sf_dir):
+    return round_doubles(market.market_summary_v3(cleaned_listing(spark, sf_dir), method="auto"))
+
+
 @query("A3_market_summary_v3_rank_select")
 def a3r(spark, sf_dir):
     return round_doubles(market.market_summary_v3(cleaned_listing(spark, sf_dir), method="rank"))

@@ -833,3 +833,5 @@ SELECT (SELECT count(*) FROM listing) AS n_in, count(*) AS n_out, count(surface_
 FROM o"""))
 
 ORACLES["A3_market_summary_v3_rank_select"] = ORACLES["A3_market_summary_v3"]
+
+ORACLES["A3_market_summary_v3_split_hot_groups"] = ORACLES["A3_market_summary_v3"]

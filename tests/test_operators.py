@@ -89,3 +89,17 @@ def test_rank_select_median_equals_percentile_under_skew(spark):
     assert got.keys() == ref.keys()
     for k in ref:
         assert abs(got[k] - ref[k]) < 1e-9, (k, got[k], ref[k])
+
+
+def test_split_hot_groups_matches_single_aggregate(spark):
+    from estatelake.operators.stats import summarize
+    df = spark.range(0, 20000, numPartitions=16).select(
+        F.when(F.col("id") % 10 != 0, F.lit(None)).otherwise(F.col("id") % 50).alias("g"),
+        ((F.col("id") * 7919) % 10007 / 7.0).alias("v"))
+    a = summarize(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": "v"})
+    b = summarize(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": "v"}, method="auto")
+    ra = {r["g"]: (r["n"], r["m"]) for r in a.collect()}
+    rb = {r["g"]: (r["n"], r["m"]) for r in b.collect()}
+    assert ra.keys() == rb.keys() and None in rb
+    for k in ra:
+        assert ra[k][0] == rb[k][0] and abs(ra[k][1] - rb[k][1]) < 1e-9
