@@ -872,3 +872,45 @@ def a3h(spark, sf_dir):
 @query("A3_market_summary_v3_rank_select")
 def a3r(spark, sf_dir):
     return round_doubles(market.market_summary_v3(cleaned_listing(spark, sf_dir), method="rank"))
+
+
+@query("S15_dashboard_sql_on_view")
+def s15(spark, sf_dir):
+    """The dashboard summary as SQL text over a registered view (S15 + A4)."""
+    import uuid as _uuid
+    lake = _lake(spark)
+    view = f"listings_history_{_uuid.uuid4().hex[:8]}"
+    lake.register(view, cleaned_listing(spark, sf_dir))
+    df = spark.sql(f"""
+        SELECT snapshot_date, city, property_type, COUNT(*) AS n,
+               MEDIAN(price) AS median_price, MEDIAN(price_per_m2) AS median_eur_m2
+        FROM {view}
+        GROUP BY ALL
+        ORDER BY snapshot_date DESC NULLS LAST, n DESC, city ASC NULLS LAST, property_type ASC NULLS LAST
+        LIMIT 500""")
+    return round_doubles(df)
+
+
+@query("S8_read_details_with_kind")
+def s8(spark, sf_dir):
+    root = shared_path(spark, "details-parquet")
+    lst = tpch.listing(spark, sf_dir).where(F.col("url").contains("/house/"))
+    lst.select("listing_id", "url", "price").write.parquet(root)
+    return files.read_details(spark, root, "houses")
+
+
+@query("P3_url_column_rename")
+def p3(spark, sf_dir):
+    lst = tpch.listing(spark, sf_dir).select("listing_id", F.col("url").alias("HREF"))
+    return resolve.rename_url_column(lst)
+
+
+@query("P8_defensive_float_coercion")
+def p8(spark, sf_dir):
+    b = rendered(spark, sf_dir)
+    P, C, k = F.col("P"), F.col("C"), F.col("k")
+    t = render.pick(k, 4, [F.concat(render.s(P), F.lit(" €")),
+                           F.concat(F.lit("EUR"), render.s(P), F.lit(","), F.lpad(render.s(C), 2, "0")),
+                           F.concat(F.lit(render.NBSP), render.s(P), F.lit(" ")),
+                           F.lit("n/a")])
+    return round_doubles(b.select("k", t.alias("text"), parse.coerce_float(t).alias("value")))

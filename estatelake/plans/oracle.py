@@ -835,3 +835,17 @@ FROM o"""))
 ORACLES["A3_market_summary_v3_rank_select"] = ORACLES["A3_market_summary_v3"]
 
 ORACLES["A3_market_summary_v3_split_hot_groups"] = ORACLES["A3_market_summary_v3"]
+
+ORACLES["S15_dashboard_sql_on_view"] = ORACLES["A4_dashboard_summary_top500"]
+
+oracle("S8_read_details_with_kind", with_ctes(LISTING_CTE, """
+SELECT listing_id, url, price, 'houses' AS kind FROM listing WHERE url LIKE '%/house/%'"""))
+
+oracle("P3_url_column_rename", with_ctes(LISTING_CTE, "SELECT listing_id, url FROM listing"))
+
+oracle("P8_defensive_float_coercion", with_ctes(RB_CTE, f"""
+SELECT k, {pick(4, ["CAST(P AS VARCHAR) || ' €'",
+                    "'EUR' || CAST(P AS VARCHAR) || ',' || lpad(CAST(C AS VARCHAR), 2, '0')",
+                    "chr(160) || CAST(P AS VARCHAR) || ' '", "'n/a'"])} AS text,
+       {r4("CASE k % 4 WHEN 1 THEN (P * 100 + C) / 100.0 WHEN 3 THEN NULL ELSE CAST(P AS DOUBLE) END")} AS value
+FROM rb"""))
