@@ -22,6 +22,7 @@ import datetime as _dt
 import json
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
@@ -192,7 +193,7 @@ def mean_metrics(per_fold: DataFrame) -> DataFrame:
 def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[str],
               cat: Sequence[str], k: int = 5, fold_col: str | None = None, key: str = "url",
               seed: int = 42, log_target: bool = True,
-              params: dict[str, dict] | None = None) -> DataFrame:
+              params: dict[str, dict] | None = None, parallelism: int = 5) -> DataFrame:
     """M4 for several model kinds at once: per fold, the preprocessing is
     fitted once on the training rows and shared by every regressor; the
     transformed training fold is cached for the fits. Returns per-fold
@@ -202,18 +203,29 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
     d = d.withColumn("fold", F.col(fold_col).cast("int") if fold_col else hash_fold(key, k, seed))
     d = cut_lineage(d)      # k folds re-read it many times: materialise once, reliably
     label = F.log1p(target) if log_target else F.col(target).cast("double")
-    preds: dict[str, DataFrame] = {}
-    for i in range(k):
+
+    def one_fold(i: int) -> dict[str, DataFrame]:
         train = d.where(F.col("fold") != i).withColumn("label", label)
         prep = Pipeline(stages=preprocessing_stages(train, num, cat)).fit(train)
         tr = prep.transform(train).select("features", "label").cache()
         te = prep.transform(d.where(F.col("fold") == i))
+        out = F.expm1("__pred") if log_target else F.col("__pred")
+        got = {}
         for kind in kinds:
             model = make_regressor(kind, **params.get(kind, {})).fit(tr)
-            out = F.expm1("__pred") if log_target else F.col("__pred")
-            p = model.transform(te).select("fold", F.col(target), out.alias("prediction"))
-            preds[kind] = p if kind not in preds else preds[kind].unionByName(p)
+            got[kind] = model.transform(te).select("fold", F.col(target), out.alias("prediction"))
         tr.unpersist()
+        return got
+
+    # Folds are independent fits: run them concurrently from driver threads
+    # (as CrossValidator's ``parallelism`` does) so small per-fold jobs share
+    # the cluster instead of queueing one after another.
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
+        fold_preds = list(pool.map(one_fold, range(k)))
+    preds: dict[str, DataFrame] = {}
+    for got in fold_preds:
+        for kind, p in got.items():
+            preds[kind] = p if kind not in preds else preds[kind].unionByName(p)
     per = None
     for kind in kinds:
         m = fold_metrics(preds[kind], target).withColumn("model", F.lit(kind))
