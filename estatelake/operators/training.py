@@ -13,6 +13,7 @@ from pyspark.sql.types import MapType, NumericType
 
 from .. import vocab
 from ..functions import flags, parse
+from ..session import cut_lineage
 from .dedupe import keep_latest
 from .guards import fallback_cascade, quantile_trim, trim_target, unit_guard_v2
 from .resolve import coerce_numeric, fill_zero, normalize_listing, select_fixed
@@ -61,8 +62,9 @@ def surface_backfill(df: DataFrame) -> Column:
 
 def training_v1(raw: DataFrame) -> DataFrame:
     """M9: normalise → sale rows → fallback cascade (F6) → 9 columns →
-    bedrooms/bathrooms NULL → 0."""
-    picked = fallback_cascade(normalize_listing(raw))
+    bedrooms/bathrooms NULL → 0. The normalised frame feeds both the stage
+    counts and the rows, so it is checkpointed once (one parse pass)."""
+    picked = fallback_cascade(cut_lineage(normalize_listing(raw)))
     return fill_zero(picked.select(*vocab.TRAINING_V1_COLUMNS))
 
 
