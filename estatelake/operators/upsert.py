@@ -1,11 +1,10 @@
 """Upsert of the current table and append of history.
 
-``latest' = (latest ⟕anti batch on url) ∪ batch``. The anti join is an
-equi-join on ``url``: AQE broadcasts the batch when its runtime size is under
-the broadcast threshold (the usual nightly case) and otherwise shuffles both
-sides on ``url`` (sort-merge, skew-split by AQE). Within-batch duplicates are
-resolved first with keep-latest (W1) and NULL URLs are rejected, so the
-upsert is idempotent: applying the same batch twice gives the same table.
+``latest' = newest row per URL of (latest ∪ batch)``: one top-1 per key, so a
+batch that arrives late never replaces a newer row, and applying a batch twice
+gives the same table. Equal snapshots go to the larger tie-break, then to the
+batch. NULL URLs are rejected. The top-1 is pre-limited on the map side (see
+``dedupe``); J1's delete remains as an operator of its own.
 """
 
 from __future__ import annotations
@@ -25,9 +24,10 @@ def delete_matching(target: DataFrame, batch: DataFrame, key: str = "url") -> Da
 
 
 def upsert_latest(latest: DataFrame, batch: DataFrame, key: str = "url") -> DataFrame:
-    """J2 (current table): replace rows by key with the batch's newest row."""
-    fresh = keep_latest(batch, key)
-    return delete_matching(latest, fresh, key).unionByName(fresh, allowMissingColumns=True)
+    """J2 (current table): the newest row per key of the table and the batch."""
+    both = latest.withColumn("_fresh", F.lit(0)).unionByName(batch.withColumn("_fresh", F.lit(1)),
+                                                             allowMissingColumns=True)
+    return keep_latest(both, key, tie_break=("listing_id", "_fresh")).drop("_fresh")
 
 
 def append_history(history: DataFrame, batch: DataFrame) -> DataFrame:
@@ -36,6 +36,6 @@ def append_history(history: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def batch_summary(batch: DataFrame) -> DataFrame:
-    """J2 (summary): the v2 daily summary of the batch's rows; written by
-    overwriting the batch's snapshot partitions, so reruns do not double it."""
+    """J2 (summary): the v2 daily summary of history rows, recomputed for the
+    partitions a batch touched, so several batches of one day add up."""
     return market_summary_v2(batch.where(F.col("url").isNotNull()))

@@ -35,12 +35,13 @@ def rebuild_analytics(lake: Lake, source: DataFrame, clean: bool = True,
     column such as a month for long back-fills)."""
     prepared = market.prepare_rebuild(source, run_date)
     counters = market.sanity_counters(prepared)
-    kept = market.plausible(prepared) if clean else prepared
-    kept = cut_lineage(_with_partition(kept, history_partition))
-    lake.replace("listings_history", kept, partition_by=[history_partition])
+    lake.replace("listings_history", cut_lineage(_with_partition(prepared, history_partition)),
+                 partition_by=[history_partition])
+    # history keeps every row; only what is derived from it is filtered
     history = lake.read("listings_history")
-    lake.replace("listings_latest", market.latest_snapshot(history))
-    lake.replace("market_daily_summary", market.market_summary_v3(history))
+    kept = market.plausible(history) if clean else history
+    lake.replace("listings_latest", market.latest_snapshot(kept))
+    lake.replace("market_daily_summary", market.market_summary_v3(kept))
     report = counters.withColumn("rebuilt_at", F.current_timestamp())
     lake.report_from("sanity_report", report)
     return counters
@@ -54,14 +55,17 @@ def _with_partition(df: DataFrame, col: str) -> DataFrame:
     raise ValueError(col)
 
 
-def upsert_nightly(lake: Lake, batch: DataFrame, history_partition: str = "snapshot_date") -> None:
-    """J2 with sinks: upsert ``listings_latest`` by URL, write the batch's
-    partitions of ``listings_history`` and of ``market_summary_v2``.
+def upsert_nightly(lake: Lake, batch: DataFrame, history_partition: str = "snapshot_date",
+                   batch_id: str = "0") -> None:
+    """J2 with sinks: upsert ``listings_latest`` by URL, add the batch to
+    ``listings_history``, refresh the touched partitions of
+    ``market_summary_v2``.
 
-    Every write is idempotent, so a replayed batch (a retried stream epoch,
-    a rerun night) leaves the tables unchanged: the upsert replaces by URL
-    and history / summary use dynamic partition overwrite of the batch's
-    own partitions (one night = one partition)."""
+    History is partitioned by (``history_partition``, ``batch_id``), so
+    batches never overwrite each other, whatever days they share, while a
+    replayed batch (a retried stream epoch, a rerun night under the same id)
+    overwrites its own rows only. The summary of a touched partition is
+    recomputed from all its history."""
     # the table's columns, plus the source row id when there is one (it
     # breaks same-day ties between snapshots of one URL deterministically)
     extra = ["listing_id"] if "listing_id" in batch.columns else []
@@ -75,16 +79,15 @@ def upsert_nightly(lake: Lake, batch: DataFrame, history_partition: str = "snaps
         lake.replace("listings_latest", upsert.upsert_latest(current, batch))
     else:
         lake.replace("listings_latest", upsert.upsert_latest(batch.limit(0), batch))
-    hist = _with_partition(batch, history_partition)
-    if lake.exists("listings_history"):
-        lake.overwrite_partitions("listings_history", hist, [history_partition])
-    else:
-        lake.append("listings_history", hist, partition_by=[history_partition])
-    summary = _with_partition(upsert.batch_summary(batch), history_partition)
-    if lake.exists("market_summary_v2"):
-        lake.overwrite_partitions("market_summary_v2", summary, [history_partition])
-    else:
-        lake.append("market_summary_v2", summary, partition_by=[history_partition])
+    hist = _with_partition(batch, history_partition).withColumn("batch_id", F.lit(batch_id))
+    lake.overwrite_partitions("listings_history", hist, [history_partition, "batch_id"])
+    # partition names the batch touches: a handful of days or months, not rows
+    touched = [r[0] for r in hist.select(history_partition).distinct().collect()]
+    part = F.col(history_partition)
+    full = lake.read("listings_history").where(part.isin([v for v in touched if v is not None])
+                                               | (part.isNull() if None in touched else F.lit(False)))
+    summary = _with_partition(upsert.batch_summary(full), history_partition)
+    lake.overwrite_partitions("market_summary_v2", summary, [history_partition])
 
 
 def analysis_tables(lake: Lake, details: DataFrame) -> None:

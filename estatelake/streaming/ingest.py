@@ -5,9 +5,10 @@ new drop exactly once: a Parquet file source (schema given, never
 inferred), ``trigger(availableNow=True)`` to drain what has arrived and
 stop, and ``foreachBatch`` running the nightly upsert. The checkpoint (in
 the shared folder) records which files each epoch consumed; a replayed
-epoch re-runs an idempotent upsert (replace by URL, dynamic overwrite of
-the epoch's partitions), so exactly-once results survive driver or
-executor loss.
+epoch re-runs an idempotent upsert (newest row per URL; the epoch's own
+history partitions, named by stream and epoch), so exactly-once results
+survive driver or executor loss and do not depend on how files are dealt to
+epochs.
 
 Keep-latest needs no streaming state: the current table *is* the state,
 and each epoch's batch is first reduced to its latest row per URL.
@@ -32,13 +33,15 @@ def ingest_drops(spark: SparkSession, drops_dir: str, schema: StructType, lake:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(drops_dir)
+    checkpoint = checkpoint or shared_path(spark, "stream-ckpt")
+    stream_id = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         if not batch.isEmpty():
-            upsert_nightly(lake, batch, history_partition)
+            upsert_nightly(lake, batch, history_partition, f"{stream_id}-{epoch_id}")
 
     q = (stream.writeStream.foreachBatch(each)
-         .option("checkpointLocation", checkpoint or shared_path(spark, "stream-ckpt"))
+         .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q

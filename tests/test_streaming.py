@@ -27,3 +27,33 @@ def test_restart_is_exactly_once_and_incremental(spark):
     ingest.ingest_drops(spark, drops, base.schema, lake, ckpt, "snapshot_month")   # new drop only
     assert lake.read("listings_history").count() == lst.count()
     assert lake.read("listings_latest").count() == lst.select("url").distinct().count()
+
+
+def _listing(spark, rows):
+    return spark.createDataFrame(
+        [(u, d, float(p), 100.0, float(p) / 100, "c", "house") for u, d, p in rows],
+        "url string, snapshot_date string, price double, surface_m2 double, price_per_m2 double, city string, "
+        "property_type string").withColumn("snapshot_date", F.to_date("snapshot_date"))
+
+
+def test_same_day_and_late_batches_lose_nothing(spark):
+    from estatelake.plans.nightly import upsert_nightly
+    lake = Lake(spark, shared_path(spark, "lake-t"))
+    upsert_nightly(lake, _listing(spark, [("a", "2024-02-01", 200)]), batch_id="1")
+    upsert_nightly(lake, _listing(spark, [("b", "2024-02-01", 300)]), batch_id="2")      # same day
+    upsert_nightly(lake, _listing(spark, [("a", "2024-01-01", 100)]), batch_id="3")      # late
+    upsert_nightly(lake, _listing(spark, [("b", "2024-02-01", 300)]), batch_id="2")      # replay
+    got = {r["url"]: r["price"] for r in lake.read("listings_latest").collect()}
+    assert got == {"a": 200.0, "b": 300.0}
+    assert lake.read("listings_history").count() == 3
+    assert {str(r["snapshot_date"]): r["n"] for r in lake.read("market_summary_v2").collect()} == {
+        "2024-02-01": 2, "2024-01-01": 1}
+
+
+def test_rebuild_keeps_history_unfiltered(spark):
+    from estatelake.plans.nightly import rebuild_analytics
+    lake = Lake(spark, shared_path(spark, "lake-t"))
+    src = _listing(spark, [("a", "2024-02-01", 200000), ("b", "2024-02-01", 1), ("c", "2024-01-01", 250000)])
+    rebuild_analytics(lake, src, run_date="2024-02-02")
+    assert lake.read("listings_history").count() == 3
+    assert {r["url"] for r in lake.read("listings_latest").collect()} == {"a"}
