@@ -92,7 +92,7 @@ def url_parts(url) -> Column:
 
 def year_in_range(v, run_year: Column | None = None) -> Column:
     """An integer year between 1800 and next year."""
-    y = F.floor(_c(v)).cast("int")
+    y = F.floor(_c(v)).try_cast("int")
     hi = (run_year if run_year is not None else F.year(F.current_date())) + 1
     return F.when(y.between(F.lit(1800), hi), y)
 
@@ -109,7 +109,7 @@ def energy_class(v) -> Column:
 def pad_postal(v) -> Column:
     """First number as a zero-padded 4-digit postal code."""
     n = first_number(v)
-    return F.when(n.isNotNull(), F.lpad(F.floor(n).cast("bigint").cast("string"), 4, "0"))
+    return F.when(n.isNotNull(), F.lpad(F.floor(n).try_cast("bigint").cast("string"), 4, "0"))
 
 
 def address_split(address) -> Column:
@@ -137,11 +137,11 @@ def canonical_url(href, base: str = vocab.SITE_BASE) -> Column:
     return F.split_part(full, F.lit("?"), F.lit(1))
 
 
-def label_lookup_number(pairs, labels: list[str]) -> Column:
-    """First number of the first pair whose label is in ``labels``.
+def label_lookup_number(pairs, labels: Column) -> Column:
+    """First number of the first pair whose label is in the array ``labels``.
 
     ``pairs`` is array<struct<label, value, ord>> sorted by ``ord``."""
-    hits = F.filter(_c(pairs), lambda p: p["label"].isin(labels))
+    hits = F.filter(_c(pairs), lambda p: F.array_contains(labels, p["label"]))
     vals = F.transform(hits, lambda p: first_number(p["value"]))
     return F.get(F.filter(vals, lambda v: v.isNotNull()), 0)
 

@@ -146,7 +146,10 @@ def range_to_float(x) -> Column:
 _CUR = r"(?:€|eur|euro|euros)"
 # The value must start with a digit, so a lone space before the currency word
 # is never taken as the number ("Prijs € 250.000" parses to 250 000).
-_VAL = r"([0-9][0-9.\s]*(?:[,.\s][0-9]{1,3})?)"
+# Full groups of three are thousands whatever separates them ("EUR 250,000",
+# "1,250,000 €"), as in NUMBER_RE below.
+_GROUPED = r"[0-9]{1,3}(?:[.,\s][0-9]{3})+(?![0-9])"
+_VAL = rf"({_GROUPED}(?:[.,][0-9]{{1,2}}(?![0-9]))?|[0-9][0-9.\s]*(?:[,.\s][0-9]{{1,3}})?)"
 CURRENCY_RE = rf"(?i){_CUR}\s*{_VAL}|{_VAL}\s*{_CUR}"
 K_SUFFIX_RE = r"(?i)(?<![\p{L}\p{N}_])([0-9]{1,3}(?:[.,][0-9]{1,3})?)\s?k(?![\p{L}\p{N}_])"
 
@@ -160,8 +163,11 @@ def price_from_cued_text(x) -> Column:
     t = normalize_spaces(as_text(x))
     raw = F.coalesce(F.nullif(F.regexp_extract(t, CURRENCY_RE, 1), F.lit("")),
                      F.nullif(F.regexp_extract(t, CURRENCY_RE, 2), F.lit("")))
-    num = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"\s", ""), r"\.", ""), ",", ".")
-    cur_val = safe_double(num)
+    grouped = rf"^({_GROUPED})(?:[.,]([0-9]{{1,2}}))?\s*$"
+    whole = F.regexp_replace(F.regexp_extract(raw, grouped, 1), r"[^0-9]", "")
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"\s", ""), r"\.", ""), ",", ".")
+    cur_val = safe_double(F.when(raw.rlike(grouped), F.concat(whole, F.lit("."), F.regexp_extract(raw, grouped, 2),
+                                                              F.lit("0"))).otherwise(plain))
     k = F.regexp_extract(t, K_SUFFIX_RE, 1)
     k_val = F.when(k != "", F.regexp_replace(k, ",", ".").try_cast("double") * 1000.0)
     # currency number immediately followed by k / K -> thousands
@@ -176,7 +182,7 @@ _WHOLE_RE = r"^([0-9]{1,3}(?:[.\s,][0-9]{3})+(?![0-9])|[0-9]+)"
 
 def _number_value(m: Column) -> Column:
     whole = F.regexp_extract(m, _WHOLE_RE, 1)
-    frac = F.substring(m, F.length(whole) + 1, 1_000_000)
+    frac = F.substr(m, F.length(whole) + 1)
     digits = F.regexp_replace(whole, r"[^0-9]", "")
     frac_digits = F.regexp_replace(frac, r"^[,.]", "")
     txt = F.when(frac == "", digits).otherwise(F.concat(digits, F.lit("."), frac_digits))

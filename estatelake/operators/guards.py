@@ -14,14 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .stats import scalar, weighted_values
+from ..session import cut_lineage
+from .stats import exact_quantiles_by, scalar
 
 
 def column_stats(df: DataFrame, value, quantiles: dict[str, float]) -> DataFrame:
-    """One row: exact quantiles, max and non-null count of ``value``."""
-    wv = weighted_values(df, [], value)
-    return wv.agg(*[F.percentile("_v", F.lit(p), F.col("_w")).alias(n) for n, p in quantiles.items()],
-                  F.max("_v").alias("max"), F.sum("_w").alias("n"))
+    """One row: exact quantiles, max and non-null count of ``value``; computed once and written out."""
+    v = cut_lineage(df.select(value.cast("double").alias("_v")))
+    q = exact_quantiles_by(v, [], {n: ("_v", p) for n, p in quantiles.items()})
+    one = v.agg(F.max("_v").alias("max"), F.count("_v").alias("n"))
+    return cut_lineage(one.select(*[q.select(n).scalar().alias(n) for n in quantiles], "max", "n"))
 
 
 def unit_guard_v1(df: DataFrame, col: str = "price") -> DataFrame:
@@ -71,13 +73,32 @@ def quantile_trim(df: DataFrame, lo: float = 0.05, hi: float = 0.95, mode: str =
     """F8 + F7: keep rows whose target lies in [q_lo, q_hi] (exact quantiles);
     then the final non-NULL policy on the target. ``mode`` 'none' skips the
     trim."""
-    t = trim_target(df)
-    out = df
+    return trim_with_report(df, lo, hi, mode)[0]
+
+
+def trim_with_report(df: DataFrame, lo: float, hi: float, mode: str) -> tuple[DataFrame, DataFrame]:
+    """F8 + F7 and its one-row report: trim_target, trim_lo, trim_hi, trim_dropped, n_out. The input
+    is written out once; target and bounds are read from a one-row table."""
+    df = cut_lineage(df)
+    name = F.lit("price")
+    if "price_per_m2" in df.columns:
+        seen = cut_lineage(df.agg((F.count("price_per_m2") > 0).alias("any")))
+        name = F.when(scalar(seen, F.col("any")), F.lit("price_per_m2")).otherwise(name)
+        t = F.when(name == "price_per_m2", F.col("price_per_m2")).otherwise(F.col("price"))
+    else:
+        t = F.col("price")
+    out, q_lo, q_hi = df, F.lit(None).cast("double"), F.lit(None).cast("double")
     if mode.lower() in {"qcut", "quantile", "quantiles"}:
         st = column_stats(df, t, {"lo": lo, "hi": hi})
         q_lo, q_hi = scalar(st, F.col("lo")), scalar(st, F.col("hi"))
         out = out.where((t >= q_lo) & (t <= q_hi))
-    return out.where(t.isNotNull())
+    dropped = df.agg(F.count(F.lit(1)).alias("n"))
+    kept = out.agg(F.count(F.lit(1)).alias("n"))
+    out = out.where(t.isNotNull())
+    report = out.agg(F.count(F.lit(1)).alias("n_out")).select(
+        name.alias("trim_target"), q_lo.alias("trim_lo"), q_hi.alias("trim_hi"),
+        (scalar(dropped, F.col("n")) - scalar(kept, F.col("n"))).alias("trim_dropped"), "n_out")
+    return out, report
 
 
 def fallback_cascade(df: DataFrame) -> DataFrame:

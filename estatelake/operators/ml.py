@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -28,6 +27,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,19 +128,19 @@ def preprocessing_stages(train: DataFrame, num: Sequence[str], cat: Sequence[str
 
 # M3 -------------------------------------------------------------------------
 def make_regressor(kind: str, label: str = "label", num_trees: int = 400, max_depth: int = 30,
-                   seed: int = 42, max_bins: int = 32):
-    """'linear' (ordinary least squares) or 'rf' (random forest; Spark caps
-    depth at 30, the closest to unlimited)."""
+                   seed: int = 42, max_bins: int = 32, solver: str = "normal"):
+    """'linear' (ordinary least squares by ``solver``: "normal" is exact and takes 4,096 features, "l-bfgs"
+    any number of one-hot ones) or 'rf' (random forest; Spark allows depths up to 30)."""
     if kind == "linear":
-        # 'auto': exact normal equations up to 4096 features, L-BFGS beyond
-        # (one-hot postal codes alone can exceed that at scale)
         return LinearRegression(featuresCol="features", labelCol=label, predictionCol="__pred",
-                                regParam=0.0, elasticNetParam=0.0, solver="auto")
+                                regParam=0.0, elasticNetParam=0.0, solver=solver)
     if kind == "rf":
+        if max_depth > 30:
+            raise ValueError("Spark forests are at most 30 levels deep")
         # Deep trees: a large node-group budget means far fewer passes over
         # the data per tree level; node ids are cached between levels.
         return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="__pred",
-                                     numTrees=num_trees, maxDepth=min(max_depth, 30), seed=seed,
+                                     numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                      maxBins=max_bins, maxMemoryInMB=1024, cacheNodeIds=True,
                                      checkpointInterval=10)
     raise ValueError(kind)
@@ -266,7 +266,12 @@ class Registry:
 
     def save(self, model: PipelineModel, kind: str, target: str, metrics: dict,
              target_is_log: bool, extra: dict | None = None) -> str:
-        ts = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S") + "_" + uuid.uuid4().hex[:6]
+        # microseconds, and never at or before the newest version: order of saving is order of versions
+        ts = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+        newest = self._newest_ts()
+        if newest and ts <= newest:
+            day, clock, micro = newest.split("_")
+            ts = f"{day}_{clock}_{int(micro) + 1:06d}"
         path = f"{self.root}/{kind}_{target}_{ts}"
         model.write().overwrite().save(path)
         row = [(kind, target, ts, path, json.dumps(metrics, default=float), target_is_log,
@@ -276,6 +281,14 @@ class Registry:
              .write.mode("append").parquet(f"{self.root}/_manifest"))
         return path
 
+    def _newest_ts(self) -> str | None:
+        try:
+            return self.manifest().agg(F.max("ts")).first()[0]
+        except AnalysisException as e:   # nothing saved yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def manifest(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/_manifest")
 
@@ -289,20 +302,21 @@ class Registry:
 # M6 -------------------------------------------------------------------------
 def train_and_select(df: DataFrame, target: str, registry: Registry | None = None,
                      kinds: Sequence[str] = ("linear", "rf"), k: int = 5, key: str = "url",
-                     **kw) -> DataFrame:
+                     solver: str = "l-bfgs", **kw) -> DataFrame:
     """CV every model kind, choose the lowest mean rmse (A17), fit it on all
     rows with the same log target, persist it. Returns the metrics table
     (one row per kind, ``chosen`` flag)."""
     d = df.where(F.col(target).isNotNull())
     num, cat = select_feature_columns(d, target)
-    per = cv_models(d, target, kinds, num, cat, k=k, key=key, params={"rf": kw})
+    per = cv_models(d, target, kinds, num, cat, k=k, key=key, params={"rf": kw, "linear": {"solver": solver}})
     rows = per.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"),
                                     F.avg("mape").alias("mape"), F.avg("r2").alias("r2"),
                                     F.sum("n").alias("n"))
     rows = rows.cache()
     best = rows.agg(F.min_by("model", "rmse").alias("m")).first()["m"]
     if registry is not None:
-        model = fit_model(d, target, best, num, cat, True, **(kw if best == "rf" else {}))
+        model = fit_model(d, target, best, num, cat, True,
+                          **(kw if best == "rf" else {"solver": solver}))
         metrics = {r["model"]: r.asDict() for r in rows.collect()}
         registry.save(model, best, target, metrics, True, {"chosen": best})
     return rows.withColumn("chosen", F.col("model") == F.lit(best))
@@ -320,14 +334,14 @@ def auto_predict(requests: DataFrame, registry: Registry) -> DataFrame:
 
     price_m, ppm2_m = newest("price"), newest("price_per_m2")
     if not price_m and not ppm2_m:
-        raise FileNotFoundError("No models in the registry. Train a model first.")
+        raise LookupError(f"{registry.root}: no model is registered")
     has_s = F.col("surface_m2").isNotNull() & (F.col("surface_m2") != 0)
     routes = [(has_s, price_m or ppm2_m, "price" if price_m else "price_per_m2"),
               (~has_s, ppm2_m or price_m, "price_per_m2" if ppm2_m else "price")]
     out = None
     for cond, (path, is_log), tgt in routes:
         part = predict(PipelineModel.load(path), requests.where(cond), is_log)
-        part = part.withColumn("target", F.lit(tgt)).withColumn("used_model", F.lit(path.rsplit("/", 1)[-1]))
+        part = part.withColumn("target", F.lit(tgt)).withColumn("used_model", F.lit(path.rsplit("/", 1)[-1].split("_", 1)[0]))
         part = part.withColumn("derived_price", F.when((F.lit(tgt) == "price_per_m2") & has_s,
                                                        F.col("prediction") * F.col("surface_m2")))
         out = part if out is None else out.unionByName(part)

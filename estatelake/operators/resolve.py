@@ -112,10 +112,10 @@ def normalize_listing(df: DataFrame, run_date: _dt.date | str | None = None) ->
     s1 = df.select(
         url.alias("url"),
         _int_euros(df, r["price"]).alias("_p0"),
-        _int_euros(df, r["bedrooms"]).cast("int").alias("bedrooms"),
-        _int_euros(df, r["bathrooms"]).cast("int").alias("bathrooms"),
+        _int_euros(df, r["bedrooms"]).try_cast("int").alias("bedrooms"),
+        _int_euros(df, r["bathrooms"]).try_cast("int").alias("bathrooms"),
         _surface(df, r["surface_m2"]).alias("_s0"),
-        _int_euros(df, r["year_built"]).cast("int").alias("year_built"),
+        _int_euros(df, r["year_built"]).try_cast("int").alias("year_built"),
         title.alias("title"),
         desc.alias("_desc"),
         _text(r["city"]).alias("city"),
@@ -173,6 +173,11 @@ SCORING_TYPES = {"surface_m2": "double", "year_built": "int", "bedrooms": "int",
                  "energy_label": "string", "region": "string"}
 
 
+def _truncated(v):
+    """Integer part, toward zero; NULL when it does not fit."""
+    return F.when(v < 0, F.ceil(v)).otherwise(F.floor(v)).try_cast("int")
+
+
 def scoring_rows(requests: DataFrame) -> DataFrame:
     """P10 over a table of requests: keep the 9 expected features (extras
     dropped, absent -> NULL); numbers coerced (ints via float), strings kept."""
@@ -187,9 +192,9 @@ def scoring_rows(requests: DataFrame) -> DataFrame:
             cols.append(c.cast("string").alias(k))
         elif isinstance(_dtype(requests, k), NumericType):
             v = c.cast("double")
-            cols.append((v if t == "double" else F.floor(v).cast("int")).alias(k))
+            cols.append((v if t == "double" else _truncated(v)).alias(k))
         else:
             v = parse.safe_double(F.trim(c.cast("string")), signed=True)
-            cols.append((v if t == "double" else F.floor(v).cast("int")).alias(k))
+            cols.append((v if t == "double" else _truncated(v)).alias(k))
     extra = [c for c in requests.columns if c in ("request_id",)]
     return requests.select(*extra, *cols)

@@ -1,41 +1,86 @@
 """Exact grouped quantiles and scalar statistics.
 
-Exact interpolated quantiles (``percentile``, the same linear interpolation
-as pandas' ``quantile`` / DuckDB's ``quantile_cont``) keep a value->count map
-per group. Grouped summaries use one aggregate (see ``summarize``). Global
-quantiles — whose final merge is a single task — and opt-in grouped ones
-first pre-aggregate values to ``(keys, value, weight)`` with a distributed
-``groupBy``:
-the shuffle is keyed by ``(keys, value)``, so even a group holding a third
-of all rows is split across every reducer, and each group's final merge sees
-each distinct value once instead of once per map task. The final state is
-bounded by the number of *distinct* values in a group, not by its rows.
-``percentile_approx`` is deliberately not used: it is not equal to the
-exact quantile.
+One distributed method serves grouped and global quantiles, several columns
+in one pass over the input (``exact_quantiles_by``):
+
+1. values are counted per (group, column, value): the shuffle is keyed by the
+   value too, so a group holding a third of all rows is spread over every
+   reducer and no row ids or sort order are involved. The counts are written
+   out once;
+2. values fall into slices, the value cut to 9 significant bits, a monotone
+   function, so a group has at most a few thousand slices; running counts over
+   the slices tell which slice holds the ranks that a quantile needs;
+3. only the values of those slices are ranked, and the two neighbouring ranks are
+   interpolated linearly (as pandas' ``quantile`` / DuckDB's ``quantile_cont``).
+
+``percentile_approx`` is deliberately not used: it is not equal to the exact
+quantile.
 
 Global statistics used to decide a per-row change (unit guards, trims) are
-attached as *scalar subqueries* (``DataFrame.scalar()``): Spark computes the
-one-row aggregate once and inlines the value; there is no cross join and
-nothing goes through the driver.
+attached as *scalar subqueries* (``DataFrame.scalar()``) over a one-row table
+that is computed once; there is no cross join and nothing goes through the
+driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def weighted_values(df: DataFrame, keys: Sequence[str], value) -> DataFrame:
-    """``(keys..., _v, _w)``: distinct non-null values per group with counts."""
-    v = _c(value).cast("double")
-    return (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w")))
+def _slice(v: Column) -> Column:
+    """``v`` cut down to 9 significant bits; never decreases as ``v`` grows."""
+    unit = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(v))) - 8)
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.floor(v / unit) * unit)
+
+
+def exact_quantiles_by(df: DataFrame, keys: Sequence[str], wanted: dict[str, tuple]) -> DataFrame:
+    """One row per group that has a value: ``keys`` and, for each name of ``wanted``
+    (name -> (column, probability)), the exact interpolated quantile (NULLs ignored)."""
+    columns: list = []
+    for c, _ in wanted.values():
+        if not any(c is x or (isinstance(c, str) and c == x) for x in columns):
+            columns.append(c)
+    index = {n: next(i for i, x in enumerate(columns) if x is c or (isinstance(c, str) and x == c))
+             for n, (c, _) in wanted.items()}
+    each = F.array(*[F.struct(F.lit(i).alias("_m"), _c(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
+    w = (df.select(*keys, F.explode(each).alias("_e")).select(*keys, "_e.*").where("_v IS NOT NULL")
+         .groupBy(*keys, "_m", "_v").agg(F.count(F.lit(1)).alias("_w")))
+    w = cut_lineage(w.withColumn("_s", _slice(F.col("_v"))))
+    group = [*keys, "_m"]
+    run = Window.partitionBy(*group).orderBy("_s")
+    s = w.groupBy(*group, "_s").agg(F.sum("_w").alias("_c"))
+    s = s.withColumn("_before", F.sum("_c").over(run) - F.col("_c")) \
+        .withColumn("_n", F.sum("_c").over(Window.partitionBy(*group)))
+    asks = F.array(*[F.struct(F.lit(index[n]).alias("m"), F.lit(float(p)).alias("p"), F.lit(n).alias("name"))
+                     for n, (_, p) in wanted.items()])
+    # rank of the lower neighbour; the upper one is at most the next rank, maybe in the next slice
+    t = s.select("*", F.explode(F.filter(asks, lambda a: a.m == F.col("_m"))).alias("_a")) \
+        .select("*", ((F.col("_n") - 1) * F.col("_a.p")).alias("_pos"))
+    for side, f in (("_lo", F.floor), ("_hi", F.ceil)):
+        t = t.withColumn(side, f("_pos"))
+    holds = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_c"))
+    t = t.where(holds("_lo") | holds("_hi")).select(*group, "_s", "_before", F.col("_a.name").alias("_name"), "_pos",
+                                                     "_lo", "_hi")
+    inside = Window.partitionBy(*group, "_s", "_name").orderBy("_v")
+    hit = _join_null_safe(w, t, [*group, "_s"])
+    hit = hit.withColumn("_end", F.col("_before") + F.sum("_w").over(inside)) \
+        .withColumn("_start", F.col("_end") - F.col("_w"))
+    at = lambda r: F.max(F.when((F.col(r) >= F.col("_start")) & (F.col(r) < F.col("_end")), F.col("_v")))
+    q = hit.groupBy(*keys, "_name").agg(at("_lo").alias("_lv"), at("_hi").alias("_hv"), F.max("_pos").alias("_pos"),
+                                        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lv")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_lv") + (F.col("_pos") - F.col("_lo")) * F.col("_hv"))
+    q = q.select(*keys, "_name", value.alias("_q"))
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_q"))).alias(n) for n in wanted])
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], value,
@@ -45,9 +90,7 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value,
     Groups whose values are all NULL are absent from the result; join back
     with ``join_on_keys`` (left) to keep them with NULL quantiles.
     """
-    wv = weighted_values(df, keys, value)
-    aggs = [F.percentile("_v", F.lit(p), F.col("_w")).alias(name) for name, p in quantiles.items()]
-    return wv.groupBy(*keys).agg(*aggs)
+    return exact_quantiles_by(df, keys, {n: (value, p) for n, p in quantiles.items()})
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,37 +114,15 @@ def _single_row_join(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def summarize(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-              medians: dict[str, object] | None = None, preaggregate: bool = False,
-              method: str = "percentile", hot_fraction: float = 0.05) -> DataFrame:
-    """``groupBy(keys).agg(aggs)`` plus exact medians per group.
-
-    Default: ONE aggregate over the input — ``percentile`` combines
-    value->count maps per group map-side, before the shuffle, next to the
-    plain aggregates, so the input is scanned once. ``preaggregate=True``
-    instead runs each median through ``grouped_quantiles`` (a shuffle keyed
-    by (group, value) first) and joins it back on the keys: one more pass per
-    median, worth it only when a hot group's values repeat heavily.
-    ``method="rank"`` selects each median by rank after a range sort
-    (``quantiles_by_rank``): no group is ever held by one task.
-    ``method="auto"`` splits hot groups off (see ``_summarize_split_hot``).
-    """
-    medians = medians or {}
-    if method == "auto":
-        return _summarize_split_hot(df, keys, aggs, medians, hot_fraction)
-    if method == "rank":
-        base = df.groupBy(*keys).agg(*aggs)
-        for name, col in medians.items():
-            base = join_on_keys(base, quantiles_by_rank(df, keys, col, {name: 0.5}), keys)
-        return base
-    if not preaggregate:
-        return df.groupBy(*keys).agg(
-            *aggs, *[F.percentile(_c(col).cast("double"), F.lit(0.5)).alias(name)
-                     for name, col in medians.items()])
+              medians: dict[str, object] | None = None) -> DataFrame:
+    """``groupBy(keys).agg(aggs)`` plus exact medians per group, all medians in
+    one pass of ``exact_quantiles_by``. The prepared rows are written out once, so
+    the two passes do not repeat what produced them."""
+    if not medians:
+        return df.groupBy(*keys).agg(*aggs)
+    df = cut_lineage(df)
     base = df.groupBy(*keys).agg(*aggs)
-    for name, col in medians.items():
-        q = grouped_quantiles(df, keys, col, {name: 0.5})
-        base = join_on_keys(base, q, keys)
-    return base
+    return join_on_keys(base, exact_quantiles_by(df, keys, {n: (c, 0.5) for n, c in medians.items()}), keys)
 
 
 def global_quantiles(df: DataFrame, value, quantiles: dict[str, float]) -> DataFrame:
@@ -115,50 +136,6 @@ def scalar(df: DataFrame, expr: Column) -> Column:
     return df.select(expr.alias("_s")).scalar()
 
 
-def quantiles_by_rank(df: DataFrame, keys: Sequence[str], value,
-                      quantiles: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles per group without ever holding a group in
-    one task (the skew-safe path for a group with a third of all rows).
-
-    1. range-sort the non-NULL ``(keys, value)`` pairs: range partitioning
-       splits a hot group over many partitions;
-    2. count rows per (partition, group) — a table of at most partitions +
-       groups rows — and turn it into each partition's rank offset within
-       its group (running sum over partitions, per group);
-    3. a row's rank = its group offset + its position inside the partition;
-       keep only the rows at the ranks each quantile interpolates between
-       (two per group and quantile), then interpolate exactly as
-       ``percentile`` does.
-    """
-    v = df.select(*keys, _c(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    sizes = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    srt = (v.repartitionByRange(*keys, "_v").sortWithinPartitions(*keys, "_v")
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_idx", F.monotonically_increasing_id()))
-    per_part = srt.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_c"),
-                                              F.min("_idx").alias("_first"))
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
-    ranked = _join_null_safe(srt, offsets, ["_pid", *keys]).withColumn(
-        "_rank", F.col("_off") + F.col("_idx") - F.col("_first"))
-    out = None
-    for name, p in quantiles.items():
-        pos = (F.col("_n") - 1) * F.lit(p)
-        t = sizes.select(*keys, pos.alias("_pos"), F.floor(pos).alias("_lo"), F.ceil(pos).alias("_hi"))
-        hit = _join_null_safe(ranked.select(*keys, "_rank", "_v"), t, keys).where(
-            (F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi")))
-        q = hit.groupBy(*keys).agg(
-            F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_lv"),
-            F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_hv"),
-            F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-        q = q.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lv")).otherwise(
-            (F.col("_hi") - F.col("_pos")) * F.col("_lv") + (F.col("_pos") - F.col("_lo")) * F.col("_hv"))
-            .alias(name))
-        out = q if out is None else _join_null_safe(out, q, keys, "full")
-    return out
-
-
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
                     ) -> DataFrame:
     r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys],
@@ -173,26 +150,3 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
                      *[c for c in j.columns if c not in keys and not c.startswith("_rk_")])
         return j
     return j.drop(*[f"_rk_{k}" for k in keys])
-
-
-def _summarize_split_hot(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                         medians: dict[str, object], hot_fraction: float) -> DataFrame:
-    """Hot groups — more than ``hot_fraction`` of all rows, hence at most
-    ``1 / hot_fraction`` of them, a size-bounded table that AQE broadcasts —
-    take the rank-selection path; every other group takes the single
-    aggregate. The two row sets are split with null-safe semi / anti joins
-    against the hot-key table, so the ``percentile`` aggregate never sees a
-    hot group."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_gn"))
-    total = sizes.select(F.sum("_gn")).scalar()
-    hot = sizes.where(F.col("_gn") > total * F.lit(hot_fraction)).select(*keys)
-    r = hot.select(*[F.col(k).alias(f"_hk_{k}") for k in keys])
-    cond = None
-    for k in keys:
-        e = F.col(k).eqNullSafe(F.col(f"_hk_{k}"))
-        cond = e if cond is None else cond & e
-    hot_rows = df.join(r, cond, "left_semi")
-    cold_rows = df.join(r, cond, "left_anti")
-    cold = summarize(cold_rows, keys, aggs, medians)
-    hot_res = summarize(hot_rows, keys, aggs, medians, method="rank")
-    return cold.unionByName(hot_res.select(*cold.columns))

@@ -1,8 +1,8 @@
 """Training-set builders.
 
-Each builder is a lazy transform chain; data-dependent choices (fallback
-stage, trim target, unit guard) are scalar subqueries, so one builder is one
-Spark job with no driver round trips.
+Each builder is a transform chain; data-dependent choices (fallback stage,
+trim target, unit guard) are scalar subqueries. Prepared rows are written out
+once (shared folder) where several statistics and the rows need them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from .. import vocab
 from ..functions import flags, parse
 from ..session import cut_lineage
 from .dedupe import keep_latest
-from .guards import fallback_cascade, quantile_trim, trim_target, unit_guard_v2
+from .guards import fallback_cascade, trim_with_report, unit_guard_v2
 from .resolve import coerce_numeric, fill_zero, normalize_listing, select_fixed
 
 # Surface in free text: 'a' or the range 'a–b' (1-3 digits, up to 2 decimals)
@@ -70,7 +70,13 @@ def training_v1(raw: DataFrame) -> DataFrame:
 
 def training_v2(df: DataFrame, lo: float = 0.05, hi: float = 0.95, mode: str = "qcut",
                 tie_break: tuple[str, ...] = ("listing_id",)) -> DataFrame:
-    """k€ guard (A7) → keep latest per URL (W1) → surface backfill (X14,
+    """The rows of ``build_training_v2``."""
+    return build_training_v2(df, lo, hi, mode, tie_break)[0]
+
+
+def build_training_v2(df: DataFrame, lo: float = 0.05, hi: float = 0.95, mode: str = "qcut",
+                      tie_break: tuple[str, ...] = ("listing_id",)) -> tuple[DataFrame, DataFrame]:
+    """M10 and its lineage (A13): k€ guard (A7) → keep latest per URL (W1) → surface backfill (X14,
     before projection so the text columns are still there) → projection →
     numeric coercion (P7) → price > 0, m² ≤ 5 → NULL (F4) → €/m² (P9) →
     quantile trim (F8) → non-NULL target (F7)."""
@@ -84,12 +90,17 @@ def training_v2(df: DataFrame, lo: float = 0.05, hi: float = 0.95, mode: str = "
     keep = [c for c in vocab.TRAINING_V2_KEEP if c in d.columns]
     extra = [c for c in ("snapshot_ts",) + tuple(tie_break) if c in d.columns]
     d = d.select(*keep, *extra)
-    d = coerce_numeric(d, ["price", "surface_m2", "bedrooms", "bathrooms", "year_built"])
+    # guard, keep-latest and backfill run once
+    d = cut_lineage(coerce_numeric(d, ["price", "surface_m2", "bedrooms", "bathrooms", "year_built"]))
+    n_in = df.agg(F.count(F.lit(1)).alias("n"))
+    filled = d.agg(F.count("surface_m2").alias("n"))
     d = sanity_v2(d)
     if "price" in d.columns and "surface_m2" in d.columns:
         d = d.withColumn("price_per_m2", F.when(F.col("surface_m2") > 0,
                                                 F.col("price") / F.col("surface_m2")))
-    return quantile_trim(d, lo, hi, mode)
+    out, report = trim_with_report(d, lo, hi, mode)
+    lineage = report.select(n_in.scalar().alias("n_in"), filled.scalar().alias("surface_filled"), "*")
+    return out, lineage
 
 
 def sanity_v2(d: DataFrame) -> DataFrame:
@@ -102,25 +113,24 @@ def sanity_v2(d: DataFrame) -> DataFrame:
     return d
 
 
-def training_lineage(df: DataFrame, out: DataFrame) -> DataFrame:
-    """n_in, n_out and the trim target of one training build, one row."""
-    target = "price_per_m2" if "price_per_m2" in out.columns else "price"
-    n_in = df.select(F.count(F.lit(1)).alias("n")).scalar()
-    return out.agg(F.count(F.lit(1)).alias("n_out"), F.count("surface_m2").alias("surface_filled")
-                   ).select(n_in.alias("n_in"), "n_out", "surface_filled",
-                            F.lit(target).alias("trim_target_if_present"))
+def training_lineage(df: DataFrame, **options) -> DataFrame:
+    """One row of a training build: n_in, surface_filled (rows with a surface after the backfill, before any
+    filter), trim_target, trim_lo, trim_hi, trim_dropped, n_out."""
+    return build_training_v2(df, **options)[1]
 
 
-def training_v3(latest: DataFrame) -> DataFrame:
+def training_v3(latest: DataFrame, key: str | None = None) -> DataFrame:
     """Keep essentials → F5 → is_rent as 'Yes'/'No', categoricals as
-    strings, numerics as double. Returns features + ``price``."""
-    d = select_fixed(latest, ["city", "postal_code", "property_type", "is_rent", "bedrooms",
+    strings, numerics as double. Returns features + ``price`` (+ ``key``, for
+    reproducible folds)."""
+    d = select_fixed(latest, ([key] if key else []) + ["city", "postal_code", "property_type", "is_rent", "bedrooms",
                               "bathrooms", "surface_m2", "price"],
                      {"is_rent": "boolean", "bedrooms": "double", "bathrooms": "double",
                       "surface_m2": "double", "price": "double"})
     d = d.where(F.col("price").isNotNull() & F.col("surface_m2").isNotNull()
                 & F.col("surface_m2").between(10, 1000))
     return d.select(
+        *([key] if key else []),
         F.col("city").cast("string").alias("city"),
         F.col("postal_code").cast("string").alias("postal_code"),
         F.col("property_type").cast("string").alias("property_type"),
@@ -133,4 +143,4 @@ def training_v3(latest: DataFrame) -> DataFrame:
 
 
 __all__ = ["training_v1", "training_v2", "training_v3", "training_lineage", "surface_backfill",
-           "sanity_v2", "trim_target"]
+           "sanity_v2", "build_training_v2"]

@@ -260,7 +260,6 @@ _CUED_TEXT = (f"(CASE WHEN k % 8 < 6 THEN {PRICE_TEXT} WHEN k % 8 = 6 "
               f"THEN '€' || CAST(P // 1000 AS VARCHAR) || 'k' "
               f"ELSE 'about ' || CAST(P // 1000 AS VARCHAR) || ' k' END)")
 _CUED_TRUTH = ("(CASE WHEN k % 8 >= 6 THEN CAST((P // 1000) * 1000 AS DOUBLE) "
-               "WHEN k % 6 = 3 AND P >= 1000 THEN P / 1000.0 "
                "WHEN k % 6 = 4 THEN (P * 100 + C) / 100.0 ELSE CAST(P AS DOUBLE) END)")
 rb_query("X15_price_with_currency_cue", f"""
 SELECT k, 'Vraagprijs ' || {_CUED_TEXT} || ' (kosten koper)' AS text, {r4(_CUED_TRUTH)} AS value
@@ -757,8 +756,15 @@ _LATEST_ALL = with_ctes(LISTING_CTE, """
 SELECT url, snapshot_date, price FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC, listing_id DESC) AS rn
   FROM listing WHERE url IS NOT NULL) WHERE rn = 1""")
-oracle("J2_upsert_tables", _LATEST_ALL)
-oracle("J2_stream_upsert", _LATEST_ALL)
+_LAKE_TABLES = with_ctes(LISTING_CTE, """
+SELECT 'latest' AS "table", url, snapshot_date, price, CAST(NULL AS BIGINT) AS n FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY snapshot_date DESC, listing_id DESC) AS rn
+  FROM listing WHERE url IS NOT NULL) WHERE rn = 1
+UNION ALL SELECT 'history', url, snapshot_date, price, NULL FROM listing WHERE url IS NOT NULL
+UNION ALL SELECT 'summary', concat_ws('|', city, property_type), snapshot_date, NULL, count(*) FROM listing
+  WHERE url IS NOT NULL AND price_per_m2 IS NOT NULL GROUP BY city, property_type, snapshot_date""")
+oracle("J2_upsert_tables", _LAKE_TABLES)
+oracle("J2_stream_upsert", _LAKE_TABLES)
 
 oracle("S10_history_partitions", with_ctes(LISTING_CTE, """
 SELECT listing_id, url, strftime(snapshot_date, '%Y-%m') AS snapshot_month FROM listing"""))
@@ -827,14 +833,22 @@ d3 AS (SELECT *, COALESCE(surface_m2,
 d4 AS (SELECT listing_id, price, CASE WHEN sf2 <= 5 THEN NULL ELSE sf2 END AS surface_m2 FROM d3 WHERE price > 0),
 d5 AS (SELECT *, CASE WHEN surface_m2 > 0 THEN price / surface_m2 END AS price_per_m2 FROM d4),
 b AS (SELECT quantile_cont(price_per_m2, 0.05) AS lo, quantile_cont(price_per_m2, 0.95) AS hi FROM d5),
-o AS (SELECT d5.* FROM d5, b WHERE price_per_m2 >= lo AND price_per_m2 <= hi AND price_per_m2 IS NOT NULL)""", """
-SELECT (SELECT count(*) FROM listing) AS n_in, count(*) AS n_out, count(surface_m2) AS surface_filled,
-       'price_per_m2' AS trim_target_if_present
+o AS (SELECT d5.* FROM d5, b WHERE price_per_m2 >= lo AND price_per_m2 <= hi AND price_per_m2 IS NOT NULL)""", f"""
+SELECT (SELECT count(*) FROM listing) AS n_in, (SELECT count(sf2) FROM d3) AS surface_filled,
+       CASE WHEN (SELECT count(price_per_m2) FROM d5) > 0 THEN 'price_per_m2' ELSE 'price' END AS trim_target,
+       {r4("(SELECT lo FROM b)")} AS trim_lo, {r4("(SELECT hi FROM b)")} AS trim_hi,
+       (SELECT count(*) FROM d5) - count(*) AS trim_dropped, count(*) AS n_out
 FROM o"""))
 
 ORACLES["A3_market_summary_v3_rank_select"] = ORACLES["A3_market_summary_v3"]
 
-ORACLES["A3_market_summary_v3_split_hot_groups"] = ORACLES["A3_market_summary_v3"]
+oracle("A3_market_summary_v3_split_hot_groups", with_ctes(PREP_CTE, f"""
+SELECT CASE WHEN listing_id % 10 = 0 THEN snapshot_date END AS snapshot_date,
+       CASE WHEN listing_id % 10 = 0 THEN city ELSE 'hot' END AS city,
+       CASE WHEN listing_id % 10 = 0 THEN property_type END AS property_type, count(url) AS n,
+       {r4("median(price)")} AS median_price, {r4("median(price_per_m2)")} AS median_eur_m2
+FROM cleaned GROUP BY 1, 2, 3
+"""))
 
 ORACLES["S15_dashboard_sql_on_view"] = ORACLES["A4_dashboard_summary_top500"]
 

@@ -1,14 +1,14 @@
 """Session construction and shared-folder helpers.
 
 Cluster jobs never invent scratch space: lineage cuts and staged writes go
-under the folder the cluster names in ``spark.checkpoint.dir``. Only when
-that setting is absent (unit tests, a laptop) do we fall back to a fresh
-``mktemp``-style folder.
+under the folder the cluster names in ``spark.checkpoint.dir``. Only a
+``local`` master (unit tests, a laptop) falls back to a fresh
+``mktemp``-style folder when that setting is absent; a cluster without it is
+an error. Staged folders are removed when the driver's JVM exits.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -29,11 +29,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    cpus = os.cpu_count() or 8
-    parts = shuffle_partitions or cpus
     conf = {
         "spark.ui.enabled": "false",
-        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -45,6 +42,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.driver.memory": "16g",
     }
+    if shuffle_partitions:    # otherwise the cluster's own setting stands
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -61,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="estatelake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -69,7 +70,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for staged tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -1,15 +1,16 @@
 """File-zone sources.
 
-* File listing is a Spark job (``binaryFile`` with only path/size/mtime
-  selected, so file contents are never read); the driver only ever holds
-  file *names*, as it does for any ``spark.read``.
+* Files are found by the reader itself (recursive lookup plus a name pattern);
+  no list of paths passes through the driver. Names and prefixes are tested
+  on the decoded ``_metadata.file_path``, so blanks in folders are fine.
 * CSV drops with different headers (``url`` / ``URL`` / ``link`` / ``href``,
-  extra columns) are read in ONE scan: every line is read as positional
-  string columns, each file's header is its first line (smallest row id in
-  the file), and data rows are mapped to names through a file-level header
-  table joined back on the file path (one row per file — small, broadcast by
-  AQE when under the threshold). Each file is read by the task that owns its
-  split, so no file passes through the driver or a single task.
+  extra columns) are read in ONE scan: every record is read as positional
+  string columns, as many as the widest header line has commas (an upper bound
+  found in the first line of each file), each file's header is its first record,
+  and data records are mapped to names through a file-level header table joined
+  back on the file path (one row per file — small, broadcast by AQE when
+  under the threshold). Quoted fields may hold newlines and doubled quotes, so a file
+  is read by one task; a day has many files, none of them large.
 * Unreadable files are skipped (``ignoreCorruptFiles``); files without a URL
   column are skipped; keep-first dedupe is a top-1 window ordered by
   (source file, row id).
@@ -17,19 +18,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import vocab
 from ..operators.dedupe import first_by_url
 
-MAX_CSV_COLUMNS = 64
-RAW_SCHEMA = StructType([StructField(f"_c{i}", StringType()) for i in range(MAX_CSV_COLUMNS)])
-
-
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """(path, name, size, mtime) of every file under ``root`` matching
     ``glob``, recursively."""
@@ -39,20 +38,48 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
                      F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
-def read_csv_any_header(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Union-by-name of CSV files with heterogeneous headers, one scan.
+def csv_reader(spark: SparkSession):
+    """RFC 4180 quoting: newlines and doubled quotes inside quoted fields."""
+    return spark.read.option("multiLine", "true").option("escape", '"')
+
+
+def decoded_path() -> Column:
+    """The scanned file's path without URI escapes ('+' is literal in paths)."""
+    raw = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.regexp_replace(F.url_decode(raw), r"^file:/*", "/")
+
+
+def header_width(spark: SparkSession, root: str, glob: str = "*.csv") -> int:
+    """Upper bound on the columns of any file: commas in its first line, plus one."""
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+             .option("ignoreCorruptFiles", "true").text(root)
+             .select("value", F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"))
+             .where("at = 0"))
+    first = lines.groupBy("path").agg(F.min_by("value", "id").alias("line"))
+    return (first.agg(F.max(F.regexp_count("line", F.lit(",")))).first()[0] or 0) + 1
+
+
+def read_csv_any_header(spark: SparkSession, root: str, glob: str = "*.csv",
+                        skip_prefixes: Sequence[str] = ()) -> DataFrame:
+    """Union-by-name of the CSV files under ``root`` with heterogeneous headers, one scan.
 
+    Files whose lower-cased name starts with one of ``skip_prefixes`` are left out.
     Returns one string column per distinct header name (first-seen order)
-    plus ``__source_file`` and ``__row`` (row id, increasing within a file).
+    plus ``__source_file`` (decoded path) and ``__row`` (row id, increasing within a file).
     Empty header names are dropped; duplicate names keep the first column.
     """
-    if not paths:
-        raise FileNotFoundError("no input files")
-    raw = (spark.read.schema(RAW_SCHEMA).option("header", "false").option("mode", "PERMISSIVE")
-           .option("ignoreCorruptFiles", "true").csv(list(paths))
-           .withColumn("__source_file", F.col("_metadata.file_path"))
+    width = header_width(spark, root, glob)
+    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
+    raw = (csv_reader(spark).schema(schema).option("header", "false").option("mode", "PERMISSIVE")
+           .option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+           .option("ignoreCorruptFiles", "true").csv(root)
+           .withColumn("__source_file", decoded_path())
            .withColumn("__row", F.monotonically_increasing_id()))
-    vals = F.array(*[F.col(f"_c{i}") for i in range(MAX_CSV_COLUMNS)])
+    name = F.lower(F.element_at(F.split("__source_file", "/"), -1))
+    for p in skip_prefixes:
+        raw = raw.where(~name.startswith(p))
+    vals = F.array(*[F.col(f"_c{i}") for i in range(width)])
     # first row per file; trimming / lower-casing touch only that one row
     headers = (raw.groupBy("__source_file")
                .agg(F.min_by(vals, "__row").alias("__header"), F.min("__row").alias("__hdr_row"))
@@ -82,40 +109,33 @@ def url_column_of(df: DataFrame) -> list[str]:
 
 
 def looks_like_kind(url, kind: str):
-    """apartment / house URL heuristic for legacy drops."""
-    k = "apartment" if kind == "apartments" else "house"
-    u = F.lower(F.coalesce(url, F.lit("")))
-    return u.contains(f"/{k}/") | u.contains(f"{k}?") | u.contains(f"{k}&")
+    """whether a legacy URL names the kind, by the fixed markers of the vocabulary."""
+    low = F.lower(F.coalesce(url, F.lit("")))
+    return F.exists(F.array(*[F.lit(m) for m in vocab.KIND_URL_MARKERS[kind]]), lambda m: F.contains(low, m))
 
 
 def consolidate_urls(spark: SparkSession, day_dir: str, kind: str) -> DataFrame:
     """S3 (+P3, F9, A9): every CSV under ``day_dir/<kind>/`` (modern) and
     ``day_dir/<other dir>/`` (legacy, rows filtered by kind) → one URL per
     listing, first occurrence by (file path, row)."""
-    files = list_files(spark, day_dir).select("path")
-    paths = sorted(r["path"] for r in files.collect())
-    if not paths:
-        raise FileNotFoundError(f"No CSV files under {day_dir}")
-    df = read_csv_any_header(spark, paths)
+    df = read_csv_any_header(spark, day_dir)
     ucols = url_column_of(df)
     if not ucols:
-        raise RuntimeError(f"No usable URL rows for kind={kind}")
+        raise LookupError(f"{day_dir}: no file has a URL column (kind {kind})")
     # per file, the first header name that is a URL column wins
     url = F.coalesce(*[F.col(c) for c in ucols])
-    modern_prefix = day_dir.rstrip("/") + f"/{kind}/"
-    sibling_kinds = [f"{day_dir.rstrip('/')}/{k}/" for k in ("apartments", "houses") if k != kind]
+    root = "/" + re.sub(r"^[a-z]+:/*", "", day_dir).strip("/") if "://" not in day_dir or day_dir.startswith("file:") \
+        else day_dir.rstrip("/")
     src = F.col("__source_file")
-    path_str = F.regexp_replace(src, r"^file:", "")
-    is_modern = path_str.contains(modern_prefix)
-    is_other_kind = None
-    for s in sibling_kinds:
-        e = path_str.contains(s)
-        is_other_kind = e if is_other_kind is None else is_other_kind | e
+    is_modern = src.startswith(f"{root}/{kind}/")
+    other = F.lit(False)
+    for k in vocab.KIND_URL_MARKERS:
+        if k != kind:
+            other = other | src.startswith(f"{root}/{k}/")
     out = df.select(url.alias("url"), src.alias("__source_file"), F.col("__row"),
                     *[c for c in df.columns if c not in ucols + ["__source_file", "__row"]])
-    keep = is_modern | (~is_other_kind & looks_like_kind(F.col("url"), kind))
-    out = out.where(keep & F.col("url").isNotNull())
-    return first_by_url(out, ["__source_file", "__row"])
+    keep = is_modern | (~other & looks_like_kind(F.col("url"), kind))
+    return first_by_url(out.where(keep & F.col("url").isNotNull()), ["__source_file", "__row"])
 
 
 DETAIL_EXCLUDE_PREFIXES = ("partial_urls_", "urls_", "stats_")
@@ -125,19 +145,10 @@ def compact_details(spark: SparkSession, kind_dir: str) -> DataFrame:
     """S4 (+A10): details CSVs of a kind (URL/stat CSVs excluded by name,
     case-insensitive) → full-row distinct. Files without a ``url`` column
     contribute nothing."""
-    files = list_files(spark, kind_dir)
-    low = F.lower("name")
-    cond = None
-    for p in DETAIL_EXCLUDE_PREFIXES:
-        e = low.startswith(p)
-        cond = e if cond is None else cond | e
-    paths = sorted(r["path"] for r in files.where(~cond).select("path").collect())
-    if not paths:
-        raise FileNotFoundError(f"No details CSVs found under {kind_dir}")
-    df = read_csv_any_header(spark, paths)
+    df = read_csv_any_header(spark, kind_dir, skip_prefixes=DETAIL_EXCLUDE_PREFIXES)
     ucol = next((c for c in df.columns if c.lower() == "url"), None)
     if ucol is None:
-        raise RuntimeError("No readable details CSVs.")
+        raise LookupError(f"{kind_dir}: no details file has a url column")
     data_cols = [c for c in df.columns if c not in ("__source_file", "__row")]
     return df.where(F.col(ucol).isNotNull()).select(*data_cols).distinct()
 
@@ -181,22 +192,24 @@ def load_input_urls(spark: SparkSession, csv_path: str | None, parquet_path: str
         if not p:
             continue
         try:
-            df = (spark.read.option("header", "true").csv(p) if fmt == "csv"
+            df = (csv_reader(spark).option("header", "true").csv(p) if fmt == "csv"
                   else spark.read.parquet(p))
-        except Exception:  # noqa: BLE001 - missing source: try the next one
+        except AnalysisException as e:   # a missing source: try the next one
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
         if "url" in df.columns:
             return df.select(F.col("url").cast("string")).dropna()
         if len(df.columns) == 1:
             return df.select(F.col(df.columns[0]).cast("string").alias("url")).dropna()
-    raise FileNotFoundError("No consolidated URLs found. Run consolidate step first.")
+    raise FileNotFoundError(f"no URL list at {csv_path} or {parquet_path}")
 
 
 def read_details(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A kind's details Parquet with a literal ``kind`` column."""
     df = spark.read.parquet(path).withColumn("kind", F.lit(kind))
     if df.isEmpty():
-        raise ValueError(f"{kind}_details.parquet is empty at {path}")
+        raise ValueError(f"{path}: no {kind} rows")
     return df
 
 
@@ -204,7 +217,7 @@ def union_tolerant(frames: Sequence[DataFrame]) -> DataFrame:
     """Schema-tolerant union all; error when every input failed."""
     frames = [f for f in frames if f is not None]
     if not frames:
-        raise FileNotFoundError("No input available.")
+        raise FileNotFoundError("union of no frames")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -236,7 +249,9 @@ def source_chain(lake, table: str, parquet_root: str, schema) -> DataFrame:
     spark = lake.spark
     try:
         newest = newest_file(spark, parquet_root, "*.parquet", by="path").first()
-    except Exception:  # noqa: BLE001 - no drops at all
+    except AnalysisException as e:   # no drops at all
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         newest = None
     if newest and newest["path"]:
         drop_dir = newest["path"].rsplit("/", 1)[0]

@@ -142,4 +142,4 @@ class Lake:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV sink with a header line."""
-    df.write.mode(mode).option("header", "true").csv(path)
+    df.write.mode(mode).option("header", "true").option("escape", '"').csv(path)

@@ -129,3 +129,9 @@ TRAINING_V2_KEEP = [
     "postal_code", "city", "region", "property_type", "year_built",
     "energy_label", "snapshot_date",
 ]
+
+# What a legacy URL of each kind contains.
+KIND_URL_MARKERS = {
+    "apartments": ("/apartment/", "apartment?", "apartment&"),
+    "houses": ("/house/", "house?", "house&"),
+}

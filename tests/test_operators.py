@@ -78,28 +78,25 @@ def test_date_filter_reaches_the_scan(spark):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
-def test_rank_select_median_equals_percentile_under_skew(spark):
-    from estatelake.operators.stats import quantiles_by_rank
-    # one hot group holds ~90% of the rows, spread over many partitions; plus a NULL group
-    df = spark.range(0, 20000, numPartitions=16).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("g"),
-        ((F.col("id") * 7919) % 10007 / 7.0).alias("v"))
-    ref = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.percentile("v", 0.5).alias("m")).collect()}
-    got = {r["g"]: r["m"] for r in quantiles_by_rank(df, ["g"], F.col("v"), {"m": 0.5}).collect()}
-    assert got.keys() == ref.keys()
-    for k in ref:
-        assert abs(got[k] - ref[k]) < 1e-9, (k, got[k], ref[k])
-
-
-def test_split_hot_groups_matches_single_aggregate(spark):
-    from estatelake.operators.stats import summarize
+def test_exact_quantiles_under_skew(spark):
+    from estatelake.operators.stats import exact_quantiles_by, summarize
+    # one hot group holds 90 % of the rows, spread over many partitions; plus a NULL group, signs, zero and ties
     df = spark.range(0, 20000, numPartitions=16).select(
         F.when(F.col("id") % 10 != 0, F.lit(None)).otherwise(F.col("id") % 50).alias("g"),
-        ((F.col("id") * 7919) % 10007 / 7.0).alias("v"))
-    a = summarize(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": "v"})
-    b = summarize(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": "v"}, method="auto")
-    ra = {r["g"]: (r["n"], r["m"]) for r in a.collect()}
-    rb = {r["g"]: (r["n"], r["m"]) for r in b.collect()}
-    assert ra.keys() == rb.keys() and None in rb
-    for k in ra:
-        assert ra[k][0] == rb[k][0] and abs(ra[k][1] - rb[k][1]) < 1e-9
+        (((F.col("id") * 7919) % 10007 - 3000) / 7.0).alias("v"),
+        F.when(F.col("id") % 3 != 0, (F.col("id") % 5).cast("double") * 250000).alias("w"))
+    ref = {r["g"]: r for r in df.groupBy("g").agg(
+        F.percentile("v", 0.5).alias("a"), F.percentile("v", 0.05).alias("b"), F.percentile("w", 0.9).alias("c")).collect()}
+    wanted = {"a": ("v", 0.5), "b": ("v", 0.05), "c": ("w", 0.9)}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["g"]: r for r in exact_quantiles_by(df, ["g"], wanted).collect()}
+        one = exact_quantiles_by(df, [], wanted).first()
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert got.keys() == ref.keys() and None in got
+    assert all(abs(got[k][n] - ref[k][n]) < 1e-9 for k in ref for n in wanted)
+    whole = df.agg(F.percentile("v", 0.5), F.percentile("v", 0.05), F.percentile("w", 0.9)).first()
+    assert all(abs(x - y) < 1e-9 for x, y in zip(one, whole))
+    s = {r["g"]: (r["n"], r["m"]) for r in summarize(df, ["g"], [F.count(F.lit(1)).alias("n")], {"m": "v"}).collect()}
+    assert all(s[k][1] == got[k]["a"] for k in s) and sum(n for n, _ in s.values()) == 20000

@@ -78,6 +78,25 @@ def test_consolidate_and_compact(spark):
     assert got == [("https://x/apartment/1", "100"), ("https://x/apartment/2", "90")]
 
 
+def test_csv_quotes_width_and_paths(spark):
+    day = tempfile.mkdtemp(prefix="day ") + "/2024 01"
+    wide = ",".join(["url"] + [f"c{i}" for i in range(80)])
+    _write(f"{day}/apartments/w.csv", wide + "\n" + ",".join(["https://x/apartment/1"] + [str(i) for i in range(80)]) + "\n")
+    _write(f"{day}/apartments/q.csv", 'url,title\n"https://x/apartment/2","two\nlines, ""quoted"""\n')
+    df = files.consolidate_urls(spark, day, "apartments")
+    got = {r["url"]: r for r in df.collect()}
+    assert set(got) == {"https://x/apartment/1", "https://x/apartment/2"} and got["https://x/apartment/1"]["c79"] == "79"
+    assert got["https://x/apartment/2"]["title"] == 'two\nlines, "quoted"'
+
+
+def test_label_pairs_per_list_and_unclosed_tags(spark):
+    html = ("<dl><dt>A<dt>B<dd>1</dl><dl><dt>C</dt><dd>3</dd></dl><ul><li>Rooms: 2<li>Bath : 1</ul>"
+            "<table><tr><td>Area<td>90<tr><td>Year<td>1999</table><ul><li>Rooms: 5</ul>")
+    rows = pages.label_pairs(_pages(spark, html)).orderBy("ord").collect()
+    assert [(r["label"], r["value"]) for r in rows] == [
+        ("area", "90"), ("year", "1999"), ("a", "1"), ("c", "3"), ("rooms", "5"), ("bath", "1")]
+
+
 def test_towns_seed_and_frontier(spark):
     p = tempfile.mkdtemp(prefix="towns-") + "/towns.csv"
     _write(p, " Gemeente ,x\nGent,1\n Leuven ,2\n")

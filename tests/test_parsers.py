@@ -29,9 +29,19 @@ def test_detail_price_parser(spark):
 
 
 def test_cued_price_parser(spark):
-    vals = ["250k", "1.2 k", "€250k", "Prijs € 250.000", "250 000 euros", "3 slaapkamers", None]
+    vals = ["250k", "1.2 k", "€250k", "Prijs € 250.000", "250 000 euros", "3 slaapkamers", None,
+            "EUR 250,000", "€ 250,000", "1,250,000 €", "€ 250.000,50", "€ 99,5", "1 250 000 EUR"]
     assert run(spark, parse.price_from_cued_text, vals) == \
-        [250000.0, 1200.0, 250000.0, 250000.0, 250000.0, None, None]
+        [250000.0, 1200.0, 250000.0, 250000.0, 250000.0, None, None,
+         250000.0, 250000.0, 1250000.0, 250000.5, 99.5, 1250000.0]
+
+
+def test_long_numbers_become_null(spark):
+    from estatelake.operators import resolve
+    assert run(spark, lambda c: flags.year_in_range(c.cast("double"), F.lit(2024)), ["99999999999", "1999"]) == [None, 1999]
+    req = spark.createDataFrame([("99999999999", "-1.7", 2.9)], "year_built string, bedrooms string, bathrooms double")
+    r = resolve.scoring_rows(req).collect()[0]
+    assert (r["year_built"], r["bedrooms"], r["bathrooms"]) == (None, -1, 2)
 
 
 def test_price_to_int_eur(spark):
