@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .. import vocab
+
 NBSP = "\u00a0"
 THIN_NBSP = "\u202f"
 
@@ -84,14 +86,13 @@ def surface_to_float_m2(x) -> Column:
 
 def price_from_text(x) -> Column:
     """The number after a '€' / 'EUR' cue, parsed with X2."""
-    g = F.regexp_extract(normalize_spaces(as_text(x)),
-                         r"(?i)(?:€|\bEUR\b)\s*([0-9\s.,]+)", 1)
+    g = F.regexp_extract(normalize_spaces(as_text(x)), vocab.PRICE_IN_TEXT, 1)
     return F.when(g != "", price_to_int_eur(g))
 
 
 def surface_from_text(x) -> Column:
     """X5: 'NN m²' / 'NN m2' in free text, parsed with X3."""
-    g = F.regexp_extract(as_text(x), r"(?i)([0-9]+(?:[.,][0-9]+)?)\s*m(?:²|2)(?![\p{L}\p{N}_])", 1)
+    g = F.regexp_extract(as_text(x), vocab.SURFACE_IN_TEXT, 1)
     return F.when(g != "", surface_to_float_m2(g))
 
 
@@ -143,15 +144,7 @@ def range_to_float(x) -> Column:
 
 # Price with an explicit currency cue before or after the number, else a
 # number with a 'k' suffix (thousands).
-_CUR = r"(?:€|eur|euro|euros)"
-# The value must start with a digit, so a lone space before the currency word
-# is never taken as the number ("Prijs € 250.000" parses to 250 000).
-# Full groups of three are thousands whatever separates them ("EUR 250,000",
-# "1,250,000 €"), as in NUMBER_RE below.
-_GROUPED = r"[0-9]{1,3}(?:[.,\s][0-9]{3})+(?![0-9])"
-_VAL = rf"({_GROUPED}(?:[.,][0-9]{{1,2}}(?![0-9]))?|[0-9][0-9.\s]*(?:[,.\s][0-9]{{1,3}})?)"
-CURRENCY_RE = rf"(?i){_CUR}\s*{_VAL}|{_VAL}\s*{_CUR}"
-K_SUFFIX_RE = r"(?i)(?<![\p{L}\p{N}_])([0-9]{1,3}(?:[.,][0-9]{1,3})?)\s?k(?![\p{L}\p{N}_])"
+CURRENCY_RE = rf"(?i){vocab.CURRENCY}\s*{vocab.CUED_VALUE}|{vocab.CUED_VALUE}\s*{vocab.CURRENCY}"
 
 
 def price_from_cued_text(x) -> Column:
@@ -163,25 +156,20 @@ def price_from_cued_text(x) -> Column:
     t = normalize_spaces(as_text(x))
     raw = F.coalesce(F.nullif(F.regexp_extract(t, CURRENCY_RE, 1), F.lit("")),
                      F.nullif(F.regexp_extract(t, CURRENCY_RE, 2), F.lit("")))
-    grouped = rf"^({_GROUPED})(?:[.,]([0-9]{{1,2}}))?\s*$"
+    grouped = rf"^({vocab.GROUPED})(?:[.,](\d{{1,2}}))?\s*$"
     whole = F.regexp_replace(F.regexp_extract(raw, grouped, 1), r"[^0-9]", "")
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"\s", ""), r"\.", ""), ",", ".")
     cur_val = safe_double(F.when(raw.rlike(grouped), F.concat(whole, F.lit("."), F.regexp_extract(raw, grouped, 2),
                                                               F.lit("0"))).otherwise(plain))
-    k = F.regexp_extract(t, K_SUFFIX_RE, 1)
+    k = F.regexp_extract(t, vocab.K_SUFFIX, 1)
     k_val = F.when(k != "", F.regexp_replace(k, ",", ".").try_cast("double") * 1000.0)
     # currency number immediately followed by k / K -> thousands
-    cur_then_k = t.rlike(rf"(?i){_CUR}\s*[0-9.,\s]*[0-9]\s?k(?![\p{{L}}\p{{N}}_])")
+    cur_then_k = t.rlike(rf"(?i){vocab.CURRENCY}\s*[0-9.,\s]*[0-9]\s?k(?![\p{{L}}\p{{N}}_])")
     return F.when(cur_then_k & k_val.isNotNull(), k_val).otherwise(F.coalesce(cur_val, k_val))
 
 
-# Numbers with '.', ' ' or ',' thousands groups, then an optional decimal tail.
-NUMBER_RE = r"(?<![0-9])(?:[0-9]{1,3}(?:[.\s,][0-9]{3})+(?![0-9])|[0-9]+)(?:[,.][0-9]+)?"
-_WHOLE_RE = r"^([0-9]{1,3}(?:[.\s,][0-9]{3})+(?![0-9])|[0-9]+)"
-
-
 def _number_value(m: Column) -> Column:
-    whole = F.regexp_extract(m, _WHOLE_RE, 1)
+    whole = F.regexp_extract(m, rf"^({vocab.NUMBER_WHOLE})", 1)
     frac = F.substr(m, F.length(whole) + 1)
     digits = F.regexp_replace(whole, r"[^0-9]", "")
     frac_digits = F.regexp_replace(frac, r"^[,.]", "")
@@ -197,21 +185,18 @@ def extract_numbers(x) -> Column:
     tail that is not a full group is a decimal.
     """
     t = normalize_spaces(as_text(x))
-    return F.transform(F.regexp_extract_all(t, F.lit(NUMBER_RE), 0), _number_value)
+    return F.transform(F.regexp_extract_all(t, F.lit(vocab.NUMBER), 0), _number_value)
 
 
 def first_number(x) -> Column:
     return F.get(extract_numbers(x), 0)
 
 
-RANGE_SEP_RE = r"\s*(?:-|–|—|to|à|tot)\s*"
-
-
 def surface_value(x, mode: str = "mid") -> Column:
     """Surface with range separators; range -> midpoint ('mid') or
     upper bound ('max'); otherwise the first number."""
     t = F.trim(as_text(x))
-    parts = F.split(t, RANGE_SEP_RE)
+    parts = F.split(t, vocab.RANGE_SEPARATOR)
     a = first_number(F.get(parts, 0))
     b = first_number(F.get(parts, 1))
     pick = F.greatest(a, b) if mode == "max" else (a + b) / 2.0

@@ -60,8 +60,9 @@ def prepare_rebuild(df: DataFrame, run_date: _dt.date | str | None = None) -> Da
     if "is_rent" not in cols:
         df = df.withColumn("is_rent", flags.is_rent_from_url("url"))
     if "snapshot_date" not in cols:
-        d = run_date or _dt.date.today()
-        df = df.withColumn("snapshot_date", F.lit(str(d)).cast("date"))
+        if run_date is None:
+            raise ValueError("rows without snapshot_date need a run_date")
+        df = df.withColumn("snapshot_date", F.lit(str(run_date)).cast("date"))
 
     price = parse.clean_price("price", numeric=_is_numeric(df, "price"))
     surface = parse.clean_surface("surface_m2", numeric=_is_numeric(df, "surface_m2"))

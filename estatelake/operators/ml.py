@@ -299,7 +299,12 @@ class Registry:
                      F.max_by("target_is_log", "ts").alias("target_is_log"))
 
 
-# M6 -------------------------------------------------------------------------
+# A17, M6 --------------------------------------------------------------------
+def best_model(scores: DataFrame) -> DataFrame:
+    """The model with the lowest rmse (the smaller name on a tie), one row."""
+    return scores.agg(F.min_by("model", F.struct("rmse", "model")).alias("best"))
+
+
 def train_and_select(df: DataFrame, target: str, registry: Registry | None = None,
                      kinds: Sequence[str] = ("linear", "rf"), k: int = 5, key: str = "url",
                      solver: str = "l-bfgs", **kw) -> DataFrame:
@@ -313,7 +318,7 @@ def train_and_select(df: DataFrame, target: str, registry: Registry | None = Non
                                     F.avg("mape").alias("mape"), F.avg("r2").alias("r2"),
                                     F.sum("n").alias("n"))
     rows = rows.cache()
-    best = rows.agg(F.min_by("model", "rmse").alias("m")).first()["m"]
+    best = best_model(rows).first()["best"]
     if registry is not None:
         model = fit_model(d, target, best, num, cat, True,
                           **(kw if best == "rf" else {"solver": solver}))

@@ -105,7 +105,9 @@ def normalize_listing(df: DataFrame, run_date: _dt.date | str | None = None) ->
                 else F.to_date("snapshot_date") if isinstance(t, (TimestampType, TimestampNTZType))
                 else flags.to_day("snapshot_date"))
     else:
-        snap = F.lit(str(run_date or _dt.date.today())).cast("date")
+        if run_date is None:
+            raise ValueError("rows without snapshot_date need a run_date")
+        snap = F.lit(str(run_date)).cast("date")
     # Stage 1: resolve + parse. Later stages reference these columns, so each
     # parser runs once per row (Catalyst does not re-inline a non-trivial
     # expression that is referenced more than once).

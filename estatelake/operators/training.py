@@ -18,12 +18,6 @@ from .dedupe import keep_latest
 from .guards import fallback_cascade, trim_with_report, unit_guard_v2
 from .resolve import coerce_numeric, fill_zero, normalize_listing, select_fixed
 
-# Surface in free text: 'a' or the range 'a–b' (1-3 digits, up to 2 decimals)
-# followed by a unit; the upper bound of a range wins.
-SURFACE_SCAN_RE = (r"(?i)([0-9]{1,3}(?:[.,][0-9]{1,2})?)\s*(?:[-–—]\s*([0-9]{1,3}(?:[.,][0-9]{1,2})?))?"
-                   r"\s*(?:m2|m²|sqm|m)")
-
-
 def _letters(s: str) -> str:
     return "".join(ch for ch in s.lower() if "a" <= ch <= "z")
 
@@ -52,8 +46,8 @@ def surface_backfill(df: DataFrame) -> Column:
     for c in ("title", "description", "raw_html"):
         if c in df.columns:
             txt = F.col(c).cast("string")
-            a = F.regexp_extract(txt, SURFACE_SCAN_RE, 1)
-            b = F.regexp_extract(txt, SURFACE_SCAN_RE, 2)
+            a = F.regexp_extract(txt, vocab.SURFACE_SCAN, 1)
+            b = F.regexp_extract(txt, vocab.SURFACE_SCAN, 2)
             pick = F.when(b != "", parse.range_to_float(b)).otherwise(
                 F.when(a != "", parse.range_to_float(a)))
             cands.append(F.when(pick > 5, pick))

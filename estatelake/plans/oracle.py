@@ -591,7 +591,7 @@ def decode(x: str) -> str:
 
 
 _HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)"""
-_BASE = "https://www.immovlan.be"
+_BASE = "https://www.example.be"
 
 
 def _links(include: list[str] | None) -> str:

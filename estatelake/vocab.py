@@ -77,7 +77,7 @@ SURFACE_SPEC_TOKENS = [
 # Listing-link heuristics for crawled result pages.
 LINK_INCLUDE = ["/detail/", "/classified/", "/en/for-sale/", "/en/for-rent/"]
 LINK_EXCLUDE = ["/search", "/map", "/news", "/about", "/contact"]
-SITE_BASE = "https://www.immovlan.be"
+SITE_BASE = "https://www.example.be"
 
 # Legacy detail page: <h4> label texts -> output field (28-field record).
 LEGACY_H4_FIELDS = [
@@ -135,3 +135,24 @@ KIND_URL_MARKERS = {
     "apartments": ("/apartment/", "apartment?", "apartment&"),
     "houses": ("/house/", "house?", "house&"),
 }
+
+# Fixed patterns. They are the source pipeline's, spelled as there; each real change has its reason beside it.
+# Java has no (?P<name>...), so groups are numbered; its \\b and \\d know ASCII only.
+_WORD_END = r"(?![\p{L}\p{N}_])"     # stands for \b after a character that is no ASCII letter
+_WORD_START = r"(?<![\p{L}\p{N}_])"  # stands for \b before a number: "é250k" has none there
+PRICE_IN_TEXT = r"(?i)(?:€|\bEUR\b)\s*([\d\s\u00A0\u202F\.,]+)"
+SURFACE_IN_TEXT = r"(?i)(\d+(?:[.,]\d+)?)\s*m(?:²|2)" + _WORD_END
+SURFACE_SCAN = (r"(?i)(\d{1,3}(?:[.,]\d{1,2})?)\s*(?:[-–—]\s*(\d{1,3}(?:[.,]\d{1,2})?))?"
+                r"\s*(?:m2|m\u00B2|m²|sqm|m)")
+CURRENCY = r"(?:€|eur|euro|euros)"
+# Full groups of three are thousands whatever separates them ("EUR 250,000"); the source reads 250 there.
+GROUPED = r"\d{1,3}(?:[.,\s]\d{3})+(?!\d)"
+# The source's value is [\d\.\s]+(?:[,\.\s]\d{1,3})?; here it starts with a digit, because a lone blank before the
+# currency word matched as the value ("Prijs € 250.000"), and full groups come first.
+CUED_VALUE = rf"({GROUPED}(?:[.,]\d{{1,2}}(?!\d))?|\d[\d\.\s]*(?:[,\.\s]\d{{1,3}})?)"
+K_SUFFIX = r"(?i)" + _WORD_START + r"(\d{1,3}(?:[.,]\d{1,3})?)\s?k" + _WORD_END
+# The source's number is (?<!\d)(\d{1,3}(?:[.\s]\d{3})*|\d+)([,.]\d+)?, which splits "250000" into 250 and 000; here a
+# group needs its three digits, plain runs are taken whole, and a comma may separate thousands.
+NUMBER_WHOLE = r"(?:\d{1,3}(?:[.\s,]\d{3})+(?!\d)|\d+)"
+NUMBER = r"(?<!\d)" + NUMBER_WHOLE + r"(?:[,.]\d+)?"
+RANGE_SEPARATOR = r"\s*(?:-|–|—|to|à|tot)\s*"

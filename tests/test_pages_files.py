@@ -14,7 +14,7 @@ DETAIL = """<html><head><meta property="og:title" content="OG title"></head><bod
 <dl><dt>Construction year</dt><dd>1998</dd><dt>EPC</dt><dd>B</dd></dl>
 <ul><li>Postal code: 1030</li><li>City: Schaerbeek</li><li>no colon here</li></ul>
 </body></html>"""
-URL = "https://immovlan.be/en/detail/apartment/for-sale/1030/schaarbeek/VBC1"
+URL = "https://example.be/en/detail/apartment/for-sale/1030/schaarbeek/VBC1"
 LEGACY = """<html><body><div class="detail__header_title_main">Apartment for sale</div>
 <span class="detail__header_price_data">€ 250.000</span>
 <div class="detail__header_address">Rue Royale 12, 1000 Brussels</div>
@@ -50,11 +50,11 @@ def test_legacy_record(spark):
 
 def test_outlinks(spark):
     html = ('<a href="/en/detail/house/for-sale/1000/brussels/1?x=1">a</a>'
-            '<a href="#top">t</a><a href="https://www.immovlan.be/en/search?q">s</a>'
+            '<a href="#top">t</a><a href="https://www.example.be/en/search?q">s</a>'
             "<a href='/classified/9'>c</a>")
     got = sorted(r["url"] for r in pages.outlinks(_pages(spark, html)).collect())
-    assert got == ["https://www.immovlan.be/classified/9",
-                   "https://www.immovlan.be/en/detail/house/for-sale/1000/brussels/1"]
+    assert got == ["https://www.example.be/classified/9",
+                   "https://www.example.be/en/detail/house/for-sale/1000/brussels/1"]
 
 
 def _write(path, text):

@@ -67,7 +67,7 @@ def test_postal_as_price(spark):
 
 
 def test_url_parts(spark):
-    u = "https://immovlan.be/en/detail/apartment/for-sale/1030/schaarbeek/VBC123"
+    u = "https://example.be/en/detail/apartment/for-sale/1030/schaarbeek/VBC123"
     df = spark.createDataFrame([(u,), ("https://x.be/en/search",)], "url string")
     rows = df.select(flags.url_parts("url").alias("p")).select("p.*").collect()
     assert tuple(rows[0]) == ("apartment", True, "1030", "schaarbeek")
