@@ -31,6 +31,7 @@ cloudpickle.register_pickle_by_value(estatelake)
 
 MAX_ID = (1 << 63) - 1
 WORD = r"[^\x20\x09-\x0D]+"
+_P1, _P2 = 2147483629, 2147483647  # primes
 SPACES = " \t\n\x0b\x0c\r"
 
 
@@ -77,6 +78,54 @@ def bucket_count(spark: SparkSession, total_bytes: int, bytes_per_bucket: int =
     return max(4 * partitions(spark), math.ceil((total_bytes or 0) / bytes_per_bucket), 1)
 
 
+def home_column(doc_id: Column, homes: int) -> Column:
+    """Home partition of a document id, the same as ``home_of``."""
+    return F.pmod(F.pmod(doc_id, F.lit(_P1)) * 48271, F.lit(_P2)) % homes
+
+
+def home_of(docs: np.ndarray, homes: int) -> np.ndarray:
+    return docs % _P1 * 48271 % _P2 % homes
+
+
+def pack_pairs(docs: np.ndarray, values: np.ndarray) -> bytes:
+    """Packed (document, 64-bit value) pairs, sorted by document."""
+    order = np.argsort(docs, kind="stable")
+    return pack(values[order], 8) + pack(deltas(docs[order]), 8)
+
+
+def unpack_pairs(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(unpack(blob[8 * n:], n, 8, np.int64)), unpack(blob[:8 * n], n, 8)
+
+
+def split_runs(sorted_keys: np.ndarray) -> np.ndarray:
+    """Start of every run of equal values, plus the end."""
+    if not len(sorted_keys):
+        return np.zeros(1, np.int64)
+    return np.concatenate([[0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1, [len(sorted_keys)]])
+
+
+def pairs_by_home(docs: np.ndarray, values: np.ndarray, homes: int):
+    """(home, n, packed pairs) for every home among ``docs``."""
+    home = home_of(docs, homes)
+    order = np.argsort(home, kind="stable")
+    home, docs, values = home[order], docs[order], values[order]
+    runs = split_runs(home)
+    for a, b in zip(runs[:-1], runs[1:]):
+        yield int(home[a]), int(b - a), pack_pairs(docs[a:b], values[a:b])
+
+
+def values_of(docs: np.ndarray, blobs: list[tuple[int, bytes]]) -> list[np.ndarray]:
+    """For each document of ``docs`` its values among packed pairs."""
+    if not blobs:
+        return [np.empty(0, np.uint64)] * len(docs)
+    parts = [unpack_pairs(b, n) for n, b in blobs]
+    d, v = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+    order = np.argsort(d, kind="stable")
+    d, v = d[order], v[order]
+    lo, hi = np.searchsorted(d, docs, "left"), np.searchsorted(d, docs, "right")
+    return [v[a:b] for a, b in zip(lo, hi)]
+
+
 def text_bytes(df: DataFrame, col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(col).cast("long"))).first()[0] or 0
 

@@ -44,19 +44,29 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_ID, Rolling, bucket_count, byte_rows, deltas, id_key, materialize, one_row_per_id, pack, text_bytes, unpack
-from .substring_dedup import split_runs, word_hashes
+from .common import (MAX_ID, Rolling, bucket_count, byte_rows, deltas, home_of, id_key, materialize, one_row_per_id, pack,
+                     pairs_by_home, split_runs, text_bytes, unpack, values_of)
+from .substring_dedup import word_hashes
 
 RARE = 32
 BITS = 48
 BLOCK_SHINGLES = 2_000_000
 _LOW = np.uint64((1 << BITS) - 1)
-# one row type through the shuffle: packed entries of a bucket, or what is already known of a document
-_SHIPPED = "bucket long, doc_id long, n long, sig binary, entries binary, keys binary"
-_SHIPPED_PA = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()),
-                         ("entries", pa.binary()), ("keys", pa.binary())])
-_KNOWN = "doc_id long, n long, sig binary, keys binary"
-_KNOWN_PA = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("keys", pa.binary())])
+# One row type through the shuffle, of three kinds: entries to be counted (home is NULL), what a document's set is
+# (n, sig), and packed (document, key) pairs for the documents of a home.
+_SHIPPED = "bucket long, home long, doc_id long, n long, sig binary, packed binary"
+_SHIPPED_PA = pa.schema([("bucket", pa.int64()), ("home", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
+                         ("sig", pa.binary()), ("packed", pa.binary())])
+_KNOWN = "home long, doc_id long, n long, sig binary, packed binary"
+_KNOWN_PA = pa.schema(list(_SHIPPED_PA)[1:])
+_SETS = "doc_id long, n long, sig binary, shared long, keys binary"
+_SETS_PA = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("shared", pa.int64()),
+                      ("keys", pa.binary())])
+
+
+def _columns(rows: list[tuple], schema: pa.Schema) -> list[pa.Array]:
+    cols = list(zip(*rows)) or [()] * len(schema)
+    return [pa.array(c, f.type) for c, f in zip(cols, schema)]
 
 
 def shingle_set(text: bytes | None, roll: Rolling) -> np.ndarray:
@@ -70,57 +80,41 @@ def shingle_set(text: bytes | None, roll: Rolling) -> np.ndarray:
     return np.unique(roll(word_hashes(words)))
 
 
-def _block(ids: list[int], sets: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
-    out: dict[str, list] = {k: [] for k in _SHIPPED_PA.names}
-
-    def put(*row):
-        for k, v in zip(out, row):
-            out[k].append(v)
-
+def _block(ids: list[int], sets: list[np.ndarray], buckets: int, homes: int) -> pa.RecordBatch:
+    rows: list[tuple] = []
     owner: dict[bytes, int] = {}
     sigs = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-    for i, (d, g) in enumerate(zip(ids, sigs)):
+    for i, (d, g, home) in enumerate(zip(ids, sigs, home_of(np.array(ids, np.int64), homes).tolist())):
         if g is not None and (g not in owner or d < ids[owner[g]]):
             owner[g] = i
-        put(d % buckets, d, len(sets[i]), g, None, None)
+        rows.append((home % buckets, home, d, len(sets[i]), g, None))
     pick = sorted(owner.values(), key=lambda i: ids[i])
-    cut = [np.unique(sets[i] >> np.uint64(64 - BITS)) for i in pick]
-    if not cut:
-        yield pa.RecordBatch.from_pydict(out, schema=_SHIPPED_PA)
-        return
-    doc = np.repeat(np.array([ids[i] for i in pick], np.int64), [len(c) for c in cut])
-    h = np.concatenate(cut)
-    order = np.argsort(h, kind="stable")
-    hs, ds = h[order], doc[order]
-    starts = split_runs(hs)
-    count = np.diff(starts)
-    frequent = np.repeat(count >= RARE, count)
-    # frequent here: the class is known, documents keep the shingle, and one bare entry tells the reducer
-    key = (np.uint64(RARE) << np.uint64(BITS)) | hs[frequent]
-    for d, k in _by_doc(ds[frequent], key):
-        put(d % buckets, d, None, None, None, k)
-    bare = np.zeros(len(hs), bool)
-    bare[starts[:-1][count >= RARE]] = True
-    keep = ~frequent | bare
-    hk, dk = hs[keep], np.where(bare[keep], np.int64(-1), ds[keep])
-    b = (hk * np.uint64(buckets)) >> np.uint64(BITS)
-    cuts = split_runs(b)
-    for x, y in zip(cuts[:-1], cuts[1:]):
-        by_doc = np.argsort(dk[x:y], kind="stable")
-        e = pack(hk[x:y][by_doc], BITS // 8) + pack(deltas(dk[x:y][by_doc]), 8)
-        put(int(b[x]), None, int(y - x), None, e, None)
-    yield pa.RecordBatch.from_pydict(out, schema=_SHIPPED_PA)
-
-
-def _by_doc(docs: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.argsort(docs, kind="stable")
-    docs, keys = docs[order], keys[order]
-    runs = split_runs(docs)
-    for a, b in zip(runs[:-1], runs[1:]):
-        yield int(docs[a]), keys[a:b].tobytes()
-
-
-def _scan(words: int, buckets: int, block: int):
+    if pick:
+        cut = [np.unique(sets[i] >> np.uint64(64 - BITS)) for i in pick]
+        doc = np.repeat(np.array([ids[i] for i in pick], np.int64), [len(c) for c in cut])
+        h = np.concatenate(cut)
+        order = np.argsort(h, kind="stable")
+        hs, ds = h[order], doc[order]
+        starts = split_runs(hs)
+        count = np.diff(starts)
+        frequent = np.repeat(count >= RARE, count)
+        # frequent here: the class is known, documents keep the shingle, and one bare entry tells the reducer
+        key = (np.uint64(RARE) << np.uint64(BITS)) | hs[frequent]
+        rows += [(home % buckets, home, None, n, None, p) for home, n, p in pairs_by_home(ds[frequent], key, homes)]
+        bare = np.zeros(len(hs), bool)
+        bare[starts[:-1][count >= RARE]] = True
+        keep = ~frequent | bare
+        hk, dk = hs[keep], np.where(bare[keep], np.int64(-1), ds[keep])
+        b = (hk * np.uint64(buckets)) >> np.uint64(BITS)
+        cuts = split_runs(b)
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            by_doc = np.argsort(dk[x:y], kind="stable")
+            e = pack(hk[x:y][by_doc], BITS // 8) + pack(deltas(dk[x:y][by_doc]), 8)
+            rows.append((int(b[x]), None, None, int(y - x), None, e))
+    return pa.RecordBatch.from_arrays(_columns(rows, _SHIPPED_PA), schema=_SHIPPED_PA)
+
+
+def _scan(words: int, buckets: int, homes: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, ids, sets, held = Rolling(words), [], [], 0
         for batch in batches:
@@ -129,50 +123,50 @@ def _scan(words: int, buckets: int, block: int):
                 sets.append(shingle_set(t, roll))
                 held += len(sets[-1]) + 1
                 if held >= block:
-                    yield from _block(ids, sets, buckets)
+                    yield _block(ids, sets, buckets, homes)
                     ids, sets, held = [], [], 0
         if held:
-            yield from _block(ids, sets, buckets)
+            yield _block(ids, sets, buckets, homes)
     return run
 
 
-def _count(t: pa.Table) -> pa.Table:
-    out: dict[str, list] = {k: [] for k in _KNOWN_PA.names}
-
-    def put(*row):
-        for k, v in zip(out, row):
-            out[k].append(v)
-
-    hs, ds = [], []
-    for d, n, sig, e, k in zip(*(t.column(c).to_pylist() for c in ("doc_id", "n", "sig", "entries", "keys"))):
-        if e is None:
-            put(d, n, sig, k)
-            continue
-        w = BITS // 8
-        hs.append(unpack(e[:w * n], n, w))
-        ds.append(np.cumsum(unpack(e[w * n:], n, 8, np.int64)))
-    if hs:
-        h, d = np.concatenate(hs), np.concatenate(ds)
-        del hs, ds
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        starts = split_runs(h)
-        count = np.diff(starts)
-        total = count + (RARE - 1) * np.add.reduceat((d < 0).astype(np.int64), starts[:-1])
-        cls = np.repeat(np.minimum(total, RARE), count).astype(np.uint64)
-        back = (cls >= 2) & (d >= 0)
-        for doc, k in _by_doc(d[back], (cls[back] << np.uint64(BITS)) | h[back]):
-            put(doc, None, None, k)
-    return pa.Table.from_pydict(out, schema=_KNOWN_PA)
+def _count(homes: int):
+    def run(t: pa.Table) -> pa.Table:
+        rows, hs, ds, w = [], [], [], BITS // 8
+        for row in zip(*(t.column(c).to_pylist() for c in _KNOWN_PA.names)):
+            home, _, n, _, p = row
+            if home is not None:
+                rows.append(row)
+                continue
+            hs.append(unpack(p[:w * n], n, w))
+            ds.append(np.cumsum(unpack(p[w * n:], n, 8, np.int64)))
+        if hs:
+            h, d = np.concatenate(hs), np.concatenate(ds)
+            del hs, ds
+            order = np.argsort(h, kind="stable")
+            h, d = h[order], d[order]
+            starts = split_runs(h)
+            count = np.diff(starts)
+            total = count + (RARE - 1) * np.add.reduceat((d < 0).astype(np.int64), starts[:-1])
+            cls = np.repeat(np.minimum(total, RARE), count).astype(np.uint64)
+            back = (cls >= 2) & (d >= 0)
+            key = (cls[back] << np.uint64(BITS)) | h[back]
+            rows += [(home, None, n, None, p) for home, n, p in pairs_by_home(d[back], key, homes)]
+        return pa.Table.from_arrays(_columns(rows, _KNOWN_PA), schema=_KNOWN_PA)
+    return run
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Concatenate and sort each document's packed keys."""
-    for b in batches:
-        keys = [np.sort(np.frombuffer(b"".join(k), np.uint64)).tobytes() for k in b.column("keys").to_pylist()]
-        lens = [len(k) // 8 for k in keys]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n"), b.column("sig"), pa.array(lens, pa.int64()),
-                                          pa.array(keys, pa.binary())], names=["doc_id", "n", "sig", "shared", "keys"])
+def _assemble(t: pa.Table) -> pa.Table:
+    """The documents of a home, each with its keys in global order."""
+    docs, blobs = [], []
+    for _, d, n, sig, p in zip(*(t.column(c).to_pylist() for c in _KNOWN_PA.names)):
+        if p is None:
+            docs.append((d, n, sig))
+        else:
+            blobs.append((n, p))
+    keys = values_of(np.array([d for d, *_ in docs], np.int64), blobs)
+    rows = [(*doc, len(k), np.sort(k).tobytes()) for doc, k in zip(docs, keys)]
+    return pa.Table.from_arrays(_columns(rows, _SETS_PA), schema=_SETS_PA)
 
 
 def shingled(docs: DataFrame, words: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
@@ -180,10 +174,10 @@ def shingled(docs: DataFrame, words: int = 5, block: int = BLOCK_SHINGLES) -> Da
     shingles). One document of a block keeps the keys of an equal set."""
     rows = one_row_per_id(docs.select(id_key().alias("doc_id"), "text"))
     buckets = bucket_count(docs.sparkSession, text_bytes(rows))
-    known = rows.mapInArrow(_scan(words, buckets, block), _SHIPPED).groupBy("bucket").applyInArrow(_count, _KNOWN)
-    per = known.groupBy("doc_id").agg(F.max("n").alias("n"), F.max("sig").alias("sig"),
-                                      F.collect_list("keys").alias("keys"))
-    return materialize(per.mapInArrow(_joined, "doc_id long, n long, sig binary, shared long, keys binary"), "shingles")
+    homes = -(-buckets // 4)   # about 16 MB of text each
+    known = rows.mapInArrow(_scan(words, buckets, homes, block), _SHIPPED).groupBy("bucket") \
+        .applyInArrow(_count(homes), _KNOWN)
+    return materialize(known.groupBy("home").applyInArrow(_assemble, _SETS), "shingles")
 
 
 def need_overlap(a, b, percent: int):
@@ -261,11 +255,14 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _near(a_n, b_n, a_pos, b_pos, percent: int):
-    """Length and positional filter as a condition."""
-    need = F.call_function("div", percent * (a_n + b_n) + (99 + percent), F.lit(100 + percent).cast("long"))
-    left = F.least(a_pos, b_pos) + 1 + F.least(a_n - a_pos, b_n - b_pos) - 1
-    return (100 * F.least(a_n, b_n) >= percent * F.greatest(a_n, b_n)) & (left >= need)
+def _near(x: str, y: str, percent: int):
+    """Length and positional filter of two postings, ``x`` and ``y`` being the suffixes of their columns. Lone shingles
+    (which come first) are in no intersection: at a common shingle, at most the fewer of the shared ones before
+    it, itself, and the fewer of the ones after it are common."""
+    n, pos, lone = (lambda s: F.col("n" + s)), (lambda s: F.col("pos" + s)), (lambda s: F.col("lone" + s))
+    need = F.call_function("div", percent * (n(x) + n(y)) + (99 + percent), F.lit(100 + percent).cast("long"))
+    most = F.least(pos(x) - lone(x), pos(y) - lone(y)) + F.least(n(x) - pos(x), n(y) - pos(y))
+    return (100 * F.least(n(x), n(y)) >= percent * F.greatest(n(x), n(y))) & (most >= need)
 
 
 def class_links(reps: DataFrame, percent: int = 80) -> DataFrame:
@@ -280,24 +277,22 @@ def class_links(reps: DataFrame, percent: int = 80) -> DataFrame:
     post = materialize(post, "postings")
     pivot = post.groupBy("token").agg(F.min(F.struct("lone", "doc_id", "n", "pos")).alias("p"),
                                       F.count(F.lit(1)).alias("k")).where("k > 1")
-    pivot = materialize(pivot.select("token", F.col("p.doc_id").alias("p_doc"), F.col("p.n").alias("p_n"),
-                                     F.col("p.pos").alias("p_pos")), "pivots")
-    near = post.join(pivot, "token").where(F.col("doc_id") != F.col("p_doc")) \
-        .where(_near(F.col("n"), F.col("p_n"), F.col("pos"), F.col("p_pos"), percent))
-    tried = near.select(F.least("doc_id", "p_doc").alias("a"), F.greatest("doc_id", "p_doc").alias("b")).distinct()
+    pivot = materialize(pivot.select("token", F.col("p.doc_id").alias("doc2"), F.col("p.n").alias("n2"),
+                                     F.col("p.pos").alias("pos2"), F.col("p.lone").alias("lone2")), "pivots")
+    near = post.join(pivot, "token").where(F.col("doc_id") != F.col("doc2")).where(_near("", "2", percent))
+    tried = near.select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")).distinct()
     tried = materialize(tried, "pivot-pairs")
     found = materialize(links(tried, open_, percent), "pivot-links")
     first = components(found)
 
     # what is left: pairs of one shingle whose components differ
     labelled = materialize(post.join(pivot.select("token"), "token", "left_semi").join(first, "doc_id", "left")
-                           .select("token", "doc_id", "n", "pos", F.coalesce("comp", "doc_id").alias("comp")), "labelled")
+                           .select("token", "doc_id", "n", "pos", "lone", F.coalesce("comp", "doc_id").alias("comp")), "labelled")
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi") \
         .select("token")
     x = labelled.join(mixed, "token", "left_semi")
-    y = x.toDF("token", "doc2", "n2", "pos2", "comp2")
-    rest = x.join(y, (x.token == y.token) & (F.col("comp") < F.col("comp2"))
-                  & _near(F.col("n"), F.col("n2"), F.col("pos"), F.col("pos2"), percent)) \
+    y = x.toDF("token", "doc2", "n2", "pos2", "lone2", "comp2")
+    rest = x.join(y, (x.token == y.token) & (F.col("comp") < F.col("comp2")) & _near("", "2", percent)) \
         .select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")).distinct() \
         .join(tried, ["a", "b"], "left_anti")
     more = materialize(links(rest, open_, percent), "cross-links")

@@ -11,8 +11,9 @@ into maximal intervals.
    so a window that a third of all documents share costs one entry a block.
    Entries travel as packed byte planes, keyed by the hash's range bucket.
 2. Count: a reducer takes one hash range, finds the smallest document of each
-   hash and reports, per document, the hashes that start in a smaller one.
-3. Removal: reports join the texts on ``doc_id``; the windows are hashed again,
+   hash and reports (document, hash) pairs that start in a smaller one, packed
+   by the documents' home partition.
+3. Removal: reports meet the texts of their home; the windows are hashed again,
    flagged by hash and merged. Reporting hashes instead of positions keeps rows
    that repeat an id with another text apart.
 
@@ -34,13 +35,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, bucket_count, byte_rows, deltas, id_back, id_key, materialize, pack, text_bytes, unpack
+from .common import (Rolling, bucket_count, byte_rows, home_column, id_back, id_key, pack_pairs, pairs_by_home, split_runs,
+                     text_bytes, unpack_pairs, values_of)
 
 BLOCK_WINDOWS = 2_000_000
-_SHIPPED = "bucket long, doc_id long, n long, entries binary, flags binary"
-_SHIPPED_PA = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
-                         ("entries", pa.binary()), ("flags", pa.binary())])
-_FLAGS_PA = pa.schema([("doc_id", pa.int64()), ("flags", pa.binary())])
+# packed pairs: to be counted (home is NULL) or already settled for the documents of a home
+_SHIPPED = "bucket long, home long, n long, pairs binary"
+_SHIPPED_PA = pa.schema([("bucket", pa.int64()), ("home", pa.int64()), ("n", pa.int64()), ("pairs", pa.binary())])
+_FLAGS = "home long, n long, pairs binary"
+_FLAGS_PA = pa.schema([("home", pa.int64()), ("n", pa.int64()), ("pairs", pa.binary())])
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -52,22 +55,7 @@ def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def split_runs(sorted_keys: np.ndarray) -> np.ndarray:
-    """Start of every run of equal values, plus the end."""
-    if not len(sorted_keys):
-        return np.zeros(1, np.int64)
-    return np.concatenate([[0], np.flatnonzero(sorted_keys[1:] != sorted_keys[:-1]) + 1, [len(sorted_keys)]])
-
-
-def _flag_rows(docs: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    order = np.argsort(docs, kind="stable")
-    docs, hashes = docs[order], hashes[order]
-    runs = split_runs(docs)
-    for a, b in zip(runs[:-1], runs[1:]):
-        yield int(docs[a]), hashes[a:b].tobytes()
-
-
-def _block(ids: list[int], arrays: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
+def _block(ids: list[int], arrays: list[np.ndarray], buckets: int, homes: int) -> pa.RecordBatch:
     doc = np.repeat(np.array(ids, np.int64), [len(a) for a in arrays])
     h = np.concatenate(arrays)
     order = np.argsort(h, kind="stable")
@@ -76,22 +64,15 @@ def _block(ids: list[int], arrays: list[np.ndarray], buckets: int) -> Iterator[p
     first = np.minimum.reduceat(ds, starts[:-1])
     settled = ds > np.repeat(first, np.diff(starts))
     # one shipped entry a hash: its smallest document
-    b = bucket_of(hs[starts[:-1]], buckets)
-    cuts = split_runs(b)  # hashes are sorted, so buckets are runs
-    out: dict[str, list] = {k: [] for k in _SHIPPED_PA.names}
     uh = hs[starts[:-1]]
-    for x, y in zip(cuts[:-1], cuts[1:]):
-        by_doc = np.argsort(first[x:y], kind="stable")
-        e = pack(uh[x:y][by_doc], 8) + pack(deltas(first[x:y][by_doc]), 8)
-        for k, v in zip(out, (int(b[x]), None, int(y - x), e, None)):
-            out[k].append(v)
-    for d, f in _flag_rows(ds[settled], hs[settled]):
-        for k, v in zip(out, (d % buckets, d, 0, None, f)):
-            out[k].append(v)
-    yield pa.RecordBatch.from_pydict(out, schema=_SHIPPED_PA)
-
-
-def _scan(width: int, buckets: int, block: int):
+    b = bucket_of(uh, buckets)
+    cuts = split_runs(b)  # hashes are sorted, so buckets are runs
+    rows = [(int(b[x]), None, int(y - x), pack_pairs(first[x:y], uh[x:y])) for x, y in zip(cuts[:-1], cuts[1:])]
+    rows += [(home % buckets, home, n, p) for home, n, p in pairs_by_home(ds[settled], hs[settled], homes)]
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _SHIPPED_PA)], schema=_SHIPPED_PA)
+
+
+def _scan(width: int, buckets: int, homes: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, ids, arrays, held = Rolling(width), [], [], 0
         for batch in batches:
@@ -104,42 +85,38 @@ def _scan(width: int, buckets: int, block: int):
                 arrays.append(a)
                 held += len(a)
                 if held >= block:
-                    yield from _block(ids, arrays, buckets)
+                    yield _block(ids, arrays, buckets, homes)
                     ids, arrays, held = [], [], 0
         if held:
-            yield from _block(ids, arrays, buckets)
+            yield _block(ids, arrays, buckets, homes)
     return run
 
 
-def _reduce(t: pa.Table) -> pa.Table:
-    hs, ds, docs, flags = [], [], [], []
-    for d, n, e, f in zip(*(t.column(c).to_pylist() for c in ("doc_id", "n", "entries", "flags"))):
-        if e is None:
-            docs.append(d)
-            flags.append(f)
-            continue
-        hs.append(unpack(e[:8 * n], n, 8))
-        ds.append(np.cumsum(unpack(e[8 * n:], n, 8, np.int64)))
-    if hs:
-        h, d = np.concatenate(hs), np.concatenate(ds)
-        del hs, ds
-        order = np.argsort(h, kind="stable")
-        h, d = h[order], d[order]
-        starts = split_runs(h)
-        late = d > np.repeat(np.minimum.reduceat(d, starts[:-1]), np.diff(starts))
-        for doc, f in _flag_rows(d[late], h[late]):
-            docs.append(doc)
-            flags.append(f)
-    return pa.Table.from_pydict({"doc_id": docs, "flags": flags}, schema=_FLAGS_PA)
-
-
-def repeated_windows(docs: DataFrame, width: int = 13, block: int = BLOCK_WINDOWS) -> DataFrame:
-    """doc_id, flags: packed 64-bit hashes of the document's windows that also start
-    in a smaller document (several rows a document)."""
-    rows = docs.select(id_key().alias("doc_id"), "text")
-    buckets = bucket_count(docs.sparkSession, text_bytes(rows))
-    return (rows.mapInArrow(_scan(width, buckets, block), _SHIPPED).groupBy("bucket")
-            .applyInArrow(_reduce, "doc_id long, flags binary"))
+def _reduce(homes: int):
+    def run(t: pa.Table) -> pa.Table:
+        rows, parts = [], []
+        for home, n, p in zip(*(t.column(c).to_pylist() for c in ("home", "n", "pairs"))):
+            if home is None:
+                parts.append(unpack_pairs(p, n))
+            else:
+                rows.append((home, n, p))
+        if parts:
+            d, h = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+            del parts
+            order = np.argsort(h, kind="stable")
+            h, d = h[order], d[order]
+            starts = split_runs(h)
+            late = d > np.repeat(np.minimum.reduceat(d, starts[:-1]), np.diff(starts))
+            rows += pairs_by_home(d[late], h[late], homes)
+        cols = list(zip(*rows)) or [()] * 3
+        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(cols, _FLAGS_PA)], schema=_FLAGS_PA)
+    return run
+
+
+def repeated_windows(docs: DataFrame, buckets: int, homes: int, width: int = 13, block: int = BLOCK_WINDOWS) -> DataFrame:
+    """home, n, pairs: packed (doc_id, 64-bit hash) of the windows that also start in a smaller document."""
+    return (docs.mapInArrow(_scan(width, buckets, homes, block), _SHIPPED).groupBy("bucket")
+            .applyInArrow(_reduce(homes), _FLAGS))
 
 
 _OUT = "doc_id long, n_words long, n_removed long, kept string, removed array<struct<start:long,end:long>>"
@@ -159,36 +136,35 @@ def intervals(flagged: np.ndarray, width: int) -> list[tuple[int, int]]:
 
 
 def _remove(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
         roll = Rolling(width)
-        for batch in batches:
-            for at in range(0, max(1, batch.num_rows), 1000):
-                part = batch.slice(at, 1000)
-                out: dict[str, list] = {k: [] for k in _OUT_PA.names}
-                for d, t, f in zip(part.column(0).to_pylist(), byte_rows(part.column(1)), part.column(2).to_pylist()):
-                    words = (t or b"").split()
-                    spans, kept = [], words
-                    if f:
-                        known = np.frombuffer(b"".join(f), np.uint64)
-                        spans = intervals(np.isin(roll(word_hashes(words)), known), width)
-                        kept, end = [], 0
-                        for a, b in spans:
-                            kept += words[end:a]
-                            end = b
-                        kept += words[end:]
-                    row = (d, len(words), len(words) - len(kept), b" ".join(kept).decode(),
-                           [{"start": a, "end": b} for a, b in spans])
-                    for k, v in zip(out, row):
-                        out[k].append(v)
-                yield pa.RecordBatch.from_pydict(out, schema=_OUT_PA)
+        out: dict[str, list] = {k: [] for k in _OUT_PA.names}
+        ids = docs.column("doc_id").to_numpy()
+        known = values_of(ids, list(zip(flags.column("n").to_pylist(), flags.column("pairs").to_pylist())))
+        for d, t, f in zip(ids.tolist(), byte_rows(docs.column("text")), known):
+            words = (t or b"").split()
+            spans, kept = [], words
+            if len(f):
+                spans = intervals(np.isin(roll(word_hashes(words)), f), width)
+                kept, end = [], 0
+                for a, b in spans:
+                    kept += words[end:a]
+                    end = b
+                kept += words[end:]
+            row = (d, len(words), len(words) - len(kept), b" ".join(kept).decode(), [{"start": a, "end": b} for a, b in spans])
+            for k, v in zip(out, row):
+                out[k].append(v)
+        return pa.Table.from_pydict(out, schema=_OUT_PA)
     return run
 
 
 def remove_repeats(docs: DataFrame, width: int = 13, block: int = BLOCK_WINDOWS) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one blank), removed (word intervals, end
     exclusive) of every row."""
-    flags = materialize(repeated_windows(docs, width, block), "window-flags") \
-        .groupBy("doc_id").agg(F.collect_list("flags").alias("flags"))
-    rows = docs.select(id_key().alias("doc_id"), "text").join(flags, "doc_id", "left").select("doc_id", "text", "flags")
-    out = rows.mapInArrow(_remove(width), _OUT)
+    rows = docs.select(id_key().alias("doc_id"), "text")
+    buckets = bucket_count(docs.sparkSession, text_bytes(rows))
+    homes = -(-buckets // 4)   # about 16 MB of text each
+    flags = repeated_windows(rows, buckets, homes, width, block)
+    placed = rows.withColumn("home", home_column(F.col("doc_id"), homes))
+    out = placed.groupBy("home").cogroup(flags.groupBy("home")).applyInArrow(_remove(width), _OUT)
     return out.select(id_back(), "n_words", "n_removed", "kept", "removed")
