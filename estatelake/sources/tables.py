@@ -5,16 +5,16 @@ object-store path, never a machine-local folder on a cluster). History is
 partitioned by ``snapshot_date`` and rewritten with dynamic partition
 overwrite, so a rerun of one night replaces that night only.
 
-Replacing a table from a plan that reads the same table cannot overwrite in
-place (Spark would delete the files it is reading), so ``replace`` first
-writes to a staging directory and then rewrites the table from the staged
-copy.
+Replacing a table writes a new version folder and then switches to it by
+creating one empty marker file, which every store does atomically: a failed
+write leaves the old version in place, readers of it are not disturbed, and a
+table can be replaced from a plan that reads it. The version before the
+replaced one is deleted.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -23,30 +23,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def _norm_path(p: str) -> str:
-    """Comparable form of a path URI ('file:///a/b', 'file:/a/b' -> '/a/b')."""
-    for scheme in ("file:",):
-        if p.startswith(scheme):
-            p = p[len(scheme):]
-    while p.startswith("//"):
-        p = p[1:]
-    return p.rstrip("/")
-
-
 class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def _fs(self, path: str):
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+    def version(self, name: str) -> int:
+        """The current version of a replaced table, 0 when it never was."""
+        fs, p = self._fs(f"{self.root}/_current/{name}")
+        if not fs.exists(p):
+            return 0
+        return max((int(f.getPath().getName()) for f in fs.listStatus(p)), default=0)
+
+    def _versioned(self, name: str, n: int) -> str:
+        return f"{self.root}/{name}" if n == 0 else f"{self.root}/{name}-v{n:08d}"
+
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return self._versioned(name, self.version(name))
 
     # S9 / S6 -----------------------------------------------------------------
     def exists(self, name: str) -> bool:
         try:
             self.spark.read.parquet(self.path(name)).schema  # noqa: B018 - forces resolution
             return True
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             return False
 
     def read(self, name: str) -> DataFrame:
@@ -58,22 +65,17 @@ class Lake:
 
     # S12 ---------------------------------------------------------------------
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """``CREATE OR REPLACE TABLE name AS <df>``; staged when ``df`` reads
-        the table it replaces."""
-        target = self.path(name)
-        t = _norm_path(target) + "/"
-        reads_self = (any(_norm_path(f).startswith(t) for f in df.inputFiles())
-                      if self.exists(name) else False)
-        src = df
-        if reads_self:
-            stage = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
-            df.write.mode("overwrite").parquet(stage)
-            src = self.spark.read.parquet(stage)
-        w = src.write.mode("overwrite")
+        """``CREATE OR REPLACE TABLE name AS <df>``, also when ``df`` reads the table it replaces."""
+        n = self.version(name)
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        # full replace: static overwrite of the whole table
-        w.option("partitionOverwriteMode", "static").parquet(target)
+        w.parquet(self._versioned(name, n + 1))
+        fs, marker = self._fs(f"{self.root}/_current/{name}/{n + 1:08d}")
+        fs.create(marker).close()
+        if n > 1:
+            fs, old = self._fs(self._versioned(name, n - 1))
+            fs.delete(old, True)
         return self.read(name)
 
     # S10 ---------------------------------------------------------------------
