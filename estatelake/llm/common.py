@@ -135,6 +135,14 @@ def byte_rows(column: pa.Array | pa.ChunkedArray) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
+def texts(batches, rows: int = 256, as_bytes: bool = True):
+    """(first column, text of the second) of every row, a few rows of a record batch in memory at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield from zip(part.column(0).to_pylist(), byte_rows(part.column(1)) if as_bytes else part.column(1).to_pylist())
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
     """Byte planes of an integer array: little-endian, ``width`` bytes each,
     all lowest bytes first. Constant planes vanish in the shuffle's LZ4."""

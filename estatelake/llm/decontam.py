@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import texts
+
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _OUT = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
         "start_word long, end_word long")
@@ -196,17 +198,16 @@ def _match(indexes, threshold: float, overlap: float, batch_words: int = 150_000
             return pa.RecordBatch.from_pydict(out, schema=_OUT_PA)
 
         ids, words, held = [], [], 0
-        for batch in batches:
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w = terms(t)
-                if not w:
-                    continue
-                ids.append(d)
-                words.append(w)
-                held += len(w)
-                if held >= batch_words:
-                    yield flush(ids, words)
-                    ids, words, held = [], [], 0
+        for d, t in texts(batches, as_bytes=False):
+            w = terms(t)
+            if not w:
+                continue
+            ids.append(d)
+            words.append(w)
+            held += len(w)
+            if held >= batch_words:
+                yield flush(ids, words)
+                ids, words, held = [], [], 0
         if ids:
             yield flush(ids, words)
     return run

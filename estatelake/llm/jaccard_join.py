@@ -44,13 +44,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (MAX_ID, Rolling, bucket_count, byte_rows, deltas, home_of, id_key, materialize, one_row_per_id, pack,
-                     pairs_by_home, split_runs, text_bytes, unpack, values_of)
+from .common import (MAX_ID, Rolling, bucket_count, deltas, home_of, id_key, materialize, one_row_per_id, pack,
+                     pairs_by_home, split_runs, text_bytes, texts, unpack, values_of)
 from .substring_dedup import word_hashes
 
 RARE = 32
 BITS = 48
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 _LOW = np.uint64((1 << BITS) - 1)
 # One row type through the shuffle, of three kinds: entries to be counted (home is NULL), what a document's set is
 # (n, sig), and packed (document, key) pairs for the documents of a home.
@@ -117,14 +117,13 @@ def _block(ids: list[int], sets: list[np.ndarray], buckets: int, homes: int) ->
 def _scan(words: int, buckets: int, homes: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, ids, sets, held = Rolling(words), [], [], 0
-        for batch in batches:
-            for d, t in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1))):
-                ids.append(d)
-                sets.append(shingle_set(t, roll))
-                held += len(sets[-1]) + 1
-                if held >= block:
-                    yield _block(ids, sets, buckets, homes)
-                    ids, sets, held = [], [], 0
+        for d, t in texts(batches):
+            ids.append(d)
+            sets.append(shingle_set(t, roll))
+            held += len(sets[-1]) + 1
+            if held >= block:
+                yield _block(ids, sets, buckets, homes)
+                ids, sets, held = [], [], 0
         if held:
             yield _block(ids, sets, buckets, homes)
     return run

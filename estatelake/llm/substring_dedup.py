@@ -36,9 +36,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (Rolling, bucket_count, byte_rows, home_column, id_back, id_key, pack_pairs, pairs_by_home, split_runs,
-                     text_bytes, unpack_pairs, values_of)
+                     text_bytes, texts, unpack_pairs, values_of)
 
-BLOCK_WINDOWS = 2_000_000
+BLOCK_WINDOWS = 1_000_000
 # packed pairs: to be counted (home is NULL) or already settled for the documents of a home
 _SHIPPED = "bucket long, home long, n long, pairs binary"
 _SHIPPED_PA = pa.schema([("bucket", pa.int64()), ("home", pa.int64()), ("n", pa.int64()), ("pairs", pa.binary())])
@@ -75,18 +75,17 @@ def _block(ids: list[int], arrays: list[np.ndarray], buckets: int, homes: int) -
 def _scan(width: int, buckets: int, homes: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, ids, arrays, held = Rolling(width), [], [], 0
-        for batch in batches:
-            for d, t in zip(batch.column(0).to_pylist(), byte_rows(batch.column(1))):
-                words = (t or b"").split()
-                if len(words) < width:
-                    continue
-                a = roll(word_hashes(words))
-                ids.append(d)
-                arrays.append(a)
-                held += len(a)
-                if held >= block:
-                    yield _block(ids, arrays, buckets, homes)
-                    ids, arrays, held = [], [], 0
+        for d, t in texts(batches):
+            words = (t or b"").split()
+            if len(words) < width:
+                continue
+            a = roll(word_hashes(words))
+            ids.append(d)
+            arrays.append(a)
+            held += len(a)
+            if held >= block:
+                yield _block(ids, arrays, buckets, homes)
+                ids, arrays, held = [], [], 0
         if held:
             yield _block(ids, arrays, buckets, homes)
     return run
