@@ -21,14 +21,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import estatelake
-
 from ..session import shared_path
 
-# Workers of a cluster may not have this package on their path: ship its
-# functions inside the pickled closures instead.
-cloudpickle.register_pickle_by_value(estatelake)
-
 MAX_ID = (1 << 63) - 1
 WORD = r"[^\x20\x09-\x0D]+"
 _P1, _P2 = 2147483629, 2147483647  # primes
@@ -68,6 +62,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value):
+    """Broadcast ``value`` (of proven size) to the tasks; the returned function gives it back there. Pickled by
+    value, so its classes need not be importable on the workers."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

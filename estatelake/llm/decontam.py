@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import share, texts
 
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _OUT = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
@@ -186,7 +186,7 @@ def _verified(ix: Index, words: list[list[bytes]], hits, overlap: float) -> dict
 
 def _match(indexes, threshold: float, overlap: float, batch_words: int = 150_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ixs = indexes.value
+        ixs = indexes()
 
         def flush(ids, words):
             out: dict[str, list] = {k: [] for k in _OUT_PA.names}
@@ -227,7 +227,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
         # at most about max_index_bytes of text
         indexes = build_indexes([tuple(r) for r in part.collect()], items_per_index)
-        found = rows.mapInArrow(_match(spark.sparkContext.broadcast(indexes), threshold, overlap), _OUT)
+        found = rows.mapInArrow(_match(share(spark, indexes), threshold, overlap), _OUT)
         out = found if out is None else out.unionByName(found)
     return out
 

@@ -51,7 +51,7 @@ from .substring_dedup import word_hashes
 RARE = 32
 BITS = 48
 BLOCK_SHINGLES = 1_000_000
-_LOW = np.uint64((1 << BITS) - 1)
+BARE = np.int64(-1 << 63)  # in place of a document: 'RARE or more documents of this block'
 # One row type through the shuffle, of three kinds: entries to be counted (home is NULL), what a document's set is
 # (n, sig), and packed (document, key) pairs for the documents of a home.
 _SHIPPED = "bucket long, home long, doc_id long, n long, sig binary, packed binary"
@@ -104,7 +104,7 @@ def _block(ids: list[int], sets: list[np.ndarray], buckets: int, homes: int) ->
         bare = np.zeros(len(hs), bool)
         bare[starts[:-1][count >= RARE]] = True
         keep = ~frequent | bare
-        hk, dk = hs[keep], np.where(bare[keep], np.int64(-1), ds[keep])
+        hk, dk = hs[keep], np.where(bare[keep], BARE, ds[keep])
         b = (hk * np.uint64(buckets)) >> np.uint64(BITS)
         cuts = split_runs(b)
         for x, y in zip(cuts[:-1], cuts[1:]):
@@ -146,9 +146,9 @@ def _count(homes: int):
             h, d = h[order], d[order]
             starts = split_runs(h)
             count = np.diff(starts)
-            total = count + (RARE - 1) * np.add.reduceat((d < 0).astype(np.int64), starts[:-1])
+            total = count + (RARE - 1) * np.add.reduceat((d == BARE).astype(np.int64), starts[:-1])
             cls = np.repeat(np.minimum(total, RARE), count).astype(np.uint64)
-            back = (cls >= 2) & (d >= 0)
+            back = (cls >= 2) & (d != BARE)
             key = (cls[back] << np.uint64(BITS)) | h[back]
             rows += [(home, None, n, None, p) for home, n, p in pairs_by_home(d[back], key, homes)]
         return pa.Table.from_arrays(_columns(rows, _KNOWN_PA), schema=_KNOWN_PA)

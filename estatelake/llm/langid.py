@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import share
+
 BITS = 14
 _ODD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
@@ -132,7 +134,7 @@ _OUT_PA = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score
 
 def _score(model, bits: int, chunk: int = 128):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, m = _letter_table(), model.value
+        table, m = _letter_table(), model()
         marks = None if m is None else m.landmarks.astype(np.float32)
         for b in batches:
             for at in range(0, b.num_rows, chunk):
@@ -156,7 +158,7 @@ def _score(model, bits: int, chunk: int = 128):
 def predict(docs: DataFrame, model: Model | None, bits: int = BITS) -> DataFrame:
     """doc_id, lang_pred, score of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), bits), _OUT)
+    return rows.mapInArrow(_score(share(docs.sparkSession, model), bits), _OUT)
 
 
 def held_out():
