@@ -254,13 +254,15 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _near(x: str, y: str, percent: int):
+def _near(x: str, y: str, percent: int, first: bool = False):
     """Length and positional filter of two postings, ``x`` and ``y`` being the suffixes of their columns. Lone shingles
     (which come first) are in no intersection: at a common shingle, at most the fewer of the shared ones before
-    it, itself, and the fewer of the ones after it are common."""
+    it (none at the ``first`` common one), itself, and the fewer of the ones after it are common."""
     n, pos, lone = (lambda s: F.col("n" + s)), (lambda s: F.col("pos" + s)), (lambda s: F.col("lone" + s))
     need = F.call_function("div", percent * (n(x) + n(y)) + (99 + percent), F.lit(100 + percent).cast("long"))
-    most = F.least(pos(x) - lone(x), pos(y) - lone(y)) + F.least(n(x) - pos(x), n(y) - pos(y))
+    most = F.least(n(x) - pos(x), n(y) - pos(y))
+    if not first:
+        most = most + F.least(pos(x) - lone(x), pos(y) - lone(y))
     return (100 * F.least(n(x), n(y)) >= percent * F.greatest(n(x), n(y))) & (most >= need)
 
 
@@ -289,10 +291,16 @@ def class_links(reps: DataFrame, percent: int = 80) -> DataFrame:
                            .select("token", "doc_id", "n", "pos", "lone", F.coalesce("comp", "doc_id").alias("comp")), "labelled")
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi") \
         .select("token")
-    x = labelled.join(mixed, "token", "left_semi")
-    y = x.toDF("token", "doc2", "n2", "pos2", "lone2", "comp2")
-    rest = x.join(y, (x.token == y.token) & (F.col("comp") < F.col("comp2")) & _near("", "2", percent)) \
-        .select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")).distinct() \
+    # a pair comes up at the first shingle that its prefixes share, and nowhere else
+    prefix = post.groupBy("doc_id").agg(F.array_sort(F.collect_list("token")).alias("prefix"))
+    x = labelled.join(mixed, "token", "left_semi").join(prefix, "doc_id") \
+        .select("token", "doc_id", "n", "pos", "lone", "comp", "prefix")
+    y = x.toDF("token", "doc2", "n2", "pos2", "lone2", "comp2", "prefix2")
+    before = F.slice("prefix", F.lit(1), (F.col("pos") - F.col("lone")).cast("int"))
+    before2 = F.slice("prefix2", F.lit(1), (F.col("pos2") - F.col("lone2")).cast("int"))
+    rest = x.join(y, (x.token == y.token) & (F.col("comp") < F.col("comp2")) & _near("", "2", percent, first=True)
+                  & ~F.arrays_overlap(before, before2)) \
+        .select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")) \
         .join(tried, ["a", "b"], "left_anti")
     more = materialize(links(rest, open_, percent), "cross-links")
     if more.isEmpty():

@@ -120,8 +120,12 @@ def train(labelled: DataFrame, per_language: int = 250, max_rows: int = 8192, la
     (2**bits / 8 bytes each) reach the driver."""
     rows = labelled.select(F.xxhash64("doc_id").alias("key"), "lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     narrow = rows.select("key", "lang").distinct()
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    pick = narrow.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy("nth", "lang").limit(max_rows)
+    # a language may hold most rows: the smallest of each salt first, then the smallest of those
+    pick = narrow.withColumn("salt", F.pmod("key", F.lit(64)))
+    for group in (["lang", "salt"], ["lang"]):
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy("key"))
+        pick = pick.withColumn("nth", nth).where(F.col("nth") <= per_language)
+    pick = pick.orderBy("nth", "lang").limit(max_rows)
     rows = rows.join(F.broadcast(pick.select("key", "lang")), ["key", "lang"]).select("key", "lang", "text")
     got = rows.mapInArrow(_bits(bits), "key long, lang string, grams binary").where("grams IS NOT NULL").toPandas()
     got = got.sort_values(["key", "lang", "grams"]).drop_duplicates(["key", "lang"])
