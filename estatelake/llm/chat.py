@@ -143,6 +143,11 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
                       F.array_join(faults, ",").alias("errors"), json.alias("json"))
 
 
+def _schema(name: str, required: list[str], types: dict[str, str]) -> Column:
+    return F.struct(F.lit(name).alias("name"), F.array(*[F.lit(r) for r in required]).alias("required"),
+                    F.create_map(*[F.lit(x) for kv in types.items() for x in kv]).alias("types"))
+
+
 def chat_tables(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Calls, results and schemas read off a plain transcript: a system turn is
     a call of ``configure``, a user turn a call of ``answer`` that cites the
@@ -160,10 +165,10 @@ def chat_tables(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
         F.when(F.col("role") == "system", "configure").otherwise("answer").alias("name"), args.alias("args"))
     results = c.where("role = 'assistant'").select("conv_id", cid(F.col("turn") - 1).alias("call_id"), "turn",
                                                    F.col("text").alias("content"))
-    schemas = spark.createDataFrame(
-        [("configure", ["text"], {"text": "string", "turn": "integer"}),
-         ("answer", ["text", "turn"], {"text": "string", "turn": "integer", "words": "integer", "context": "string"})],
-        "name string, required array<string>, types map<string,string>")
+    schemas = spark.range(1).select(F.inline(F.array(
+        _schema("configure", ["text"], {"text": "string", "turn": "integer"}),
+        _schema("answer", ["text", "turn"],
+                {"text": "string", "turn": "integer", "words": "integer", "context": "string"}))))
     return calls, results, schemas
 
 
