@@ -291,15 +291,15 @@ def class_links(reps: DataFrame, percent: int = 80) -> DataFrame:
                            .select("token", "doc_id", "n", "pos", "lone", F.coalesce("comp", "doc_id").alias("comp")), "labelled")
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi") \
         .select("token")
-    # a pair comes up at the first shingle that its prefixes share, and nowhere else
-    prefix = post.groupBy("doc_id").agg(F.array_sort(F.collect_list("token")).alias("prefix"))
-    x = labelled.join(mixed, "token", "left_semi").join(prefix, "doc_id") \
-        .select("token", "doc_id", "n", "pos", "lone", "comp", "prefix")
+    # A pair comes up at the first shingle that its prefixes share, and nowhere else. All shingles that documents of
+    # different components share are mixed ones, so no others need to be compared.
+    mixed = materialize(labelled.join(mixed, "token", "left_semi"), "mixed-postings")
+    prefix = mixed.groupBy("doc_id").agg(F.collect_list("token").alias("prefix"))
+    x = mixed.join(prefix, "doc_id").select("token", "doc_id", "n", "pos", "lone", "comp", "prefix")
     y = x.toDF("token", "doc2", "n2", "pos2", "lone2", "comp2", "prefix2")
-    before = F.slice("prefix", F.lit(1), (F.col("pos") - F.col("lone")).cast("int"))
-    before2 = F.slice("prefix2", F.lit(1), (F.col("pos2") - F.col("lone2")).cast("int"))
+    before = F.filter("prefix", lambda t: t < x.token)
     rest = x.join(y, (x.token == y.token) & (F.col("comp") < F.col("comp2")) & _near("", "2", percent, first=True)
-                  & ~F.arrays_overlap(before, before2)) \
+                  & ~F.arrays_overlap(before, F.col("prefix2"))) \
         .select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")) \
         .join(tried, ["a", "b"], "left_anti")
     more = materialize(links(rest, open_, percent), "cross-links")
