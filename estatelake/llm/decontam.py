@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import share, texts
+from .sharding import keyed_rows
 
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _OUT = ("doc_id long, item_id long, score double, question_overlap double, answer_overlap double, "
@@ -233,6 +234,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, overlap
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that leak an item."""
-    bad = leaks(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows whose text leaks an item."""
+    rows, _ = keyed_rows(docs)
+    bad = leaks(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark, **options)
+    bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
+    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)

@@ -28,10 +28,11 @@ when 100 * intersection >= ``percent`` * union.
 Hashes of shingles are 48 bits of a 64-bit rolling hash: 2 sets of 500 shingles
 gain a false common shingle with odds of 1e-9.
 
-Cases: NULL text counts as empty; equal sets form one component; rows that
-repeat an id are one document, of which the greatest text by code point
-stands; NULL ids are one id, which sorts last and comes back as NULL; an empty
-table gives an empty result.
+Cases: NULL text counts as empty; equal sets form one component; an empty table
+gives an empty result. ``row_components`` judges every row by its own text, also
+rows that repeat an id or have none; NULL ids sort last, and a component of
+NULL ids only has the id NULL. ``jaccard_components`` has one row per id: the
+greatest text by code point stands, and NULL ids are one id.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ from pyspark.sql import functions as F
 
 from .common import (MAX_ID, Rolling, bucket_count, deltas, home_of, id_key, materialize, one_row_per_id, pack,
                      pairs_by_home, split_runs, text_bytes, texts, unpack, values_of)
+from .sharding import keyed_rows
 from .substring_dedup import word_hashes
 
 RARE = 32
@@ -168,11 +170,10 @@ def _assemble(t: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(_columns(rows, _SETS_PA), schema=_SETS_PA)
 
 
-def shingled(docs: DataFrame, words: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """doc_id, n (set size), sig (of the set, NULL if empty), shared, keys (packed, in global order: the shared
+def shingled(rows: DataFrame, words: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """Of ``rows`` (doc_id, text; an id each, none NULL): doc_id, n (set size), sig (of the set, NULL if empty), shared, keys (packed, in global order: the shared
     shingles). One document of a block keeps the keys of an equal set."""
-    rows = one_row_per_id(docs.select(id_key().alias("doc_id"), "text"))
-    buckets = bucket_count(docs.sparkSession, text_bytes(rows))
+    buckets = bucket_count(rows.sparkSession, text_bytes(rows))
     homes = -(-buckets // 4)   # about 16 MB of text each
     known = rows.mapInArrow(_scan(words, buckets, homes, block), _SHIPPED).groupBy("bucket") \
         .applyInArrow(_count(homes), _KNOWN)
@@ -308,15 +309,35 @@ def class_links(reps: DataFrame, percent: int = 80) -> DataFrame:
     return components(found.unionByName(more))
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles, component_id, rep_id (smallest document with the same set) of every document id."""
-    sets = shingled(docs, words, block)
+def key_components(rows: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id, rep_id (smallest document with the same set) of ``rows`` (doc_id, text; an
+    id each, none NULL)."""
+    sets = shingled(rows, words, block)
     classes = materialize(sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
     reps = sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     comp = class_links(reps, percent).select(F.col("doc_id").alias("rep"), "comp")
     named = classes.join(comp, "rep", "left").select("sig", "rep", F.coalesce("comp", "rep").alias("comp"))
     out = sets.select("doc_id", "n", "sig").join(materialize(named, "named-classes"), "sig", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"),
+                      F.coalesce("rep", "doc_id").alias("rep_id"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id, rep_id of every document id, NULL being one."""
+    out = key_components(one_row_per_id(docs.select(id_key().alias("doc_id"), "text")), words, percent, block)
     null = F.lit(MAX_ID)
-    return out.select(F.nullif("doc_id", null).alias("doc_id"), F.col("n").alias("n_shingles"),
-                      F.nullif(F.coalesce("comp", "doc_id"), null).alias("component_id"),
-                      F.nullif(F.coalesce("rep", "doc_id"), null).alias("rep_id"))
+    return out.select("n_shingles", *[F.nullif(c, null).alias(c) for c in ("doc_id", "component_id", "rep_id")])
+
+
+def row_components(docs: DataFrame, words: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id of the component) of every row, each with its own text."""
+    rows, unique = keyed_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    out = key_components(rows.select(F.col("_row").alias("doc_id"), "text"), words, percent, block) \
+        .select("doc_id", "n_shingles", "component_id")
+    if unique:
+        return out
+    # keys have the order of the ids, so the smallest key of a component is that of its smallest id
+    own = rows.select(F.col("_row").alias("_own"), F.col("doc_id").alias("_own_id"))
+    first = rows.select(F.col("_row").alias("_first"), F.col("doc_id").alias("_first_id"))
+    return out.join(own, F.col("doc_id") == F.col("_own")).join(first, F.col("component_id") == F.col("_first")) \
+        .select(F.col("_own_id").alias("doc_id"), "n_shingles", F.col("_first_id").alias("component_id"))

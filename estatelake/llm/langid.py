@@ -170,7 +170,11 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def learn(docs: DataFrame, **options) -> Model | None:
+    """Fit on the labelled rows that have an id and are not held out."""
+    return train(docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id", "text", "lang"), **options)
+
+
 def identify(docs: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row, learned from the rows that are not held out."""
-    model = train(docs.where(~held_out() & F.col("doc_id").isNotNull()).select("doc_id", "text", "lang"), **options)
-    return predict(docs, model).withColumn("held_out", held_out()).select("doc_id", "held_out", "lang_pred", "score")
+    return predict(docs, learn(docs, **options)).withColumn("held_out", held_out()).select("doc_id", "held_out", "lang_pred", "score")

@@ -46,8 +46,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")) \
-        .select("doc_id", "n_shingles", "component_id")
+    return jaccard_join.row_components(table(spark, sf_dir, "documents"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

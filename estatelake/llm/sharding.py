@@ -44,6 +44,21 @@ def number_rows(rows: DataFrame, order: list[str]) -> DataFrame:
         .drop("_part", "_nth", "_before")
 
 
+def keyed_rows(docs: DataFrame, *within: Column) -> tuple[DataFrame, bool]:
+    """``docs`` with ``_row``, a key of every row for itself in the order of doc_id (NULL last), and whether the ids
+    themselves are those keys. A table of unique ids is not copied; any other is numbered by doc_id, ``within`` and
+    the text's hash, and written with its numbers."""
+    n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids:   # NULL is not counted as an id
+        return docs.withColumn("_row", F.col("doc_id").cast("long")), True
+    # the place in the scan spreads rows that agree in all else
+    order = [id_key(), *within, F.xxhash64("text"), F.monotonically_increasing_id()]
+    names = [f"_o{i}" for i in range(len(order))]
+    rows = docs.select(*[c.alias(k) for c, k in zip(order, names)], F.struct(*docs.columns).alias("_r"))
+    rows = materialize(number_rows(rows, names).select("_r.*", F.col("row_number").alias("_row")), "keyed-rows")
+    return rows, False
+
+
 def int_div(x: Column, d: int) -> Column:
     """Exact quotient of non-negative longs (plain division goes through DOUBLE)."""
     return F.call_function("div", x, F.lit(d).cast("long"))
