@@ -22,7 +22,7 @@ the two ids, so reruns agree whatever the partitioning is.
 
 Cases: NULL or empty text has size 0, takes no words and gets no copy; NULL
 source is a source of its own; repeated rows (same id) are told apart by their
-count and each is a document; NULL ids sort last; empty tables and sources
+count and each is a document, with a draw of its own that ``apply_mix`` gives to one row; NULL ids sort last; empty tables and sources
 without words give empty results or targets of 0.
 """
 
@@ -32,10 +32,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, id_back, id_key, materialize
+from .sharding import keyed_rows
 
 WEIGHTS = (5.0, 2.0, 1.0)
 _GOLD = 0x9E3779B97F4A7C15
@@ -154,18 +155,29 @@ def pivotal(docs: DataFrame, seed: int = 1, leaf_rows: int = 4000, fan_in: int =
     return out
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size of every row."""
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(id_key().alias("doc_id"), "source", size.alias("size"))
+def word_count() -> Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def sized(docs: DataFrame, row: Column) -> DataFrame:
+    """doc_id, source, size, row of every row."""
+    return docs.select(id_key().alias("doc_id"), "source", word_count().alias("size"), row.alias("row"))
 
 
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = WEIGHTS,
         seed: int = 1) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken of every row."""
-    rows = materialize(sized(docs), "mix-sizes")
+    return _drawn(sized(docs, F.lit(0).cast("long")), share, cap, weights, seed) \
+        .select(id_back(), "source", "size", "source_size", "target", "copies", "taken")
+
+
+def _drawn(rows: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = WEIGHTS,
+           seed: int = 1) -> DataFrame:
+    """``rows`` (doc_id, source, size, row) with source_size, target, copies and taken. Rows that agree in doc_id,
+    source and size have adjoining ``row`` numbers."""
+    rows = materialize(rows, "mix-sizes")
     # rows that agree in id, source and size become one row with a multiplicity
-    rows = rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times"))
+    rows = rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times"), F.min("row").alias("row"))
     sizes = materialize(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size")),
                         "mix-source-sizes")
     goal = (sizes.join(targets(sizes, share, cap, weights).withColumnRenamed("source", "s"),
@@ -173,28 +185,24 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[fl
             .withColumn("sid", F.xxhash64(F.col("source").isNull(), "source")))
     goal = materialize(goal, "mix-goals").withColumnRenamed("source", "s")
     per = (rows.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-           .withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))))
+           .withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+           .withColumn("row", F.col("row") + F.col("nth") - 1))
     per = per.withColumn("c", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    per = per.select("doc_id", F.xxhash64("source", "size", "nth").alias("nth"), "source", "size", "source_size",
-                     "target", "sid", F.floor("c").cast("long").alias("base"), (F.col("c") - F.floor("c")).alias("p"))
+    per = per.select("doc_id", F.xxhash64("source", "size", "nth").alias("nth"), "row", "source", "size",
+                     "source_size", "target", "sid", F.floor("c").cast("long").alias("base"), (F.col("c") - F.floor("c")).alias("p"))
     per = materialize(per, "mix-rows")
     extra = pivotal(per.select("doc_id", "nth", "size", "sid", "p"), seed)
     out = per.join(extra, ["doc_id", "nth"])
     copies = F.when(F.col("size") > 0, F.col("base") + F.col("extra")).otherwise(0)
-    return out.select(id_back(), "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
+    return out.select("doc_id", "row", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                       copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
 def apply_mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: each row as many times as it was drawn, with the columns of ``docs``.
-    Rows that agree in id, source and size repeat one document; each of them is taken as often as the
-    one that was drawn most."""
-    taken = (mix(docs, **options).where("copies > 0").groupBy("doc_id", "source", "size")
-             .agg(F.max("copies").alias("each")))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    cols = docs.columns
-    keyed = docs.withColumns({"_size": size, "_doc": id_key()})
-    t = taken.select(id_key().alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z"), "each")
-    keyed = keyed.join(t, (F.col("_doc") == F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-                       & (F.col("_size") == F.col("_z")))
-    return keyed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("each").cast("int")))).select(*cols)
+    Rows that agree in id, source and size are numbered one after another, and each gets one of their draws."""
+    rows, _ = keyed_rows(docs, F.col("source"), word_count())
+    taken = _drawn(sized(rows, F.col("_row")), **options).where("copies > 0") \
+        .select(F.col("row").alias("_drawn"), F.col("copies").alias("_each"))
+    rows = rows.join(taken, F.col("_row") == F.col("_drawn"))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each").cast("int")))).select(*docs.columns)

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from estatelake.llm import decontam, jaccard_join
+from estatelake.llm import decontam, jaccard_join, mixing
 from fixtures import frame, words
 from test_text_operators import brute_components, shingles
 
@@ -66,3 +66,24 @@ def test_clean_drops_the_leaking_rows_only(spark):
     rows = [(None, leak, "en", "s"), (None, fine, "en", "s"), (3, leak, "en", "s"), (3, fine, "en", "s"), (4, fine, "en", "s")]
     got = Counter((r.doc_id, r.text) for r in decontam.clean(frame(spark, rows), bench).collect())
     assert got == Counter([(None, fine), (3, fine), (4, fine)])
+
+
+def test_mix_takes_every_row_as_often_as_it_was_drawn(spark):
+    """Sources of one hot id each, with equal and with different texts: their words equal the sum of the draws."""
+    rng = random.Random(6)
+    rows = [(5, words(rng, 9), "en", "c") for _ in range(300)]               # one id and size, 300 texts
+    rows += [(None, words(rng, 9), "en", "c") for _ in range(200)] + [(6, "one two three", "en", "c")] * 100
+    rows += [(100 + i, words(rng, 4), "en", "a" if i % 4 else "b") for i in range(120)]
+    df = frame(spark, rows).repartition(4)
+    want, goal = Counter(), {}
+    for r in mixing.mix(df).collect():
+        want[r.source] += r.taken
+        goal[r.source] = r.target
+    got, times = Counter(), Counter()
+    for r in mixing.apply_mix(df).collect():
+        got[r.source] += len(r.text.split())
+        times[r.doc_id, r.text] += 1
+    assert got == want and all(abs(got[s] - goal[s]) <= 9 for s in goal)
+    assert 100 < times[6, "one two three"] < 200
+    have = Counter((d, t) for d, t, *_ in rows)
+    assert all(n <= 2 * have[k] for k, n in times.items())
