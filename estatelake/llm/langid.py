@@ -127,8 +127,9 @@ def train(labelled: DataFrame, per_language: int = 250, max_rows: int = 8192, la
         pick = pick.withColumn("nth", nth).where(F.col("nth") <= per_language)
     pick = pick.orderBy("nth", "lang").limit(max_rows)
     rows = rows.join(F.broadcast(pick.select("key", "lang")), ["key", "lang"]).select("key", "lang", "text")
-    got = rows.mapInArrow(_bits(bits), "key long, lang string, grams binary").where("grams IS NOT NULL").toPandas()
-    got = got.sort_values(["key", "lang", "grams"]).drop_duplicates(["key", "lang"])
+    got = rows.mapInArrow(_bits(bits), "key long, lang string, grams binary").where("grams IS NOT NULL")
+    # rows that repeat a picked id are folded before they travel
+    got = got.groupBy("key", "lang").agg(F.min("grams").alias("grams")).toPandas().sort_values(["key", "lang"])
     return fit([(n, np.unpackbits(np.frombuffer(g, np.uint8))) for n, g in zip(got["lang"], got["grams"])], landmarks)
 
 

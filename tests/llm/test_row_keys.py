@@ -3,8 +3,11 @@
 import random
 from collections import Counter
 
+import numpy as np
+from pyspark.sql.classic.dataframe import DataFrame
+
 import corpus_pipeline
-from estatelake.llm import decontam, jaccard_join, mixing
+from estatelake.llm import decontam, jaccard_join, langid, mixing
 from fixtures import frame, words
 from test_text_operators import brute_components, shingles
 
@@ -87,3 +90,23 @@ def test_mix_takes_every_row_as_often_as_it_was_drawn(spark):
     assert 100 < times[6, "one two three"] < 200
     have = Counter((d, t) for d, t, *_ in rows)
     assert all(n <= 2 * have[k] for k, n in times.items())
+
+
+def test_language_sample_reaches_the_driver_folded(spark, monkeypatch):
+    """Rows that repeat a picked id count once towards max_rows, with the vector that sorts first."""
+    rows = [(1, f"the cat {'abcdefgh'[i % 8]} sat", "en", "s") for i in range(200)] + [(2, "der hund liegt", "de", "s")]
+    sent, plain = [], DataFrame.toPandas
+
+    def counted(df):
+        sent.append(plain(df))
+        return sent[-1]
+
+    monkeypatch.setattr(DataFrame, "toPandas", counted)
+    model = langid.train(frame(spark, rows).repartition(4), max_rows=2)
+    assert [len(p) for p in sent] == [2] and model.names == ["de", "en"]
+    vectors = []
+    for _, t, g, _ in rows:
+        v = np.zeros(1 << langid.BITS, np.uint8)
+        langid.presence(t, v, langid._letter_table())
+        vectors.append((g, np.packbits(v).tobytes()))
+    assert {np.packbits(m).tobytes() for m in model.landmarks} == {min(v for h, v in vectors if h == g) for g in ("en", "de")}
