@@ -114,5 +114,34 @@ FROM j LEFT JOIN score ON score.host = j.host
 """
 
 
+# CRC-32 of the decimal id, bit by bit; nodes are keyed by the hash chain of their turns
+OP11 = r"""
+WITH t AS MATERIALIZED (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+o AS MATERIALIZED (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST,
+    substr(sha256(strlen(role) || ':' || role || text), 1, 32)) AS i,
+  sha256(strlen(role) || ':' || role || text) AS g,
+  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM t),
+ids AS MATERIALIZED (SELECT c, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+    list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384)))) % 4 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+head AS (SELECT ids.c, i, g, w FROM ids JOIN o ON o.c = ids.c - ids.c % 20 AND i <= h),
+rest AS (SELECT ids.c, i + 1000000 AS i, g, w FROM ids JOIN o ON o.c = ids.c AND i > h),
+b AS MATERIALIZED (SELECT c, row_number() OVER (PARTITION BY c ORDER BY i) AS d, g, w FROM (SELECT * FROM head UNION ALL SELECT * FROM rest)),
+m AS MATERIALIZED (SELECT c, 0 AS d, '' AS k, '' AS up, 0 AS w FROM ids UNION ALL
+  SELECT c, d, sha256(string_agg(g, '' ORDER BY e)), CASE WHEN d > 1 THEN sha256(string_agg(g, '' ORDER BY e) FILTER (e < d)) ELSE '' END, max(w) FILTER (e = d)
+  FROM (SELECT x.c, x.d, y.d AS e, y.g, y.w FROM b x JOIN b y ON y.c = x.c AND y.d <= x.d) GROUP BY c, d),
+l AS (SELECT c, max(d) AS len FROM m GROUP BY c),
+n AS MATERIALIZED (SELECT d, k, min(up) AS up, min(c) AS c, count(*) AS members, max(w) AS w, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len = d), '') AS ends
+  FROM m JOIN l USING (c) GROUP BY d, k),
+kids AS MATERIALIZED (SELECT p.d, p.k, count(x.k) AS children FROM n p LEFT JOIN n x ON x.d = p.d + 1 AND x.up = p.k GROUP BY p.d, p.k),
+sub AS (SELECT a.d, a.k, count(*) FILTER (z.children = 0) AS leaves, sum((u.members - 1) * u.w)::BIGINT AS saved
+  FROM n u JOIN kids z USING (d, k) JOIN m a ON a.c = u.c AND a.d <= u.d GROUP BY a.d, a.k)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.members AS n_convs, children AS n_children, leaves AS n_leaves,
+  saved AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN kids USING (d, k) JOIN sub USING (d, k) LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.up
+"""
+
 ORACLES = {"op1_exact_dedup": OP1, "op3_chat_format": OP3, "op4_substring_dedup": OP4, "op8_jaccard_join": OP8,
-           "op9_url_filter": op9()}
+           "op9_url_filter": op9(), "op11_conversation_trie": OP11}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, exact_dedup, jaccard_join, langid, mixing, secret_scan, sharding, substring_dedup, url_filter
+from . import (chat, decontam, exact_dedup, jaccard_join, langid, mixing, prefix_trie, secret_scan, sharding, substring_dedup,
+               url_filter)
 from .common import table
 
 
@@ -57,6 +58,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_decontamination, op3_chat_format, op4_substring_dedup, op5_mixing, op6_sharding,
-    op7_secret_scan, op8_jaccard_join, op9_url_filter, op10_language_id)}
+    op7_secret_scan, op8_jaccard_join, op9_url_filter, op10_language_id,
+    op11_conversation_trie)}
