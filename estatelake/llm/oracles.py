@@ -143,5 +143,19 @@ SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.members AS n_convs
 FROM n JOIN kids USING (d, k) JOIN sub USING (d, k) LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.up
 """
 
+OP12 = """
+WITH r AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same,
+    coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])), 0)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS MATERIALIZED (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (SELECT p.a, p.b, p.score AS ps, s.b AS x, s.score AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT a AS anchor_id, b AS positive_id, rank::INTEGER AS rank, x AS negative_id, ps AS positive_score, ns AS negative_score
+FROM n WHERE rank <= 3
+"""
+
 ORACLES = {"op1_exact_dedup": OP1, "op3_chat_format": OP3, "op4_substring_dedup": OP4, "op8_jaccard_join": OP8,
-           "op9_url_filter": op9(), "op11_conversation_trie": OP11}
+           "op9_url_filter": op9(), "op11_conversation_trie": OP11, "op12_hard_negatives": OP12}

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontam, exact_dedup, jaccard_join, langid, mixing, prefix_trie, secret_scan, sharding, substring_dedup,
-               url_filter)
+from . import (chat, decontam, exact_dedup, hard_negatives, jaccard_join, langid, mixing, pii, prefix_trie, secret_scan,
+               sharding, substring_dedup, url_filter)
 from .common import table
 
 
@@ -36,8 +36,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
-    base = [r.kind for r in secret_scan.BASE]
+    return span_digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")), [r.kind for r in secret_scan.BASE])
+
+
+def span_digest(df: DataFrame, base: list[str]) -> DataFrame:
+    """Counts of the base kinds, hash of the base spans and all spans as kind:start:end, in the order of ``spans``."""
     count = lambda k: F.size(F.filter("spans", lambda s: s.kind == k)).cast("long")
     joined = lambda spans: F.array_join(F.transform(
         spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
@@ -62,7 +65,17 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(pii.find_personal_data(table(spark, sf_dir, "documents")), list(pii.KINDS))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_decontamination, op3_chat_format, op4_substring_dedup, op5_mixing, op6_sharding,
     op7_secret_scan, op8_jaccard_join, op9_url_filter, op10_language_id,
-    op11_conversation_trie)}
+    op11_conversation_trie, op12_hard_negatives, op13_personal_data)}
