@@ -168,13 +168,17 @@ def market_summary_v3(df: DataFrame) -> DataFrame:
                      medians={"median_price": "price", "median_eur_m2": "price_per_m2"})
 
 
+def history_summary(history: DataFrame) -> DataFrame:
+    """The dashboard's summary of a history, all groups: rows, median price, median €/m²."""
+    return summarize(history, ["snapshot_date", "city", "property_type"], [F.count(F.lit(1)).alias("n")],
+                     medians={"median_price": "price", "median_eur_m2": "price_per_m2"})
+
+
 def dashboard_summary(history: DataFrame, limit: int = 500) -> DataFrame:
     """A4 / O3: history summary, newest snapshot first then largest groups,
     top ``limit`` rows (the limit is the feature: a dashboard page). Ties are
     broken on the group keys so the page is deterministic."""
-    keys = ["snapshot_date", "city", "property_type"]
-    s = summarize(history, keys, [F.count(F.lit(1)).alias("n")],
-                  medians={"median_price": "price", "median_eur_m2": "price_per_m2"})
+    s = history_summary(history)
     return s.orderBy(F.col("snapshot_date").desc_nulls_last(), F.col("n").desc(),
                      F.col("city").asc_nulls_last(), F.col("property_type").asc_nulls_last()
                      ).limit(limit)

@@ -19,6 +19,7 @@ from ..functions import flags, parse
 from ..session import shared_path
 from ..sources import files, pages, tpch
 from .. import vocab
+from ..sources.buckets import CommittedLake
 from ..sources.tables import Lake, write_csv
 from ..streaming import ingest
 from . import nightly, render, staging
@@ -736,6 +737,10 @@ def _lake(spark):
     return Lake(spark, shared_path(spark, "lake"))
 
 
+def _committed(spark):
+    return CommittedLake(spark, shared_path(spark, "lake"))
+
+
 def _lake_tables(lake):
     """Current table, history and summary as one frame."""
     latest = lake.read("listings_latest").select(F.lit("latest").alias("table"), "url", "snapshot_date", "price",
@@ -751,7 +756,7 @@ def _lake_tables(lake):
 @query("J2_upsert_tables")
 def j2t(spark, sf_dir):
     base, batch = _halves(spark, sf_dir)
-    lake = _lake(spark)
+    lake = _committed(spark)
     # out of order, two batches that share days, one replay
     odd = F.col("listing_id") % 2 == 1
     nightly.upsert_nightly(lake, batch, "snapshot_month", "night-2")
@@ -768,7 +773,7 @@ def j2s(spark, sf_dir):
     cols = vocab.LISTING_TABLE_COLUMNS + ["listing_id"]
     base.select(*cols).write.parquet(f"{drops}/night=1")
     batch.select(*cols).write.parquet(f"{drops}/night=2")
-    lake = _lake(spark)
+    lake = _committed(spark)
     schema = base.select(*cols).schema
     ingest.ingest_drops(spark, drops, schema, lake, history_partition="snapshot_month",
                         max_files_per_trigger=4)
@@ -807,9 +812,9 @@ def s17(spark, sf_dir):
 
 @query("S16_rebuild_sanity_report")
 def s16(spark, sf_dir):
-    lake = _lake(spark)
+    lake = _committed(spark)
     nightly.rebuild_analytics(lake, tpch.listing(spark, sf_dir), history_partition="snapshot_month")
-    return lake.read_json("sanity_report").select(
+    return Lake(spark, lake.root).read_json("sanity_report").select(
         "total_rows", "missing_price", "missing_m2", "bad_m2", "bad_eur_m2", "kept_after_sanity")
 
 
@@ -897,13 +902,12 @@ def s15(spark, sf_dir):
     """The dashboard summary as SQL text over a registered view (S15 + A4)."""
     import uuid as _uuid
     lake = _lake(spark)
-    view = f"listings_history_{_uuid.uuid4().hex[:8]}"
-    lake.register(view, cleaned_listing(spark, sf_dir))
+    view = f"market_history_{_uuid.uuid4().hex[:8]}"
+    # medians are made by the distributed quantiles; SQL text pages through them
+    lake.register(view, market.history_summary(cleaned_listing(spark, sf_dir)))
     df = spark.sql(f"""
-        SELECT snapshot_date, city, property_type, COUNT(*) AS n,
-               MEDIAN(price) AS median_price, MEDIAN(price_per_m2) AS median_eur_m2
+        SELECT snapshot_date, city, property_type, n, median_price, median_eur_m2
         FROM {view}
-        GROUP BY ALL
         ORDER BY snapshot_date DESC NULLS LAST, n DESC, city ASC NULLS LAST, property_type ASC NULLS LAST
         LIMIT 500""")
     return round_doubles(df)

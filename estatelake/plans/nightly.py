@@ -1,16 +1,19 @@
 """The nightly flows, composed from operators and sinks (§3 of the survey).
 
 * ``rebuild_analytics``: history/raw → clean → history, latest snapshot,
-  daily summary, sanity report.
-* ``upsert_nightly``: batch → upsert current table, append history,
-  overwrite the batch's summary partitions.
+  daily summaries, sanity report.
+* ``upsert_nightly``: batch → newest row per URL in the current table, history,
+  the touched partitions of ``market_summary_v2``.
 * ``analysis_tables``: normalise → drop rows without price → latest,
   history, v1 summary.
 
-Each flow is one lazy plan per sink; the cleaned frame feeds several sinks,
-so it is checkpointed once into the shared folder (reliable: survives
-executor loss, and each sink re-reads the checkpoint instead of recomputing
-the scan and parse).
+The first two work on one ``CommittedLake`` in any order, and each of them is one
+commit: a reader sees current table, history and summaries of the same state.
+History keeps its rows by batch id (``rebuild`` for those of a rebuild), so
+batches never overwrite each other, whatever days they share, while a replayed
+batch (a retried stream epoch, a rerun night under the same id) replaces its own
+rows only. Beside history lie counts per (day, city, type, value): the summary of a
+touched partition is made of these few columns, never of history's rows.
 """
 
 from __future__ import annotations
@@ -21,32 +24,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
-from ..operators import market, resolve, upsert
+from ..operators import market, resolve
+from ..operators.stats import quantiles_of_counts
 from ..session import cut_lineage
+from ..sources.buckets import CommittedLake
 from ..sources.tables import Lake
 
+REBUILD = "rebuild"
+SUMMARY_KEYS = ["snapshot_date", "city", "property_type"]
 
-def rebuild_analytics(lake: Lake, source: DataFrame, clean: bool = True,
+
+def rebuild_analytics(lake: CommittedLake, source: DataFrame, clean: bool = True,
                       run_date: _dt.date | str | None = None,
                       history_partition: str = "snapshot_date") -> DataFrame:
-    """Rebuild: returns the one-row sanity report (also appended to the
-    ``sanity_report`` table). History is partitioned by
-    ``history_partition`` (a nightly date by default; a coarser derived
-    column such as a month for long back-fills)."""
+    """Rebuild: replaces history, current table and summaries by those of ``source`` and returns the one-row sanity
+    report (also appended to the ``sanity_report`` table). History is partitioned by ``history_partition`` (a nightly
+    date by default; a coarser derived column such as a month for long back-fills)."""
     prepared = market.prepare_rebuild(source, run_date)
     counters = market.sanity_counters(prepared)
-    lake.replace("listings_history", cut_lineage(_with_partition(prepared, history_partition)),
-                 partition_by=[history_partition])
+    old = lake.state()
+    state = {**old, "partition": history_partition}
+    state = lake.add_batch(state, "history", lake.history, cut_lineage(_with_partition(prepared, history_partition)), REBUILD, alone=True)
     # history keeps every row; only what is derived from it is filtered
-    history = lake.read("listings_history")
+    history = lake.read_batches(state, "history", lake.history)
     kept = market.plausible(history) if clean else history
-    lake.replace("listings_latest", market.latest_snapshot(kept))
-    lake.replace("market_daily_summary", market.market_summary_v3(kept))
-    report = counters.withColumn("rebuilt_at", F.current_timestamp())
-    lake.report_from("sanity_report", report)
+    state = lake.replace_current(state, market.latest_snapshot(kept).drop(*_derived(history_partition)))
+    state = lake.put_table(state, "market_daily_summary", market.market_summary_v3(kept))
+    state = _summarised(lake, state, history, REBUILD, None)
+    lake.commit(old, state)
+    Lake(lake.spark, lake.root).report_from("sanity_report", counters.withColumn("rebuilt_at", F.current_timestamp()))
     return counters
 
 
+def _derived(partition: str) -> list[str]:
+    return [] if partition == "snapshot_date" else [partition]
+
+
 def _with_partition(df: DataFrame, col: str) -> DataFrame:
     if col in df.columns:
         return df
@@ -55,17 +68,30 @@ def _with_partition(df: DataFrame, col: str) -> DataFrame:
     raise ValueError(col)
 
 
-def upsert_nightly(lake: Lake, batch: DataFrame, history_partition: str = "snapshot_date",
+def _summarised(lake: CommittedLake, state: dict, rows: DataFrame, batch_id: str, before: dict | None) -> dict:
+    """State with the batch's value counts and the summaries of the partitions it touches; all partitions when there is
+    no state before. The partitions that a replayed batch had touched count as well."""
+    part = state["partition"]
+    keys = list(dict.fromkeys([part, *SUMMARY_KEYS]))
+    counted = rows.where("url IS NOT NULL AND price_per_m2 IS NOT NULL").groupBy(*keys, "price_per_m2").agg(F.count(F.lit(1)).alias("n"))
+    state = lake.add_batch(state, "counts", "market_counts", counted, batch_id, alone=before is None)
+    touched = lake.read_batches(state, "counts", "market_counts", [batch_id]).select(part)
+    if before and batch_id in before["counts"]:
+        touched = touched.unionByName(lake.read_batches(before, "counts", "market_counts", [batch_id]).select(part))
+    # partition names: a handful of days or months for a night, all of them for a rebuild
+    values = [r[0] for r in touched.distinct().collect()]
+    col = F.col(part)
+    some = col.isin([v for v in values if v is not None]) | (col.isNull() if None in values else F.lit(False))
+    counts = lake.read_batches(state, "counts", "market_counts").where(some)
+    summary = quantiles_of_counts(counts, keys, "price_per_m2", "n", {"median_price_per_m2": 0.5}, "n")
+    return lake.put_partitions(state, "market_summary_v2", summary, values, alone=before is None)
+
+
+def upsert_nightly(lake: CommittedLake, batch: DataFrame, history_partition: str = "snapshot_date",
                    batch_id: str = "0") -> None:
-    """J2 with sinks: upsert ``listings_latest`` by URL, add the batch to
-    ``listings_history``, refresh the touched partitions of
-    ``market_summary_v2``.
-
-    History is partitioned by (``history_partition``, ``batch_id``), so
-    batches never overwrite each other, whatever days they share, while a
-    replayed batch (a retried stream epoch, a rerun night under the same id)
-    overwrites its own rows only. The summary of a touched partition is
-    recomputed from all its history."""
+    """J2 with sinks, as one commit: the newest row per URL into ``listings_latest``, the batch into
+    ``listings_history``, the touched partitions of ``market_summary_v2``. A batch that arrives late never replaces a newer row, and
+    the same batch twice gives the same tables."""
     # the table's columns, plus the source row id when there is one (it
     # breaks same-day ties between snapshots of one URL deterministically)
     extra = ["listing_id"] if "listing_id" in batch.columns else []
@@ -74,20 +100,13 @@ def upsert_nightly(lake: Lake, batch: DataFrame, history_partition: str = "snaps
                                   "bedrooms": "int", "bathrooms": "int", "year_built": "int",
                                   "price_per_m2": "double"})
     batch = cut_lineage(batch.where(F.col("url").isNotNull()))
-    if lake.exists("listings_latest"):
-        current = lake.read("listings_latest")
-        lake.replace("listings_latest", upsert.upsert_latest(current, batch))
-    else:
-        lake.replace("listings_latest", upsert.upsert_latest(batch.limit(0), batch))
-    hist = _with_partition(batch, history_partition).withColumn("batch_id", F.lit(batch_id))
-    lake.overwrite_partitions("listings_history", hist, [history_partition, "batch_id"])
-    # partition names the batch touches: a handful of days or months, not rows
-    touched = [r[0] for r in hist.select(history_partition).distinct().collect()]
-    part = F.col(history_partition)
-    full = lake.read("listings_history").where(part.isin([v for v in touched if v is not None])
-                                               | (part.isNull() if None in touched else F.lit(False)))
-    summary = _with_partition(upsert.batch_summary(full), history_partition)
-    lake.overwrite_partitions("market_summary_v2", summary, [history_partition])
+    old = lake.state()
+    if old["partition"] not in (None, history_partition):
+        raise ValueError(f"history is partitioned by {old['partition']}, not by {history_partition}; rebuild it to change that")
+    state = lake.merge_current({**old, "partition": history_partition}, batch)
+    rows = _with_partition(batch, history_partition)
+    state = lake.add_batch(state, "history", lake.history, rows, batch_id)
+    lake.commit(old, _summarised(lake, state, rows, batch_id, old))
 
 
 def analysis_tables(lake: Lake, details: DataFrame) -> None:

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,24 @@ class Lake:
         fs, p = self._fs(f"{self.root}/_current/{name}")
         if not fs.exists(p):
             return 0
-        return max((int(f.getPath().getName()) for f in fs.listStatus(p)), default=0)
+        return max((int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit()), default=0)
+
+    def _reserve(self, name: str) -> int:
+        """A version number that no other writer has: the file that reserves it is created without overwriting."""
+        while True:
+            fs, p = self._fs(f"{self.root}/_current/{name}")
+            taken = [int(f.getPath().getName().split(".")[0]) for f in fs.listStatus(p)] if fs.exists(p) else []
+            n = max(taken, default=0) + 1
+            try:
+                fs.create(self._fs(f"{self.root}/_current/{name}/{n:08d}.reserved")[1], False).close()
+                return n
+            except Py4JJavaError as e:
+                if "Exist" not in e.java_exception.getClass().getName():
+                    raise
+
+    def _versions(self, name: str) -> list[int]:
+        fs, p = self._fs(f"{self.root}/_current/{name}")
+        return sorted(int(f.getPath().getName()) for f in fs.listStatus(p) if f.getPath().getName().isdigit())
 
     def _versioned(self, name: str, n: int) -> str:
         return f"{self.root}/{name}" if n == 0 else f"{self.root}/{name}-v{n:08d}"
@@ -66,16 +84,16 @@ class Lake:
     # S12 ---------------------------------------------------------------------
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """``CREATE OR REPLACE TABLE name AS <df>``, also when ``df`` reads the table it replaces."""
-        n = self.version(name)
+        before, n = self.version(name), self._reserve(name)
         w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self._versioned(name, n + 1))
-        fs, marker = self._fs(f"{self.root}/_current/{name}/{n + 1:08d}")
-        fs.create(marker).close()
-        if n > 1:
-            fs, old = self._fs(self._versioned(name, n - 1))
-            fs.delete(old, True)
+        w.parquet(self._versioned(name, n))
+        fs, marker = self._fs(f"{self.root}/_current/{name}/{n:08d}")
+        fs.create(marker, False).close()
+        older = [v for v in self._versions(name) if v < before]
+        for v in older:
+            fs.delete(self._fs(self._versioned(name, v))[1], True)
         return self.read(name)
 
     # S10 ---------------------------------------------------------------------

@@ -7,7 +7,7 @@ from conftest import SF001
 from estatelake import vocab
 from estatelake.session import shared_path
 from estatelake.sources import tpch
-from estatelake.sources.tables import Lake
+from estatelake.sources.buckets import CommittedLake
 from estatelake.streaming import ingest
 
 
@@ -17,7 +17,7 @@ def test_restart_is_exactly_once_and_incremental(spark):
     base = lst.where(F.col("snapshot_date") < "1998-08-01").select(*cols)
     batch = lst.where(F.col("snapshot_date") >= "1998-08-01").select(*cols)
     drops, ckpt = shared_path(spark, "drops-t"), shared_path(spark, "ckpt-t")
-    lake = Lake(spark, shared_path(spark, "lake-t"))
+    lake = CommittedLake(spark, shared_path(spark, "lake-t"))
     base.write.parquet(f"{drops}/night=1")
     ingest.ingest_drops(spark, drops, base.schema, lake, ckpt, "snapshot_month")
     n_hist_1 = lake.read("listings_history").count()
@@ -38,7 +38,7 @@ def _listing(spark, rows):
 
 def test_same_day_and_late_batches_lose_nothing(spark):
     from estatelake.plans.nightly import upsert_nightly
-    lake = Lake(spark, shared_path(spark, "lake-t"))
+    lake = CommittedLake(spark, shared_path(spark, "lake-t"))
     upsert_nightly(lake, _listing(spark, [("a", "2024-02-01", 200)]), batch_id="1")
     upsert_nightly(lake, _listing(spark, [("b", "2024-02-01", 300)]), batch_id="2")      # same day
     upsert_nightly(lake, _listing(spark, [("a", "2024-01-01", 100)]), batch_id="3")      # late
@@ -52,7 +52,7 @@ def test_same_day_and_late_batches_lose_nothing(spark):
 
 def test_rebuild_keeps_history_unfiltered(spark):
     from estatelake.plans.nightly import rebuild_analytics
-    lake = Lake(spark, shared_path(spark, "lake-t"))
+    lake = CommittedLake(spark, shared_path(spark, "lake-t"))
     src = _listing(spark, [("a", "2024-02-01", 200000), ("b", "2024-02-01", 1), ("c", "2024-01-01", 250000)])
     rebuild_analytics(lake, src, run_date="2024-02-02")
     assert lake.read("listings_history").count() == 3
