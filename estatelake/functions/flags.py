@@ -90,10 +90,10 @@ def url_parts(url) -> Column:
     )
 
 
-def year_in_range(v, run_year: Column | None = None) -> Column:
+def year_in_range(v, run_year: Column) -> Column:
     """An integer year between 1800 and next year."""
     y = F.floor(_c(v)).try_cast("int")
-    hi = (run_year if run_year is not None else F.year(F.current_date())) + 1
+    hi = run_year + 1
     return F.when(y.between(F.lit(1800), hi), y)
 
 

@@ -142,29 +142,44 @@ def range_to_float(x) -> Column:
     return F.when(s.rlike(rng), (a + b) / 2.0).otherwise(safe_double(s, signed=True))
 
 
-# Price with an explicit currency cue before or after the number, else a
-# number with a 'k' suffix (thousands).
-CURRENCY_RE = rf"(?i){vocab.CURRENCY}\s*{vocab.CUED_VALUE}|{vocab.CUED_VALUE}\s*{vocab.CURRENCY}"
+# A currency cue with the run of number characters before and after it. Values are looked for next to a cue only, and no
+# longer than this; a longer run is no price. So any text takes linear time.
+CUE_REACH = 64
+CUED_RE = rf"(?i)([\d.,\s]{{0,{CUE_REACH + 1}}}){vocab.CURRENCY}(?=([\d.,\s]{{0,{CUE_REACH + 1}}}))"
+
+
+def _cued_value(before: Column, after: Column) -> Column:
+    """The value that ends at the cue, else the one that begins after it; NULL where a run reaches too far."""
+    ends = F.when(F.length(before) <= CUE_REACH, F.nullif(F.regexp_extract(before, vocab.CUED_VALUE + r"\s*$", 1), F.lit("")))
+    begins = F.nullif(F.regexp_extract(after, r"^\s*" + vocab.CUED_VALUE, 1), F.lit(""))
+    whole = (F.length(after) <= CUE_REACH) | (F.length(F.regexp_extract(after, r"^\s*" + vocab.CUED_VALUE, 0)) <= CUE_REACH)
+    return F.coalesce(ends, F.when(whole, begins))
+
+
+def _cued_number(raw: Column) -> Column:
+    grouped = rf"^({vocab.GROUPED})(?:[.,](\d{{1,2}}))?\s*$"
+    whole = F.regexp_replace(F.regexp_extract(raw, grouped, 1), r"[^0-9]", "")
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"\s", ""), r"\.", ""), ",", ".")
+    return safe_double(F.when(raw.rlike(grouped), F.concat(whole, F.lit("."), F.regexp_extract(raw, grouped, 2),
+                                                           F.lit("0"))).otherwise(plain))
 
 
 def price_from_cued_text(x) -> Column:
     """Price only when the text carries a currency cue or a 'k' suffix.
 
     A 'k' right after the number is a multiplier even when a currency sign is
-    present, so '€250k' is 250 000 rather than 250.
+    present, so '€250k' is 250 000 rather than 250. Of several cues the first one
+    with a value next to it counts.
     """
     t = normalize_spaces(as_text(x))
-    raw = F.coalesce(F.nullif(F.regexp_extract(t, CURRENCY_RE, 1), F.lit("")),
-                     F.nullif(F.regexp_extract(t, CURRENCY_RE, 2), F.lit("")))
-    grouped = rf"^({vocab.GROUPED})(?:[.,](\d{{1,2}}))?\s*$"
-    whole = F.regexp_replace(F.regexp_extract(raw, grouped, 1), r"[^0-9]", "")
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"\s", ""), r"\.", ""), ",", ".")
-    cur_val = safe_double(F.when(raw.rlike(grouped), F.concat(whole, F.lit("."), F.regexp_extract(raw, grouped, 2),
-                                                              F.lit("0"))).otherwise(plain))
+    both = [F.regexp_extract_all(t, F.lit(CUED_RE), F.lit(i)) for i in (1, 2)]
+    values = F.filter(F.zip_with(*both, _cued_value), lambda v: v.isNotNull())
+    # a lambda's argument is computed once, however often the expression names it
+    cur_val = F.get(F.transform(F.slice(values, 1, 1), _cued_number), 0)
     k = F.regexp_extract(t, vocab.K_SUFFIX, 1)
     k_val = F.when(k != "", F.regexp_replace(k, ",", ".").try_cast("double") * 1000.0)
     # currency number immediately followed by k / K -> thousands
-    cur_then_k = t.rlike(rf"(?i){vocab.CURRENCY}\s*[0-9.,\s]*[0-9]\s?k(?![\p{{L}}\p{{N}}_])")
+    cur_then_k = t.rlike(rf"(?i){vocab.CURRENCY}[0-9.,\s]*[0-9]\s?k(?![\p{{L}}\p{{N}}_])")
     return F.when(cur_then_k & k_val.isNotNull(), k_val).otherwise(F.coalesce(cur_val, k_val))
 
 

@@ -16,7 +16,7 @@ from .. import vocab
 from ..functions import flags
 from ..operators import guards, market, ml, resolve, training
 from ..session import shared_path
-from ..sources import files, pages, tpch
+from ..sources import elements, files, pages, tpch
 from ..sources.tables import Lake, write_csv
 from .catalog import query, r4, round_doubles
 from .oracle import LISTING_CTE, oracle, with_ctes
@@ -265,6 +265,12 @@ def h4m(spark, sf_dir):
     return pages.listing_records(marked_pages(spark, sf_dir), run_date="2025-01-01")
 
 
+@register("H3_marked_price_text", f"""SELECT page_id, 'EUR ' || floor(price)::BIGINT AS price_text FROM {_MARKED}""")
+def h3m(spark, sf_dir):
+    page = elements.page_elements(marked_pages(spark, sf_dir), classes=("price", "value"))
+    return page.select("page_id", pages.price_text(F.col("texts"), F.col("marked")).alias("price_text"))
+
+
 @register("H5_marked_legacy_records", f"""SELECT page_id, listing.url, 'House' AS property_type, 'EUR ' || floor(price)::BIGINT AS price,
 'Main street ' || postal_code || ' ' || city AS address, postal_code, list_last(string_split(city, ' ')) AS city, bedrooms::VARCHAR AS bedrooms,
 coalesce(floor(surface_m2)::BIGINT || ' m²', '') AS surface_livable, year_built::VARCHAR AS year_built, CAST(NULL AS VARCHAR) AS toilets FROM {_MARKED}""")

@@ -156,3 +156,11 @@ K_SUFFIX = r"(?i)" + _WORD_START + r"(\d{1,3}(?:[.,]\d{1,3})?)\s?k" + _WORD_END
 NUMBER_WHOLE = r"(?:\d{1,3}(?:[.\s,]\d{3})+(?!\d)|\d+)"
 NUMBER = r"(?<!\d)" + NUMBER_WHOLE + r"(?:[,.]\d+)?"
 RANGE_SEPARATOR = r"\s*(?:-|–|—|to|à|tot)\s*"
+
+# Character references that page text carries; the ampersand's own comes last.
+CHARACTER_REFERENCES = [
+    ("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("euro", "€"), ("sup2", "²"), ("sup3", "³"), ("frac12", "½"),
+    ("deg", "°"), ("ndash", "–"), ("mdash", "—"), ("hellip", "…"), ("middot", "·"), ("agrave", "à"), ("acirc", "â"), ("ccedil", "ç"),
+    ("egrave", "è"), ("eacute", "é"), ("ecirc", "ê"), ("euml", "ë"), ("iuml", "ï"), ("icirc", "î"), ("ocirc", "ô"), ("ouml", "ö"),
+    ("ugrave", "ù"), ("ucirc", "û"), ("uuml", "ü"), ("Eacute", "É"), ("amp", "&"),
+]

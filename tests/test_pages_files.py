@@ -41,6 +41,52 @@ def test_listing_record(spark):
     assert r["property_type"] == "apartment" and r["is_sale"] is True
 
 
+def _one(spark, html):
+    return pages.listing_records(_pages(spark, html), run_date="2025-01-01").collect()[0]
+
+
+def test_ordered_price_selectors(spark):
+    assert _one(spark, '<div class="price"><span>Price</span><span class="value">250000</span></div>')["price"] == 250000.0
+    assert _one(spark, "<div class=price>now<p>only<span class=value>250000")["price"] == 250000.0         # unclosed
+    assert _one(spark, '<b class="value">7</b><div class="a PriceBox"><i>x</i> 125 000 &euro;</div>')["price"] == 125000.0
+    assert _one(spark, '<div class="price"></div><i class="value">9</i><meta itemprop="price" content="99000">')["price"] == 99000.0
+    assert _one(spark, '<div class="price"><div>a</div><div class="value">310000</div></div><b class="value">1</b>')["price"] == 310000.0
+
+
+def _pairs(spark, html):
+    return {r["label"]: r["value"] for r in pages.label_pairs(_pages(spark, html)).collect()}
+
+
+def test_nested_and_unclosed_pairs(spark):
+    assert _pairs(spark, "<table><tr><td>a<td>1<tr><td>b<td>2<td>3</table><li>c: 4<li>d : 5 : 6") == {"a": "1", "b": "3", "c": "4", "d": "5 : 6"}
+    assert _pairs(spark, "<table><tr><td>out</td><td><table><tr><td>in</td><td>1</td></tr></table></td></tr></table>") == {"out": "in 1", "in": "1"}
+    assert _pairs(spark, "<dl><dt>a<dd>1<dt>b<dd>2</dl><dl><dt>c</dt></dl><dl><dd>9</dd></dl>") == {"a": "1", "b": "2"}
+    assert _pairs(spark, "<ul><li>x: <ul><li>y: 1</li></ul></li><li>z: 2</li></ul>") == {"x": "y: 1", "y": "1", "z": "2"}
+    assert _pairs(spark, "</table></tr><tr><td>a</td><td title='<b>'>1 &lt; 2 &#233;&#xE9; m&sup2;</td></tr>") == {"a": "1 < 2 éé m²"}
+    assert _pairs(spark, "<!-- <li>no: 1</li> --><script>var a='<li>no: 2</li>'</script><li>a: b</li><!-- open <li>no: 3") == {"a": "b"}
+    assert _pairs(spark, "<li>a: 1</li><li>a: 2</li><li>: 3</li><li>e:</li>") == {"a": "2"}
+    assert _pairs(spark, "") == {} and pages.label_pairs(_pages(spark, None)).count() == 0
+
+
+def test_repeated_page_ids_do_not_mix(spark):
+    df = spark.createDataFrame([(1, "u", "<li>a: 1</li><li>b: 1</li>"), (1, "u", "<ul><li>c: 2")], "page_id long, url string, html string")
+    assert {r["label"] for r in pages.label_pairs(df).collect()} == {"a", "b", "c"}
+
+
+def test_elements_take_linear_time(spark):
+    import time
+    for unit in ("<li>a: 1", "<a", "<table><tr><td>", "<!--", "<x '", "</td>"):
+        t0 = time.time()
+        pages.label_pairs(_pages(spark, unit * 4000)).count()
+        assert time.time() - t0 < 30, unit
+
+
+def test_legacy_value_is_the_next_paragraph(spark):
+    html = "<h4>Number of bedrooms</h4><div><i></i></div><div><p>4</p></div><h4>Build Year</h4>"
+    r = pages.legacy_records(_pages(spark, html, "u")).collect()[0]
+    assert r["bedrooms"] == "4" and r["year_built"] is None
+
+
 def test_legacy_record(spark):
     r = pages.legacy_records(_pages(spark, LEGACY, "u")).collect()[0]
     assert r["property_type"] == "Apartment" and r["price"] == "€ 250.000"

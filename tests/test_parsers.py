@@ -83,3 +83,20 @@ def test_parsers_stay_in_the_jvm(spark):
     plan = df.select(parse.parse_price("x"), parse.price_from_cued_text("x"),
                      parse.surface_value("x"))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_cued_price_neighbours(spark):
+    f = parse.price_from_cued_text
+    assert run(spark, f, ["price € 250.000 now", "250 000 €", "12,34,567 €", "€ or EUR 100", "1 € 2 €", "tel 0470 12 34 56, 99000 euros"]) == [
+        250000.0, 250000.0, 34567.0, 100.0, 1.0, 99000.0]
+    assert run(spark, f, ["€" + " " * 200 + "5", "1 " * 100 + "€", "€ 5 " + "1" * 200, "€250k", "no cue 250000"]) == [
+        None, None, None, 250000.0, None]
+
+
+def test_cued_price_takes_linear_time(spark):
+    import time
+    for unit in ("123 ", "1.", "111,111 ", "€ ", "€ 1", "€1 k", "12 k"):
+        text = unit * (1_000_000 // len(unit))
+        t0 = time.time()
+        run(spark, parse.price_from_cued_text, [text])
+        assert time.time() - t0 < 10, unit
