@@ -142,15 +142,15 @@ def range_to_float(x) -> Column:
     return F.when(s.rlike(rng), (a + b) / 2.0).otherwise(safe_double(s, signed=True))
 
 
-# A currency cue with the run of number characters before and after it. Values are looked for next to a cue only, and no
+# A currency cue with the run of number characters before it (none when it is too long) and after it. Values are looked for next to a cue only, and no
 # longer than this; a longer run is no price. So any text takes linear time.
 CUE_REACH = 64
-CUED_RE = rf"(?i)([\d.,\s]{{0,{CUE_REACH + 1}}}){vocab.CURRENCY}(?=([\d.,\s]{{0,{CUE_REACH + 1}}}))"
+CUED_RE = rf"(?i)(?:(?<![\d.,\s])([\d.,\s]{{0,{CUE_REACH}}}+))?{vocab.CURRENCY}(?=([\d.,\s]{{0,{CUE_REACH + 1}}}))"
 
 
 def _cued_value(before: Column, after: Column) -> Column:
     """The value that ends at the cue, else the one that begins after it; NULL where a run reaches too far."""
-    ends = F.when(F.length(before) <= CUE_REACH, F.nullif(F.regexp_extract(before, vocab.CUED_VALUE + r"\s*$", 1), F.lit("")))
+    ends = F.nullif(F.regexp_extract(before, vocab.CUED_VALUE + r"\s*$", 1), F.lit(""))
     begins = F.nullif(F.regexp_extract(after, r"^\s*" + vocab.CUED_VALUE, 1), F.lit(""))
     whole = (F.length(after) <= CUE_REACH) | (F.length(F.regexp_extract(after, r"^\s*" + vocab.CUED_VALUE, 0)) <= CUE_REACH)
     return F.coalesce(ends, F.when(whole, begins))
