@@ -40,7 +40,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, partitions
@@ -203,20 +203,27 @@ def _hard(packing: Packing, k: int, low: int, high: int):
     return run
 
 
-def _grid(rows: DataFrame, anchors: DataFrame, bucket: Column, rows_at: int, anchors_at: int):
+def _grid(rows: DataFrame, anchors: DataFrame, buckets: int, rows_at: int, anchors_at: int):
     """Both sides with bucket, part and group: a row in its part for every group of anchors, an anchor in its group
-    for every part."""
-    spark = rows.sparkSession
-    sizes = (rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-             .join(anchors.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("m")), "bucket"))
+    for every part. Buckets are those of the label; a single one holds all rows, and needs no join."""
+    tasks = partitions(rows.sparkSession)
+    anchors = anchors.toDF(*anchors.columns)      # columns of its own: anchors are rows of the same table
     # a small table is cut as far as there are tasks for it
-    parts = F.greatest(F.ceil(F.col("n") / rows_at), F.least(F.lit(partitions(spark)), F.ceil(F.col("n") / 4096)))
-    sizes = F.broadcast(sizes.select("bucket", parts.alias("parts"), F.ceil(F.col("m") / anchors_at).alias("groups")))
+    parts = lambda n: F.greatest(F.ceil(n / rows_at), F.least(F.lit(tasks), F.ceil(n / 4096)))
+    if buckets == 1:
+        n, m = rows.count(), anchors.count()
+        sized = lambda df: df.withColumns({"bucket": F.lit(0).cast("long"), "parts": parts(F.lit(n)),
+                                           "groups": F.lit(-(-m // anchors_at)).cast("long")}).where("parts > 0 AND groups > 0")
+    else:
+        bucket = F.pmod(F.xxhash64("label"), F.lit(buckets))
+        sizes = (rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+                 .join(anchors.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("m")), "bucket"))
+        sizes = F.broadcast(sizes.select("bucket", parts(F.col("n")).alias("parts"), F.ceil(F.col("m") / anchors_at).alias("groups")))
+        sized = lambda df: df.withColumn("bucket", bucket).join(sizes, "bucket")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     some = lambda n, salt: F.pmod(F.xxhash64("key", F.lit(salt)), F.col(n))
-    left = rows.withColumn("bucket", bucket).join(sizes, "bucket").withColumns({"part": some("parts", 1), "group": every("groups")})
-    anchors = anchors.toDF(*anchors.columns)      # columns of its own: anchors are rows of the same table
-    right = anchors.withColumn("bucket", bucket).join(sizes, "bucket").withColumns({"group": some("groups", 2), "part": every("parts")})
+    left = sized(rows).withColumns({"part": some("parts", 1), "group": every("groups")})
+    right = sized(anchors).withColumns({"group": some("groups", 2), "part": every("parts")})
     keys = ["bucket", "part", "group"]
     return left.drop("parts", "groups").groupBy(*keys).cogroup(right.drop("parts", "groups").groupBy(*keys))
 
@@ -247,12 +254,12 @@ def mine(vectors: DataFrame, every: int = 50, positives: int = 5, negatives: int
     rows_at, anchors_at = (max(1, b // (8 * max(1, packing.dims))) for b in (block_bytes, anchor_bytes))
     anchors = rows.where(F.col("vec_id") % every == 0)
     buckets = max(1, -(-n // rows_at))
-    near = _grid(rows, anchors, F.pmod(F.xxhash64("label"), F.lit(buckets)), rows_at, anchors_at).applyInArrow(_nearest(packing, positives), _NEAR)
+    near = _grid(rows, anchors, buckets, rows_at, anchors_at).applyInArrow(_nearest(packing, positives), _NEAR)
     first = Window.partitionBy("anchor").orderBy(F.desc("score"), "near")
     near = near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= positives)
     near = near.groupBy("anchor").agg(F.sort_array(F.collect_list(F.struct("nth", "near_id", "score"))).alias("positives"))
     found = materialize(anchors.join(near, F.col("key") == F.col("anchor")).drop("anchor"), "positives")
-    hard = _grid(rows, found, F.lit(0), rows_at, anchors_at).applyInArrow(_hard(packing, negatives, low, high), _HARD)
+    hard = _grid(rows, found, 1, rows_at, anchors_at).applyInArrow(_hard(packing, negatives, low, high), _HARD)
     best = Window.partitionBy("anchor", "nth").orderBy(F.desc("negative_score"), "negative")
     return hard.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= negatives).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

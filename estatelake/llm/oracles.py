@@ -106,10 +106,9 @@ nodes AS MATERIALIZED (SELECT m.kind, m.host, coalesce(s, 0) AS s,
   NOT EXISTS (SELECT 1 FROM e WHERE e.kind = m.kind AND e.a = m.host) AS sink FROM names m LEFT JOIN seed USING (kind, host)),
 r0 AS (SELECT kind, host, s AS r FROM nodes),
 {", ".join(steps)},
-score AS (SELECT host, max(floor(r * 1e12) / 1e12) FILTER (kind = 'trust') AS t,
-                 max(floor(r * 1e12) / 1e12) FILTER (kind = 'distrust') AS d FROM r{iterations} GROUP BY host)
+score AS (SELECT host, max(r) FILTER (kind = 'trust') AS t, max(r) FILTER (kind = 'distrust') AS d FROM r{iterations} GROUP BY host)
 SELECT page_id, j.host, path, rule,
-  coalesce(action, CASE WHEN coalesce(d, 0) > 0 AND coalesce(d, 0) >= coalesce(t, 0) THEN 'block' ELSE 'allow' END) AS verdict
+  coalesce(action, CASE WHEN coalesce(d, 0) > 0 AND coalesce(d, 0) >= coalesce(t, 0) * (1 - 1e-9) THEN 'block' ELSE 'allow' END) AS verdict
 FROM j LEFT JOIN score ON score.host = j.host
 """
 

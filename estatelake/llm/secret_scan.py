@@ -5,8 +5,8 @@ parse tree: literals are strung together as long as the set of possible
 strings stays small, each string of three or more characters demands all its
 trigrams, alternatives are OR-ed, unknown parts demand nothing. Texts are
 scanned in segments (the record batches of a task). A segment's inverted
-index holds, for each trigram that some query names, the documents whose
-lower-cased text contains it; a query is answered by intersecting and uniting
+index is built in one pass over its lower-cased texts' trigrams and holds, for each
+trigram that some query names, the documents that contain it; a query is answered by intersecting and uniting
 postings, and only its candidates are verified with the expression on the
 whole text. A rule whose query demands nothing (long hexadecimal runs) scans
 every text. The index is as large as its segment and needs no shuffle.
@@ -49,12 +49,18 @@ BASE = (
     # maximal runs of 24 and more: the same spans as [0-9a-f]+ with shorter runs dropped
     Rule("hex", r"[0-9a-f]{24,}", False, 0, 24),
 )
+# The rest tries a run of characters from its left edge only, so a long run is scanned once.
 RULES = BASE + (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}"),
     Rule("private_key", r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/:@]+@[A-Za-z0-9.-]+"),
+    Rule("url_login", r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*+://[^\s/:@]++:[^\s/:@]++@[A-Za-z0-9.-]+"),
+    Rule("google_key", r"AIza[A-Za-z0-9_-]{35}"),
+    Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
+    Rule("gitlab", r"glpat-[A-Za-z0-9_-]{20,}"),
+    Rule("npm", r"npm_[A-Za-z0-9]{36}"),
+    Rule("sendgrid", r"SG\.[A-Za-z0-9_-]{22}\.[A-Za-z0-9_-]{43}"),
 )
 
 # A query is True (no demand) or ("and" | "or", operands); an operand may be a trigram.
@@ -93,7 +99,7 @@ def _sequence(nodes) -> tuple[frozenset[str] | None, Query]:
 def _node(op, arg) -> tuple[frozenset[str] | None, Query]:
     if op is C.LITERAL:
         return frozenset([chr(arg).lower()]), True
-    if op is C.AT:
+    if op in (C.AT, C.ASSERT, C.ASSERT_NOT):    # no characters of their own
         return frozenset([""]), True
     if op is C.IN:
         chars = set()
@@ -114,7 +120,7 @@ def _node(op, arg) -> tuple[frozenset[str] | None, Query]:
             return strings, _strings(strings)
         each = [q for _, q in every]
         return None, True if any(q is True for q in each) else ("or", tuple(each))
-    if op in (C.MAX_REPEAT, C.MIN_REPEAT):
+    if op in (C.MAX_REPEAT, C.MIN_REPEAT, C.POSSESSIVE_REPEAT):
         low, high, inner = arg
         strings, query = _sequence(inner)
         if strings is not None and high == 1:
@@ -138,9 +144,38 @@ def trigrams(query: Query) -> set[str]:
     return set().union(*(trigrams(q) for q in query[1]))
 
 
-def build_postings(lowered: list[str], wanted: set[str]) -> dict[str, np.ndarray]:
-    """Inverted index of a segment: trigram to sorted document numbers."""
-    return {g: np.fromiter((i for i, t in enumerate(lowered) if g in t), np.int64) for g in sorted(wanted)}
+def build_postings(lowered: list[str], wanted: set[str], chars: int = 1 << 22) -> dict[str, np.ndarray]:
+    """Inverted index of a segment: trigram to sorted document numbers, from one pass over each text's own trigrams.
+    Texts are taken together up to ``chars`` characters."""
+    grams = sorted(wanted)
+    found: list[list[np.ndarray]] = [[] for _ in grams]
+    place = {g: i for i, g in enumerate(grams)}
+    usual = [np.zeros(0x110000, bool) for _ in range(3)]
+    for g in grams:
+        for t, ch in zip(usual, g):
+            t[ord(ch)] = True
+    at = 0
+    while at < len(lowered):
+        end, size = at, 0
+        while end < len(lowered) and (end == at or size + len(lowered[end]) <= chars):
+            size += len(lowered[end])
+            end += 1
+        starts = np.cumsum([0] + [len(t) + 2 for t in lowered[at:end - 1]])
+        c = np.frombuffer("\0\0".join(lowered[at:end]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(c) >= 3:
+            hits = np.flatnonzero(usual[0][c[:-2]] & usual[1][c[1:-1]] & usual[2][c[2:]])
+            key = (c[hits].astype(np.uint64) << np.uint64(42)) | (c[hits + 1].astype(np.uint64) << np.uint64(21)) | c[hits + 2]
+            doc = at + np.searchsorted(starts, hits, "right") - 1
+            order = np.lexsort((doc, key))
+            key, doc = key[order], doc[order]
+            edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else [0]
+            for a, b in zip(edges[:-1], edges[1:]):
+                k = int(key[a])
+                i = place.get(chr(k >> 42) + chr(k >> 21 & 0x1FFFFF) + chr(k & 0x1FFFFF))
+                if i is not None:
+                    found[i].append(np.unique(doc[a:b]))
+        at = end
+    return {g: np.concatenate(f).astype(np.int64) if f else np.empty(0, np.int64) for g, f in zip(grams, found)}
 
 
 def answer(query: Query, postings: dict[str, np.ndarray], n: int) -> np.ndarray:

@@ -10,12 +10,15 @@ rule get the verdict of their host:
 * trust: personalised PageRank along the edges from the hosts with allowed
   pages; distrust: the same along the reversed edges from the hosts with
   blocked pages. Seeds weigh by their share of the pages that rules decide;
-* a host is blocked when its distrust is at least ``threshold`` times its
-  trust and not zero; hosts that neither reaches are allowed.
+* a host is blocked when distrust reaches it and is at least ``threshold`` times its
+  trust; hosts that neither reaches are allowed. Both are compared as they are, equal
+  up to a relative ``TOLERANCE`` (sums add up in any order), so a verdict depends on
+  the ratio of the two and not on how many pages share the seeds' mass.
 
 Edges are summed to one row per pair of hosts before any join, so the loop's
 data grows with host pairs and not with pages. A node without out-edges keeps
-its mass. Ranks are cut to 12 decimals before they are compared.
+its mass. ``iterations`` steps leave at most ``damping ** iterations`` of the walk open: 0.85 ** 12
+is 14 percent, mass that would still move between hosts 13 and more links from a seed.
 
 Cases: NULL URL, or one without ``://``, has an empty host and path, no rule
 and verdict allow; NULL html has no links; repeated rows are judged alike and
@@ -31,6 +34,7 @@ from .common import materialize
 
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+TOLERANCE = 1e-9
 HREF = r"""href[ \t\r\n]*=[ \t\r\n]*["']?([^"' \t\r\n>]+)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -104,7 +108,7 @@ def propagate(seeds: DataFrame, edges: DataFrame, iterations: int = 12, damping:
         rank = nodes.join(got, ["kind", "host"], "left") \
             .select("kind", "host", ((1 - damping) * F.col("s") + damping * F.coalesce("x", F.lit(0.0))).alias("r"))
         rank = materialize(rank, "host-rank")
-    r = F.floor(F.col("r") * 1e12) / 1e12
+    r = F.col("r")
     return rank.groupBy("host").agg(F.max(F.when(F.col("kind") == "trust", r)).alias("trust"),
                                     F.max(F.when(F.col("kind") == "distrust", r)).alias("distrust"))
 
@@ -125,5 +129,5 @@ def filter_urls(pages: DataFrame, rules=RULES, threshold: float = 1.0, iteration
     scores = host_scores(pages, rules, iterations, damping)
     out = judged(pages, rules).join(scores, "host", "left")
     t, d = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    verdict = F.coalesce("action", F.when((d > 0) & (d >= threshold * t), F.lit("block")).otherwise(F.lit("allow")))
+    verdict = F.coalesce("action", F.when((d > 0) & (d >= threshold * t * (1 - TOLERANCE)), F.lit("block")).otherwise(F.lit("allow")))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), t.alias("trust"), d.alias("distrust"))

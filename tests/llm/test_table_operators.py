@@ -206,7 +206,7 @@ def brute_verdicts(pages, iterations=12, damping=0.85):
         h, p = host(u), path(u)
         name, a = rule(h, p)
         t, d = (rank[k].get(h, 0) for k in ("trust", "distrust"))
-        res[i, h, p, name, a or ("block" if d > 1e-12 and d >= t - 1e-12 else "allow")] += 1
+        res[i, h, p, name, a or ("block" if d > 0 and d >= t * (1 - 1e-9) else "allow")] += 1
     return res
 
 
