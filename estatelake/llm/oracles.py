@@ -17,25 +17,33 @@ FROM d JOIN w USING (n)
 OP3 = r"""
 WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text,
                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations),
-     calls AS (SELECT *, conv_id || '-' || turn AS call_id FROM c WHERE role IN ('system', 'user')),
-     results AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn AS result_turn, text AS content
-                 FROM c WHERE role = 'assistant'),
+     every_call AS (SELECT *, conv_id || '-' || turn AS call_id, CASE role WHEN 'system' THEN 'configure' ELSE 'answer' END AS name
+               FROM c WHERE role IN ('system', 'user')),
+     -- of calls with one id the smallest by name and text stands (their turns are equal)
+     calls AS (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY name, text) AS nth FROM every_call),
+     every_result AS (SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, turn, text AS content FROM c WHERE role = 'assistant'),
+     results AS (SELECT *, row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, content) AS nth FROM every_result),
      linked AS (
-       SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, coalesce(a.call_id, r.call_id) AS call_id, a.turn, a.role, a.text,
-              a.words, r.result_turn, r.content, o.call_id IS NOT NULL AS opened
-       FROM calls a FULL JOIN results r ON a.conv_id = r.conv_id AND a.call_id = r.call_id
-       LEFT JOIN calls o ON o.conv_id = a.conv_id AND o.turn = 0),
-     e AS (SELECT *, role = 'user' AND turn > 0 AS cites FROM linked),
-     f AS (SELECT *, list_filter([CASE WHEN role = 'system' THEN 'unknown words' END,
-                                  CASE WHEN cites AND NOT opened THEN 'uncited result' END], lambda x: x IS NOT NULL) AS faults FROM e)
-SELECT conv_id, call_id, (CASE WHEN role IS NULL THEN NULL WHEN cites AND opened THEN 1 ELSE 0 END)::INT AS level,
-       coalesce(turn, result_turn) AS turn,
-       CASE WHEN role IS NULL THEN 'orphan' WHEN content IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
-       len(faults) = 0 AS valid, array_to_string(faults, ',') AS errors,
-       '{"arguments":' || coalesce('{' || CASE WHEN cites THEN '"context":"$result:' || conv_id || '-0",' ELSE '' END
-         || '"text":' || to_json(text) || ',"turn":' || turn || ',"words":'
+       SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, coalesce(a.call_id, r.call_id) AS call_id, coalesce(a.turn, r.turn) AS turn, a.turn AS own, a.role,
+              a.text, a.words, r.content, o.call_id IS NOT NULL AS opened,
+              CASE WHEN a.role IS NULL THEN 'orphan' WHEN r.content IS NULL THEN 'unanswered' ELSE 'linked' END AS status
+       FROM (SELECT * FROM calls WHERE nth = 1 AND call_id IS NOT NULL) a
+       FULL JOIN (SELECT * FROM results WHERE nth = 1 AND call_id IS NOT NULL) r ON a.conv_id = r.conv_id AND a.call_id = r.call_id
+       LEFT JOIN (SELECT DISTINCT conv_id, call_id FROM calls WHERE turn = 0) o ON o.conv_id = a.conv_id
+       UNION ALL SELECT conv_id, call_id, turn, turn, role, text, words, NULL, false, CASE WHEN call_id IS NULL THEN 'no_id' ELSE 'repeated' END
+       FROM calls WHERE nth > 1 OR call_id IS NULL
+       UNION ALL SELECT conv_id, call_id, turn, NULL, NULL, NULL, NULL, content, false, CASE WHEN call_id IS NULL THEN 'orphan' ELSE 'repeated_result' END
+       FROM results WHERE nth > 1 OR call_id IS NULL
+       UNION ALL SELECT conv_id, NULL, turn, NULL, NULL, NULL, NULL, text, false, 'other' FROM c WHERE role IS NULL OR role NOT IN ('system', 'user', 'assistant')),
+     e AS (SELECT *, role = 'user' AND own IS DISTINCT FROM 0 AS cites, status IN ('linked', 'unanswered', 'orphan') AS part FROM linked),
+     f AS (SELECT *, CASE WHEN part THEN list_filter([CASE WHEN role = 'system' THEN 'unknown words' END,
+                                  CASE WHEN cites AND NOT opened THEN 'uncited result' END], lambda x: x IS NOT NULL) ELSE [status] END AS faults FROM e)
+SELECT conv_id, call_id, (CASE WHEN role IS NULL OR NOT part THEN NULL WHEN cites AND opened THEN 1 ELSE 0 END)::INT AS level,
+       turn, status, len(faults) = 0 AS valid, array_to_string(faults, ',') AS errors,
+       '{"arguments":' || coalesce('{' || CASE WHEN cites THEN '"context":"' || coalesce('$result:' || conv_id || '-0', '') || '",' ELSE '' END
+         || '"text":' || to_json(text) || ',"turn":' || coalesce(own::VARCHAR, '""') || ',"words":'
          || CASE WHEN role = 'user' THEN words::VARCHAR ELSE '"' || words || '"' END || '}', 'null')
-       || ',"id":' || to_json(call_id) || ',"name":'
+       || ',"id":' || coalesce(to_json(call_id)::VARCHAR, 'null') || ',"name":'
        || coalesce(CASE role WHEN 'system' THEN '"configure"' WHEN 'user' THEN '"answer"' END, 'null')
        || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS json
 FROM f

@@ -248,15 +248,45 @@ def test_tool_calls(spark):
     assert chat.link_calls(calls.limit(0), results.limit(0), schemas).count() == 0
 
 
-def test_chat_nulls(spark):
-    rows = [(1, 0, "user", None), (1, 1, "assistant", None), (None, 0, "user", "x"), (2, None, "user", "x"), (2, 3, None, "x"),
-            (2, 5, "assistant", "no call"), (1, 0, "user", None)]
-    df = spark.createDataFrame([(*r, "n") for r in rows], "conv_id long, turn long, role string, text string, name string")
-    got = {(r.conv_id, r.call_id): r.status for r in chat.format_chat(df).collect()}
-    assert got == {(1, "1-0"): "linked", (2, "2-4"): "orphan"}
+CHAT_SCHEMA = "conv_id long, turn long, role string, text string, name string"
+CHAT = [(1, 0, "user", None), (1, 1, "assistant", None), (None, 0, "user", "x"), (2, None, "user", "x"), (2, 3, None, "x"), (2, 5, "assistant", "no call"),
+        (1, 0, "user", None), (1, 1, "assistant", "other"), (1, 1, "assistant", "other"), (None, 4, "assistant", "y"), (None, 4, "assistant", "y"),
+        (3, 2, "tool", "z"), (3, 0, "system", "be brief " * 3000), (3, 2, "user", 'q"\\ \u00e9'), (None, None, None, None), (4, 1, "user", "late")]
+
+
+def test_chat_loses_no_row(spark):
+    df = spark.createDataFrame([(*r, "n") for r in CHAT], CHAT_SCHEMA).repartition(3)
+    got = chat.format_chat(df).collect()
+    assert Counter((r.conv_id, r.call_id, r.status) for r in got) == Counter({
+        (1, "1-0", "linked"): 1, (1, "1-0", "repeated"): 1, (1, "1-0", "repeated_result"): 2, (None, None, "no_id"): 1, (2, None, "no_id"): 1,
+        (2, None, "other"): 1, (2, "2-4", "orphan"): 1, (None, None, "orphan"): 2, (3, None, "other"): 1, (3, "3-0", "unanswered"): 1,
+        (3, "3-2", "unanswered"): 1, (None, None, "other"): 1, (4, "4-1", "unanswered"): 1})
+    assert len(got) + sum(r.status == "linked" for r in got) == len(CHAT)          # a linked row stands for two turns
+    assert all((r.errors == "") == r.valid for r in got)
     assert chat.format_chat(df.limit(0)).count() == 0
 
 
+def test_chat_sql(spark):
+    import duckdb
+    from estatelake.llm.oracles import OP3
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", CHAT)
+    cur = con.execute(OP3)
+    df = chat.format_chat(spark.createDataFrame([(*r, "n") for r in CHAT], CHAT_SCHEMA))
+    assert Counter(tuple(r) for r in df.select(*[c[0] for c in cur.description]).collect()) == Counter(cur.fetchall())
+
+
+def test_chat_long_chain_and_cycle(spark):
+    """Call i cites call i - 1; two calls cite each other, a third waits behind them."""
+    args = lambda *ids: {f"a{n}": f"$result:{i}" for n, i in enumerate(ids)}
+    rows = [(1, f"c{i}", i, "t", args(f"c{i - 1}") if i else {}) for i in range(12)]
+    rows += [(1, "x", 50, "t", args("y")), (1, "y", 51, "t", args("x")), (1, "z", 52, "t", args("x", "c0"))]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, turn long, name string, args map<string,string>")
+    got = {r.call_id: r.level for r in chat.levels(calls).collect()}
+    assert got == {**{f"c{i}": i for i in range(12)}, "x": None, "y": None, "z": None}
+
+
 # ------------------------------------------------------------------------- pipeline
 def test_pipeline(spark, tmp_path):
     """Stage by stage against brute force; run() equals the stages one after another."""
