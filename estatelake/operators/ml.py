@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..session import cut_lineage
+from . import gram
 from .stats import grouped_quantiles
 
 LEAKAGE = {"price": ["price_per_m2"], "price_per_m2": ["price"]}
@@ -194,13 +196,23 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
               cat: Sequence[str], k: int = 5, fold_col: str | None = None, key: str = "url",
               seed: int = 42, log_target: bool = True,
               params: dict[str, dict] | None = None, parallelism: int = 5) -> DataFrame:
-    """M4 for several model kinds at once: per fold, the preprocessing is
-    fitted once on the training rows and shared by every regressor; the
+    """M4 for several model kinds at once. Linear models of all folds come from one pass by Gram subtraction
+    (``gram``; not with a ``solver`` of Spark's). For other kinds the preprocessing is
+    fitted once per fold on the training rows and shared by every regressor; the
     transformed training fold is cached for the fits. Returns per-fold
     metrics with a ``model`` column; metrics are on the original scale."""
     params = params or {}
+    fold = F.col(fold_col).cast("int") if fold_col else hash_fold(key, k, seed)
+    done: dict[str, DataFrame] = {}
+    if "linear" in kinds and "solver" not in params.get("linear", {}):
+        got = gram.predictions(df, target, num, cat, fold, range(k), log_target)
+        if got is not None:
+            done["linear"] = got
+    kinds = [x for x in kinds if x not in done]
     d = df.where(F.col(target).isNotNull())
-    d = d.withColumn("fold", F.col(fold_col).cast("int") if fold_col else hash_fold(key, k, seed))
+    d = d.withColumn("fold", fold)
+    if not kinds:
+        return _all_fold_metrics(done, target)
     d = cut_lineage(d)      # k folds re-read it many times: materialise once, reliably
     label = F.log1p(target) if log_target else F.col(target).cast("double")
 
@@ -212,7 +224,7 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
         out = F.expm1("__pred") if log_target else F.col("__pred")
         got = {}
         for kind in kinds:
-            model = make_regressor(kind, **params.get(kind, {})).fit(tr)
+            model = make_regressor(kind, **_regressor_options(kind, params.get(kind, {}))).fit(tr)
             got[kind] = model.transform(te).select("fold", F.col(target), out.alias("prediction"))
         tr.unpersist()
         return got
@@ -222,13 +234,22 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
     # the cluster instead of queueing one after another.
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
         fold_preds = list(pool.map(one_fold, range(k)))
-    preds: dict[str, DataFrame] = {}
+    preds = dict(done)
     for got in fold_preds:
         for kind, p in got.items():
             preds[kind] = p if kind not in preds else preds[kind].unionByName(p)
+    return _all_fold_metrics(preds, target)
+
+
+def _regressor_options(kind: str, options: dict) -> dict:
+    """A linear model that Gram subtraction left over has too many features for the normal equations."""
+    return {"solver": "l-bfgs", **options} if kind == "linear" else options
+
+
+def _all_fold_metrics(preds: dict[str, DataFrame], target: str) -> DataFrame:
     per = None
-    for kind in kinds:
-        m = fold_metrics(preds[kind], target).withColumn("model", F.lit(kind))
+    for kind, p in preds.items():
+        m = fold_metrics(p, target).withColumn("model", F.lit(kind))
         per = m if per is None else per.unionByName(m)
     return per
 
@@ -246,9 +267,14 @@ def holdout(df: DataFrame, target: str, kind: str, num: Sequence[str], cat: Sequ
             split_col: str | None = None, key: str = "url", seed: int = 42, test_frac: int = 2,
             log_target: bool = False, **kw) -> DataFrame:
     """M5: 80/20 hold-out (hash split: bucket of 10 < ``test_frac`` is test);
-    r2 and mae on the test rows."""
+    r2 and mae on the test rows. Linear models by one pass (``gram``)."""
     d = df.where(F.col(target).isNotNull())
     b = F.col(split_col).cast("int") if split_col else hash_fold(key, 10, seed)
+    if kind == "linear" and "solver" not in kw:
+        p = gram.predictions(d, target, num, cat, F.when(b < test_frac, 0).otherwise(1), [0], log_target)
+        if p is not None:
+            return fold_metrics(p, target).select("r2", "mae", "n")
+        kw = _regressor_options(kind, kw)
     d = d.withColumn("_b", b)
     m = fit_model(d.where(F.col("_b") >= test_frac), target, kind, num, cat, log_target, **kw)
     p = predict(m, d.where(F.col("_b") < test_frac), log_target).withColumn("fold", F.lit(0))
@@ -270,9 +296,10 @@ class Registry:
         ts = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
         newest = self._newest_ts()
         if newest and ts <= newest:
-            day, clock, micro = newest.split("_")
-            ts = f"{day}_{clock}_{int(micro) + 1:06d}"
-        path = f"{self.root}/{kind}_{target}_{ts}"
+            after = _dt.datetime.strptime(newest, "%Y%m%d_%H%M%S_%f") + _dt.timedelta(microseconds=1)
+            ts = after.strftime("%Y%m%d_%H%M%S_%f")
+        # two writers that took the same moment still write folders of their own
+        path = f"{self.root}/{kind}_{target}_{ts}_{uuid.uuid4().hex[:8]}"
         model.write().overwrite().save(path)
         row = [(kind, target, ts, path, json.dumps(metrics, default=float), target_is_log,
                 json.dumps(extra or {}))]
@@ -313,7 +340,7 @@ def train_and_select(df: DataFrame, target: str, registry: Registry | None = Non
     (one row per kind, ``chosen`` flag)."""
     d = df.where(F.col(target).isNotNull())
     num, cat = select_feature_columns(d, target)
-    per = cv_models(d, target, kinds, num, cat, k=k, key=key, params={"rf": kw, "linear": {"solver": solver}})
+    per = cv_models(d, target, kinds, num, cat, k=k, key=key, params={"rf": kw})
     rows = per.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"),
                                     F.avg("mape").alias("mape"), F.avg("r2").alias("r2"),
                                     F.sum("n").alias("n"))

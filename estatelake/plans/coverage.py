@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import flags
-from ..operators import guards, market, ml, resolve, training
+from ..operators import categories, guards, market, ml, resolve, training
 from ..session import shared_path
 from ..sources import elements, files, pages, tpch
 from ..sources.tables import Lake, write_csv
-from .catalog import query, r4, round_doubles
+from .catalog import _metric_round, query, r4, round_doubles
 from .oracle import LISTING_CTE, oracle, with_ctes
 from .oracle import r4 as sql_r4
 
@@ -314,3 +314,41 @@ def m8(spark, sf_dir):
         reg.save(ml.fit_model(train, target, "linear", ["bedrooms"], [], log_target=False), "linear", target, {}, False)
     req = lst.select(F.col("listing_id").alias("request_id"), F.when(_k(4) != 0, F.col("surface_m2")).alias("surface_m2"), "bedrooms")
     return round_doubles(ml.auto_predict(resolve.scoring_rows(req), reg).select("request_id", "target", "prediction"))
+
+
+# -------------------------------------------------------------------------------- models
+_CATS = ["postal_code", "city", "property_type", "energy_label", "region"]
+
+
+@register("M2_category_indices", ", " + ", ".join(
+    f"k_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i FROM listing WHERE {c} IS NOT NULL GROUP BY {c})" for c in _CATS)
+    + " SELECT listing_id, " + ", ".join(f"(SELECT i FROM k_{c} WHERE v = coalesce(listing.{c}, (SELECT v FROM k_{c} WHERE i = 0))) AS {c}__i" for c in _CATS)
+    + " FROM listing")
+def m2c(spark, sf_dir):
+    """Mode filling and category indices, the dictionary made and joined by Spark."""
+    d = tpch.listing(spark, sf_dir).select("listing_id", *_CATS)
+    out = categories.encode(d, _CATS, categories.category_index(d, _CATS))
+    return out.select("listing_id", *[f"{c}__i" for c in _CATS])
+
+
+def _all_features(spark, sf_dir):
+    d = market.training_range(tpch.listing(spark, sf_dir))
+    return d, *ml.select_feature_columns(d, "price")
+
+
+@query("M4_linear_cv_all_features")
+def m4a(spark, sf_dir):
+    d, num, cat = _all_features(spark, sf_dir)
+    return _metric_round(ml.cross_validate(d, "price", "linear", num, cat, k=5, key="listing_id"))
+
+
+@query("A14_linear_cv_all_features")
+def a14a(spark, sf_dir):
+    d, num, cat = _all_features(spark, sf_dir)
+    return _metric_round(ml.mean_metrics(ml.cross_validate(d, "price", "linear", num, cat, k=5, key="listing_id")))
+
+
+@query("M5_linear_holdout_all_features")
+def m5a(spark, sf_dir):
+    d, num, cat = _all_features(spark, sf_dir)
+    return _metric_round(ml.holdout(d, "price", "linear", num, cat, key="listing_id"))
