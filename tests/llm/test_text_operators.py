@@ -1,6 +1,7 @@
 """Dedup, substring, join, decontamination, secrets and language operators against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -145,22 +146,72 @@ def bench_items(seed=3):
     return items + [(90, None), (91, ""), (92, "?!"), (93, words(rng, 150, 900)), (None, "w1 w2 w3")]
 
 
-def test_block_max_search_returns_every_score_above_threshold():
-    items = bench_items()
-    rng = random.Random(5)
-    docs = [decontam.terms(words(rng, rng.choice([1, 30, 300]), 900)) for _ in range(60)]
-    docs += [decontam.terms(words(rng, 50, 900) + " " + t + " " + words(rng, 70, 900)) for _, t in items[:10]]
-    for ix in decontam.build_indexes(items, 1000, block_items=4):
-        want = {}
+def bm25(items):
+    """item position -> {term: impact}, by the textbook formula over all items, in plain loops."""
+    use = [(i, t, decontam.terms(t)) for i, t in items if i is not None and t is not None and decontam.terms(t)]
+    mean = sum(len(w) for *_, w in use) / len(use)
+    df = Counter(x for *_, w in use for x in set(w))
+    out = {}
+    for i, t, w in use:
+        score = {x: math.log(1 + (len(use) - df[x] + 0.5) / (df[x] + 0.5)) * k * 2.2 / (k + 1.2 * (0.25 + 0.75 * len(w) / mean)) for x, k in Counter(w).items()}
+        out[i, t] = {x: s / sum(score.values()) for x, s in score.items()}
+    return out
+
+
+def planted(items, rng):
+    docs = [words(rng, rng.choice([1, 30, 300]), 900) for _ in range(50)]
+    for _, t in items[:14]:
+        w = t.split()
+        for share in (1.0, 0.75, 0.6, 0.5):       # whole, edited and partial copies about the threshold
+            part = [x if rng.random() < share else f"w{rng.randrange(900)}" for x in w]
+            docs.append(words(rng, 50, 900) + " " + " ".join(part) + " " + words(rng, 70, 900))
+    return docs + ["w1 " * 30000]
+
+
+@pytest.mark.parametrize("bytes_", [32 << 20, 3000])
+def test_block_max_search_returns_every_score_above_threshold(spark, bytes_):
+    """All passages and items, scored without any index; two sizes of its parts."""
+    items = [x for x in bench_items() if x[0] is not None]
+    impacts, rng = bm25(items), random.Random(5)
+    docs = [decontam.terms(t) for t in planted(items, rng)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    spans = {}
+    for (i, t) in impacts:
+        n = len(decontam.terms(t))
+        c = 0 if n <= 64 else math.ceil(math.log(n / 64, 4))
+        spans[c] = max(spans.get(c, 0), n)
+    want = {}
+    for (i, t), score in impacts.items():
+        n = len(decontam.terms(t))
+        span = spans[0 if n <= 64 else math.ceil(math.log(n / 64, 4))]
         for d, w in enumerate(docs):
-            for p in range(max(1, -(-len(w) // ix.span))):
-                q = {ix.vocab[x] for x in w[p * ix.span:(p + 2) * ix.span] if x in ix.vocab}
-                for j, s in enumerate(ix.impact[sorted(q)].sum(0)):
-                    if s >= 0.5:
-                        want[d, p, j] = s
-        got = {(d, p, j): s for d, p, j, s in decontam.search(ix, docs, 0.5)}
-        assert set(got) == set(want)
-        assert all(abs(got[k] - want[k]) < 1e-4 for k in want)
+            for p in range(max(1, -(-len(w) // span))):
+                s = sum(v for x, v in score.items() if x in set(w[p * span:(p + 2) * span]))
+                if s >= 0.5:
+                    want[d, p, i] = s
+    got = {}
+    parts = list(decontam.index_parts(decontam.weighted_items(bench), bytes_))
+    assert (len(parts) > 3) == (bytes_ == 3000)
+    for ix in [x for part in parts for x in part]:
+        for most in (1 << 21, 50):
+            got |= {(d, p, int(ix.ids[j])): s for d, p, j, s in decontam.search(ix, docs, 0.5, most)}
+    assert set(got) == set(want) and any(s < 0.7 for s in want.values())
+    assert all(abs(got[k] - want[k]) < 1e-5 for k in want)
+
+
+def test_index_is_bounded_by_the_text(spark):
+    rng = random.Random(4)
+    items = [(i, words(rng, 60, 5000)) for i in range(400)]
+    part, = decontam.index_parts(decontam.weighted_items(spark.createDataFrame(items, "item_id long, text string")), 32 << 20)
+    assert sum(ix.bytes() for ix in part) < 3 * sum(len(t) for _, t in items)
+
+
+def test_leaks_do_not_depend_on_the_parts(spark):
+    items, rng = bench_items(), random.Random(11)
+    rows = [(i, t, "en", "s") for i, t in enumerate(planted(items, rng))]
+    bench = spark.createDataFrame(items + items[:3], "item_id long, text string")           # repeated items
+    got = [Counter(tuple(r) for r in decontam.leaks(frame(spark, rows), bench, max_index_bytes=b).collect()) for b in (32 << 20, 9000, 2000)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 10
 
 
 def test_leaks_finds_planted_items_only(spark):
@@ -176,7 +227,7 @@ def test_leaks_finds_planted_items_only(spark):
     bench = spark.createDataFrame([(i, t, 5) for i, t in items], "item_id long, text string, doc_id long")
     got = decontam.leaks(frame(spark, rows), bench)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want
-    many = decontam.leaks(frame(spark, rows), bench, max_index_bytes=2000, items_per_index=7)
+    many = decontam.leaks(frame(spark, rows), bench, max_index_bytes=2000)
     assert {(r.doc_id, r.item_id) for r in many.collect()} == want
     clean = decontam.clean(frame(spark, rows), bench)
     assert {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - {d for d, _ in want}
