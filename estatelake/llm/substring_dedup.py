@@ -13,7 +13,8 @@ into maximal intervals.
 2. Count: a reducer takes one hash range, finds the smallest document of each
    hash and reports (document, hash) pairs that start in a smaller one, packed
    by the documents' home partition.
-3. Removal: reports meet the texts of their home; the windows are hashed again,
+3. Removal: reports meet the texts of their home (a home with an id that many rows
+   repeat is split, its reports go to every part); the windows are hashed again,
    flagged by hash and merged. Reporting hashes instead of positions keeps rows
    that repeat an id with another text apart.
 
@@ -157,13 +158,32 @@ def _remove(width: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = 13, block: int = BLOCK_WINDOWS) -> DataFrame:
+def home_splits(rows: DataFrame, homes: int, home_bytes: int) -> DataFrame | None:
+    """home, parts: homes that an id with more than ``home_bytes`` of text (in rows that repeat it) is dealt over. Fewer
+    rows than the corpus has times ``home_bytes``. None when no id repeats."""
+    n, ids = rows.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids:
+        return None
+    size = rows.groupBy("doc_id").agg(F.sum(F.octet_length(F.coalesce("text", F.lit(""))).cast("long")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+    hot = size.where((F.col("bytes") + 64 * F.col("n") > home_bytes) & (F.col("n") > 1))
+    parts = F.ceil((F.col("bytes") + 64 * F.col("n")) / home_bytes)
+    return hot.select(home_column(F.col("doc_id"), homes).alias("home"), parts.alias("parts")).groupBy("home").agg(F.max("parts").alias("parts"))
+
+
+def remove_repeats(docs: DataFrame, width: int = 13, block: int = BLOCK_WINDOWS, home_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the kept words joined by one blank), removed (word intervals, end
     exclusive) of every row."""
     rows = docs.select(id_key().alias("doc_id"), "text")
     buckets = bucket_count(docs.sparkSession, text_bytes(rows))
     homes = -(-buckets // 4)   # about 16 MB of text each
     flags = repeated_windows(rows, buckets, homes, width, block)
-    placed = rows.withColumn("home", home_column(F.col("doc_id"), homes))
-    out = placed.groupBy("home").cogroup(flags.groupBy("home")).applyInArrow(_remove(width), _OUT)
+    placed, keys = rows.withColumn("home", home_column(F.col("doc_id"), homes)), ["home"]
+    splits = home_splits(rows, homes, home_bytes)
+    if splits is not None:      # rows of a home are dealt over its parts, its flags go to each of them
+        splits = F.broadcast(splits)
+        parts = F.coalesce("parts", F.lit(1).cast("long"))
+        placed = placed.join(splits, "home", "left").withColumn("part", F.pmod(F.monotonically_increasing_id(), parts)).drop("parts")
+        flags = flags.join(splits, "home", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+        keys = ["home", "part"]
+    out = placed.groupBy(*keys).cogroup(flags.groupBy(*keys)).applyInArrow(_remove(width), _OUT)
     return out.select(id_back(), "n_words", "n_removed", "kept", "removed")

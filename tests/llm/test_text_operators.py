@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from estatelake.llm import decontam, exact_dedup, jaccard_join, langid, secret_scan, substring_dedup
@@ -139,6 +140,21 @@ def test_jaccard_repeated_ids_and_empty(spark):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
 
 
+def test_rows_of_one_id_are_dealt_over_tasks(spark):
+    """Half of the rows have no id, and one id repeats; neither meets in one task, and the result stays."""
+    rng = random.Random(12)
+    passage = words(rng, 40)
+    rows = [(i, words(rng, 30) + " " + (passage if i % 3 else ""), "en", "s") for i in range(30)]
+    rows += [(None, words(rng, 25) + (" " + passage if i % 2 else ""), "en", "s") for i in range(80)]
+    rows += [(7, words(rng, 25) + " " + passage, "en", "s") for i in range(40)] + [(None, None, "en", "s")]
+    df = frame(spark, rows).repartition(6)
+    split = substring_dedup.home_splits(df.select(substring_dedup.id_key().alias("doc_id"), "text"), 4, 2000).collect()
+    assert split and max(r.parts for r in split) > 4
+    got = [Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in substring_dedup.remove_repeats(df, home_bytes=b).collect()) for b in (16 << 20, 2000)]
+    want = brute_removal([(d if d is not None else 1 << 62, *x) for d, *x in rows])
+    assert got[0] == got[1] == Counter({(None if d == 1 << 62 else d, *x): n for (d, *x), n in want.items()})
+
+
 # ------------------------------------------------------------------ decontamination
 def bench_items(seed=3):
     rng = random.Random(seed)
@@ -315,3 +331,51 @@ def test_language_edges(spark):
     assert got[None].lang_pred == "en" and got[53].lang_pred == "de" and got[54].lang_pred in ("en", "de")
     assert langid.identify(frame(spark, [])).count() == 0
     assert {r.lang_pred for r in langid.identify(frame(spark, [(1, "abc", None, "s")])).collect()} == {"und"}
+
+
+def test_language_scores_equal_plain_loops():
+    """The kernel over sets of slots, the landmark map by a singular value decomposition, ridge regression and scores, each
+    entry by itself, on 30 texts; equal texts get equal scores and ties go to the smaller name."""
+    rng = random.Random(21)
+    part = {"aa": ["ka", "lo", "mi"], "bb": ["stu", "vwx", "ka"], "cc": ["zzy", "qu", "lo"]}
+    make = lambda g: " ".join("".join(rng.choice(part[g]) for _ in range(3)) for _ in range(12))
+    table, bits = langid._letter_table(), 10
+
+    def slots(text):
+        row = np.zeros(1 << bits, np.uint8)
+        langid.presence(text, row, table, bits)
+        return row
+
+    rows = [(g, make(g)) for g in ("cc", "aa", "bb") * 10]
+    model = langid.fit([(g, slots(t)) for g, t in rows], landmarks=9, ridge=0.5)
+    sets = [set(np.flatnonzero(slots(t)).tolist()) for _, t in rows]
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    names = sorted({g for g, _ in rows})
+    seen, turn = Counter(), []
+    for i, (g, _) in enumerate(rows):
+        turn.append((seen[g], g, i))
+        seen[g] += 1
+    marks = [sets[i] for *_, i in sorted(turn)[:9]]
+    inner = np.array([[kernel(a, b) for b in marks] for a in marks])
+    u, s, _ = np.linalg.svd(inner)
+    features = lambda x: [sum(kernel(x, marks[j]) * u[j, k] / math.sqrt(s[k]) for j in range(9)) for k in range(9) if s[k] > 1e-6 * s[0]]
+    phi = [features(x) for x in sets]
+    width = len(phi[0])
+    weights = {}
+    for n in names:
+        y = [1.0 if g == n else -1.0 for g, _ in rows]
+        a = [[sum(p[i] * p[j] for p in phi) + (0.5 if i == j else 0.0) for j in range(width)] for i in range(width)]
+        weights[n] = np.linalg.solve(np.array(a), [sum(p[i] * v for p, v in zip(phi, y)) for i in range(width)])
+    tests = [make(g) for g in names * 3] + ["", "lo lo"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(tests))), pa.array(tests)], names=["doc_id", "text"])
+    got = next(langid._score(lambda: model, bits)([batch])).to_pylist()
+    for t, r in zip(tests, got):
+        if not t:
+            assert r["lang_pred"] == "und" and r["score"] == 0
+            continue
+        f = features(set(np.flatnonzero(slots(t)).tolist()))
+        value = {n: float(np.dot(f, weights[n])) for n in names}
+        best = max(value.values())
+        assert abs(r["score"] - min(1.0, max(0.0, (best + 1) / 2))) < 1e-4 and value[r["lang_pred"]] > best - 1e-4
+    flat = langid.Model(["aa", "bb"], model.landmarks, model.root, np.ones((9, 2), np.float32))
+    assert {r["lang_pred"] for r in next(langid._score(lambda: flat, bits)([batch])).to_pylist()} == {"aa", "und"}
