@@ -18,8 +18,8 @@ from ..operators import categories, guards, market, ml, resolve, training
 from ..session import shared_path
 from ..sources import elements, files, pages, tpch
 from ..sources.tables import Lake, write_csv
-from .catalog import _metric_round, query, r4, round_doubles
-from .oracle import LISTING_CTE, oracle, with_ctes
+from .catalog import _events_pages, _metric_round, query, r4, round_doubles
+from .oracle import EV_PAGES, LISTING_CTE, oracle, with_ctes
 from .oracle import r4 as sql_r4
 
 
@@ -316,6 +316,29 @@ def m8(spark, sf_dir):
     return round_doubles(ml.auto_predict(resolve.scoring_rows(req), reg).select("request_id", "target", "prediction"))
 
 
+oracle("W3_stop_after_repeats", with_ctes(EV_PAGES, """
+SELECT run, page, dup_run FROM ed e WHERE NOT EXISTS (SELECT 1 FROM ed x WHERE x.run = e.run AND x.dup_run >= 10 AND x.page <= e.page)"""))
+
+
+@query("W3_stop_after_repeats")
+def w3s(spark, sf_dir):
+    return files.duplicate_page_runs(_events_pages(spark, sf_dir), "run", "page", "urls", stop_after=10).select("run", "page", "dup_run")
+
+
+@register("U1_least_common_types", """SELECT listing_id, CAST(CASE WHEN snapshot_date < DATE '1998-08-01' THEN floor(price) ELSE surface_m2 END AS DOUBLE) AS amount,
+CASE WHEN snapshot_date < DATE '1998-08-01' THEN postal_code ELSE CAST(bedrooms AS VARCHAR) END AS code FROM listing""")
+def u1t(spark, sf_dir):
+    """Drops of one column as whole numbers and fractions, and as text and numbers; one drop cannot be read."""
+    lst = tpch.listing(spark, sf_dir)
+    old = lst.where("snapshot_date < DATE'1998-08-01'").select("listing_id", F.floor("price").cast("long").alias("amount"), F.col("postal_code").alias("Code"))
+    new = lst.where("snapshot_date >= DATE'1998-08-01'").select("listing_id", F.col("surface_m2").alias("AMOUNT"), F.col("bedrooms").alias("code"))
+    root = shared_path(spark, "typed-drops")
+    old.write.parquet(f"{root}/a")
+    new.write.parquet(f"{root}/b")
+    read = lambda n: (lambda: spark.read.parquet(f"{root}/{n}"))
+    return files.union_tolerant([read("a"), read("missing"), None, read("b")]).select("listing_id", "amount", F.col("code").alias("code"))
+
+
 # -------------------------------------------------------------------------------- models
 _CATS = ["postal_code", "city", "property_type", "energy_label", "region"]
 

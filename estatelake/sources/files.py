@@ -4,7 +4,7 @@
   no list of paths passes through the driver. Names and prefixes are tested
   on the decoded ``_metadata.file_path``, so blanks in folders are fine.
 * CSV drops with different headers (``url`` / ``URL`` / ``link`` / ``href``,
-  extra columns) are read in ONE scan: every record is read as positional
+  extra columns) are parsed in ONE scan, written out once: every record is read as positional
   string columns, as many as the widest header line has commas (an upper bound
   found in the first line of each file), each file's header is its first record,
   and data records are mapped to names through a file-level header table joined
@@ -19,15 +19,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (ByteType, DataType, DateType, DoubleType, IntegerType, LongType, NullType, NumericType, ShortType, StringType,
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 from .. import vocab
 from ..operators.dedupe import first_by_url
+from ..session import cut_lineage
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """(path, name, size, mtime) of every file under ``root`` matching
@@ -79,11 +83,13 @@ def read_csv_any_header(spark: SparkSession, root: str, glob: str = "*.csv",
     name = F.lower(F.element_at(F.split("__source_file", "/"), -1))
     for p in skip_prefixes:
         raw = raw.where(~name.startswith(p))
-    vals = F.array(*[F.col(f"_c{i}") for i in range(width)])
-    # first row per file; trimming / lower-casing touch only that one row
-    headers = (raw.groupBy("__source_file")
-               .agg(F.min_by(vals, "__row").alias("__header"), F.min("__row").alias("__hdr_row"))
-               .withColumn("__header", F.transform("__header", lambda v: F.trim(v)))
+    # the files' records are parsed once; headers and data are both taken from what was written
+    raw = cut_lineage(raw.select("__source_file", "__row", F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("__vals")))
+    vals = F.col("__vals")
+    # a file's header is its first record: two narrow columns tell which, one record a file is fetched
+    first = raw.groupBy("__source_file").agg(F.min("__row").alias("__hdr_row"))
+    headers = first.join(raw.select(F.col("__row").alias("__hdr_row"), vals.alias("__header")), "__hdr_row")
+    headers = (headers.withColumn("__header", F.transform("__header", lambda v: F.trim(v)))
                .withColumn("__lheader", F.transform("__header", lambda v: F.lower(v))))
     # Header names are metadata: one small list on the driver. Names equal
     # up to case are one column (Spark resolves names case-insensitively);
@@ -213,15 +219,45 @@ def read_details(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return df
 
 
-def union_tolerant(frames: Sequence[DataFrame]) -> DataFrame:
-    """Schema-tolerant union all; error when every input failed."""
-    frames = [f for f in frames if f is not None]
+def common_type(types: Sequence[DataType]) -> DataType:
+    """Least type that holds all of ``types``: integers widen to the longest, with any fraction to double, dates with
+    times to timestamp; everything else meets in text."""
+    kinds = {t for t in types if not isinstance(t, NullType)}
+    if len(kinds) <= 1:
+        return kinds.pop() if kinds else StringType()
+    whole = [ByteType(), ShortType(), IntegerType(), LongType()]
+    if kinds <= set(whole):
+        return max(kinds, key=whole.index)
+    if all(isinstance(t, NumericType) for t in kinds):
+        return DoubleType()
+    if all(isinstance(t, (DateType, TimestampType, TimestampNTZType)) for t in kinds):
+        return TimestampType() if TimestampType() in kinds else TimestampNTZType()
+    return StringType()
+
+
+def union_tolerant(inputs: Sequence[DataFrame | Callable[[], DataFrame] | None]) -> DataFrame:
+    """Schema-tolerant union all by name (upper and lower case are one name). Inputs are frames or functions that
+    read one; those that are None or fail are left out, and if none is left the last failure is raised. Columns that some
+    inputs lack are NULL there; a column of different types gets the least common one before the union."""
+    frames, failure = [], None
+    for f in inputs:
+        try:
+            df = f() if callable(f) else f
+            if df is not None:
+                df.schema  # noqa: B018 - a path or footer that cannot be read fails here
+                frames.append(df)
+        except (PySparkException, Py4JJavaError, OSError) as e:
+            failure = e
     if not frames:
-        raise FileNotFoundError("union of no frames")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+        raise FileNotFoundError("union of no frames") from failure
+    names, types = {}, {}
+    for df in frames:
+        for c in df.schema.fields:
+            names.setdefault(c.name.lower(), c.name)
+            types.setdefault(c.name.lower(), []).append(c.dataType)
+    goal = {k: common_type(t) for k, t in types.items()}
+    cast = lambda df: df.select(*[F.col(f"`{c}`").cast(goal[c.lower()]).alias(names[c.lower()]) for c in df.columns])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(cast, frames))
 
 
 def page_number_from_name(name) -> F.Column:
@@ -229,16 +265,41 @@ def page_number_from_name(name) -> F.Column:
     return F.split_part(name, F.lit("_"), F.lit(4)).try_cast("int")
 
 
-def duplicate_page_runs(pages: DataFrame, run: str, page: str, urls: str) -> DataFrame:
+def duplicate_page_runs(pages: DataFrame, run: str, page: str, urls: str, stop_after: int | None = None) -> DataFrame:
     """Per run, pages in page order; ``dup_run`` counts how many pages in
-    a row repeated the previous page's URL *set* (0 when it changed).
-    ``pages`` holds one row per (run, page) with a sorted URL array."""
-    w = Window.partitionBy(run).orderBy(page)
-    changed = F.coalesce(F.col(urls) != F.lag(urls).over(w), F.lit(True))
-    d = pages.withColumn("_chg", changed.cast("int"))
+    a row repeated the previous page's URL *set* (0 when it changed). With ``stop_after`` a run ends before its first
+    page that is the ``stop_after``-th repeat in a row.
+
+    ``pages`` holds one row per (run, page) with its URLs; their order and repeats do not matter. A run may have any number of
+    pages: pages are range-partitioned by (run, page), counted within a partition, and what a partition's
+    first pages continue comes from a scan over one summary row per partition and run."""
+    spark = pages.sparkSession
+    tasks = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    same = F.sha2(F.to_json(F.array_sort(F.array_distinct(urls))), 256)
+    placed = pages.withColumn("_fp", F.coalesce(same, F.lit(""))).repartitionByRange(tasks, run, page, "_fp") \
+        .sortWithinPartitions(run, page, "_fp").withColumn("_part", F.spark_partition_id())
+    placed = cut_lineage(placed)
+    w = Window.partitionBy("_part", run).orderBy(page, "_fp")
+    d = placed.withColumn("_chg", F.coalesce(F.col("_fp") != F.lag("_fp").over(w), F.lit(True)).cast("int"))
     d = d.withColumn("_island", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wi = Window.partitionBy(run, "_island").orderBy(page)
-    return d.withColumn("dup_run", F.row_number().over(wi) - 1).drop("_chg", "_island")
+    d = d.withColumn("_at", F.row_number().over(Window.partitionBy("_part", run, "_island").orderBy(page, "_fp")) - 1)
+    # one row per partition and run: the first and last set, the length of the last island, whether it is the only one
+    seg = d.groupBy("_part", run).agg(F.min_by("_fp", "_island").alias("first"), F.max_by("_fp", "_island").alias("last"),
+                                      F.max(F.struct("_island", "_at")).alias("tail"))
+    along = Window.partitionBy(run).orderBy("_part")
+    seg = seg.withColumn("joins", F.coalesce(F.col("first") == F.lag("last").over(along), F.lit(False)))
+    chain = F.sum(F.when(F.col("joins") & (F.col("tail._island") == 1), 0).otherwise(1)).over(along)
+    seg = seg.withColumn("chain", chain).withColumn("open", F.sum(F.col("tail._at") + 1).over(Window.partitionBy(run, "chain").orderBy("_part")))
+    seg = seg.withColumn("carry", F.when(F.col("joins"), F.lag("open").over(along)).otherwise(0))
+    r = seg.select(F.col("_part").alias("_p"), F.col(run).alias("_r"), "carry")
+    d = d.join(F.broadcast(r), (F.col("_part") == F.col("_p")) & F.col(run).eqNullSafe(F.col("_r")))     # a row per partition and run
+    d = d.withColumn("dup_run", (F.col("_at") + F.when(F.col("_island") == 1, F.col("carry")).otherwise(0)).cast("int"))
+    d = d.select(*pages.columns, "dup_run")
+    if stop_after is None:
+        return d
+    ends = d.where(F.col("dup_run") >= stop_after).groupBy(F.col(run).alias("_r")).agg(F.min(page).alias("_end"))
+    d = d.join(ends, F.col(run).eqNullSafe(F.col("_r")), "left")
+    return d.where(F.col("_end").isNull() | (F.col(page) < F.col("_end"))).select(*pages.columns, "dup_run")
 
 
 def source_chain(lake, table: str, parquet_root: str, schema) -> DataFrame:

@@ -178,3 +178,36 @@ def test_registry_routes_and_falls_back(spark):
     out = ml.auto_predict(req, reg).collect()
     assert len(out) == 20 and all(r["target"] == "price" for r in out)   # only a price model exists
     assert all(r["prediction"] > 0 for r in out)
+
+
+def test_duplicate_runs_over_many_partitions(spark):
+    import random
+    rng, rows, want = random.Random(2), [], {}
+    for run in ("a", "b", None, "long"):
+        last, n = None, 0
+        for page in range(400 if run == "long" else 25):
+            urls = ["x", "y"] if run == "long" and 20 < page < 390 else rng.choice([["x", "y"], ["y", "x", "x"], ["z"], []])
+            n = n + 1 if last is not None and set(urls) == last else 0
+            last = set(urls)
+            want[run, page] = n
+            rows.append((run, page, urls, page))
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "run string, page int, urls array<string>, first int").repartition(5)
+    got = {(r["run"], r["page"]): r["dup_run"] for r in files.duplicate_page_runs(df, "run", "page", "urls").collect()}
+    assert got == want and max(want.values()) > 300
+    stopped = {(r["run"], r["page"]) for r in files.duplicate_page_runs(df, "run", "page", "urls", stop_after=10).collect()}
+    ends = {run: min([p for (q, p), n in want.items() if q == run and n >= 10], default=10 ** 9) for run, *_ in rows}
+    assert stopped == {(run, p) for run, p in want if p < ends[run]}
+
+
+def test_union_skips_failures_and_reconciles_types(spark):
+    import pytest
+    a = spark.createDataFrame([(1, "x", None)], "i int, t string, d date")
+    b = spark.createDataFrame([(2.5, 7, 3)], "I double, t long, only long")
+    def broken():
+        return spark.read.parquet("/nowhere/at/all")
+    out = files.union_tolerant([a, broken, None, lambda: b])
+    assert out.dtypes == [("i", "double"), ("t", "string"), ("d", "date"), ("only", "bigint")]
+    assert sorted(tuple(r) for r in out.collect()) == [(1.0, "x", None, None), (2.5, "7", None, 3)]
+    with pytest.raises(FileNotFoundError):
+        files.union_tolerant([None, broken])
