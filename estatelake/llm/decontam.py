@@ -122,20 +122,15 @@ class Index:
     impact: np.ndarray               # float32
     top: np.ndarray                  # largest impact of a term
     block_items: int
-    block_key: np.ndarray            # term * blocks + block, sorted
-    block_top: np.ndarray            # largest impact of the term in the block
+    block_start: np.ndarray          # blocks of term t: block_start[t] to block_start[t + 1]
+    block: np.ndarray                # sorted for each term
+    block_level: np.ndarray          # largest impact of the term in the block, in 255ths of its top, rounded up
     words: np.ndarray                # all items' words, question first
     word_start: np.ndarray
     question: np.ndarray             # words of the question
 
-    @property
-    def lists(self) -> tuple[np.ndarray, np.ndarray]:
-        """Start and length of every posting list."""
-        start = self.start.astype(np.int64)
-        return start[:-1], np.diff(start)
-
     def bytes(self) -> int:
-        arrays = (self.ids, self.start, self.item, self.impact, self.top, self.block_key, self.block_top, self.words, self.word_start, self.question)
+        arrays = (self.ids, self.start, self.item, self.impact, self.top, self.block_start, self.block, self.block_level, self.words, self.word_start, self.question)
         return sum(a.nbytes for a in arrays) + sum(map(len, self.vocab))
 
     @property
@@ -149,7 +144,7 @@ def _small(values) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
-def build_index(rows: list, block_items: int = 256) -> Index:
+def build_index(rows: list, block_items: int = 16) -> Index:
     """``rows`` of ``weighted_items``, all of one class."""
     rows = sorted(rows, key=lambda r: (r["item_id"], r["text"]))
     vocab = {t: i for i, t in enumerate(sorted({bytes(x["term"]) for r in rows for x in r["weights"]}))}
@@ -162,10 +157,12 @@ def build_index(rows: list, block_items: int = 256) -> Index:
     blocks = -(-len(rows) // block_items)
     key = term * blocks + item // block_items
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    top = np.maximum.reduceat(impact, start[:-1])
+    level = np.ceil(np.maximum.reduceat(impact, first) / top[term[first]] * 255 - 1e-4).astype(np.uint8)
     halves = [parts(r["text"]) for r in rows]
     words = [[vocab[w] for w in q + a] for q, a in halves]
     return Index(rows[0]["span"], vocab, np.array([r["item_id"] for r in rows], np.int64), _small(start), _small(item), impact,
-                 np.maximum.reduceat(impact, start[:-1]), block_items, _small(key[first]), np.maximum.reduceat(impact, first),
+                 top, block_items, _small(np.searchsorted(term[first], np.arange(len(vocab) + 1))), _small(key[first] % blocks), level,
                  _small([w for ws in words for w in ws]), _small(np.cumsum([0] + [len(w) for w in words])),
                  _small([len(q) for q, _ in halves]))
 
@@ -188,20 +185,45 @@ def _pieces(cost: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Values of sorted ``keys``, 0 where there is none."""
-    if not len(keys):
-        return np.zeros(len(wanted))
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], 0).astype(np.float64)
+TABLE = 1 << 22   # entries of a lookup table; beyond it keys are searched, with the same result
+
+
+def _lookup(keys: np.ndarray, values: np.ndarray, size: int):
+    """Function from numbers below ``size`` to the values of sorted ``keys``, 0 where there is none."""
+    if size <= TABLE:
+        table = np.zeros(size, np.float32)
+        table[keys] = values
+        return lambda wanted: table.take(wanted)
+
+    def find(wanted):
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, values[at], np.float32(0))
+    return find
+
+
+class Reader:
+    """An index made ready for searching, in the task: posting lists, and lookups of a term's impact by block and by
+    item."""
+
+    def __init__(self, ix: Index):
+        self.ix, self.n = ix, len(ix.ids)
+        start = ix.start.astype(np.int64)
+        self.start, self.size = start[:-1], np.diff(start)
+        term = np.repeat(np.arange(len(self.size)), self.size)
+        own = np.repeat(np.arange(len(self.size)), np.diff(ix.block_start.astype(np.int64)))
+        self.in_block = _lookup(own * ix.blocks + ix.block, ix.block_level * (ix.top[own] / np.float32(255) * np.float32(1 + 1e-3)),
+                                len(self.size) * ix.blocks)
+        self.in_item = _lookup(term * self.n + ix.item, ix.impact, len(self.size) * self.n)
+        self.item = ix.item.astype(np.int64)
 
 
 def _sum_by(owner: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner, values, n)
 
 
-def search(ix: Index, docs: list[list[bytes]], threshold: float, most: int = 1 << 21) -> Iterator[tuple[int, int, int, float]]:
+def search(reader: Reader, docs: list[list[bytes]], threshold: float, most: int = 1 << 21) -> Iterator[tuple[int, int, int, float]]:
     """(document, passage, item position, score) of every passage and item at or above the threshold."""
+    ix = reader.ix
     size = len(ix.vocab)
     keys, base, owner = [], 0, []
     for d, words in enumerate(docs):
@@ -214,9 +236,10 @@ def search(ix: Index, docs: list[list[bytes]], threshold: float, most: int = 1 <
         keys += [(base + p) * size + t, (base + p[p > 0] - 1) * size + t[p > 0]]
         owner.append((base, passages))
         base += passages
-    key = np.unique(np.concatenate(keys)) if keys else np.empty(0, np.int64)
+    key = np.sort(np.concatenate(keys)) if keys else np.empty(0, np.int64)
     if not len(key):
         return
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
     term, passage = key % size, key // size
     cut = np.concatenate([[0], np.flatnonzero(np.diff(passage)) + 1])
     live = np.add.reduceat(ix.top[term].astype(np.float64), cut) >= threshold - EPS
@@ -224,20 +247,21 @@ def search(ix: Index, docs: list[list[bytes]], threshold: float, most: int = 1 <
         return
     count = np.diff(np.concatenate([cut, [len(term)]]))
     term, name, count = term[np.repeat(live, count)], passage[cut][live], count[live]
-    lists = ix.lists[1][term]
+    lists = reader.size[term]
     starts = np.array([b for b, _ in owner])
     begin = np.cumsum(count) - count
     # the work of a passage is at most its terms' postings
     for a, b in _pieces(np.add.reduceat(lists, begin), most):
         lo, hi = begin[a], begin[b - 1] + count[b - 1]
-        for g, item, score in _candidates(ix, term[lo:hi], count[a:b], threshold, most):
+        for g, item, score in _candidates(reader, term[lo:hi], count[a:b], threshold, most):
             g = name[a + g]
             d = int(np.searchsorted(starts, g, "right")) - 1
             yield d, int(g - starts[d]), int(item), float(score)
 
 
-def _candidates(ix: Index, term: np.ndarray, count: np.ndarray, threshold: float, most: int):
+def _candidates(reader: Reader, term: np.ndarray, count: np.ndarray, threshold: float, most: int):
     """(passage, item, score) at or above the threshold; ``count`` terms of each passage, in order."""
+    ix, n_items = reader.ix, reader.n
     group = np.repeat(np.arange(len(count)), count)
     order = np.lexsort((ix.top[term], group))
     t, g = term[order], group[order]
@@ -247,12 +271,16 @@ def _candidates(ix: Index, term: np.ndarray, count: np.ndarray, threshold: float
     pivot = run >= threshold - EPS
     rest = np.zeros(len(count))                   # what the terms before the pivot can add
     np.maximum.at(rest, g[~pivot], run[~pivot])
-    list_start, list_size = ix.lists
-    own, at = _ragged(list_start[t[pivot]], list_size[t[pivot]])
-    pair = g[pivot][own] * len(ix.ids) + ix.item[at]
-    found, which = np.unique(pair, return_inverse=True)
-    have = _sum_by(which, ix.impact[at], len(found))
-    pg = found // len(ix.ids)
+    own, at = _ragged(reader.start[t[pivot]], reader.size[t[pivot]])
+    pair = g[pivot][own] * n_items + reader.item[at]
+    if len(count) * n_items <= TABLE:             # few enough pairs to count in place
+        have = _sum_by(pair, ix.impact[at], len(count) * n_items)
+        found = np.flatnonzero(have)
+        have = have[found]
+    else:
+        found, which = np.unique(pair, return_inverse=True)
+        have = _sum_by(which, ix.impact[at], len(found))
+    pg = found // n_items
     go = have + rest[pg] >= threshold - EPS
     found, have, pg = found[go], have[go], pg[go]
     if not len(found):
@@ -261,19 +289,20 @@ def _candidates(ix: Index, term: np.ndarray, count: np.ndarray, threshold: float
     before, quiet = t[~pivot], np.bincount(g[~pivot], minlength=len(count))
     quiet_begin = np.cumsum(quiet) - quiet
     blocks = ix.blocks
-    cell, back = np.unique(pg * blocks + found % len(ix.ids) // ix.block_items, return_inverse=True)
+    at_block = pg * blocks + found % n_items // ix.block_items      # sorted, as the pairs are
+    fresh = np.concatenate([[True], at_block[1:] != at_block[:-1]])
+    cell, back = at_block[fresh], np.cumsum(fresh) - 1
     bound = np.empty(len(cell))
     for x, y in _pieces(quiet[cell // blocks] + 1, most):
         cg, cb = cell[x:y] // blocks, cell[x:y] % blocks
         who, where = _ragged(quiet_begin[cg], quiet[cg])
-        bound[x:y] = _sum_by(who, _lookup(ix.block_key, ix.block_top, before[where] * blocks + cb[who]), y - x)
+        bound[x:y] = _sum_by(who, reader.in_block(before[where] * blocks + cb[who]), y - x)
     go = have + bound[back] >= threshold - EPS
     found, pg = found[go], pg[go]
-    posting = np.repeat(np.arange(len(list_size)), list_size) * len(ix.ids) + ix.item
     for x, y in _pieces(count[pg] + 1, most):
         who, where = _ragged(begin[pg[x:y]], count[pg[x:y]])
-        item = found[x:y] % len(ix.ids)
-        score = _sum_by(who, _lookup(posting, ix.impact, term[where] * len(ix.ids) + item[who]), y - x)
+        item = found[x:y] % n_items
+        score = _sum_by(who, reader.in_item(term[where] * n_items + item[who]), y - x)
         for i in np.flatnonzero(score >= threshold - EPS):
             yield pg[x + i], item[i], score[i]
 
@@ -309,12 +338,13 @@ def _verified(ix: Index, words: list[list[bytes]], hits, overlap: float) -> dict
 
 def _match(indexes, threshold: float, overlap: float, batch_words: int = 150_000):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ixs = indexes()
+        readers = [Reader(ix) for ix in indexes()]
 
         def flush(ids, words):
             out: dict[str, list] = {k: [] for k in _OUT_PA.names}
-            for ix in ixs:
-                found = _verified(ix, words, search(ix, words, threshold), overlap)
+            for reader in readers:
+                ix = reader.ix
+                found = _verified(ix, words, search(reader, words, threshold), overlap)
                 for (d, item), (score, q, r, a, b) in found.items():
                     for k, v in zip(out, (ids[d], int(ix.ids[item]), score, q, r, -a, b)):
                         out[k].append(v)

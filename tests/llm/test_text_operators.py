@@ -184,9 +184,10 @@ def planted(items, rng):
     return docs + ["w1 " * 30000]
 
 
-@pytest.mark.parametrize("bytes_", [32 << 20, 3000])
-def test_block_max_search_returns_every_score_above_threshold(spark, bytes_):
-    """All passages and items, scored without any index; two sizes of its parts."""
+@pytest.mark.parametrize("bytes_,table", [(32 << 20, 1 << 22), (3000, 1 << 22), (32 << 20, 0)])
+def test_block_max_search_returns_every_score_above_threshold(spark, monkeypatch, bytes_, table):
+    """All passages and items, scored without any index; two sizes of its parts, with and without lookup tables."""
+    monkeypatch.setattr(decontam, "TABLE", table)
     items = [x for x in bench_items() if x[0] is not None]
     impacts, rng = bm25(items), random.Random(5)
     docs = [decontam.terms(t) for t in planted(items, rng)]
@@ -210,7 +211,7 @@ def test_block_max_search_returns_every_score_above_threshold(spark, bytes_):
     assert (len(parts) > 3) == (bytes_ == 3000)
     for ix in [x for part in parts for x in part]:
         for most in (1 << 21, 50):
-            got |= {(d, p, int(ix.ids[j])): s for d, p, j, s in decontam.search(ix, docs, 0.5, most)}
+            got |= {(d, p, int(ix.ids[j])): s for d, p, j, s in decontam.search(decontam.Reader(ix), docs, 0.5, most)}
     assert set(got) == set(want) and any(s < 0.7 for s in want.values())
     assert all(abs(got[k] - want[k]) < 1e-5 for k in want)
 
