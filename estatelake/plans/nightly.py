@@ -41,12 +41,12 @@ def rebuild_analytics(lake: CommittedLake, source: DataFrame, clean: bool = True
     report (also appended to the ``sanity_report`` table). History is partitioned by ``history_partition`` (a nightly
     date by default; a coarser derived column such as a month for long back-fills)."""
     prepared = market.prepare_rebuild(source, run_date)
-    counters = market.sanity_counters(prepared)
     old = lake.state()
     state = {**old, "partition": history_partition}
-    state = lake.add_batch(state, "history", lake.history, cut_lineage(_with_partition(prepared, history_partition)), REBUILD, alone=True)
-    # history keeps every row; only what is derived from it is filtered
+    state = lake.add_batch(state, "history", lake.history, _with_partition(prepared, history_partition), REBUILD, alone=True)
+    # the source is read once: history keeps every row, and all else is derived from what was written
     history = lake.read_batches(state, "history", lake.history)
+    counters = market.sanity_counters(history)
     kept = market.plausible(history) if clean else history
     state = lake.replace_current(state, market.latest_snapshot(kept).drop(*_derived(history_partition)))
     state = lake.put_table(state, "market_daily_summary", market.market_summary_v3(kept))
