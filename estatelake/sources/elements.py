@@ -32,6 +32,8 @@ TOKEN = _TAG + r"(?:[^<]|<(?![a-zA-Z/!?]))*+"
 CLASS = r"""(?is)(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 SCOPES = ["table", "ul", "ol", "dl"]
 CELLS = ["td", "th"]
+PART = 8 << 20      # bytes of html, and TAG for each tag, that one task pairs; its sorts take some twenty times that
+TAG = 100
 
 
 def decode_references(c: Column) -> Column:
@@ -52,6 +54,14 @@ def _tidy(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(decode_references(text), "   ", "   "), r"\s+", " "))
 
 
+def _tasks(pages: DataFrame) -> int:
+    """Tasks for the tags of ``pages``: as many as its size asks for, so a task's memory does not grow with the input."""
+    html = F.coalesce("html", F.lit(""))
+    tags = F.length(html) - F.length(F.replace(html, F.lit("<"), F.lit("")))
+    size = pages.agg(F.sum(F.octet_length(html) + TAG * tags)).first()[0] or 0
+    return max(1, -(-size // PART))
+
+
 def tokens(pages: DataFrame) -> DataFrame:
     """_page (a number of its own), page_id, pos, name, closing, cls, text after the tag: one row per tag."""
     page = pages.select(F.monotonically_increasing_id().alias("_page"), "page_id",
@@ -110,7 +120,7 @@ def _paired(t: DataFrame) -> DataFrame:
 def page_elements(pages: DataFrame, classes: Sequence[str] = (), names: Sequence[str] = ()) -> DataFrame:
     """One row per page that has a tag: page_id, texts (after each tag, in order), listed (cells, terms and items) and
     marked (elements whose class contains one of ``classes`` or whose name is one of ``names``), both in document order."""
-    t = tokens(pages).repartition("_page")
+    t = tokens(pages).repartition(_tasks(pages), "_page")
     t = _listed(t)
     marked = F.lit(False)
     if classes or names:
