@@ -13,7 +13,8 @@ labelled spans and adds what it finds (``email_like`` and so on).
 * Model: characters, a bidirectional LSTM and a linear-chain CRF over begin /
   inside tags, trained in numpy by back-propagation and Adam with a fixed seed.
 * Decoding: whole texts are cut into overlapping windows that are tagged by
-  Viterbi, many at a time. A bound on what any tagged stretch could gain over "no
+  Viterbi, many at a time. Windows from which no span can come that holds up (below; it takes digits, or
+  an "at" before a name and a dot) are passed over, unless a span of a neighbour reaches into them; this is exact. A bound on what any tagged stretch could gain over "no
   tag at all" (largest emission margins plus largest transition gains, best
   stretch by one running sum) proves most windows empty without Viterbi; this is
   exact. Spans carry the least posterior of their characters.
@@ -456,6 +457,29 @@ def labelled_windows(docs: DataFrame, max_rows: int = 4096, per_row: int = 6, ar
 
 
 # ---------------------------------------------------------------- decoding
+_CUE = re.compile(r"(?:@|(?<=[\s\[({<])at(?=[\s\])}>]))(?=\s{0,320}[\])}>]?\s{0,320}[a-z0-9-]{1,320}\s{0,320}(?:[\[({<]\s{0,320})?(?:dot|\.))", re.I)
+
+
+def _windows(text: str, window: int, overlap: int) -> int:
+    return max(1, -(-(len(text) - overlap) // (window - overlap)))
+
+
+def live(text: str, window: int, overlap: int) -> list[int]:
+    """Numbers of the windows from which a span that ``holds_up`` may come. Such a span has an "at" that a name and a dot
+    follow, or four digits and at most 320 characters, of which one of the windows it lies in has an equal share. Others need
+    no decoding: what is found there is dropped, unless it goes on into one of these (see ``Tagger.spans``)."""
+    step = window - overlap
+    last = _windows(text, window, overlap) - 1
+    share = -(-4 // -(-(319 + window) // step))
+    digits = [m.start() for m in _DIGIT.finditer(text)]
+    out = set()
+    for k in range(len(digits) - share + 1):
+        out.update(range(max(0, (digits[k + share - 1] - window) // step + 1), min(last, digits[k] // step) + 1))
+    for m in _CUE.finditer(text):
+        out.update(range(max(0, (m.end() - 1 - window) // step + 1), min(last, m.start() // step) + 1))
+    return sorted(out)
+
+
 class Tagger:
     def __init__(self, model: Model, window: int = 256, overlap: int = 40, least: float = 0.6, block: int = 1024):
         self.m, self.window, self.overlap, self.least, self.block = model.half(), window, overlap, least, block
@@ -464,20 +488,23 @@ class Tagger:
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """(kind number, start, end) of the spans that the model adds to each text's base spans."""
         found: list[list] = [[] for _ in texts]
-        held: list[tuple[int, int, np.ndarray]] = []
-        for d, text in enumerate(texts):
-            ids = encode(text, self.table)
-            for at in range(0, max(1, len(ids) - self.overlap), self.window - self.overlap) if len(ids) else ():
-                held.append((d, at, ids[at:at + self.window]))
-                if len(held) == self.block:
-                    self._decode(held, found, texts)
-                    held = []
-        if held:
-            self._decode(held, found, texts)
+        step = self.window - self.overlap
+        todo = [(d, n) for d, text in enumerate(texts) for n in live(text, self.window, self.overlap)]
+        done, block = set(todo), self.block
+        while todo:
+            for i in range(0, len(todo), block):
+                held = [(d, n * step, encode(texts[d][n * step:n * step + self.window], self.table)) for d, n in todo[i:i + block]]
+                self._decode(held, found, texts, block)
+            # a span that reaches into another window may be part of a longer one
+            near = {(d, n) for d in {d for d, _ in todo} for _, a, b, *_ in found[d]
+                    for n in range(max(0, (a - self.window) // step + 1), min(_windows(texts[d], self.window, self.overlap), (b - 1) // step + 1))}
+            todo = sorted(near - done)
+            done.update(todo)
+            block = min(self.block, 64)
         return [reconcile(f, text, self.least) if f else [] for f, text in zip(found, texts)]
 
-    def _decode(self, held, found, texts) -> None:
-        x = np.full((self.window, self.block), PAD, np.uint8)      # always of this size: results do not depend on neighbours
+    def _decode(self, held, found, texts, block) -> None:
+        x = np.full((self.window, block), PAD, np.uint8)      # always of this size: results do not depend on neighbours
         for i, (_, _, ids) in enumerate(held):
             x[:len(ids), i] = ids
         e = emissions(self.m, x)
@@ -552,7 +579,7 @@ _OUT = "doc_id long, spans array<struct<kind:string,start:long,end:long>>"
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def _scan(model, options: dict, chars: int = 1 << 19):
+def _scan(model, options: dict, chars: int = 1 << 22):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model()
         tagger = None if m is None else Tagger(m, **options)
