@@ -35,8 +35,34 @@ MOST = 4_000_000
 DENSE = 512
 
 
-def _entry(i, v) -> Column:
-    return F.struct(F.lit(i).cast("long").alias("i") if isinstance(i, int) else i.cast("long").alias("i"), v.cast("double").alias("v"))
+def _entry(i, j, v) -> Column:
+    at = lambda x: F.lit(x).cast("long") if isinstance(x, int) else x
+    return F.struct(at(i).alias("i"), at(j).alias("j"), v.alias("v"))
+
+
+def _sums(d: DataFrame, m: int, q: int, const: int) -> DataFrame:
+    """fold, i, j (i <= j), v: sums of the products of every two entries of a row. ``d``: fold, numbers _x0.., places of the
+    categories or of their missing marks _s0.., _label. Products of numbers are columns of one aggregate, those of
+    categories and numbers columns of one aggregate by category, and only two categories' are rows of their own."""
+    x = [F.col(f"_x{j}") for j in range(m)]
+    values = {j: F.coalesce(c, F.lit(0.0)) for j, c in enumerate(x)} | {m + j: F.when(c.isNull(), 1.0).otherwise(0.0) for j, c in enumerate(x)}
+    values |= {const: F.lit(1.0), const + 1: F.col("_label")}
+    places = sorted(values)
+    names = {(i, j): f"_{a}_{b}" for a, i in enumerate(places) for b, j in enumerate(places) if a <= b}
+    total = d.groupBy("fold").agg(*[F.sum(values[i] * values[j]).alias(n) for (i, j), n in names.items()])
+    found = total.select("fold", F.explode(F.array(*[_entry(i, j, F.col(n)) for (i, j), n in names.items()])).alias("e"))
+    if q:
+        slots = [F.col(f"_s{j}") for j in range(q)]
+        one = d.select("fold", *[v.alias(f"_{i}") for i, v in values.items()], F.explode(F.array(*slots)).alias("_s"))
+        one = one.groupBy("fold", "_s").agg(*[F.sum(f"_{i}").alias(f"_{i}") for i in places])
+        s = F.col("_s")
+        each = [_entry(s, s, F.col(f"_{const}")), *[_entry(*((i, s) if i < const else (s, i)), F.col(f"_{i}")) for i in places]]
+        found = found.unionByName(one.select("fold", F.explode(F.array(*each)).alias("e")))
+    if q > 1:
+        two = [F.struct(F.least(a, b).alias("i"), F.greatest(a, b).alias("j")) for n, a in enumerate(slots) for b in slots[n + 1:]]
+        two = d.select("fold", F.explode(F.array(*two)).alias("e")).groupBy("fold", "e.i", "e.j").agg(F.count(F.lit(1)).cast("double").alias("v"))
+        found = found.unionByName(two.select("fold", F.struct("i", "j", "v").alias("e")))
+    return found.select("fold", "e.*").where("v <> 0")
 
 
 class Sums:
@@ -131,7 +157,7 @@ def predictions(df: DataFrame, target: str, num: Sequence[str], cat: Sequence[st
     label = F.log1p(target) if log_target else F.col(target).cast("double")
     d = cut_lineage(df.where(F.col(target).isNotNull()).select(
         fold.cast("int").alias("fold"), F.col(target), label.alias("_label"), *[F.col(c).cast("double").alias(c) for c in num],
-        *[F.col(c).cast("string").alias(c) for c in cat]).withColumn("_row", F.monotonically_increasing_id()))
+        *[F.col(c).cast("string").alias(c) for c in cat]))
 
     values = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("number"), F.lit(None).cast("string").alias("value")) for c in num]
     values += [F.struct(F.lit(c).alias("feature"), F.lit(None).cast("double").alias("number"), F.col(c).alias("value")) for c in cat]
@@ -145,8 +171,7 @@ def predictions(df: DataFrame, target: str, num: Sequence[str], cat: Sequence[st
 
     # numbers and missing marks first, then the categories
     base = 2 * m + q
-    entries = [F.when(F.col(c).isNotNull(), _entry(j, F.col(c))).otherwise(_entry(m + j, F.lit(1.0))) for j, c in enumerate(num)]
-    n_categories = 0
+    slots, n_categories = [], 0
     if cat:
         index = cut_lineage(ranked(counts.where("value IS NOT NULL").groupBy("feature", "value").agg(F.sum("n").alias("n"))))
         n_categories = index.count()
@@ -155,17 +180,11 @@ def predictions(df: DataFrame, target: str, num: Sequence[str], cat: Sequence[st
         best = best.join(index.select("feature", "value", "number"), ["feature", "value"])
         modes = {(r["held"], r["feature"]): base + r["number"] for r in best.collect()}
         d = encode(d, cat, index, fill_mode=False, column="number")
-        entries += [F.when(F.col(f"{c}__i").isNotNull(), _entry(F.col(f"{c}__i") + base, F.lit(1.0))).otherwise(_entry(2 * m + j, F.lit(1.0)))
-                    for j, c in enumerate(cat)]
+        slots = [F.coalesce(F.col(f"{c}__i") + base, F.lit(2 * m + j)).cast("long").alias(f"_s{j}") for j, c in enumerate(cat)]
     const = base + n_categories
-    entries += [_entry(const, F.lit(1.0))]
-    d = cut_lineage(d.select("fold", target, "_row", "_label", F.array(*entries).alias("entries")))
-
-    whole = F.concat("entries", F.array(_entry(const + 1, F.col("_label"))))
-    pairs = F.flatten(F.transform(whole, lambda a: F.transform(F.filter(whole, lambda b: b["i"] >= a["i"]), lambda b: F.struct(
-        a["i"].alias("i"), b["i"].alias("j"), (a["v"] * b["v"]).alias("v")))))
-    sums = d.select("fold", F.explode(pairs).alias("e")).select("fold", "e.*").groupBy("fold", "i", "j").agg(F.sum("v").alias("v"))
-    sums = cut_lineage(sums)
+    d = cut_lineage(d.select("fold", target, "_label", *[F.col(c).alias(f"_x{j}") for j, c in enumerate(num)], *slots))
+
+    sums = cut_lineage(_sums(d, m, q, const))
     if sums.count() > MOST:
         return None
     got = sums.toPandas()
@@ -180,9 +199,19 @@ def predictions(df: DataFrame, target: str, num: Sequence[str], cat: Sequence[st
         weights += [(int(h), int(n), float(u[n])) for n in np.flatnonzero(u[:-1])]
     spark = d.sparkSession
     weights = spark.createDataFrame(weights, "held int, i long, w double")
-    out = d.where(F.col("fold").isin([int(h) for h in held])).select("fold", target, "_row", F.explode("entries").alias("e")).select(
-        "fold", target, "_row", "e.*")
-    weights = F.broadcast(weights.withColumnRenamed("i", "_i"))      # at most as many as the sums
-    out = out.join(weights, (F.col("fold") == F.col("held")) & (F.col("i") == F.col("_i")), "left")
-    out = out.groupBy("_row", "fold", target).agg(F.sum(F.col("v") * F.coalesce("w", F.lit(0.0))).alias("_p"))
-    return out.select("fold", target, (F.expm1("_p") if log_target else F.col("_p")).alias("prediction"))
+    # a row's prediction is a sum of its own entries' weights: broadcast joins, at most as many weights as sums
+    few = {*range(2 * m), const}
+    dense = weights.where(F.col("i").isin(list(few))).groupBy("held").agg(F.map_from_entries(F.collect_list(F.struct("i", "w"))).alias("_w"))
+    held_folds = spark.createDataFrame([(int(h),) for h in held], "held int").join(dense, "held", "left")
+    out = d.join(F.broadcast(held_folds), F.col("fold") == F.col("held")).drop("held")
+    weight = lambda i: F.coalesce(F.element_at("_w", F.lit(i).cast("long")), F.lit(0.0))
+    total = weight(const)
+    for j in range(m):
+        x = F.col(f"_x{j}")
+        total = total + F.when(x.isNotNull(), x * weight(j)).otherwise(weight(m + j))
+    slotted = weights.where(~F.col("i").isin(list(few)))
+    for j in range(q):
+        mine = slotted.select(F.col("held").alias(f"_h{j}"), F.col("i").alias(f"_i{j}"), F.col("w").alias(f"_w{j}"))
+        out = out.join(F.broadcast(mine), (F.col("fold") == F.col(f"_h{j}")) & (F.col(f"_s{j}") == F.col(f"_i{j}")), "left")
+        total = total + F.coalesce(f"_w{j}", F.lit(0.0))
+    return out.select("fold", target, (F.expm1(total) if log_target else total).alias("prediction"))
