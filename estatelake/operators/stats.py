@@ -7,8 +7,8 @@ in one pass over the input, other aggregates of the groups in the same pass:
    value too, so a group holding a third of all rows is spread over every
    reducer and no row ids or sort order are involved. Only these counts are
    written out; counts of several inputs can be added up (``quantiles_of_counts``);
-2. while there are at most ``DIRECT`` counts in all, one window ranks them;
-3. beyond that, values fall into slices, the value cut to 9 significant bits, a
+2. while there are at most ``DIRECT`` counts in all, one window ranks them, and beyond that the groups of at most ``RANKED`` counts;
+3. in larger groups values fall into slices, the value cut to 9 significant bits, a
    monotone function; running counts over the slices tell which slice holds the
    ranks that a quantile needs. A slice with more than ``RANKED`` different values is cut
    into 512 equal parts, again and again, until the part with the rank holds no
@@ -89,8 +89,7 @@ def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, weig
     batches): ``keys``, ``total`` (the sum of the counts) and a column for each name -> probability."""
     w = counts.groupBy(*keys, F.lit(0).alias("_m"), F.col(value).cast("double").alias("_v")).agg(F.sum(weight).alias("_w"))
     w = cut_lineage(w.where("_v IS NOT NULL"))
-    q = _quantiles(w, list(keys), [(n, 0, float(p)) for n, p in wanted.items()], [])
-    return join_on_keys(w.groupBy(*keys).agg(F.sum("_w").alias(total)), q, list(keys)) if total else q
+    return _quantiles(w, list(keys), [(n, 0, float(p)) for n, p in wanted.items()], [], total)
 
 
 def _interpolated(n: Column, p: float, low: Column, high: Column) -> Column:
@@ -99,10 +98,24 @@ def _interpolated(n: Column, p: float, low: Column, high: Column) -> Column:
     return F.when(lo == hi, low).otherwise((hi - pos) * low + (pos - lo) * high)
 
 
-def _quantiles(w: DataFrame, keys: list[str], asks: list[tuple], names: list[str]) -> DataFrame:
-    if w.count() > DIRECT:
-        q = _by_slices(w.where("_m >= 0").select(*keys, "_m", "_v", "_w"), keys, asks)
-        return join_on_keys(w.where("_m < 0").select(*keys, *names), q, keys) if names else q
+def _quantiles(w: DataFrame, keys: list[str], asks: list[tuple], names: list[str], total: str | None = None) -> DataFrame:
+    """``total``: a column for the sum of the weights, where all are of one column."""
+    if w.count() <= DIRECT:
+        return _ranked(w, keys, asks, names, total)
+    values = w.where("_m >= 0").select(*keys, "_m", "_v", "_w")
+    # fewer than the counts divided by RANKED; a group of keys is large when one of its columns is
+    large = cut_lineage(values.groupBy(*keys, "_m").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") > RANKED).select(*keys).distinct())
+    if not keys or large.isEmpty():
+        q = (_ranked(values, keys, asks, [], total) if keys else _by_slices(values, keys, asks, total))
+    else:
+        q = _by_slices(_join_null_safe(values, F.broadcast(large), keys), keys, asks, total)
+        q = q.unionByName(_ranked(_join_null_safe(values, F.broadcast(large), keys, "left_anti"), keys, asks, [], total))
+    return join_on_keys(w.where("_m < 0").select(*keys, *names), q, keys) if names else q
+
+
+def _ranked(w: DataFrame, keys: list[str], asks: list[tuple], names: list[str], total: str | None = None) -> DataFrame:
+    """Quantiles of groups that one task can rank. One exchange by the keys serves the ranks and the groups."""
+    w = w.repartition(*keys) if keys else w
     inside = Window.partitionBy(*keys, "_m")
     w = w.withColumn("_end", F.sum("_w").over(inside.orderBy("_v"))).withColumn("_n", F.sum("_w").over(inside))
     picked = []
@@ -113,11 +126,12 @@ def _quantiles(w: DataFrame, keys: list[str], asks: list[tuple], names: list[str
             picked.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{side}{i}"))
         picked.append(F.max(F.when(mine, F.col("_n"))).alias(f"_n{i}"))
     q = w.groupBy(*keys).agg(*[F.max(F.when(F.col("_m") < 0, F.col(c))).alias(c) for c in names], *picked)
-    return q.select(*keys, *names, *[_interpolated(F.col(f"_n{i}"), p, F.col(f"_lo{i}"), F.col(f"_hi{i}")).alias(n)
+    sums = [F.col("_n0").alias(total)] if total else []
+    return q.select(*keys, *names, *sums, *[_interpolated(F.col(f"_n{i}"), p, F.col(f"_lo{i}"), F.col(f"_hi{i}")).alias(n)
                                      for i, (n, _, p) in enumerate(asks)])
 
 
-def _by_slices(w: DataFrame, keys: list[str], asks: list[tuple]) -> DataFrame:
+def _by_slices(w: DataFrame, keys: list[str], asks: list[tuple], total: str | None = None) -> DataFrame:
     group = [*keys, "_m"]
     w = w.withColumn("_s", _slice(F.col("_v")))
     s = w.groupBy(*group, "_s").agg(F.sum("_w").alias("_c"), F.count(F.lit(1)).alias("_k"))
@@ -143,7 +157,8 @@ def _by_slices(w: DataFrame, keys: list[str], asks: list[tuple]) -> DataFrame:
     side = lambda up: F.max(F.when(F.col("_up") == up, F.col("_v")))
     q = hit.groupBy(*keys, "_name").agg(side(False).alias("_lo"), side(True).alias("_hi"), F.max("_n").alias("_n"), F.max("_p").alias("_p"))
     q = q.withColumn("_q", _interpolated(F.col("_n"), F.col("_p"), F.col("_lo"), F.col("_hi")))
-    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, F.col("_q"))).alias(n) for n, _, _ in asks])
+    sums = [F.max("_n").alias(total)] if total else []
+    return q.groupBy(*keys).agg(*sums, *[F.max(F.when(F.col("_name") == n, F.col("_q"))).alias(n) for n, _, _ in asks])
 
 
 def _within(w: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
@@ -219,7 +234,7 @@ def scalar(df: DataFrame, expr: Column) -> Column:
     return df.select(expr.alias("_s")).scalar()
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     r = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_rk_{k}")) for k in keys])
-    return left.join(r, cond).drop(*[f"_rk_{k}" for k in keys])
+    return left.join(r, cond, how).drop(*[f"_rk_{k}" for k in keys])

@@ -19,7 +19,8 @@ buckets, history by batches, summaries by partitions.
 * **History** is one folder by (version, partition). A batch id that comes again
   replaces its own rows; a rebuild replaces all. **Counts** (value counts that
   summaries are made of) follow the same rule.
-* **Summaries** keep a version per partition, so a batch replaces the partitions it touched.
+* **Summaries** keep a version per partition, so a batch replaces the partitions it touched. A commit may mark
+  partitions as due instead: readers make these from the counts until a later commit writes them.
 
 Driver: per commit one entry per bucket, batch and partition; never rows or keys.
 """
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedupe import top1
+from ..operators.stats import quantiles_of_counts
 from ..session import cut_lineage
 
 HASHES = 4
@@ -115,9 +117,10 @@ class CommittedLake:
     def _bucket(self, n: int) -> Column:
         return F.pmod(F.xxhash64(self.key), F.lit(n)).cast("int")
 
-    def _newest(self, rows: DataFrame) -> DataFrame:
+    def _newest(self, rows: DataFrame, dealt_by: Sequence[str] = ()) -> DataFrame:
+        """``dealt_by``: functions of the key by which the rows are dealt already."""
         order = [F.col(c).desc_nulls_last() for c in (*self.order, "_fresh") if c in rows.columns]
-        return top1(rows, [self.key], order)
+        return top1(rows, [*dealt_by, self.key], order)
 
     def _files(self, state: dict, name: str) -> DataFrame:
         """All files of ``name``, live or not, with the columns of the commit: batches may differ in their columns."""
@@ -243,18 +246,19 @@ class CommittedLake:
             blocks = {b: max(1, -(-int(buckets[str(b)]["rows"] * self.compact_share) // KEYS_PER_BLOCK)) for b in adding}
             added = batch.where(F.col("_bucket").isin(list(adding)))
             state = self._write(state, f"{self.current}_bloom", self._bloom(added, blocks), version, ["_bucket"])
-            parts.append(added)
+            parts.append(added.repartition("_bucket"))
         if full:
             whole = batch.where(F.col("_bucket").isin(full)).withColumn("_fresh", F.lit(1))
             old = [b for b in full if str(b) in buckets]
             if old:
                 before = self.read_current(state, old).withColumn("_fresh", F.lit(0)).withColumn("_bucket", self._bucket(n))
-                whole = self._newest(before.unionByName(whole, allowMissingColumns=True))
-            parts.append(whole.drop("_fresh"))
+                whole = before.unionByName(whole, allowMissingColumns=True)
+            # at most two rows per key, so one exchange by bucket serves both the choice and the files
+            parts.append(self._newest(whole.repartition("_bucket"), ["_bucket"]).drop("_fresh"))
         if not parts:
             return state
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        state = self._write(state, self.current, rows.repartition("_bucket"), version, ["_bucket"])
+        state = self._write(state, self.current, rows, version, ["_bucket"])
         sizes = self._sizes(state, version, full) if full else {}
         buckets |= {str(b): self._fresh_entry(version, sizes[b]) for b in full}
         for b, k in adding.items():
@@ -280,10 +284,39 @@ class CommittedLake:
         state = self._write(state, name, rows, version, [state["partition"]])
         old = {} if alone else state["summaries"].get(name, {})
         new = {NULL_PARTITION if v is None else str(v): version for v in values}
-        return {**state, "summaries": {**state["summaries"], name: {**old, **new}}}
+        due = [] if alone else [v for v in self.due(state, name) if (NULL_PARTITION if v is None else v) not in new]
+        left = {n: d for n, d in state.get("due", {}).items() if n != name}
+        return {**state, "summaries": {**state["summaries"], name: {**old, **new}},
+                "due": {**left, name: {**state["due"][name], "values": due}} if due else left}
+
+    def put_due(self, state: dict, name: str, values: Sequence, how: dict) -> dict:
+        """State in which the given partitions of summary ``name`` are due: to be made of the counts, by
+        ``quantiles_of_counts`` with the arguments ``how`` (``counts``: name of the counts)."""
+        due = state.get("due", {}).get(name, {"values": []})["values"]
+        return {**state, "due": {**state.get("due", {}), name: {"how": how, "values": due + [
+            v if v is None else str(v) for v in values if (v if v is None else str(v)) not in due]}}}
+
+    def due(self, state: dict, name: str) -> list:
+        return state.get("due", {}).get(name, {"values": []})["values"]
+
+    def from_counts(self, state: dict, how: dict, values: Sequence) -> DataFrame:
+        """The given partitions of a summary, made of the counts."""
+        how = dict(how)
+        counts, part = self.read_batches(state, "counts", how.pop("counts")), F.col(state["partition"])
+        some = part.cast("string").isin([v for v in values if v is not None]) | (part.isNull() if None in values else F.lit(False))
+        return quantiles_of_counts(counts.where(some), **how)
 
     def read_summary(self, name: str, state: dict | None = None) -> DataFrame:
         state = state or self.state()
+        due = self.due(state, name)
+        if due:
+            made = self.from_counts(state, state["due"][name]["how"], due)
+            late = {NULL_PARTITION if v is None else v for v in due}
+            kept = {v: n for v, n in state["summaries"].get(name, {}).items() if v not in late}
+            if not kept:
+                return made
+            rest = {**state, "due": {}, "summaries": {**state["summaries"], name: kept}}
+            return self.read_summary(name, rest).unionByName(made)
         live: dict[str, list[str]] = {}
         for value, version in state["summaries"][name].items():
             live.setdefault(version, []).append(value)
@@ -307,12 +340,12 @@ class CommittedLake:
             return self.read_current(state)
         if name == self.history:
             return self.read_batches(state, "history", name)
-        return self.read_summary(name, state) if name in state["summaries"] else self.read_table(name)
+        return self.read_summary(name, state) if name in state["summaries"] or self.due(state, name) else self.read_table(name)
 
     def exists(self, name: str) -> bool:
         state = self.state()
         return bool(state["buckets"] if name == self.current else state["history"] if name == self.history
-                    else name in state["summaries"] or name in state["plain"])
+                    else name in state["summaries"] or self.due(state, name) or name in state["plain"])
 
     def vacuum(self) -> int:
         """Delete the files of versions that the newest commit does not use, and older commits. Run it when no reader

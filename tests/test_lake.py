@@ -154,3 +154,19 @@ def test_replaced_tables_take_numbers_of_their_own(spark):
     assert lake.read("t").count() == 4 and lake.version("t") == 3
     lake.replace("t", lake.read("t").where("id > 0"))
     assert lake.read("t").count() == 3 and len(lake._versions("t")) == 3
+
+
+def test_a_night_reads_its_batch_once(spark):
+    lake, read = lake_of(spark), spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(p):
+        read.add(1)
+        return p
+    rows = [(f"u{i}", f"2024-01-0{i % 4 + 1}", 100.0 + i, i) for i in range(30)]
+    writes, write = [], lake._write
+    lake._write = lambda state, name, *rest: writes.append(name) or write(state, name, *rest)
+    nightly.upsert_nightly(lake, frame(spark, rows).withColumn("price", seen.asNondeterministic()("price")))
+    # history is written first, from the source; all else is derived from what was written
+    assert writes[0] == lake.history and read.value == len(rows)
+    assert {r["url"]: (str(r["snapshot_date"]), r["price"]) for r in lake.read("listings_latest").collect()} == latest(rows)

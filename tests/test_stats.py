@@ -80,3 +80,24 @@ def test_counts_add_up(spark):
     counts = parts[0].unionByName(parts[1]).unionByName(parts[2])
     got = {r["g"]: (r["n"], r["med"]) for r in stats.quantiles_of_counts(counts, ["g"], "v", "c", {"med": 0.5}, "n").collect()}
     assert got == {g: (sum(x == g and v is not None for x, v in rows), v) for (g, n), v in want(rows).items() if n == "med" and v is not None}
+
+
+def test_only_large_groups_are_cut_into_slices(spark, monkeypatch):
+    monkeypatch.setattr(stats, "DIRECT", 0)
+    monkeypatch.setattr(stats, "RANKED", 40)
+    sliced, by_slices = [], stats._by_slices
+
+    def spy(w, keys, *rest):
+        sliced.extend(r[0] for r in w.select(*keys).distinct().collect())
+        return by_slices(w, keys, *rest)
+    monkeypatch.setattr(stats, "_by_slices", spy)
+    rng = random.Random(3)
+    rows = [(g, float(rng.randrange(10 ** 6)), rng.randrange(1, 4)) for g, k in (("a", 30), (None, 25), ("large", 90), (None, 10)) for _ in range(k)]
+    df = spark.createDataFrame(rows, "g string, v double, n long")
+    got = {(r["g"], n): r[n] for r in stats.quantiles_of_counts(df, ["g"], "v", "n", PROBABILITIES, "total").collect() for n in [*PROBABILITIES, "total"]}
+    right = want([(g, v) for g, v, n in rows for _ in range(n)])
+    assert sliced == ["large"] and {k: v for k, v in got.items() if k[1] != "total"} == pytest.approx(right)
+    assert {g: got[g, "total"] for g in ("a", None, "large")} == {g: sum(n for x, _, n in rows if x == g) for g in ("a", None, "large")}
+    sliced.clear()
+    stats.quantiles_of_counts(df.where("g = 'a' OR g IS NULL"), ["g"], "v", "n", PROBABILITIES).collect()
+    assert not sliced
