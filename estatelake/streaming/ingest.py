@@ -11,7 +11,10 @@ survive driver or executor loss and do not depend on how files are dealt to
 epochs.
 
 Keep-latest needs no streaming state: the current table *is* the state,
-and each epoch's batch is first reduced to its latest row per URL.
+and each epoch's batch is first reduced to its latest row per URL. Epochs only
+add their value counts and mark the summary's partitions as due; the drain writes
+these once at its end, whatever the number of epochs. A drain that broke off leaves
+them due: readers make them from the counts, and the next drain writes them.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..plans.nightly import upsert_nightly
+from ..plans.nightly import refresh_summaries, upsert_nightly
 from ..session import shared_path
 from ..sources.tables import Lake
 
@@ -38,10 +41,11 @@ def ingest_drops(spark: SparkSession, drops_dir: str, schema: StructType, lake:
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         if not batch.isEmpty():
-            upsert_nightly(lake, batch, history_partition, f"{stream_id}-{epoch_id}")
+            upsert_nightly(lake, batch, history_partition, f"{stream_id}-{epoch_id}", summarise=False)
 
     q = (stream.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    refresh_summaries(lake)
     return q

@@ -57,3 +57,46 @@ def test_rebuild_keeps_history_unfiltered(spark):
     rebuild_analytics(lake, src, run_date="2024-02-02")
     assert lake.read("listings_history").count() == 3
     assert {r["url"] for r in lake.read("listings_latest").collect()} == {"a"}
+
+
+def test_a_drain_makes_the_summary_once(spark, monkeypatch):
+    """However many epochs a drain has; between them and after a broken drain readers see it as it should be."""
+    import statistics
+
+    from estatelake.plans import nightly
+    from estatelake.sources import buckets
+    rows = [(f"u{i % 5}", f"2024-0{i % 3 + 1}-0{i % 2 + 1}", 100 * i + 7) for i in range(40)]
+    drops, lake = shared_path(spark, "drops-t"), CommittedLake(spark, shared_path(spark, "lake-t"))
+    frame = _listing(spark, rows)
+    for i in range(4):
+        frame.where(F.pmod(F.xxhash64("price"), F.lit(4)) == i).coalesce(1) \
+            .write.mode("append").parquet(f"{drops}/night=1")
+
+    def summary():
+        return {str(r["snapshot_date"]): (r["n"], r["median_price_per_m2"]) for r in lake.read("market_summary_v2").collect()}
+
+    def want(seen):
+        days = {}
+        for _, d, p in seen:
+            days.setdefault(d, []).append(p / 100)
+        return {d: (len(v), statistics.median(v)) for d, v in days.items()}
+
+    made, between, quantiles, upsert = [], [], buckets.quantiles_of_counts, nightly.upsert_nightly
+    monkeypatch.setattr(buckets, "quantiles_of_counts", lambda *a, **k: made.append(1) or quantiles(*a, **k))
+
+    def watched(*a, **k):
+        upsert(*a, **k)
+        history = [(r["url"], str(r["snapshot_date"]), r["price"]) for r in lake.read("listings_history").collect()]
+        n = len(made)
+        between.append((summary(), want(history)))
+        del made[n:]
+    monkeypatch.setattr(ingest, "upsert_nightly", watched)
+    ingest.ingest_drops(spark, drops, frame.schema, lake, history_partition="snapshot_month", max_files_per_trigger=1)
+    assert len(between) == 4 and all(got == right for got, right in between)
+    assert len(made) == 1 and summary() == want(rows) and not lake.due(lake.state(), nightly.SUMMARY) and len(made) == 1
+    # a drain that broke off, then an ordinary night on one of its days
+    upsert(lake, _listing(spark, [("x", "2024-01-01", 5)]), "snapshot_month", "broken", summarise=False)
+    assert lake.due(lake.state(), nightly.SUMMARY) == ["2024-01"] and summary() == want([*rows, ("x", "2024-01-01", 5)])
+    upsert(lake, _listing(spark, [("y", "2024-02-01", 9)]), "snapshot_month", "night")
+    assert not lake.due(lake.state(), nightly.SUMMARY)
+    assert summary() == want([*rows, ("x", "2024-01-01", 5), ("y", "2024-02-01", 9)])
