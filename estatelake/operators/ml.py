@@ -39,6 +39,9 @@ from .stats import grouped_quantiles
 
 LEAKAGE = {"price": ["price_per_m2"], "price_per_m2": ["price"]}
 
+#: Numbers (rows times one-hot features) that one task of a forest takes, 4 bytes each.
+FOREST_TASK = 50_000_000
+
 
 # M1 -------------------------------------------------------------------------
 def select_feature_columns(df: DataFrame, target: str) -> tuple[list[str], list[str]]:
@@ -129,6 +132,23 @@ def preprocessing_stages(train: DataFrame, num: Sequence[str], cat: Sequence[str
 
 
 # M3 -------------------------------------------------------------------------
+def forest_tasks(df: DataFrame, num: Sequence[str], cat: Sequence[str]) -> int:
+    """Tasks a forest on ``df`` needs: by rows times one-hot features, which is what Spark's forest keeps and walks
+    through, not by the bytes of the narrow rows. At most one per core: every task holds and ships sums of its own for
+    every open node."""
+    sizes = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(f"_{j}") for j, c in enumerate(cat)]).first()
+    numbers = sizes["n"] * (len(num) + sum(sizes[f"_{j}"] for j in range(len(cat))))
+    return max(1, min(df.sparkSession.sparkContext.defaultParallelism, -(-numbers // FOREST_TASK)))
+
+
+def spread(df: DataFrame, cols: Sequence[str], tasks: int) -> DataFrame:
+    """``cols`` of the rows of ``df`` in ``tasks`` parts of the same length and a fixed order (a forest draws its rows by
+    part and place); ``df`` itself, which must be materialised, when it has that many parts."""
+    if df.rdd.getNumPartitions() >= tasks:
+        return df
+    return cut_lineage(df.select(*cols).repartition(tasks).sortWithinPartitions(*cols))
+
+
 def make_regressor(kind: str, label: str = "label", num_trees: int = 400, max_depth: int = 30,
                    seed: int = 42, max_bins: int = 32, solver: str = "normal"):
     """'linear' (ordinary least squares by ``solver``: "normal" is exact and takes 4,096 features, "l-bfgs"
@@ -154,6 +174,9 @@ def fit_model(train: DataFrame, target: str, kind: str, num: Sequence[str], cat:
     ``log1p(target)`` when ``log_target``."""
     t = train.where(F.col(target).isNotNull())
     t = t.withColumn("label", F.log1p(target) if log_target else F.col(target).cast("double"))
+    if kind == "rf":
+        t = cut_lineage(t)
+        t = spread(t, [target, "label", *num, *cat], forest_tasks(t, num, cat))
     stages = preprocessing_stages(t, num, cat) + [make_regressor(kind, **kw)]
     return Pipeline(stages=stages).fit(t)
 
@@ -214,6 +237,8 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
     if not kinds:
         return _all_fold_metrics(done, target)
     d = cut_lineage(d)      # k folds re-read it many times: materialise once, reliably
+    tasks = forest_tasks(d, num, cat) if "rf" in kinds else 1
+    d = spread(d, ["fold", target, *num, *cat], tasks)
     label = F.log1p(target) if log_target else F.col(target).cast("double")
 
     def one_fold(i: int) -> dict[str, DataFrame]:
@@ -231,8 +256,11 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
 
     # Folds are independent fits: run them concurrently from driver threads
     # (as CrossValidator's ``parallelism`` does) so small per-fold jobs share
-    # the cluster instead of queueing one after another.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
+    # the cluster instead of queueing one after another. Folds that fill the
+    # cores by themselves go one by one: a forest keeps all its numbers in
+    # memory while it grows.
+    cores = d.sparkSession.sparkContext.defaultParallelism
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k, -(-cores // tasks) if tasks > 1 else k))) as pool:
         fold_preds = list(pool.map(one_fold, range(k)))
     preds = dict(done)
     for got in fold_preds:
@@ -338,7 +366,7 @@ def train_and_select(df: DataFrame, target: str, registry: Registry | None = Non
     """CV every model kind, choose the lowest mean rmse (A17), fit it on all
     rows with the same log target, persist it. Returns the metrics table
     (one row per kind, ``chosen`` flag)."""
-    d = df.where(F.col(target).isNotNull())
+    d = cut_lineage(df.where(F.col(target).isNotNull()))     # every model kind, and the chosen one again, reads it
     num, cat = select_feature_columns(d, target)
     per = cv_models(d, target, kinds, num, cat, k=k, key=key, params={"rf": kw})
     rows = per.groupBy("model").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"),

@@ -50,3 +50,33 @@ def test_a_forest_is_the_mean_of_its_trees(spark):
     for r, q in zip(model.transform(df).orderBy("a", "b", "label").collect(), again.transform(df).orderBy("a", "b", "label").collect()):
         assert abs(r["__pred"] - np.mean([t.predict(r["features"]) for t in model.trees])) < 1e-9 and r["__pred"] == q["__pred"]
     assert len(model.trees) == 7 and max(t.depth for t in model.trees) <= 4
+
+
+def test_forests_are_fitted_in_tasks_by_rows_and_features(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(f"u{i}", f"p{i % 40}", rng.choice(["flat", None]), rng.choice([30.0, 55.0, None]), 1e5 + 1000 * (i % 40))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "url string, postal_code string, city string, surface_m2 double, price double").coalesce(1)
+    num, cat = ml.select_feature_columns(df, "price")
+    seen, make = [], ml.make_regressor
+
+    def recorded(kind, **options):
+        model = make(kind, **options)
+        fit = model.fit
+        model.fit = lambda data, *a: seen.append((data.rdd.getNumPartitions(), data.count())) or fit(data, *a)
+        return model
+
+    monkeypatch.setattr(ml, "make_regressor", recorded)
+    results = []
+    for task in (ml.FOREST_TASK, 300 * 42 // 3, 300 * 42 // 3):
+        monkeypatch.setattr(ml, "FOREST_TASK", task)
+        seen.clear()
+        per = ml.cv_models(df, "price", ["rf"], num, cat, k=2, params={"rf": {"num_trees": 3, "max_depth": 4}})
+        results.append(sorted((r["fold"], r["n"], round(r["rmse"], 6)) for r in per.collect()))
+        assert sum(n for _, n in seen) == 300
+        assert {p for p, _ in seen} == ({1} if task == 50_000_000 else {min(3, spark.sparkContext.defaultParallelism)})
+    assert [r[:2] for r in results[0]] == [r[:2] for r in results[1]] and results[1] == results[2]
+    d = ml.cut_lineage(df)
+    parts = ml.spread(d, ["url", "price"], 5)
+    assert parts.rdd.getNumPartitions() == 5 and sorted(parts.collect()) == sorted(d.select("url", "price").collect())
+    assert [len(x) for x in parts.rdd.glom().collect()] == [60] * 5
