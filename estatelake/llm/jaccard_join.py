@@ -45,8 +45,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (MAX_ID, Rolling, bucket_count, deltas, home_of, id_key, materialize, one_row_per_id, pack,
-                     pairs_by_home, split_runs, text_bytes, texts, unpack, values_of)
+from .common import (MAX_ID, Rolling, bucket_count, deltas, exchanged, home_of, id_key, materialize, one_row_per_id,
+                     pack, pairs_by_home, split_runs, text_bytes, texts, unpack, values_of)
 from .sharding import keyed_rows
 from .substring_dedup import word_hashes
 
@@ -227,7 +227,7 @@ def _linked(na: int, nb: int, x: np.ndarray, y: np.ndarray, percent: int) -> boo
 
 def links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link; each is verified once."""
-    s = sets.select("doc_id", "n", "keys")
+    s = exchanged(sets.select("doc_id", "n", "keys"))
     both = (pairs.join(s.toDF("a", "na", "ka"), "a").join(s.toDF("b", "nb", "kb"), "b")
             .select("a", "b", "na", "nb", "ka", "kb"))
     return both.mapInArrow(_verify(percent), "a long, b long")
@@ -242,11 +242,11 @@ def components(edges: DataFrame) -> DataFrame:
     label = materialize(e.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("comp"))
                         .select(F.col("x").alias("doc_id"), "comp"), "labels")
     while True:
-        near = e.join(label, e.y == label.doc_id).groupBy("x").agg(F.min("comp").alias("m"))
-        step = label.join(near, label.doc_id == near.x, "left") \
+        near = e.join(exchanged(label), e.y == label.doc_id).groupBy("x").agg(F.min("comp").alias("m"))
+        step = label.join(exchanged(near), label.doc_id == near.x, "left") \
             .select("doc_id", "comp", F.least("comp", F.coalesce("m", "comp")).alias("c2"))
         up = label.select(F.col("doc_id").alias("k"), F.col("comp").alias("c3"))
-        step = step.join(up, F.col("c2") == F.col("k"), "left") \
+        step = step.join(exchanged(up), F.col("c2") == F.col("k"), "left") \
             .select("doc_id", "comp", F.least("c2", F.coalesce("c3", "c2")).alias("new"))
         step = materialize(step, "labels")
         moved = not step.where("new <> comp").isEmpty()
@@ -281,28 +281,29 @@ def class_links(reps: DataFrame, percent: int = 80) -> DataFrame:
                                       F.count(F.lit(1)).alias("k")).where("k > 1")
     pivot = materialize(pivot.select("token", F.col("p.doc_id").alias("doc2"), F.col("p.n").alias("n2"),
                                      F.col("p.pos").alias("pos2"), F.col("p.lone").alias("lone2")), "pivots")
-    near = post.join(pivot, "token").where(F.col("doc_id") != F.col("doc2")).where(_near("", "2", percent))
+    near = post.join(exchanged(pivot), "token").where(F.col("doc_id") != F.col("doc2")).where(_near("", "2", percent))
     tried = near.select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")).distinct()
     tried = materialize(tried, "pivot-pairs")
     found = materialize(links(tried, open_, percent), "pivot-links")
     first = components(found)
 
     # what is left: pairs of one shingle whose components differ
-    labelled = materialize(post.join(pivot.select("token"), "token", "left_semi").join(first, "doc_id", "left")
+    labelled = materialize(post.join(exchanged(pivot.select("token")), "token", "left_semi")
+                           .join(exchanged(first), "doc_id", "left")
                            .select("token", "doc_id", "n", "pos", "lone", F.coalesce("comp", "doc_id").alias("comp")), "labelled")
     mixed = labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi") \
         .select("token")
     # A pair comes up at the first shingle that its prefixes share, and nowhere else. All shingles that documents of
     # different components share are mixed ones, so no others need to be compared.
-    mixed = materialize(labelled.join(mixed, "token", "left_semi"), "mixed-postings")
+    mixed = materialize(labelled.join(exchanged(mixed), "token", "left_semi"), "mixed-postings")
     prefix = mixed.groupBy("doc_id").agg(F.collect_list("token").alias("prefix"))
-    x = mixed.join(prefix, "doc_id").select("token", "doc_id", "n", "pos", "lone", "comp", "prefix")
+    x = mixed.join(exchanged(prefix), "doc_id").select("token", "doc_id", "n", "pos", "lone", "comp", "prefix")
     y = x.toDF("token", "doc2", "n2", "pos2", "lone2", "comp2", "prefix2")
     before = F.filter("prefix", lambda t: t < x.token)
-    rest = x.join(y, (x.token == y.token) & (F.col("comp") < F.col("comp2")) & _near("", "2", percent, first=True)
+    rest = x.join(exchanged(y), (x.token == y.token) & (F.col("comp") < F.col("comp2")) & _near("", "2", percent, first=True)
                   & ~F.arrays_overlap(before, F.col("prefix2"))) \
         .select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")) \
-        .join(tried, ["a", "b"], "left_anti")
+        .join(exchanged(tried), ["a", "b"], "left_anti")
     more = materialize(links(rest, open_, percent), "cross-links")
     if more.isEmpty():
         return first
@@ -314,10 +315,10 @@ def key_components(rows: DataFrame, words: int = 5, percent: int = 80, block: in
     id each, none NULL)."""
     sets = shingled(rows, words, block)
     classes = materialize(sets.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    reps = sets.join(exchanged(classes.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
     comp = class_links(reps, percent).select(F.col("doc_id").alias("rep"), "comp")
-    named = classes.join(comp, "rep", "left").select("sig", "rep", F.coalesce("comp", "rep").alias("comp"))
-    out = sets.select("doc_id", "n", "sig").join(materialize(named, "named-classes"), "sig", "left")
+    named = classes.join(exchanged(comp), "rep", "left").select("sig", "rep", F.coalesce("comp", "rep").alias("comp"))
+    out = sets.select("doc_id", "n", "sig").join(exchanged(materialize(named, "named-classes")), "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"),
                       F.coalesce("rep", "doc_id").alias("rep_id"))
 
@@ -339,5 +340,6 @@ def row_components(docs: DataFrame, words: int = 5, percent: int = 80, block: in
     # keys have the order of the ids, so the smallest key of a component is that of its smallest id
     own = rows.select(F.col("_row").alias("_own"), F.col("doc_id").alias("_own_id"))
     first = rows.select(F.col("_row").alias("_first"), F.col("doc_id").alias("_first_id"))
-    return out.join(own, F.col("doc_id") == F.col("_own")).join(first, F.col("component_id") == F.col("_first")) \
+    return out.join(exchanged(own), F.col("doc_id") == F.col("_own")) \
+        .join(exchanged(first), F.col("component_id") == F.col("_first")) \
         .select(F.col("_own_id").alias("doc_id"), "n_shingles", F.col("_first_id").alias("component_id"))
