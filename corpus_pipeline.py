@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from estatelake.llm import decontam, jaccard_join, langid, mixing, sharding
-from estatelake.llm.common import materialize, table
+from estatelake.llm.common import exchanged, materialize, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, _ = sharding.keyed_rows(docs)
     found = langid.predict(rows.select(F.col("_row").alias("doc_id"), "text"), langid.learn(docs))
     found = found.where("lang_pred <> 'und'").select(F.col("doc_id").alias("_found"))
-    return rows.join(found, F.col("_row") == F.col("_found"), "left_semi").select(*docs.columns)
+    return rows.join(exchanged(found), F.col("_row") == F.col("_found"), "left_semi").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows, unique = sharding.keyed_rows(docs)
     found = jaccard_join.key_components(rows.select(F.col("_row").alias("doc_id"), "text"))
     keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep"))
-    kept = rows.join(keep, F.col("_row") == F.col("_keep"), "left_semi")
+    kept = rows.join(exchanged(keep), F.col("_row") == F.col("_keep"), "left_semi")
     if unique:
         return kept.select(*docs.columns)
     kept = materialize(kept, "kept-rows")
@@ -37,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     same = kept.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_same"), F.col("text").isNull().alias("_void"),
                                                    digest.alias("_digest")).distinct()
     again = rows.where("doc_id IS NOT NULL").join(
-        same, (F.col("doc_id") == F.col("_same")) & (F.col("text").isNull() == F.col("_void")) & (digest == F.col("_digest")),
+        exchanged(same), (F.col("doc_id") == F.col("_same")) & (F.col("text").isNull() == F.col("_void")) & (digest == F.col("_digest")),
         "left_semi")
     return again.unionByName(kept.where("doc_id IS NULL")).select(*docs.columns)
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, share, texts
+from .common import exchanged, materialize, share, texts
 from .sharding import keyed_rows
 
 _BLANK = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -104,12 +104,12 @@ def weighted_items(benchmark: DataFrame) -> DataFrame:
     df = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log1p((F.lit(count) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = K1 * (1 - B + B * F.col("n") / F.lit(float(mean or 1)))
-    w = each.join(df, "term").select("place", "term", (idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("w"))
+    w = each.join(exchanged(df), "term").select("place", "term", (idf * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)).alias("w"))
     w = w.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("term", "w"))).alias("w"))      # a row of one item
     total = F.aggregate("w", F.lit(0.0), lambda acc, x: acc + x["w"])
     w = w.select("place", F.transform("w", lambda x: F.struct(x["term"].alias("term"), (x["w"] / total).cast("float").alias("impact"))).alias("weights"))
     spans = items.groupBy("class").agg(F.max("n").alias("span"))
-    return materialize(items.drop("terms").join(w, "place").join(F.broadcast(spans), "class"), "benchmark-impacts")   # one row a class
+    return materialize(items.drop("terms").join(exchanged(w), "place").join(F.broadcast(spans), "class"), "benchmark-impacts")   # one row a class
 
 
 @dataclass
@@ -407,4 +407,4 @@ def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     rows, _ = keyed_rows(docs)
     bad = leaks(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark, **options)
     bad = bad.select(F.col("doc_id").alias("_bad")).distinct()
-    return rows.join(bad, F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)
+    return rows.join(exchanged(bad), F.col("_row") == F.col("_bad"), "left_anti").select(*docs.columns)

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, id_back, id_key, materialize
+from .common import WORD, exchanged, id_back, id_key, materialize
 from .sharding import keyed_rows
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -192,7 +192,7 @@ def _drawn(rows: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple
                      "source_size", "target", "sid", F.floor("c").cast("long").alias("base"), (F.col("c") - F.floor("c")).alias("p"))
     per = materialize(per, "mix-rows")
     extra = pivotal(per.select("doc_id", "nth", "size", "sid", "p"), seed)
-    out = per.join(extra, ["doc_id", "nth"])
+    out = per.join(exchanged(extra), ["doc_id", "nth"])
     copies = F.when(F.col("size") > 0, F.col("base") + F.col("extra")).otherwise(0)
     return out.select("doc_id", "row", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
                       copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
@@ -204,5 +204,5 @@ def apply_mix(docs: DataFrame, **options) -> DataFrame:
     rows, _ = keyed_rows(docs, F.col("source"), word_count())
     taken = _drawn(sized(rows, F.col("_row")), **options).where("copies > 0") \
         .select(F.col("row").alias("_drawn"), F.col("copies").alias("_each"))
-    rows = rows.join(taken, F.col("_row") == F.col("_drawn"))
+    rows = rows.join(exchanged(taken), F.col("_row") == F.col("_drawn"))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_each").cast("int")))).select(*docs.columns)
