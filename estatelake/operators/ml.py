@@ -27,7 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer,
                                 VectorAssembler)
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..session import cut_lineage
 from . import gram
+from .forest import SparseForest
 from .stats import grouped_quantiles
 
 LEAKAGE = {"price": ["price_per_m2"], "price_per_m2": ["price"]}
 
-#: Numbers (rows times one-hot features) that one task of a forest takes, 4 bytes each.
+#: Rows times one-hot features that one task of a forest takes.
 FOREST_TASK = 50_000_000
 
 
@@ -133,9 +134,8 @@ def preprocessing_stages(train: DataFrame, num: Sequence[str], cat: Sequence[str
 
 # M3 -------------------------------------------------------------------------
 def forest_tasks(df: DataFrame, num: Sequence[str], cat: Sequence[str]) -> int:
-    """Tasks a forest on ``df`` needs: by rows times one-hot features, which is what Spark's forest keeps and walks
-    through, not by the bytes of the narrow rows. At most one per core: every task holds and ships sums of its own for
-    every open node."""
+    """Tasks a forest on ``df`` needs: by rows times one-hot features, which its sums may come to, not by the bytes of the
+    narrow rows. At most one per core: every task ships sums of its own for every open node."""
     sizes = df.agg(F.count(F.lit(1)).alias("n"), *[F.approx_count_distinct(c).alias(f"_{j}") for j, c in enumerate(cat)]).first()
     numbers = sizes["n"] * (len(num) + sum(sizes[f"_{j}"] for j in range(len(cat))))
     return max(1, min(df.sparkSession.sparkContext.defaultParallelism, -(-numbers // FOREST_TASK)))
@@ -161,10 +161,10 @@ def make_regressor(kind: str, label: str = "label", num_trees: int = 400, max_de
             raise ValueError("Spark forests are at most 30 levels deep")
         # Deep trees: a large node-group budget means far fewer passes over
         # the data per tree level; node ids are cached between levels.
-        return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="__pred",
-                                     numTrees=num_trees, maxDepth=max_depth, seed=seed,
-                                     maxBins=max_bins, maxMemoryInMB=1024, cacheNodeIds=True,
-                                     checkpointInterval=10)
+        return SparseForest(featuresCol="features", labelCol=label, predictionCol="__pred",
+                            numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                            maxBins=max_bins, maxMemoryInMB=1024, cacheNodeIds=True,
+                            checkpointInterval=10)
     raise ValueError(kind)
 
 
@@ -257,8 +257,7 @@ def cv_models(df: DataFrame, target: str, kinds: Sequence[str], num: Sequence[st
     # Folds are independent fits: run them concurrently from driver threads
     # (as CrossValidator's ``parallelism`` does) so small per-fold jobs share
     # the cluster instead of queueing one after another. Folds that fill the
-    # cores by themselves go one by one: a forest keeps all its numbers in
-    # memory while it grows.
+    # cores by themselves go one by one.
     cores = d.sparkSession.sparkContext.defaultParallelism
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k, -(-cores // tasks) if tasks > 1 else k))) as pool:
         fold_preds = list(pool.map(one_fold, range(k)))

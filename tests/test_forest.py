@@ -3,9 +3,12 @@
 import random
 
 import numpy as np
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import functions as F
 
-from estatelake.operators import ml
+from estatelake.operators import forest, ml
 
 
 def grown(rows, depth):
@@ -80,3 +83,69 @@ def test_forests_are_fitted_in_tasks_by_rows_and_features(spark, monkeypatch):
     parts = ml.spread(d, ["url", "price"], 5)
     assert parts.rdd.getNumPartitions() == 5 and sorted(parts.collect()) == sorted(d.select("url", "price").collect())
     assert [len(x) for x in parts.rdd.glom().collect()] == [60] * 5
+
+
+def one_hot(spark, n=240, kinds=30):
+    rng = random.Random(11)
+    rows = [(f"p{rng.randrange(kinds)}", rng.choice(["flat", "house", None]), rng.choice([30.0, 55.0, 80.0, None]),
+             float(rng.randrange(200)), rng.gauss(0, 1)) for _ in range(n)]
+    rows = [(a, b, c, d, 12 + (int(a[1:]) % 5) + (b == "flat") * 2 + (c or 60) / 40 + d / 50 + y) for a, b, c, d, y in rows]
+    df = spark.createDataFrame(rows, "postal_code string, city string, surface_m2 double, bathrooms double, label double")
+    return df, Pipeline(stages=ml.preprocessing_stages(df, ["surface_m2", "bathrooms"], ["postal_code", "city"])).fit(df)
+
+
+def test_without_draws_the_forest_is_sparks_forest(spark):
+    df, prep = one_hot(spark)
+    rows = prep.transform(df)
+    options = dict(featuresCol="features", labelCol="label", predictionCol="__pred", seed=42, bootstrap=False,
+                   featureSubsetStrategy="all", maxBins=16)
+    for trees, depth, least in ((1, 6, 1), (2, 3, 9)):
+        own = forest.SparseForest(numTrees=trees, maxDepth=depth, minInstancesPerNode=least, **options).fit(rows)
+        spark_s = RandomForestRegressor(numTrees=trees, maxDepth=depth, minInstancesPerNode=least, **options).fit(rows)
+        assert type(own) is type(spark_s) and own.numFeatures == spark_s.numFeatures
+        assert [t.numNodes for t in own.trees] == [t.numNodes for t in spark_s.trees]
+        # in a node of two cities either one's column cuts alike, so importances are those of the numbers
+        assert np.allclose(own.featureImportances.toArray()[:2], spark_s.featureImportances.toArray()[:2], atol=1e-9)
+        got, want = ([r["__pred"] for r in m.transform(rows).select("__pred").collect()] for m in (own, spark_s))
+        assert np.allclose(got, want, atol=1e-9) and len(set(want)) > 5
+
+
+def test_work_of_a_forest_follows_the_values_that_are_not_zero(spark, monkeypatch):
+    seen, cut = [], forest.cut_lineage
+
+    def recorded(df):
+        seen.append(cut(df))
+        return seen[-1]
+
+    monkeypatch.setattr(forest, "cut_lineage", recorded)
+    monkeypatch.setattr(forest, "BLOCK", 100)
+    for kinds in (5, 200):
+        df, prep = one_hot(spark, 300, kinds)
+        model = ml.make_regressor("rf", num_trees=3, max_depth=4).fit(prep.transform(df.coalesce(1)))
+        assert model.numFeatures > kinds * 0.7 and len(model.trees) == 3
+        blocks = seen[-1].collect()
+        assert sum(b["n"] for b in blocks) == 300 and max(b["n"] for b in blocks) <= 100
+        assert max(len(b["features"]) / b["n"] for b in blocks) <= 4 * 4       # four columns, whatever their categories
+
+
+def test_draws_of_a_forest(spark):
+    ids = np.arange(20_000)
+    w = forest.weights(ids, 42, 3, True)
+    assert abs(w.mean() - 1) < 0.03 and abs(w.var() - 1) < 0.05 and (w == forest.weights(ids, 42, 3, True)).all()
+    assert abs(np.corrcoef(w, forest.weights(ids, 42, 4, True))[0, 1]) < 0.03
+    features = np.arange(900)
+    drawn = [forest._hash(np.uint64(k), features) <= np.uint64(forest.drawn_below(k, 900, 300)) for k in (5, 6, 7)]
+    assert [x.sum() for x in drawn] == [300] * 3 and 60 < (drawn[0] & drawn[1]).sum() < 140
+    assert forest.find_thresholds(np.array([1.0, 2.0, 4.0]), np.array([1, 1, 1]), 5).tolist() == [1.5, 3.0]
+    assert len(forest.find_thresholds(np.arange(1000.0), np.ones(1000), 31)) == 31
+
+
+def test_a_saved_forest_scores_as_the_fitted_one(spark, tmp_path):
+    df, _ = one_hot(spark)
+    model = ml.fit_model(df, "label", "rf", ["surface_m2", "bathrooms"], ["postal_code", "city"], num_trees=4, max_depth=5)
+    model.write().save(f"{tmp_path}/m")
+    again = PipelineModel.load(f"{tmp_path}/m")
+    new = df.withColumn("postal_code", F.lit("never seen"))
+    for rows in (df, new):
+        a, b = ([r["prediction"] for r in ml.predict(m, rows).collect()] for m in (model, again))
+        assert a == b and np.isfinite(a).all()
